@@ -1,0 +1,76 @@
+"""Connected components by alternating large-star and small-star steps.
+
+Each step keeps the components and points nodes at smaller neighbours, so the number of rounds
+grows with the logarithm of the largest component.  A first step contracts the edges of every
+partition to stars with a local union-find, which bounds rows by nodes.  Links are never gathered:
+all state is an edge table, cut with checkpoint() once a round.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from offerledger.llm import shared
+
+MAX_ROUNDS = 60
+
+
+def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Union-find over pairs: all distinct nodes, and the smallest node of the component of each."""
+    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
+    parent = np.arange(len(nodes))
+    left, right = flat[: len(a)], flat[len(a) :]
+    while True:
+        pa_, pb = parent[left], parent[right]
+        low = np.minimum(pa_, pb)
+        before = parent.copy()
+        np.minimum.at(parent, pa_, low)
+        np.minimum.at(parent, pb, low)
+        while not np.array_equal(parent, hop := parent[parent]):
+            parent = hop
+        if np.array_equal(before, parent):
+            return nodes, nodes[parent]
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stars of a partition's edges, contracted batch by batch so that memory follows the nodes."""
+    a = b = np.zeros(0, np.int64)
+    for batch in batches:
+        nodes, root = roots(np.concatenate([a, batch.column(0).to_numpy()]), np.concatenate([b, batch.column(1).to_numpy()]))
+        away = nodes != root
+        a, b = nodes[away], root[away]
+    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["u", "v"])
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """node, component (the smallest node reachable) of every node on an edge.
+
+    A pair of equal ends or with a null end adds nothing; repeated edges are harmless; no edges
+    give an empty table.
+    """
+    shared_folder = shared.shared_dir(edges.sparkSession)
+    context = edges.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder)
+    stars = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u is not null and v is not null and u <> v").mapInArrow(_contract, "u long, v long").checkpoint()
+    was = None
+    for _ in range(MAX_ROUNDS):
+        both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # Large star: every larger neighbour of u now points at the smallest of u and its neighbours.
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        # Small star: u and its smaller neighbours point at the smallest of them.
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        stars = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct().checkpoint()
+        now = stars.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        if was == now:
+            break
+        was = now
+    else:
+        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+    return stars.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node").unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
