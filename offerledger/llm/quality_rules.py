@@ -104,27 +104,38 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     return w.astype(np.float32), a, b
 
 
+def _judge(text: pa.Array, model: tuple[np.ndarray, float, float] | None, keep_from: float) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Counts, base_failed, p_good and kept of each row."""
+    counts = base_counts(text)
+    p = np.ones(len(text)) if model is None else learn.sigmoid(model[1] * np.array([learn.margin(s, model[0]) for s in BAG.sets(text)]) + model[2])
+    failed = (counts["n_words"] < MIN_WORDS) | (100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"])
+    return counts, failed, p, ~failed & (p >= keep_from)
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, keep_from: float = KEEP_FROM) -> DataFrame:
     """doc_id, the counts, base_failed, p_good (the calibrated probability) and kept, a row per document."""
-    spark = docs.sparkSession
-    model = fit(docs, labels, per_class)
-    sent = spark.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, per_class))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in kernel.slices(whole):
-                text = batch.column("text")
-                counts = base_counts(text)
-                if sent.value is None:
-                    p = np.ones(len(text))
-                else:
-                    w, a, b = sent.value
-                    p = learn.sigmoid(a * np.array([learn.margin(s, w) for s in BAG.sets(text)]) + b)
-                failed = (counts["n_words"] < MIN_WORDS) | (100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(counts[c].astype(np.int64)) for c in COUNTS), pa.array(failed), pa.array(p), pa.array(~failed & (p >= keep_from))], ["doc_id", *COUNTS, "base_failed", "p_good", "kept"])
+                counts, failed, p, kept = _judge(batch.column("text"), sent.value, keep_from)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(counts[c].astype(np.int64)) for c in COUNTS), pa.array(failed), pa.array(p), pa.array(kept)], ["doc_id", *COUNTS, "base_failed", "p_good", "kept"])
 
     return shared.keyed_texts(docs).mapInArrow(work, f"doc_id long, {', '.join(f'{c} long' for c in COUNTS)}, base_failed boolean, p_good double, kept boolean")
 
 
+def kept_documents(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, keep_from: float = KEEP_FROM) -> DataFrame:
+    """The rows of docs that are kept, with all their columns; nothing is shuffled."""
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, per_class))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in kernel.slices(whole):
+                yield batch.filter(pa.array(_judge(batch.column("text"), sent.value, keep_from)[3]))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "labels"))

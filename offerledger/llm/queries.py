@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: query name: the module that holds it
 WHERE = {
     "op2_toxicity": "toxicity",
+    "op5_benchmark_decontamination": "decontamination",
+    "op6_sentencepiece_codec": "sentencepiece_agenda",
+    "op7_suffix_array_dedup": "suffix_dedup",
     "op8_quality_rules": "quality_rules",
     "op9_ngram_jaccard_join": "ngram_jaccard",
 }
