@@ -6,9 +6,10 @@ shingles, or its whole word sequence as one shingle when it has fewer words.
 How links are found, none lost and no group expanded to all its pairs:
 
 1. Documents with equal sets are one node, named by a 64-bit signature of the set.
-2. Sets are globally ordered: shingles that are frequent in the corpus (at most MAX_FREQUENT of them,
-   counted over all documents) last, by count; the others by hash.  Two linked sets share a shingle
-   among the first n - ceil(0.85 n) + 1 of both, so only these prefixes are shuffled.
+2. Sets are globally ordered, rare shingles first: the top bits of a shingle's number hold how frequent
+   its words are in the corpus (at most MAX_FREQUENT words, counted over all documents, have a level),
+   the rest is its hash.  Two linked sets share a shingle among the first n - ceil(0.85 n) + 1 of
+   both, so only these prefixes are shuffled.
 3. Postings of a shingle are ordered by set size.  First only neighbours in a posting become
    candidates, linear in the postings; verified links give components.  Then only pairs of
    *different* components that share a prefix shingle are candidates, cut by the size, position and
@@ -38,20 +39,46 @@ from offerledger.llm.components import components
 SHINGLE = 4
 #: a link needs 100 * intersection >= PERCENT * union
 PERCENT = 85
-#: frequent shingles that get a place of their own in the global order; the list is broadcast
-MAX_FREQUENT = 100_000
-#: an Arrow task reports a shingle as frequent from this count in its own rows
-FREQUENT_IN_TASK = 16
+#: words that get a frequency level of their own; the list is broadcast
+MAX_FREQUENT = 65_536
+#: an Arrow task reports a word as frequent from this count in its own rows
+FREQUENT_IN_TASK = 64
+#: parity bitmaps have a power of two of bits, at least this and half the set's size
 BITS = 512
 PAIRS_PER_BLOCK = 3000
+_LEVEL_AT = np.uint64(57)
 
 
-def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
-    """The distinct shingle hashes of each row, ascending."""
+class Levels:
+    """Frequency levels of words: 0 for words that aren't listed, 15 at most; one step doubles the share."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int):
+        order = np.argsort(words)
+        level = np.clip(21 + np.floor(np.log2(np.maximum(counts, 1) / max(total, 1))), 0, 15)
+        self.words, self.level = words[order], level[order].astype(np.uint64)
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.zeros(len(hashes), np.uint64)
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        return np.where(self.words[at] == hashes, self.level[at], np.uint64(0))
+
+
+def shingle_sets(column: pa.Array, k: int, levels: Levels) -> list[np.ndarray]:
+    """The distinct shingle numbers of each row, ascending: the global order."""
     words = kernel.Words(column, kernel.WHITE, lower=True)
-    grams, _ = words.grams(k)
-    rows, out = words.rows, []
-    short = {m: kernel.window_hashes(words.hashes, rows, m)[0] for m in range(1, k) if (words.counts == m).any()}
+    rows, level = words.rows, levels.of(words.hashes)
+    total = np.zeros(len(level) + 1, np.uint64)
+    np.cumsum(level, out=total[1:])
+
+    def numbers(m: int) -> np.ndarray:
+        grams, _ = words.grams(m)
+        end = np.minimum(np.arange(len(grams)) + m, len(grams))
+        common = (total[end] - total[:-1]) * np.uint64(16) // np.uint64(2 * m + 2) if m else total[:-1]
+        return (np.minimum(common, np.uint64(127)) << _LEVEL_AT) | (grams >> np.uint64(7))
+
+    grams, out = numbers(k), []
+    short = {m: numbers(m) for m in range(1, k) if (words.counts == m).any()}
     for i, m in enumerate(words.counts):
         at = rows[i]
         out.append(np.unique(grams[at : at + m - k + 1]) if m >= k else short[m][at : at + 1] if m else grams[:0])
@@ -63,9 +90,13 @@ def signature(found: np.ndarray) -> int:
     return int(kernel.mix64(np.array([kernel.mix64(found ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) + np.uint64(len(found))]))[0].view(np.int64))
 
 
-def parity_bits(found: np.ndarray) -> np.ndarray:
-    """Parity bitmap: its Hamming distance to another set's is at most the symmetric difference."""
-    odd = np.bincount((found >> np.uint64(17)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
+def parity_bits(found: np.ndarray, least: int = BITS) -> np.ndarray:
+    """Parity bitmap: its Hamming distance to another set's is at most the symmetric difference.
+
+    Halving a bitmap by exclusive or gives the bitmap of half the size.
+    """
+    size = max(least, 1 << max(len(found) // 2 - 1, 0).bit_length()) if least == BITS else least
+    odd = np.bincount((found & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -74,28 +105,6 @@ def need(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return -((-percent * (n + m)) // (100 + percent))
 
 
-class Order:
-    """The global order of shingles: frequent ones last, by count; the others by hash."""
-
-    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
-        place = np.lexsort((tokens, counts))
-        rank = np.empty(len(tokens), np.int64)
-        rank[place] = np.arange(1, len(tokens) + 1)
-        by_token = np.argsort(tokens)
-        self.tokens, self.rank = tokens[by_token], rank[by_token]
-
-    def sort(self, found: np.ndarray) -> np.ndarray:
-        """found: ascending hashes."""
-        if not len(self.tokens) or not len(found):
-            return found
-        at = np.minimum(np.searchsorted(self.tokens, found), len(self.tokens) - 1)
-        frequent = self.tokens[at] == found
-        if not frequent.any():
-            return found
-        late = found[frequent]
-        return np.concatenate([found[~frequent], late[np.argsort(self.rank[at[frequent]])]])
-
-
 class PrefixTree:
     """Trie of ordered sets with shared beginnings; edges hold runs of shingles."""
 
@@ -142,50 +151,62 @@ class PrefixTree:
         return out
 
 
-def _scan(k: int):
-    """A row per document (token null), and a row per shingle that is frequent in the task."""
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the words that are frequent in the task, and of all its words (word null)."""
+    words, counts, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+    for whole in batches:
+        for batch in kernel.slices(whole):
+            found = kernel.Words(batch.column("text"), kernel.WHITE, lower=True).hashes
+            seen, times = np.unique(found, return_counts=True)
+            total += len(found)
+            words, counts = np.concatenate([words, seen[times > 1]]), np.concatenate([counts, times[times > 1]])
+            if len(words) > 1_000_000:
+                words, counts = _summed(words, counts)
+    words, counts = _summed(words, counts)
+    often = counts >= FREQUENT_IN_TASK
+    yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(kernel.as_long(words[often])), pa.nulls(1, pa.int64())]), pa.array(np.r_[counts[often], total])], ["word", "n"])
+
+
+def word_levels(texts: DataFrame) -> Levels:
+    """Levels of the most frequent words of all texts."""
+    counts = texts.mapInArrow(_frequent, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.expr("word is not null"), F.desc("n"), "word").limit(MAX_FREQUENT + 1).toArrow()
+    if not len(counts):
+        return Levels(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0)
+    words, n = counts.column("word").slice(1).combine_chunks(), np.asarray(counts.column("n"))
+    return Levels(np.asarray(words).astype(np.int64).view(np.uint64), n[1:], int(n[0]))
+
+
+def _summed(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    distinct, at = np.unique(values, return_inverse=True)
+    return distinct, np.bincount(at, weights=counts, minlength=len(distinct)).astype(np.int64)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    flat = np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
+    return kernel.list_array(kernel.as_long(flat), np.array([len(x) for x in arrays], np.int64))
+
+
+def _scan(k: int, percent: int, levels):
+    """Signature, size, bitmaps and ordered prefix of each document's set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for whole in batches:
             for batch in kernel.slices(whole):
-                sets = shingle_sets(batch.column("text"), k)
+                sets = shingle_sets(batch.column("text"), k, levels.value)
                 n = np.array([len(s) for s in sets], np.int64)
                 names = pa.array([signature(s) if len(s) else None for s in sets], pa.int64())
-                bits = np.concatenate([parity_bits(s) for s in sets])
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.int64()), batch.column("doc_id"), names, pa.array(n), kernel.list_array(bits, np.full(len(n), BITS // 64))], ["token", "doc_id", "sig", "n", "bits"])
-                seen, times = np.unique(np.concatenate(sets), return_counts=True)
-                tokens = np.concatenate([tokens, seen[times > 1]])
-                counts = np.concatenate([counts, times[times > 1]])
-                if len(tokens) > 2_000_000:
-                    tokens, counts = _summed(tokens, counts)
-        tokens, counts = _summed(tokens, counts)
-        often = counts >= FREQUENT_IN_TASK
-        m = int(often.sum())
-        yield pa.RecordBatch.from_arrays([pa.array(kernel.as_long(tokens[often])), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(counts[often]), pa.nulls(m, pa.list_(pa.int64()))], ["token", "doc_id", "sig", "n", "bits"])
+                prefix = [s[: len(s) + 1 + (-percent * len(s)) // 100] if len(s) else s for s in sets]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), names, pa.array(n), _lists([parity_bits(s) for s in sets]), _lists([parity_bits(s, 256) for s in sets]), _lists(prefix)], ["doc_id", "sig", "n", "bits", "coarse", "prefix"])
 
     return work
 
 
-def _summed(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    distinct, at = np.unique(tokens, return_inverse=True)
-    return distinct, np.bincount(at, weights=counts, minlength=len(distinct)).astype(np.int64)
-
-
-def _ordered(k: int, order, prefix_of: int | None):
-    """sig, n and the ordered set of each document that has one, or just its prefix for a percentage."""
-
+def _whole_sets(k: int, levels):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in kernel.slices(whole):
-                sets = [s for s in shingle_sets(batch.column("text"), k) if len(s)]
-                n = np.array([len(s) for s in sets], np.int64)
-                names = pa.array([signature(s) for s in sets], pa.int64())
-                kept = [order.value.sort(s) for s in sets]
-                if prefix_of is not None:
-                    kept = [s[: len(s) + 1 + (-prefix_of * len(s)) // 100] for s in kept]
-                flat = np.concatenate(kept) if kept else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([names, pa.array(n), kernel.list_array(kernel.as_long(flat), np.array([len(s) for s in kept], np.int64))], ["sig", "n", "tokens"])
+                sets = [s for s in shingle_sets(batch.column("text"), k, levels.value) if len(s)]
+                yield pa.RecordBatch.from_arrays([pa.array([signature(s) for s in sets], pa.int64()), _lists(sets)], ["sig", "tokens"])
 
     return work
 
@@ -210,7 +231,7 @@ def _apart(percent: int):
         held: list[np.ndarray] = []
         for batch in batches:
             cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "sig", "n", "pos", "comp")]
-            cols.append(np.asarray(batch.column("bits").flatten()).reshape(-1, BITS // 64))
+            cols.append(np.asarray(batch.column("coarse").flatten()).reshape(-1, 4))
             if held:
                 cols = [np.concatenate([h, c]) for h, c in zip(held, cols, strict=True)]
             cuts = np.r_[0, np.flatnonzero(np.diff(cols[0])) + 1, len(cols[0])]
@@ -246,7 +267,7 @@ def _check_block(percent: int):
         partners: dict[int, list[int]] = {}
         for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
             partners.setdefault(a, []).append(b)
-        links = [(a, b) for a, bs in partners.items() for b in PrefixTree([known[b] for b in bs], bs).linked(np.sort(known[a]), percent)]
+        links = [(a, b) for a, bs in partners.items() for b in PrefixTree([known[b] for b in bs], bs).linked(known[a], percent)]
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return work
@@ -254,16 +275,12 @@ def _check_block(percent: int):
 
 def ngram_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links), a row per document."""
-    spark = docs.sparkSession
     texts = shared.keyed_texts(docs)
-    scanned = shared.written(texts.mapInArrow(_scan(k), "token long, doc_id long, sig long, n long, bits array<long>"), "ngram-docs")
-    frequent = scanned.where("token is not null").groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(MAX_FREQUENT).toArrow()
-    order = spark.sparkContext.broadcast(Order(np.asarray(frequent.column("token")).view(np.uint64), np.asarray(frequent.column("n"))))
-    members = scanned.where("token is null").select("doc_id", "sig", "n")
-    nodes = scanned.where("token is null and sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
-
-    prefixes = texts.mapInArrow(_ordered(k, order, percent), "sig long, n long, tokens array<long>").groupBy("sig").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-    postings = prefixes.select(F.posexplode("tokens").alias("pos", "token"), "sig", "n")
+    levels = docs.sparkSession.sparkContext.broadcast(word_levels(texts))
+    members = shared.written(texts.mapInArrow(_scan(k, percent, levels), "doc_id long, sig long, n long, bits array<long>, coarse array<long>, prefix array<long>"), "ngram-docs")
+    nodes = members.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
+    prefixes = members.where("sig is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    postings = prefixes.select(F.posexplode("prefix").alias("pos", "token"), "sig", "n")
     posting = Window.partitionBy("token").orderBy("n", "sig")
     before = F.lag(F.struct("sig", "n", "pos")).over(posting)
     shared_ones = shared.written(postings.select("token", "sig", "n", "pos", before.alias("prev"), F.lead("sig").over(posting).alias("next")).where("prev is not null or next is not null").drop("next"), "ngram-postings")
@@ -271,38 +288,54 @@ def ngram_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     need_sql = f"-floor(-{percent} * (n + prev.n) / {100 + percent}.0d)"
     near = shared_ones.where(f"prev is not null and 100 * prev.n >= {percent} * n and least(n - pos, prev.n - prev.pos) >= {need_sql}")
     pairs = near.select(F.least("sig", "prev.sig").alias("a"), F.greatest("sig", "prev.sig").alias("b")).distinct()
-    links = shared.written(_verified(pairs, nodes, texts, order, k, percent), "ngram-links")
+    links = shared.written(_verified(pairs, members, texts, levels, k, percent), "ngram-links")
     class_of = components(links)
 
     placed = shared_ones.join(class_of.select(F.col("node").alias("sig"), "component"), "sig", "left").select("token", "sig", "n", "pos", F.coalesce("component", "sig").alias("comp"))
     mixed = placed.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
-    open_ones = placed.join(mixed, "token", "left_semi").join(nodes.select("sig", "bits"), "sig")
+    open_ones = placed.join(mixed, "token", "left_semi").join(_one_each(members, "coarse"), "sig")
     sorted_ones = open_ones.repartition("token").sortWithinPartitions("token", "n", "sig")
     more = shared.written(sorted_ones.mapInArrow(_apart(percent), "a long, b long").distinct(), "ngram-pairs")
     if not more.isEmpty():
-        class_of = components(links.unionByName(_verified(more, nodes, texts, order, k, percent)))
+        class_of = components(links.unionByName(_verified(more, members, texts, levels, k, percent)))
 
     named = nodes.select("sig", "doc_id").join(class_of.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_sig = named.join(least, "component").select("sig", "component_id")
-    return members.join(of_sig, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return members.select("doc_id", "sig", "n").join(of_sig, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _one_each(members: DataFrame, *columns: str) -> DataFrame:
+    return members.where("sig is not null").groupBy("sig").agg(*(F.first(c).alias(c) for c in columns))
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, order, k: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, levels, k: int, percent: int) -> DataFrame:
     """The pairs (a, b of set names) that link.  Whole sets travel once to each block that needs them."""
-    bits = nodes.select("sig", "n", "bits")
-    both = pairs.join(bits.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa")), "a").join(bits.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb")), "b")
-    far = F.expr("aggregate(zip_with(xa, xb, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
-    left = shared.written(both.where(far <= F.expr(f"na + nb + 2 * floor(-{percent} * (na + nb) / {100 + percent}.0d)")).select("a", "b"), "ngram-candidates")
+    bits = _one_each(members, "n", "bits")
+    both = pairs.join(bits.toDF("a", "na", "xa"), "a").join(bits.toDF("b", "nb", "xb"), "b")
+    # Linked sets differ in size by less than two, so their bitmaps by one halving at most.
+    halved = "zip_with(slice({0}, 1, size({0}) div 2), slice({0}, size({0}) div 2 + 1, size({0}) div 2), (x, y) -> x ^ y)"
+    same = both.withColumn("x", F.expr(f"case when size(xa) > size(xb) then {halved.format('xa')} else xa end")).withColumn("y", F.expr(f"case when size(xb) > size(xa) then {halved.format('xb')} else xb end"))
+    far = F.expr("aggregate(zip_with(x, y, (p, q) -> bit_count(p ^ q)), 0, (s, d) -> s + d)")
+    left = shared.written(same.where(far <= F.expr(f"na + nb + 2 * floor(-{percent} * (na + nb) / {100 + percent}.0d)")).select("a", "b"), "ngram-candidates")
     n_blocks = max(1, -(-left.count() // PAIRS_PER_BLOCK))
     blocked = left.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(n_blocks)))
     wanted = blocked.select("block", F.explode(F.array("a", "b")).alias("sig")).distinct()
-    holders = nodes.join(wanted.select("sig").distinct(), "sig", "left_semi").select("doc_id").distinct()
-    sets = texts.join(holders, "doc_id", "left_semi").mapInArrow(_ordered(k, order, None), "sig long, n long, tokens array<long>")
+    holders = members.select("sig", "doc_id").join(wanted.select("sig").distinct(), "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    sets = texts.join(holders, "doc_id", "left_semi").mapInArrow(_whole_sets(k, levels), "sig long, tokens array<long>")
     carried = wanted.join(sets.groupBy("sig").agg(F.first("tokens").alias("tokens")), "sig").select("block", F.col("sig").alias("a"), F.lit(None).cast("long").alias("b"), "tokens")
     rows = carried.unionByName(blocked.select("block", "a", "b", F.lit(None).cast("array<long>").alias("tokens")))
     return rows.groupBy("block").applyInArrow(_check_block(percent), "a long, b long")
 
 
+def one_of_each_class(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """docs with the document of the smallest doc_id of every class; rows with a null doc_id stay.
+
+    Rows that repeat a doc_id are one document and stay or go together.
+    """
+    gone = ngram_classes(docs, k, percent).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_classes(shared.table(spark, sf_dir, "documents"))
