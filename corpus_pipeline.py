@@ -6,10 +6,10 @@ of documents.  The stages' results are written and read again by whoever runs th
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-
-from offerledger.llm import ngram_jaccard, quality_rules, shared
+from offerledger.llm import decontamination, ngram_jaccard, quality_rules, sentencepiece_agenda, shared, suffix_dedup
 
 
 def rule_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,9 +22,27 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return ngram_jaccard.one_of_each_class(docs)
 
 
+def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages of 50 words or more that occur earlier; the first place keeps them."""
+    return suffix_dedup.without_repeats(docs)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.decontaminated(docs, shared.table(spark, sf_dir, "benchmark"))
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids and of the decoded text of every remaining document."""
+    return sentencepiece_agenda.piece_codec(docs, public_tokenizers.path(sentencepiece_agenda.MODEL))
+
+
 STAGES = [
     ("quality_rules", rule_stage),
     ("ngram_jaccard", near_duplicate_stage),
+    ("suffix_dedup", passage_stage),
+    ("decontamination", benchmark_stage),
+    ("sentencepiece", encoding_stage),
 ]
 
 #: SQL can't express the trained classifier of the first stage.
@@ -32,6 +50,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over the documents of sf_dir."""
     docs = shared.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = shared.written(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -151,10 +151,15 @@ def scaled(rows: Rows, scale: np.ndarray | None) -> np.ndarray:
     return value * scale[rows.indices] if scale is not None else value
 
 
-def fit_logistic(rows: Rows, weight: np.ndarray, dims: int, penalty: float, scale: np.ndarray | None = None) -> np.ndarray:
-    """Weights (dims) and a bias (last) of an L2 logistic regression; weight: of each row."""
+def fit_logistic(rows: Rows, weight: np.ndarray, dims: int, penalty: float, scale: np.ndarray | None = None, min_rows: int = 1) -> np.ndarray:
+    """Weights (dims) and a bias (last) of an L2 logistic regression; weight: of each row.
+
+    Places found in fewer than min_rows rows get no weight.
+    """
     value, owner = scaled(rows, scale), np.repeat(np.arange(len(rows)), np.diff(rows.indptr))
-    used, column = np.unique(rows.indices, return_inverse=True)
+    common = np.bincount(rows.indices, minlength=dims) >= min_rows
+    kept, used = common[rows.indices], np.flatnonzero(common)
+    value, owner, column = value[kept], owner[kept], (np.cumsum(common) - 1)[rows.indices[kept]]
     weight = weight / max(weight.sum(), 1e-12)
 
     def loss(p: np.ndarray) -> tuple[float, np.ndarray]:

@@ -99,7 +99,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     fold = np.arange(len(rows)) % 5 == 4
     weight = learn.class_weights(rows, totals)
     train, held = np.flatnonzero(~fold), np.flatnonzero(fold)
-    w = learn.fit_logistic(rows.take(train), weight[train], 1 << BAG.bits, penalty=1e-4)
+    w = learn.fit_logistic(rows.take(train), weight[train], 1 << BAG.bits, penalty=1e-4, min_rows=3)
     a, b = learn.fit_platt(learn.margins(rows.take(held), w), rows.label[held], weight[held])
     return w.astype(np.float32), a, b
 

@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: query name: the module that holds it
 WHERE = {
+    "op1_license_scan": "license_scan",
     "op2_toxicity": "toxicity",
+    "op3_co_training": "co_training",
+    "op4_html_extraction": "html_extraction",
     "op5_benchmark_decontamination": "decontamination",
     "op6_sentencepiece_codec": "sentencepiece_agenda",
     "op7_suffix_array_dedup": "suffix_dedup",
     "op8_quality_rules": "quality_rules",
     "op9_ngram_jaccard_join": "ngram_jaccard",
+    "op10_orc_tokens": "orc_tokens",
 }
 
 

@@ -24,8 +24,10 @@ from offerledger.llm import kernel, learn, shared
 #: predicted is 1 from this score on
 TOXIC_FROM = 0.3
 #: the most labelled rows of each class that the classifier is fitted on
-SAMPLE_PER_CLASS = 1200
+SAMPLE_PER_CLASS = 1500
 SMOOTHING = 1.0
+#: n-grams of fewer sampled rows are not learnt
+MIN_ROWS = 5
 BAG = learn.Bag(chars=(2, 3, 4, 5), bits=20)
 
 
@@ -53,7 +55,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
         w[-1] = 35.0 if len(rows) and rows.label[0] == 1 else -35.0
         return w.astype(np.float32)
     ratios = log_count_ratios(rows, dims)
-    return learn.fit_logistic(rows, learn.class_weights(rows, totals), dims, penalty=1e-5, scale=ratios).astype(np.float32)
+    return learn.fit_logistic(rows, learn.class_weights(rows, totals), dims, penalty=1e-5, scale=ratios, min_rows=MIN_ROWS).astype(np.float32)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
