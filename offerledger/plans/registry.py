@@ -1,10 +1,454 @@
-"""Registered queries by name, and their SQL twins."""
+"""Registered queries by name, and their SQL twins for DuckDB."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from offerledger.functions import offers as O
+from offerledger.functions import text as T
+from offerledger.functions.similarity import scored_pairs
+from offerledger.operators import current as C
+from offerledger.operators import history as H
+from offerledger.operators import matching as M
+from offerledger.operators import pages as P
+from offerledger.operators import runs as R
+from offerledger.plans import derive as D
+from offerledger.sources import listing as L
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def registered(sql: str | None = None) -> Callable:
+    """Register a query under its function's name, with its SQL if there is one."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _d(c: str | Column) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("double")
+
+
+_CURRENT_SQL = f"""{D.HISTORY_SQL}, {D.ALIASES_SQL}, last_row as (
+  select * from obs qualify row_number() over (partition by alias, kind, coalesce(label, '') order by ts desc, ordinal desc) = 1),
+cur as (select l.*, a.merchant_id, a.provider_id, a.last_checked_at,
+               case when kind = 'purchase' and label is null then value end as effective_value
+        from last_row l join al a using (alias) where value is not null)"""
+
+
+def _current_all(s: SparkSession, d: str) -> DataFrame:
+    return C.offer_current_all(D.history(s, d), D.aliases(s, d))
+
+
+@registered(f"with {_CURRENT_SQL} select alias, kind, coalesce(label, '') as label, cast(value as double) as value, unit, merchant_id, ts as observed_at, last_checked_at from cur")
+def offer_current_all(s: SparkSession, d: str) -> DataFrame:
+    return _current_all(s, d).select("alias", "kind", F.coalesce("category_label", F.lit("")).alias("label"), _d("value").alias("value"), "unit", "merchant_id", "observed_at", "last_checked_at")
+
+
+@registered(f"with {_CURRENT_SQL} select alias, cast(value as double) as value, unit, merchant_id, provider_id, ts as observed_at from cur where kind = 'purchase' and label is null")
+def offer_current(s: SparkSession, d: str) -> DataFrame:
+    return C.offer_current(_current_all(s, d)).select("alias", _d("value").alias("value"), "unit", "merchant_id", F.col("provider_id").cast("long").alias("provider_id"), "observed_at")
+
+
+_COVERAGE_SQL = f"""{_CURRENT_SQL}, {D.MERCHANTS_SQL}, main as (
+  select merchant_id, count(distinct provider_id) as n_platforms, max(effective_value) as best_value,
+         max(effective_value) filter (unit = 'percent') as best_percent, max(effective_value) filter (unit = 'fixed_eur') as best_fixed_eur,
+         min(ts) as oldest_collected_at, min(last_checked_at) as oldest_checked_at
+  from cur where kind = 'purchase' and label is null group by merchant_id),
+every as (select merchant_id, count(*) as n_offers from cur group by merchant_id),
+cov as (select m.merchant_id, m.slug, coalesce(n_platforms, 0) as n_platforms, cast(best_value as double) as best_value,
+               cast(best_percent as double) as best_percent, cast(best_fixed_eur as double) as best_fixed_eur,
+               oldest_collected_at, oldest_checked_at, coalesce(n_offers, 0) as n_offers
+        from mer m left join main using (merchant_id) left join every using (merchant_id))"""
+
+
+def _coverage(s: SparkSession, d: str) -> DataFrame:
+    every = _current_all(s, d)
+    return C.merchant_coverage(D.merchants(s, d).select("merchant_id", "slug"), C.offer_current(every), every)
+
+
+@registered(f"with {_COVERAGE_SQL} select * from cov")
+def merchant_coverage(s: SparkSession, d: str) -> DataFrame:
+    return _coverage(s, d).select("merchant_id", "slug", "n_platforms", _d("best_value").alias("best_value"), _d("best_percent").alias("best_percent"), _d("best_fixed_eur").alias("best_fixed_eur"), "oldest_collected_at", "oldest_checked_at", "n_offers")
+
+
+@registered(f"with {_COVERAGE_SQL} select merchant_id, oldest_checked_at from cov where oldest_checked_at < timestamp '2024-02-01 12:00:00' - interval 48 hours")
+def stale_merchants(s: SparkSession, d: str) -> DataFrame:
+    return C.stale(_coverage(s, d), "2024-02-01 12:00:00").select("merchant_id", "oldest_checked_at")
+
+
+@registered(f"with {_CURRENT_SQL}, {D.MERCHANTS_SQL}, hit as (select distinct merchant_id from cur where merchant_id is not null) select m.merchant_id, m.is_published or h.merchant_id is not null as is_published, h.merchant_id is not null and not m.is_published as newly_published from mer m left join hit h using (merchant_id)")
+def publish(s: SparkSession, d: str) -> DataFrame:
+    return C.refresh(D.history(s, d), D.aliases(s, d), D.merchants(s, d))[2].select("merchant_id", "is_published", "newly_published")
+
+
+@registered("""with rate as (select l_partkey as alias, max(l_discount * 100) as v, case when l_partkey % 2 = 0 then 'percent' else 'fixed_eur' end as unit from lineitem group by l_partkey)
+select unit, alias, cast(v as double) as value, row_number() over (partition by unit order by v desc, alias) as rank from rate qualify rank <= 20""")
+def top_rates(s: SparkSession, d: str) -> DataFrame:
+    rates = D.table(s, d, "lineitem").groupBy(F.col("l_partkey").alias("alias")).agg(F.max(F.col("l_discount") * 100).alias("effective_value")).withColumn("unit", F.when(F.col("alias") % 2 == 0, "percent").otherwise("fixed_eur"))
+    return C.ranking(rates, 20).select("unit", "alias", F.col("effective_value").alias("value"), F.col("rank").cast("long").alias("rank"))
+
+
+_STEP = "floor(value / 40)"
+
+
+@registered(f"with {D.HISTORY_SQL}, st as (select *, {_STEP} as state from obs), seen as (select *, lag(state) over w as before, row_number() over w as n from st window w as (partition by alias, kind, label order by ts, ordinal)) select alias, kind, coalesce(label, '') as label, cast(state as double) as state, ordinal from seen where n = 1 or state is distinct from before")
+def write_on_change(s: SparkSession, d: str) -> DataFrame:
+    obs = D.history(s, d).withColumn("value", F.expr(_STEP).cast(T.MONEY)).drop("unit", "effective_value")
+    return H.write_on_change(obs).select("alias", "kind", F.coalesce("category_label", F.lit("")).alias("label"), _d("value").alias("state"), "ordinal")
+
+
+def _day_parts(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored rows before 20 January; pages read on the 20th (users of that day) and the keys seen then."""
+    h = D.history(s, d)
+    day = h.where(F.to_date("observed_at") == "2024-01-20")
+    return h.where(F.col("observed_at") < "2024-01-20"), day.select("alias", "observed_at"), day
+
+
+_CLOSE_SQL = f"""{D.HISTORY_SQL}, stored as (select * from obs where ts < timestamp '2024-01-20' qualify row_number() over (partition by alias, kind, coalesce(label, '') order by ts desc, ordinal desc) = 1),
+today as (select * from obs where cast(ts as date) = date '2024-01-20'),
+pages_read as (select alias, max(ts) as at from today group by alias)"""
+
+
+@registered(f"with {_CLOSE_SQL} select s.alias, s.kind, coalesce(s.label, '') as label, s.unit, p.at as observed_at from stored s join pages_read p using (alias) where s.value is not null and not exists (select 1 from today t where t.alias = s.alias and t.kind = s.kind and t.label is not distinct from s.label)")
+def close_missing(s: SparkSession, d: str) -> DataFrame:
+    stored, read, seen = _day_parts(s, d)
+    return H.closures(H.latest(stored), read, seen).select("alias", "kind", F.coalesce("category_label", F.lit("")).alias("label"), "unit", "observed_at")
+
+
+@registered(f"""with {_CLOSE_SQL}, line as (
+  select alias, kind, label, value, unit, timestamp '1970-01-01' as ts, cast(0 as bigint) as ordinal, false as fresh from stored union all select *, true from today),
+seen as (select *, lag(struct_pack(v := value, u := unit)) over w as before, row_number() over w as n from line window w as (partition by alias, kind, label order by fresh, ts, ordinal)),
+gone as (select s.alias, s.kind, s.label from stored s join pages_read p using (alias) where s.value is not null and not exists (select 1 from today t where t.alias = s.alias and t.kind = s.kind and t.label is not distinct from s.label))
+select alias, kind, coalesce(label, '') as label, cast(value as double) as value from seen where fresh and (n = 1 or struct_pack(v := value, u := unit) is distinct from before) union all select alias, kind, coalesce(label, ''), null from gone""")
+def collect_pass(s: SparkSession, d: str) -> DataFrame:
+    stored, read, seen = _day_parts(s, d)
+    return H.collect_pass(stored, seen, read).select("alias", "kind", F.coalesce("category_label", F.lit("")).alias("label"), _d("value").alias("value"))
+
+
+@registered(f"""with {D.HISTORY_SQL}, o as (select alias, kind, label, cast(ts as date) as day, ts, ordinal, coalesce(value, 1) as value, unit from obs),
+pages as (select alias, day, dense_rank() over (partition by alias order by day) as no from (select distinct alias, day from o)),
+keys as (select alias, kind, label, o.day, no, max(unit) as unit from o join pages p using (alias, day) group by all),
+ahead as (select *, lead(no) over (partition by alias, kind, label order by no) as next_no from keys)
+select a.alias, a.kind, coalesce(a.label, '') as label, a.unit, strftime(p.day, '%Y-%m-%d') as closed_on from ahead a join pages p on p.alias = a.alias and p.no = a.no + 1 where a.next_no is null or a.next_no > a.no + 1""")
+def backfill_closures(s: SparkSession, d: str) -> DataFrame:
+    obs = D.history(s, d).withColumn("value", F.coalesce("value", F.lit(1).cast(T.MONEY))).withColumn("pass_at", F.to_date("observed_at").cast("timestamp"))
+    rows = H.backfill(obs, obs.select("alias", "pass_at"))
+    return rows.where("value is null").select("alias", "kind", F.coalesce("category_label", F.lit("")).alias("label"), "unit", F.date_format("pass_at", "yyyy-MM-dd").alias("closed_on"))
+
+
+@registered(f"with {D.ALIASES_SQL}, pr as (select user_id as alias, max(ts) as seen_at from events where event_type = 'view' group by user_id) select alias, greatest(timestamp '2024-01-25', coalesce(seen_at, timestamp '2024-01-25')) as last_checked_at from al left join pr using (alias)")
+def touch_alias(s: SparkSession, d: str) -> DataFrame:
+    stored = D.aliases(s, d).withColumn("last_checked_at", F.lit("2024-01-25").cast("timestamp"))
+    read = D.history(s, d).where("kind = 'view'").select("alias", "observed_at")
+    return H.touch(stored, read).select("alias", "last_checked_at")
+
+
+def _stored_aliases(s: SparkSession, d: str) -> DataFrame:
+    return D.table(s, d, "customer").where("c_custkey % 3 <> 0").select(F.col("c_nationkey").alias("provider_id"), F.concat(F.lit("c-"), "c_custkey").alias("raw_slug"), F.col("c_name").alias("raw_name"), F.lit("old").alias("raw_url"), F.when(F.col("c_custkey") % 2 == 0, "kept.fr").alias("raw_domain"))
+
+
+@registered("""with old as (select c_nationkey as provider_id, 'c-' || c_custkey as raw_slug, c_name as raw_name, 'old' as raw_url, case when c_custkey % 2 = 0 then 'kept.fr' end as raw_domain from customer where c_custkey % 3 <> 0),
+new as (select c_nationkey as provider_id, 'c-' || c_custkey as raw_slug, c_mktsegment as raw_name, 'new' as raw_url, case when c_custkey % 7 = 0 then 'new.fr' end as raw_domain from customer where c_custkey % 5 <> 0)
+select coalesce(n.provider_id, o.provider_id) as provider_id, coalesce(n.raw_slug, o.raw_slug) as raw_slug, coalesce(n.raw_name, o.raw_name) as raw_name, coalesce(n.raw_url, o.raw_url) as raw_url, coalesce(n.raw_domain, o.raw_domain) as raw_domain from old o full join new n on o.provider_id = n.provider_id and o.raw_slug = n.raw_slug""")
+def alias_upsert(s: SparkSession, d: str) -> DataFrame:
+    new = D.table(s, d, "customer").where("c_custkey % 5 <> 0").select(F.col("c_nationkey").alias("provider_id"), F.concat(F.lit("c-"), "c_custkey").alias("raw_slug"), F.col("c_mktsegment").alias("raw_name"), F.lit("new").alias("raw_url"), F.when(F.col("c_custkey") % 7 == 0, "new.fr").alias("raw_domain"), F.col("c_custkey").alias("ordinal"))
+    return H.upsert_aliases(_stored_aliases(s, d), new)
+
+
+@registered("""select coalesce(n.slug, o.slug) as slug, coalesce(n.name, o.name) as name, coalesce(n.base_url, o.base_url) as base_url from (select 'p' || c_custkey as slug, c_name as name, 'old' as base_url from customer where c_custkey % 2 = 0) o full join (select 'p' || s_suppkey as slug, s_name as name, 'new' as base_url from supplier) n on n.slug = o.slug""")
+def provider_upsert(s: SparkSession, d: str) -> DataFrame:
+    old = D.table(s, d, "customer").where("c_custkey % 2 = 0").select(F.concat(F.lit("p"), "c_custkey").alias("slug"), F.col("c_name").alias("name"), F.lit("old").alias("base_url"))
+    new = D.table(s, d, "supplier").select(F.concat(F.lit("p"), "s_suppkey").alias("slug"), F.col("s_name").alias("name"), F.lit("new").alias("base_url"))
+    return H.upsert_providers(old, new)
+
+
+def _rate_texts(s: SparkSession, d: str) -> DataFrame:
+    """Sentences with a percentage, and a price with a comma, from line items."""
+    percent = F.round(F.col("l_discount") * 100).cast("int")
+    euros = F.concat((F.col("l_quantity").cast("int")).cast("string"), F.lit(",5"))
+    text = F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit("Jusqu'à "), percent, F.lit("% de remise, hors soldes"))).when(F.col("l_linenumber") % 3 == 1, F.concat(euros, F.lit(" € pour un nouveau client"))).otherwise(F.concat(percent, F.lit("%"), percent + 2, F.lit("% en bon d'achat")))
+    return D.table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", text.alias("text"))
+
+
+_TEXT_SQL = """txt as (select l_orderkey, l_linenumber, l_partkey, cast(round(l_discount * 100) as int) as p, cast(l_quantity as int) as e, l_linenumber % 3 as m from lineitem)"""
+
+
+@registered(f"with {_TEXT_SQL} select l_orderkey, l_linenumber, l_partkey, case when m = 2 then 2 else 1 end as n, cast(case when m = 1 then e + 0.5 else p end as double) as first_value, case when m = 1 then 'fixed_eur' else 'percent' end as first_unit from txt")
+def extract_amounts(s: SparkSession, d: str) -> DataFrame:
+    found = _rate_texts(s, d).withColumn("a", T.extract_amounts(F.col("text")))
+    return found.select("l_orderkey", "l_linenumber", "l_partkey", F.size("a").alias("n"), _d(F.col("a")[0]["value"]).alias("first_value"), F.col("a")[0]["unit"].alias("first_unit"))
+
+
+@registered(f"with {_TEXT_SQL} select l_orderkey, l_linenumber, l_partkey, cast(case m when 0 then p when 1 then e + 0.5 else p + 2 end as double) as value, cast(case when m = 2 then p end as double) as value_base, case when m = 1 then 'fixed_eur' else 'percent' end as unit, case when m = 2 then 'giftcard' else 'purchase' end as kind, m = 0 as is_upto, m = 1 as is_new_customer_only, case when m = 0 then true end as is_sale_excluded, cast(case when m = 0 then p end as double) as effective_value from txt")
+def normalize_offer(s: SparkSession, d: str) -> DataFrame:
+    o = _rate_texts(s, d).withColumn("o", O.offer_from_text(F.col("text")))
+    return o.select("l_orderkey", "l_linenumber", "l_partkey", _d("o.value").alias("value"), _d("o.value_base").alias("value_base"), "o.unit", "o.kind", "o.is_upto", "o.is_new_customer_only", "o.is_sale_excluded", _d("o.effective_value").alias("effective_value"))
+
+
+@registered("""with u as (select page_id, url, split_part(split_part(regexp_replace(lower(trim(url)), '^https?://', ''), '/', 1), ':', 1) as host from pages), r as (select page_id, url, regexp_replace(host, '^www\\.', '') as root from u),
+l as (select *, string_split(root, '.') as p from r)
+select page_id, root, case when len(p) >= 2 then case when len(p) >= 3 and p[-2] in ('co', 'com', 'org', 'net', 'gouv') and len(p[-1]) = 2 then array_to_string(p[-3:], '.') else array_to_string(p[-2:], '.') end end as key,
+  regexp_replace(regexp_replace(lower(strip_accents(url)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') as slug from l""")
+def slug_name_domain(s: SparkSession, d: str) -> DataFrame:
+    url = F.col("url")
+    return D.table(s, d, "pages").select("page_id", T.domain_root(url).alias("root"), T.domain_key(url).alias("key"), T.slugify(url).alias("slug"))
+
+
+@registered("""with t as (select p_partkey, string_split(regexp_replace(regexp_replace(lower(p_name || ' Boutique ' || p_brand || ' en ligne'), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), '-') as w from part)
+select p_partkey, array_to_string(list_filter(w, lambda x: x not in ('fr','france','com','www','shop','store','boutique','officiel','official','en','ligne','online','site')), ' ') as name,
+ array_to_string(list_filter(w, lambda x: x not in ('fr','france','com','www','shop','store','boutique','officiel','official','en','ligne','online','site')), '') as compact from t""")
+def normalized_names(s: SparkSession, d: str) -> DataFrame:
+    raw = F.concat_ws(" ", F.col("p_name"), F.lit("Boutique"), F.col("p_brand"), F.lit("en ligne"))
+    return D.parts(s, d).select("p_partkey", T.normalize_name(raw).alias("name"), T.compact(raw).alias("compact"))
+
+
+_STATUS_SQL = "case when errors_count = 0 then 'ok' when offers_found > 0 then 'partial' else 'failed' end"
+
+
+@registered(f"with {D.RUNS_SQL} select run_id, provider_id, urls_fetched, errors_count, offers_found, {_STATUS_SQL} as status from run")
+def run_status(s: SparkSession, d: str) -> DataFrame:
+    return D.runs(s, d).select("run_id", "provider_id", "urls_fetched", "errors_count", "offers_found", R.status(F.col("errors_count"), F.col("offers_found")).alias("status"))
+
+
+@registered(f"""with {D.RUNS_SQL}, st as (select *, {_STATUS_SQL} as status from run),
+prev as (select r.*, (select max_by(o.offers_found, struct_pack(f := o.finished_at, r := o.run_id)) from st o where o.provider_id = r.provider_id and o.status = 'ok' and o.finished_at <= r.started_at) as previous from st r),
+dr as (select *, case when previous > 0 then abs(offers_found - previous) / previous end as drift from prev)
+select run_id, previous, round(drift, 6) as drift, coalesce(drift > 0.2, false) as is_drift,
+ nullif(concat_ws(' ; ', case when drift > 0.2 then 'offers ' || previous || ' -> ' || offers_found end, case when pages_empty > 0 then pages_empty || ' pages without offers' end), '') as notes from dr""")
+def run_drift(s: SparkSession, d: str) -> DataFrame:
+    runs = D.runs(s, d).withColumn("status", R.status(F.col("errors_count"), F.col("offers_found")))
+    return R.drift(R.previous_offers(runs)).select("run_id", "previous", F.round("drift", 6).alias("drift"), "is_drift", "notes")
+
+
+@registered(f"with {D.RUNS_SQL} select run_id, 'platform-' || provider_id as slug, started_at, offers_found from run order by started_at desc, run_id desc limit 15")
+def latest_runs(s: SparkSession, d: str) -> DataFrame:
+    runs = D.runs(s, d)
+    providers = runs.select("provider_id").distinct().withColumn("slug", F.concat(F.lit("platform-"), "provider_id"))
+    return R.latest_runs(runs, providers).select("run_id", "slug", "started_at", "offers_found")
+
+
+@registered("""with pg as (select user_id * 100 + day(ts) as run_id, count(*) as urls_fetched, count(*) filter (event_type = 'error') as errors_count, count(*) filter (event_type = 'view') as pages_empty, count(*) filter (event_type = 'purchase') as offers_found, count(*) filter (event_type = 'signup') as offers_written from events group by 1) select * from pg""")
+def run_totals(s: SparkSession, d: str) -> DataFrame:
+    e = D.table(s, d, "events").withColumn("run_id", F.col("user_id") * 100 + F.dayofmonth("ts"))
+    pages = e.select("run_id", F.when(F.col("event_type") == "error", "e").alias("error"), F.when(F.col("event_type") != "view", 1).otherwise(0).alias("n_offers"))
+    return R.totals(pages, e.where("event_type = 'purchase'"), e.where("event_type = 'signup'"))
+
+
+@registered(f"with {D.ALIASES_SQL}, {D.MERCHANTS_SQL} select m.merchant_id, count(distinct a.provider_id) as n_platforms, coalesce(min(a.provider_id), -1) as first_platform from mer m left join al a using (merchant_id) group by m.merchant_id")
+def known_merchants(s: SparkSession, d: str) -> DataFrame:
+    k = M.known_merchants(D.merchants(s, d), D.aliases(s, d))
+    return k.select("merchant_id", F.size("provider_ids").cast("long").alias("n_platforms"), F.coalesce(F.try_element_at("provider_ids", F.lit(1)), F.lit(-1)).cast("long").alias("first_platform"))
+
+
+@registered("select c_custkey as alias from customer c where c_custkey % 3 <> 0 and exists (select 1 from orders o where o.o_custkey = c.c_custkey)")
+def unmatched_aliases(s: SparkSession, d: str) -> DataFrame:
+    aliases = D.table(s, d, "customer").select(F.col("c_custkey").alias("alias"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey")).alias("merchant_id"))
+    return M.unmatched_aliases(aliases, D.table(s, d, "orders").select(F.col("o_custkey").alias("alias"))).select("alias")
+
+
+@registered("select distinct o_custkey as alias_id from orders where o_custkey not in (select c_custkey from customer where c_custkey % 4 = 0)")
+def review_once(s: SparkSession, d: str) -> DataFrame:
+    new = M.review_items(D.table(s, d, "orders").select(F.col("o_custkey").alias("alias_id"), F.lit(None).cast("string").alias("reason")).distinct(), "match", "alias_id", "reason")
+    queue = M.review_items(D.table(s, d, "customer").where("c_custkey % 4 = 0").select(F.col("c_custkey").alias("alias_id")), "match", "alias_id")
+    return M.queue_once(new, queue).select(F.get_json_object("payload", "$.alias_id").cast("long").alias("alias_id"))
+
+
+def _shop_aliases(s: SparkSession, d: str) -> DataFrame:
+    key = F.col("c_custkey")
+    return D.table(s, d, "customer").select(key.alias("alias"), F.col("c_nationkey").alias("provider_id"), F.concat(F.lit("c-"), key).alias("raw_slug"), F.col("c_name").alias("raw_name"), F.concat(F.lit("https://www.shop"), key % 150, F.lit(".fr/fr/home")).alias("raw_domain"))
+
+
+@registered(f"""with {D.ALIASES_SQL}, {D.MERCHANTS_SQL}, lk as (select merchant_id, list(distinct provider_id) as ps from al where merchant_id is not null group by 1)
+select c_custkey as alias, m.merchant_id, case when list_contains(coalesce(ps, []), c_nationkey) then 'review' else 'link' end as action from customer join mer m on m.canonical_domain = 'shop' || (c_custkey % 150) || '.fr' left join lk using (merchant_id)""")
+def match_domain(s: SparkSession, d: str) -> DataFrame:
+    return M.match_by_domain(_shop_aliases(s, d), M.known_merchants(D.merchants(s, d), D.aliases(s, d)))
+
+
+def _part_merchants(s: SparkSession, d: str) -> DataFrame:
+    """One merchant per distinct part name."""
+    return D.parts(s, d).groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("merchant_id")).select("merchant_id", "name", T.slugify(F.col("name")).alias("slug"), F.lit(None).cast("string").alias("canonical_domain"), F.array(F.lit(0)).alias("provider_ids"))
+
+
+def _part_aliases(s: SparkSession, d: str) -> DataFrame:
+    """Part names with one change by part key, as a platform would write them."""
+    key = F.col("p_partkey")
+    name = F.when(key % 4 == 0, F.concat(F.col("p_name"), F.lit(" FR"))).when(key % 4 == 1, F.concat(F.col("p_name"), F.lit("s"))).when(key % 4 == 2, F.concat(F.lit("le "), "p_name")).otherwise(F.concat_ws(" ", "p_name", "p_type"))
+    return D.parts(s, d).select((key + 1).alias("alias"), (key % 3).cast("int").alias("provider_id"), name.alias("raw_name"), F.when(key % 9 == 0, F.concat(F.lit("www.s"), key % 45, F.lit(".fr"))).alias("raw_domain"))
+
+
+@registered()
+def name_similarity(s: SparkSession, d: str) -> DataFrame:
+    """Every pair of a written and a known name with a ratio of 0.75 or more."""
+    left = _part_aliases(s, d).select(T.normalize_name(F.col("raw_name")).alias("name"))
+    right = _part_merchants(s, d).select(T.normalize_name(F.col("name")).alias("name"))
+    return scored_pairs(left, right, M.REVIEW).select("l", "r", F.round("score", 9).alias("score"))
+
+
+@registered()
+def best_match(s: SparkSession, d: str) -> DataFrame:
+    return M.best_match(_part_aliases(s, d).select(F.col("raw_name").alias("name")), _part_merchants(s, d))
+
+
+@registered()
+def match_decisions(s: SparkSession, d: str) -> DataFrame:
+    return M.decide(_part_aliases(s, d), _part_merchants(s, d))
+
+
+@registered()
+def resolve_aliases(s: SparkSession, d: str) -> DataFrame:
+    return M.resolve_aliases(_part_aliases(s, d), _part_merchants(s, d))
+
+
+@registered()
+def match_counts(s: SparkSession, d: str) -> DataFrame:
+    return R.counts_by(M.decide(_part_aliases(s, d), _part_merchants(s, d)), "action")
+
+
+@registered("""with w as (select p_partkey, regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g') as base, row_number() over (partition by p_name order by p_partkey) as turn from part),
+taken as (select distinct regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g') as base from part where p_partkey % 2 = 0)
+select p_partkey, case when turn + (t.base is not null)::int = 1 then w.base else w.base || '-' || (turn + (t.base is not null)::int) end as slug from w left join taken t using (base)""")
+def unique_slug(s: SparkSession, d: str) -> DataFrame:
+    parts = D.parts(s, d)
+    taken = parts.where("p_partkey % 2 = 0").select(T.slugify(F.col("p_name")).alias("slug"))
+    return M.allocate_slugs(parts.select("p_partkey", F.col("p_name").alias("name")), taken, "p_partkey").select("p_partkey", "slug")
+
+
+@registered(f"with {D.MERCHANTS_SQL} select slug, name, priority from mer where priority in ('P1', 'P2')")
+def targets(s: SparkSession, d: str) -> DataFrame:
+    return M.targets(D.merchants(s, d), 2).select("slug", "name", "priority")
+
+
+@registered(f"with {D.MERCHANTS_SQL}, {D.ALIASES_SQL} select distinct provider_id, raw_slug from al join mer using (merchant_id) where priority in ('P1', 'P2')")
+def aliases_of_targets(s: SparkSession, d: str) -> DataFrame:
+    return M.aliases_of_targets(D.aliases(s, d), M.targets(D.merchants(s, d), 2)).select(F.col("provider_id").cast("long").alias("provider_id"), "raw_slug")
+
+
+def _part_listing(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    listing = D.parts(s, d).select(F.col("p_partkey").alias("ordinal"), F.lit(0).alias("provider_id"), F.concat(F.lit("pp-"), "p_partkey").alias("raw_slug"), F.concat_ws(" ", F.upper("p_name"), F.lit("Shop")).alias("raw_name"))
+    wanted = D.parts(s, d).where("p_size < 10").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("merchant_id")).select("merchant_id", "name", T.slugify(F.col("name")).alias("slug"), F.lit("P1").alias("priority"))
+    return listing, wanted
+
+
+@registered("select p_partkey as ordinal, replace(p_name, ' ', '-') as target from part where p_name in (select p_name from part where p_size < 10)")
+def wanted_exact(s: SparkSession, d: str) -> DataFrame:
+    return M.wanted_exact(*_part_listing(s, d))
+
+
+@registered("select p_partkey as ordinal, 'pp-' || p_partkey as raw_slug from part where p_name in (select p_name from part where p_size < 10) or p_partkey % 10 = 0")
+def cut_listing(s: SparkSession, d: str) -> DataFrame:
+    listing, wanted = _part_listing(s, d)
+    linked = listing.where("ordinal % 10 = 0").select("provider_id", "raw_slug")
+    return M.cut_listing(listing, linked, M.wanted_exact(listing, wanted)).select("ordinal", "raw_slug")
+
+
+@registered("select p_partkey as ordinal, 'pp-' || p_partkey as raw_slug, (select count(*) from part) as n_listed from part order by p_partkey limit 20")
+def listing_preview(s: SparkSession, d: str) -> DataFrame:
+    listing = _part_listing(s, d)[0].withColumn("provider", F.lit("a"))
+    return R.listing_preview(listing, 20).select("ordinal", "raw_slug", "n_listed")
+
+
+def _seed(s: SparkSession, d: str) -> DataFrame:
+    """Rows as they stand in a seed file: customers 0-149 of each table meet the suppliers' slugs and domains."""
+    key = F.col("c_custkey")
+    return L.seed_rows(D.table(s, d, "customer").select(key.alias("ordinal"), F.when(key % 13 != 0, F.concat(F.lit(" M "), key)).alias("Slug"), F.col("c_name").alias("Marchand"), F.when(key % 2 == 0, F.concat(F.lit("https://www.shop"), key, F.lit(".fr/x"))).alias("Domaine"), F.col("c_mktsegment").alias("Categorie"), F.concat(F.lit("p"), (key % 5).cast("int")).alias("Prio"), F.concat(F.lit("1 "), F.lpad((key % 1000).cast("string"), 3, "0")).alias("Volume")))
+
+
+_SEED_SQL = """seed as (select c_custkey as ordinal, 'm-' || c_custkey as slug, c_name as name, case when c_custkey % 2 = 0 then 'shop' || c_custkey || '.fr' end as domain, c_mktsegment as category, case when c_custkey % 5 between 1 and 3 then 'P' || (c_custkey % 5) end as priority, 1000 + c_custkey % 1000 as search_volume from customer where c_custkey % 13 <> 0)"""
+
+
+@registered(f"with {_SEED_SQL} select ordinal, slug, name, domain, category, priority, search_volume from seed")
+def seed_rows(s: SparkSession, d: str) -> DataFrame:
+    return _seed(s, d).select("ordinal", "slug", "name", "domain", "category", "priority", F.col("search_volume").cast("long").alias("search_volume"))
+
+
+@registered(f"""with {_SEED_SQL}, {D.MERCHANTS_SQL}, f as (select s.*, coalesce(d.merchant_id, t.merchant_id) as mid from seed s left join mer d on d.canonical_domain = s.domain left join mer t on t.slug = s.slug)
+select m.slug, case when f.mid is not null then f.name else m.name end as name, coalesce(m.canonical_domain, f.domain) as canonical_domain, case when f.mid is not null then f.category else m.category end as category, case when f.mid is not null then f.priority else m.priority end as priority, coalesce(f.search_volume, m.search_volume) as search_volume, m.is_published, case when f.mid is not null then 'updated' else 'kept' end as change from mer m left join f on f.mid = m.merchant_id
+union all select slug, name, domain, category, priority, search_volume, false, 'created' from f where mid is null""")
+def seed_upsert(s: SparkSession, d: str) -> DataFrame:
+    return M.seed_merchants(D.merchants(s, d), _seed(s, d)).select("slug", "name", "canonical_domain", "category", "priority", F.col("search_volume").cast("long").alias("search_volume"), "is_published", "change")
+
+
+@registered(f"with {_SEED_SQL} select coalesce(priority, 'none') as priority, count(*) as n from seed group by 1")
+def seed_counts(s: SparkSession, d: str) -> DataFrame:
+    return R.counts_by(_seed(s, d).withColumn("priority", F.coalesce("priority", F.lit("none"))), "priority")
+
+
+def _maps(s: SparkSession, d: str) -> DataFrame:
+    """Sitemaps written from parts: a document of 100 entries or so each."""
+    slug = F.replace("p_name", F.lit(" "), F.lit("-"))
+    a = F.concat(F.lit("<url><loc> https://a.example/code-promo/"), slug, F.lit("-"), F.col("p_partkey"), F.lit(" </loc><lastmod>2024-01-01</lastmod></url><url><loc>https://a.example/other/x</loc></url>"))
+    b = F.concat(F.lit("<url><loc>https://b.example/reduction-"), slug, F.lit("-"), F.col("p_partkey"), F.lit("</loc></url>"))
+    docs = D.parts(s, d).groupBy((F.col("p_partkey") % 20).alias("k")).agg(F.concat_ws("", F.collect_list(a)).alias("a"), F.concat_ws("", F.collect_list(b)).alias("b"))
+    return docs.select(F.concat(F.lit("<urlset>"), "a", "b", F.lit("</urlset>")).alias("xml"))
+
+
+@registered("""select 'a' as provider, replace(p_name, ' ', '-') || '-' || p_partkey as raw_slug, 'https://a.example/code-promo/' || replace(p_name, ' ', '-') || '-' || p_partkey as raw_url, '2024-01-01' as lastmod from part
+union all select 'b', replace(p_name, ' ', '-') || '-' || p_partkey, 'https://b.example/reduction-' || replace(p_name, ' ', '-') || '-' || p_partkey, null from part""")
+def sitemap(s: SparkSession, d: str) -> DataFrame:
+    entries = L.sitemap_entries(_maps(s, d))
+    return L.listing_a(entries).unionByName(L.listing_b(entries)).select("provider", "raw_slug", "raw_url", "lastmod")
+
+
+def _pages(s: SparkSession, d: str) -> DataFrame:
+    """Merchant pages of both layouts written from parts: rate = size mod 9 + 1 %, every 5th boosted."""
+    p, key = D.parts(s, d), F.col("p_partkey")
+    rate = (F.col("p_size") % 9 + 1).cast("int")
+    body = F.to_json(F.struct(F.lit("t").alias("metaTitle"), F.lit("r").alias("routeName"), F.col("p_name").alias("name"), F.concat(F.lit("http://www.m"), key, F.lit(".fr/x")).alias("url"), (key % 6 != 0).alias("isCashback"), (key % 4 == 0).alias("isVoucher"), (key % 5 == 0).alias("cashbackIsIncrease"), rate.alias("cashbackRate"), F.lit(1).alias("cashbackType"), F.concat(rate, F.lit("%")).alias("cashbackValue"), F.lit("0,5%").alias("cashbackBeforeIncreaseValue"), F.lit(3).alias("voucherCashbackRate"), F.struct(F.array(F.struct(F.concat(rate, F.lit("%")).alias("value"), F.array(F.lit("Nouveaux clients"), F.col("p_type")).alias("descriptions")), F.struct(F.lit("12 €").alias("value"), F.array(F.lit("Marketplace")).alias("descriptions"))).alias("dynamic")).alias("cashbackDescription")))
+    state = F.to_json(F.map_from_arrays(F.array(F.lit("__nghData__"), F.concat(F.lit("k"), key)), F.array(F.struct(F.lit("x").alias("b")), F.struct(body.alias("b")))))
+    html_a = F.when(key % 10 == 3, F.lit("<html>gone</html>")).otherwise(F.concat(F.lit('<script id="ng-state" type="application/json">'), state, F.lit("</script>")))
+    number = key + 1
+    shop = F.to_json(F.struct(number.alias("id"), F.col("p_name").alias("name"), (key % 7 != 0).alias("active"), F.struct(F.struct(rate.alias("amount"), F.lit("%").alias("currency"), (key % 5 == 0).alias("instead"), F.lit("0,5%").alias("insteadAmount")).alias("online"), F.struct(F.lit(2).alias("amount"), F.lit("%").alias("currency")).alias("ebon")).alias("channel")))
+    phrases = F.to_json(F.array(F.concat(rate, F.lit("% remboursés sur tout.")), F.lit("12€ remboursés au lieu de 8€ pour un nouveau client")))
+    payload = F.concat(F.lit('{"id":0,"channel":{"online":{}}},{"id":'), number + 1000000, F.lit(',"channel":{}},'), shop, F.lit(',"discounts":'), phrases)
+    quoted = lambda c: F.regexp_extract(F.to_json(F.struct(c.alias("x"))), r"(?s)^\{\"x\":(.*)\}$", 1)
+    half = (F.length(payload) / 2).cast("int")
+    chunk = lambda c: F.concat(F.lit("self.__next_f.push([1,"), quoted(c), F.lit("])"))
+    html_b = F.concat(F.lit("<script>"), chunk(F.substring(payload, F.lit(1), half)), F.lit("</script><script>"), chunk(F.substring(payload, half + 1, F.length(payload))), F.lit("</script>"))
+    page = lambda provider, url, html: p.select(F.lit(provider).alias("provider"), key.alias("page"), url.alias("url"), html.alias("html"))
+    return page("a", F.concat(F.lit("https://a.example/code-promo/x-"), key), html_a).unionByName(page("b", F.concat(F.lit("https://b.example/reduction-x-"), number), html_b))
+
+
+def _offers_of(s: SparkSession, d: str, provider: str, parse: Callable) -> DataFrame:
+    rows = P.observations(parse(_pages(s, d).where(F.col("provider") == provider)))
+    return rows.select("page", "ordinal", _d("value").alias("value"), _d("value_base").alias("value_base"), "unit", "kind", F.coalesce("category_label", F.lit("")).alias("label"), "is_upto", "is_new_customer_only", _d("effective_value").alias("effective_value"))
+
+
+_RATE_SQL = "pt as (select p_partkey as page, p_size % 9 + 1 as rate, p_type from part)"
+
+
+@registered(f"""with {_RATE_SQL}, ok as (select * from pt where page % 10 <> 3)
+select page, 0 as ordinal, cast(rate as double) as value, case when page % 5 = 0 then 0.5 end as value_base, 'percent' as unit, 'purchase' as kind, '' as label, true as is_upto, true as is_new_customer_only, cast(null as double) as effective_value from ok where page % 6 <> 0
+union all select page, 1, rate, null, 'percent', 'category', 'Nouveaux clients — ' || p_type, false, true, null from ok where page % 6 <> 0
+union all select page, 2, 12, null, 'fixed_eur', 'category', 'Marketplace', false, false, null from ok where page % 6 <> 0
+union all select page, case when page % 6 <> 0 then 3 else 0 end, 3, null, 'percent', 'giftcard', '', false, false, null from ok where page % 4 = 0""")
+def parse_page_a(s: SparkSession, d: str) -> DataFrame:
+    return _offers_of(s, d, "a", P.parse_a)
+
+
+@registered(f"""with {_RATE_SQL}, ok as (select * from pt where page % 7 <> 0)
+select page, 0 as ordinal, cast(rate as double) as value, case when page % 5 = 0 then 0.5 end as value_base, 'percent' as unit, 'purchase' as kind, '' as label, true as is_upto, false as is_new_customer_only, cast(rate as double) as effective_value from ok
+union all select page, 1, rate, null, 'percent', 'category', 'sur tout', false, false, null from ok
+union all select page, 2, 12, null, 'fixed_eur', 'category', 'pour un nouveau client', false, true, null from ok
+union all select page, 3, 2, null, 'percent', 'giftcard', '', false, false, null from ok""")
+def parse_page_b(s: SparkSession, d: str) -> DataFrame:
+    return _offers_of(s, d, "b", P.parse_b)
+
+
+@registered("""select 'parse_error' as kind, 'https://a.example/code-promo/x-' || p_partkey as url from part where p_partkey % 10 = 3""")
+def page_failures(s: SparkSession, d: str) -> DataFrame:
+    return P.page_failures(P.parse_pages(_pages(s, d))).select("kind", F.get_json_object("payload", "$.url").alias("url"))
+
+
+@registered("""select 'a' as provider, p_partkey as page, case when p_partkey % 10 <> 3 then p_name end as page_name, case when p_partkey % 10 <> 3 then 'm' || p_partkey || '.fr' end as domain from part union all select 'b', p_partkey, p_name, null from part""")
+def page_details(s: SparkSession, d: str) -> DataFrame:
+    return P.parse_pages(_pages(s, d)).select("provider", "page", "page_name", T.domain_key(F.col("page_domain")).alias("domain"))
