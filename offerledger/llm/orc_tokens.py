@@ -115,7 +115,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
     A filter on doc_id reaches the files (stripes and row groups are skipped), as does a selection of columns.
     """
-    number = F.regexp_extract(F.input_file_name(), r"part-(\d+)-[^/]*$", 1).cast("long")
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)-", 1).cast("long")
     return spark.read.schema(SCHEMA).orc(folder).withColumn("file", number)
 
 
