@@ -427,7 +427,7 @@ _RATE_SQL = "pt as (select p_partkey as page, p_size % 9 + 1 as rate, p_type fro
 
 
 @registered(f"""with {_RATE_SQL}, ok as (select * from pt where page % 10 <> 3)
-select page, 0 as ordinal, cast(rate as double) as value, case when page % 5 = 0 then 0.5 end as value_base, 'percent' as unit, 'purchase' as kind, '' as label, true as is_upto, true as is_new_customer_only, cast(null as double) as effective_value from ok where page % 6 <> 0
+select page, cast(0 as bigint) as ordinal, cast(rate as double) as value, case when page % 5 = 0 then cast(0.5 as double) end as value_base, 'percent' as unit, 'purchase' as kind, '' as label, true as is_upto, true as is_new_customer_only, cast(null as double) as effective_value from ok where page % 6 <> 0
 union all select page, 1, rate, null, 'percent', 'category', 'Nouveaux clients — ' || p_type, false, true, null from ok where page % 6 <> 0
 union all select page, 2, 12, null, 'fixed_eur', 'category', 'Marketplace', false, false, null from ok where page % 6 <> 0
 union all select page, case when page % 6 <> 0 then 3 else 0 end, 3, null, 'percent', 'giftcard', '', false, false, null from ok where page % 4 = 0""")
@@ -436,7 +436,7 @@ def parse_page_a(s: SparkSession, d: str) -> DataFrame:
 
 
 @registered(f"""with {_RATE_SQL}, ok as (select * from pt where page % 7 <> 0)
-select page, 0 as ordinal, cast(rate as double) as value, case when page % 5 = 0 then 0.5 end as value_base, 'percent' as unit, 'purchase' as kind, '' as label, true as is_upto, false as is_new_customer_only, cast(rate as double) as effective_value from ok
+select page, cast(0 as bigint) as ordinal, cast(rate as double) as value, case when page % 5 = 0 then cast(0.5 as double) end as value_base, 'percent' as unit, 'purchase' as kind, '' as label, true as is_upto, false as is_new_customer_only, cast(rate as double) as effective_value from ok
 union all select page, 1, rate, null, 'percent', 'category', 'sur tout', false, false, null from ok
 union all select page, 2, 12, null, 'fixed_eur', 'category', 'pour un nouveau client', false, true, null from ok
 union all select page, 3, 2, null, 'percent', 'giftcard', '', false, false, null from ok""")
