@@ -11,9 +11,10 @@ How links are found, none lost and no group expanded to all its pairs:
    the rest is its hash.  Two linked sets share a shingle among the first n - ceil(0.85 n) + 1 of
    both, so only these prefixes are shuffled.
 3. Postings of a shingle are ordered by set size.  First only neighbours in a posting become
-   candidates, linear in the postings; verified links give components.  Then only pairs of
-   *different* components that share a prefix shingle are candidates, cut by the size, position and
-   bitmap bounds (each exact: they never drop a link).
+   candidates; verified links give components.  Then, for MERGE_ROUNDS rounds, each component's
+   closest pair with another component in a posting does.  All this is linear in the postings.
+   At last every pair of *different* components that share a prefix shingle is a candidate, cut by
+   the size, position and bitmap bounds (each exact: they never drop a link).
 4. Candidates are verified on whole sets.  The partners of a document are stored in a prefix tree of
    their ordered sets; one traversal shares the overlap of common beginnings and prunes subtrees
    whose remaining length can't reach the needed overlap.
@@ -45,7 +46,10 @@ MAX_FREQUENT = 65_536
 FREQUENT_IN_TASK = 64
 #: parity bitmaps have a power of two of bits, at least this and half the set's size
 BITS = 512
+#: bits of the bitmaps that travel with postings
+COARSE = 1024
 PAIRS_PER_BLOCK = 3000
+MERGE_ROUNDS = 2
 _LEVEL_AT = np.uint64(57)
 
 
@@ -196,7 +200,7 @@ def _scan(k: int, percent: int, levels):
                 n = np.array([len(s) for s in sets], np.int64)
                 names = pa.array([signature(s) if len(s) else None for s in sets], pa.int64())
                 prefix = [s[: len(s) + 1 + (-percent * len(s)) // 100] if len(s) else s for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), names, pa.array(n), _lists([parity_bits(s) for s in sets]), _lists([parity_bits(s, 256) for s in sets]), _lists(prefix)], ["doc_id", "sig", "n", "bits", "coarse", "prefix"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), names, pa.array(n), _lists([parity_bits(s) for s in sets]), _lists([parity_bits(s, COARSE) for s in sets]), _lists(prefix)], ["doc_id", "sig", "n", "bits", "coarse", "prefix"])
 
     return work
 
@@ -211,10 +215,14 @@ def _whole_sets(k: int, levels):
     return work
 
 
-def _apart(percent: int):
-    """Candidates of different components out of rows sorted by token and size: pairs that pass every bound."""
+def _apart(percent: int, nearest: bool):
+    """Candidates of different components out of rows sorted by token and size: pairs that pass every bound.
 
-    def of_posting(sig, n, pos, comp, bits) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    nearest: of each posting only the closest such pair of each component, by the bitmaps.
+    """
+
+    def of_posting(sig, n, pos, comp, bits) -> tuple[np.ndarray, np.ndarray]:
+        found = []
         for begin in range(0, len(sig), 256):
             end = min(begin + 256, len(sig))
             low = int(np.searchsorted(n, -(-percent * n[begin] // 100)))
@@ -223,15 +231,27 @@ def _apart(percent: int):
             able &= np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need(n[i], n[j], percent)
             x, y = np.nonzero(able)
             x, y = x + begin, y + low
-            far = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64) if len(x) else np.zeros(0, np.int64)
-            near = far <= n[x] + n[y] - 2 * need(n[x], n[y], percent)
-            yield sig[x[near]], sig[y[near]]
+            for k in range(0, len(x), 100_000):
+                p, q = x[k : k + 100_000], y[k : k + 100_000]
+                far = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64)
+                spare = n[p] + n[q] - 2 * need(n[p], n[q], percent) - far
+                found.append((p[spare >= 0], q[spare >= 0], spare[spare >= 0]))
+        if not found:
+            return sig[:0], sig[:0]
+        x, y, spare = (np.concatenate(c) for c in zip(*found, strict=True))
+        if nearest and len(x):
+            owner, pair = np.concatenate([comp[x], comp[y]]), np.tile(np.arange(len(x)), 2)
+            order = np.lexsort((pair, -spare[pair], owner))
+            first = np.r_[True, owner[order][1:] != owner[order][:-1]]
+            keep = np.unique(pair[order[first]])
+            x, y = x[keep], y[keep]
+        return sig[x], sig[y]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
             cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "sig", "n", "pos", "comp")]
-            cols.append(np.asarray(batch.column("coarse").flatten()).reshape(-1, 4))
+            cols.append(np.asarray(batch.column("coarse").flatten()).reshape(-1, COARSE // 64))
             if held:
                 cols = [np.concatenate([h, c]) for h, c in zip(held, cols, strict=True)]
             cuts = np.r_[0, np.flatnonzero(np.diff(cols[0])) + 1, len(cols[0])]
@@ -243,8 +263,8 @@ def _apart(percent: int):
     def pairs(cols: list[np.ndarray], cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
         found: set[tuple[int, int]] = set()
         for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-            for x, y in of_posting(*(c[low:high] for c in cols[1:])):
-                found.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True))
+            x, y = of_posting(*(c[low:high] for c in cols[1:]))
+            found.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True))
         if found:
             a, b = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -291,13 +311,21 @@ def ngram_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     links = shared.written(_verified(pairs, members, texts, levels, k, percent), "ngram-links")
     class_of = components(links)
 
-    placed = shared_ones.join(class_of.select(F.col("node").alias("sig"), "component"), "sig", "left").select("token", "sig", "n", "pos", F.coalesce("component", "sig").alias("comp"))
-    mixed = placed.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
-    open_ones = placed.join(mixed, "token", "left_semi").join(_one_each(members, "coarse"), "sig")
-    sorted_ones = open_ones.repartition("token").sortWithinPartitions("token", "n", "sig")
-    more = shared.written(sorted_ones.mapInArrow(_apart(percent), "a long, b long").distinct(), "ngram-pairs")
-    if not more.isEmpty():
-        class_of = components(links.unionByName(_verified(more, members, texts, levels, k, percent)))
+    coarse = _one_each(members, "coarse")
+
+    def candidates(class_of: DataFrame, nearest: bool) -> DataFrame:
+        placed = shared_ones.join(class_of.select(F.col("node").alias("sig"), "component"), "sig", "left").select("token", "sig", "n", "pos", F.coalesce("component", "sig").alias("comp"))
+        mixed = placed.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
+        open_ones = placed.join(mixed, "token", "left_semi").join(coarse, "sig")
+        sorted_ones = open_ones.repartition("token").sortWithinPartitions("token", "n", "sig")
+        return shared.written(sorted_ones.mapInArrow(_apart(percent, nearest), "a long, b long").distinct(), "ngram-pairs")
+
+    for nearest in [True] * MERGE_ROUNDS + [False]:
+        more = candidates(class_of, nearest)
+        found = shared.written(_verified(more, members, texts, levels, k, percent), "ngram-links")
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            class_of = components(links)
 
     named = nodes.select("sig", "doc_id").join(class_of.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
