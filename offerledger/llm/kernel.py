@@ -137,6 +137,16 @@ def window_hashes(hashes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndar
     return mix64((sums[end] - sums[:n]) * down[:n] + _U(k)), whole
 
 
+def segment_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte runs that begin at starts and end at the next start (or the end)."""
+    if not len(starts):
+        return np.zeros(0, _U)
+    up, down = _power_tables(len(data) + 1)
+    sums = np.add.reduceat(_BYTE[data] * up[: len(data)], starts)
+    sizes = np.diff(np.r_[starts, len(data)])
+    return mix64(sums * down[starts] + sizes.astype(_U))
+
+
 def code_points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all rows as uint32, and the offsets of the rows in them."""
     data, offsets = utf8(column)

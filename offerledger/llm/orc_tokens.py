@@ -6,9 +6,10 @@ files; within a file, stripes are read in parallel, and row indexes and Bloom fi
 readers skip stripes and row groups.  `start`, the number of ids before a document, comes from the
 files themselves: each row holds the number of ids before it in its file, and files have totals.
 
-Each run of blanks with what follows it up to the next is a unit of its own to the library's
-pre-tokenizer (it never joins across the begin of such a run), so a worker encodes a unit once and
-remembers its ids.
+Encoding cuts texts where the library's pre-tokenizer always does: before a run of ASCII white space, and
+between an ASCII letter and ASCII punctuation (but the apostrophe).  Each distinct unit is encoded once
+per worker by the library and remembered under a 64-bit hash.  Texts with other white space or with a
+special token's string go to the library whole.
 
 Cases: null and empty texts are END_ID alone; documents that repeat a doc_id follow each other in an
 order given by their text; rows with a null doc_id come first; an empty table gives no files' rows and
@@ -17,11 +18,9 @@ an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -35,12 +34,55 @@ from offerledger.llm import kernel, shared
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 #: units remembered by a worker; the memory is emptied when full
-REMEMBERED = 500_000
+REMEMBERED = 3_000_000
+#: units handed to the library at once
+AT_ONCE = 1000
 STRIPE_BYTES = 16 << 20
 ROW_GROUP = 10_000
 SCHEMA = "doc_id long, place long, n_tokens long, ids array<int>"
-#: white space of the pre-tokenizer's \\s
-_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
+_PUNCTUATION = np.array([33 <= b < 127 and not chr(b).isalnum() and b != 39 for b in range(256)])
+
+
+class Memory:
+    """Ids of units by hash: sorted arrays, with a small recent part that joins the rest when it has grown."""
+
+    def __init__(self):
+        self.parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))] * 2
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def __len__(self) -> int:
+        return sum(len(h) for h, _, _ in self.parts)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin (-1: not known) and number of the ids of each hash."""
+        begin, size = np.full(len(hashes), -1), np.zeros(len(hashes), np.int64)
+        for known, at, n in self.parts:
+            if len(known):
+                place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                same = known[place] == hashes
+                begin[same], size[same] = at[place[same]], n[place[same]]
+        return begin, size
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.int32)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        begin = self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+        rest, recent = self.parts
+        recent = self._joined(recent, (hashes, begin, sizes))
+        if len(recent[0]) > 20_000 + len(rest[0]) // 8:
+            rest, recent = self._joined(rest, recent), tuple(x[:0] for x in recent)
+        self.parts = [rest, recent]
+
+    @staticmethod
+    def _joined(a: tuple, b: tuple) -> tuple:
+        both = [np.concatenate(x) for x in zip(a, b, strict=True)]
+        order = np.argsort(both[0], kind="stable")
+        return tuple(x[order] for x in both)
 
 
 class Encoder:
@@ -48,21 +90,61 @@ class Encoder:
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.units = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-        # Special tokens are found across units, so texts with one go to the library whole.
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
-        cut = [[] if i in whole else self.units.findall(t) for i, t in enumerate(texts)]
-        new = list({u for units in cut for u in units if u not in known})
-        for u, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[u] = tuple(found.ids)
-        return [self.library.encode(texts[i], add_special_tokens=False).ids if i in whole else list(chain.from_iterable(map(known.__getitem__, units))) for i, units in enumerate(cut)]
+        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        self.memory = Memory()
+
+    def whole_rows(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Rows with white space beyond ASCII, or with the string of a special token."""
+        at = []
+        if len(data) and data.max() >= 128:
+            a, b, c = data[:-2], data[1:-1], data[2:]
+            two = (data[:-1] == 0xC2) & ((data[1:] == 0x85) | (data[1:] == 0xA0))
+            three = ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80)) | ((a == 0xE2) & (((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) | ((b == 0x81) & (c == 0x9F))))
+            at = [np.flatnonzero(two), np.flatnonzero(three)]
+        raw = data.tobytes()
+        for word in self.special:
+            place = raw.find(word)
+            while place >= 0:
+                at.append(np.array([place]))
+                place = raw.find(word, place + 1)
+        places = np.concatenate(at) if at else np.zeros(0, np.int64)
+        return np.unique(np.searchsorted(offsets, places, side="right") - 1)
+
+    def encode(self, column: pa.Array) -> list[np.ndarray]:
+        """Ids of each row."""
+        data, offsets = kernel.utf8(column)
+        n = len(offsets) - 1
+        if not len(data):
+            return [np.zeros(0, np.int32)] * n
+        blank, letter, sign = _BLANK[data], _LETTER[data], _PUNCTUATION[data]
+        cut = np.zeros(len(data) + 1, bool)
+        cut[offsets] = True
+        cut[1:-1] |= (blank[1:] & ~blank[:-1]) | (letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])
+        starts = np.flatnonzero(cut[:-1])
+        distinct, first, unit = np.unique(kernel.segment_hashes(data, starts), return_index=True, return_inverse=True)
+        if len(self.memory) > REMEMBERED:
+            self.memory = Memory()
+        begin, size = self.memory.find(distinct)
+        if len(new := np.flatnonzero(begin < 0)):
+            ends = np.r_[starts[1:], len(data)]
+            strings = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
+            ids, sizes = [], []
+            for k in range(0, len(strings), AT_ONCE):
+                some = strings[k : k + AT_ONCE]
+                found = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
+                ids.append(np.array(found.ids, np.int32))
+                sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+            self.memory.add(distinct[new], np.concatenate(ids), np.concatenate(sizes))
+            begin, size = self.memory.find(distinct)
+        sizes = size[unit]
+        total = np.cumsum(sizes)
+        at = np.repeat(begin[unit] - (total - sizes), sizes) + np.arange(int(total[-1]))
+        before = np.r_[0, total][np.searchsorted(starts, offsets)]
+        flat = self.memory.flat[at]
+        rows = [flat[a:b] for a, b in zip(before[:-1], before[1:], strict=True)]
+        for row in self.whole_rows(data, offsets):
+            rows[row] = np.array(self.library.encode(data[offsets[row] : offsets[row + 1]].tobytes().decode("utf-8", "replace"), add_special_tokens=False).ids, np.int32)
+        return rows
 
 
 _encoders: dict[str, Encoder] = {}
@@ -85,8 +167,9 @@ def encoded(texts: DataFrame, path: str) -> DataFrame:
         encoder, before = encoder_of(path), 0
         for whole in batches:
             for batch in kernel.slices(whole):
-                ids = [np.array([*x, END_ID], np.int32) for x in encoder.encode(batch.column("text").to_pylist())]
-                sizes = np.array([len(x) for x in ids], np.int64)
+                end = np.array([END_ID], np.int32)
+                ids = [x for row in encoder.encode(batch.column("text")) for x in (row, end)]
+                sizes = np.array([len(x) + 1 for x in ids[::2]], np.int64)
                 place = before + np.cumsum(sizes) - sizes
                 before += int(sizes.sum())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(place), pa.array(sizes), kernel.list_array(np.concatenate(ids), sizes)], ["doc_id", "place", "n_tokens", "ids"])

@@ -6,6 +6,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import sentencepiece
 from tokenizers import Tokenizer
@@ -108,9 +109,11 @@ def test_orc_files_skip_and_hold_odd_rows(spark, tmp_path):
 def test_units_equal_the_library():
     encoder = orc_tokens.Encoder(public_tokenizers.path(orc_tokens.VOCABULARY))
     r = np.random.default_rng(1)
-    alphabet = list(" \t\n\r\x0b\x1c\x85\xa0　​ab'é日1!#") + ["<|endoftext|>", "'s", "  "]
+    alphabet = list(" \t\n\r\x0b\x1c\x85\xa0　​ab'é日1!#.-") + ["<|endoftext|>", "'s", "  "]
     texts = ["".join(r.choice(alphabet, 30)) for _ in range(600)]
-    assert encoder.encode(texts) == [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
+    texts += ["it's 'quoted' don't!x \"'s.y\" a-b_c 12%x 3.5e é.x…y don't-'ll", "", "\x00\x1f a", "a  b", "   "]
+    for part in (texts, texts[::-1]):
+        assert [x.tolist() for x in encoder.encode(pa.array(part))] == [encoder.library.encode(t, add_special_tokens=False).ids for t in part]
 
 
 def test_html_of_the_sample(spark):
