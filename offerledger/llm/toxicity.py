@@ -24,7 +24,7 @@ from offerledger.llm import kernel, learn, shared
 #: predicted is 1 from this score on
 TOXIC_FROM = 0.3
 #: the most labelled rows of each class that the classifier is fitted on
-SAMPLE_PER_CLASS = 1500
+SAMPLE_PER_CLASS = 1000
 SMOOTHING = 1.0
 #: n-grams of fewer sampled rows are not learnt
 MIN_ROWS = 5
