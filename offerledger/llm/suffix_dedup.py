@@ -14,7 +14,7 @@ Copies of whole documents are one suffix source with a count.  Keys that are fre
 (a bounded list, broadcast) are known to repeat without being shuffled by key.
 
 Cases: null, empty and short texts (under MATCH words) have no repeated words; overlapping repeats
-within one document count; rows that repeat a doc_id with the same text are copies like any other;
+within one document count; rows that repeat a doc_id with the same text are one document and stay or lose words together;
 rows with a null doc_id are left out; an empty table gives an empty result; other columns are not
 looked at.
 """
@@ -35,6 +35,8 @@ KEY = 25
 #: keys found this often in one task count as frequent; at most MAX_FREQUENT of them are broadcast
 FREQUENT_IN_TASK = 64
 MAX_FREQUENT = 50_000
+#: kinds of places of a run in its document: the first of several, and one after the first
+MORE, LATER = 1, 2
 SPANS = "array<struct<start:int,end:int>>"
 
 
@@ -59,6 +61,16 @@ def minimisers(words: kernel.Words, match: int, key: int) -> tuple[np.ndarray, n
     return value, runs, at[runs]
 
 
+def signatures(words: kernel.Words) -> np.ndarray:
+    """A 64-bit number of each row's whole word sequence."""
+    n = len(words.hashes)
+    up, down = kernel._power_tables(n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(words.hashes * up[:n], out=sums[1:])
+    begin, end = words.rows[:-1], words.rows[1:]
+    return kernel.as_long(kernel.mix64((sums[end] - sums[begin]) * down[begin] + words.counts.astype(np.uint64)))
+
+
 def _suffixes(match: int, key: int):
     """A row per document (its signature, and the keys and places of its kept suffixes), and rows of frequent keys."""
 
@@ -71,12 +83,8 @@ def _suffixes(match: int, key: int):
                 value, _, at = minimisers(words, match, key)
                 at = np.unique(at)
                 per_row = np.diff(np.searchsorted(at, words.rows))
-                whole_hash = np.zeros(len(words.hashes) + 1, np.uint64)
-                up, down = kernel._power_tables(len(words.hashes) + 1)
-                np.cumsum(words.hashes * up[: len(words.hashes)], out=whole_hash[1:])
-                sig = kernel.mix64((whole_hash[words.rows[1:]] - whole_hash[words.rows[:-1]]) * down[words.rows[:-1]] + words.counts.astype(np.uint64))
                 place = at - np.repeat(words.rows[:-1], per_row)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(kernel.as_long(sig)), pa.array(words.counts.astype(np.int32)), kernel.list_array(kernel.as_long(value[at]), per_row), kernel.list_array(place.astype(np.int32), per_row), pa.nulls(len(per_row), pa.int64())], names)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(signatures(words)), pa.array(words.counts.astype(np.int32)), kernel.list_array(kernel.as_long(value[at]), per_row), kernel.list_array(place.astype(np.int32), per_row), pa.nulls(len(per_row), pa.int64())], names)
                 seen, times = np.unique(value[at], return_counts=True)
                 keys, counts = np.concatenate([keys, seen[times > 1]]), np.concatenate([counts, times[times > 1]])
         distinct, back = np.unique(keys, return_inverse=True)
@@ -95,13 +103,26 @@ def _runs(match: int, key: int):
             for batch in kernel.slices(whole):
                 words = kernel.Words(batch.column("text"), kernel.WHITE, lower=False)
                 _, starts, at = minimisers(words, match, key)
+                # Only the rows of the text the places are of (a doc_id may repeat with another text).
+                mine = signatures(words) == batch.column("sig").to_numpy()
                 places = batch.column("places")
                 wanted = np.zeros(len(words.starts), bool)
-                wanted[np.asarray(places.flatten()) + np.repeat(words.rows[:-1], np.asarray(places.value_lengths()))] = True
+                sizes = np.asarray(places.value_lengths())
+                wanted[(np.asarray(places.flatten()) + np.repeat(words.rows[:-1], sizes))[np.repeat(mine, sizes)]] = True
                 starts = starts[wanted[at]]
                 value = words.grams(match)[0][starts]
+                row = np.searchsorted(words.rows, starts, side="right") - 1
+                order = np.lexsort((starts, value, row))
+                v, r = value[order], row[order]
+                same = (v[1:] == v[:-1]) & (r[1:] == r[:-1])
+                kind = np.zeros(len(starts), np.int32)
+                kind[order[np.r_[same, np.zeros(min(len(v), 1), bool)]]] = MORE
+                later = order[1:][same]
+                kind[later] = LATER
+                # A later place of the same document needs no neighbour: it gets a number of its own.
+                value[later] = kernel.mix64(value[later] + kernel.mix64(later.astype(np.uint64) + starts[later].astype(np.uint64) * np.uint64(0x9E3779B1)))
                 per_row = np.diff(np.searchsorted(starts, words.rows))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), kernel.list_array(kernel.as_long(value), per_row), kernel.list_array((starts - np.repeat(words.rows[:-1], per_row)).astype(np.int32), per_row)], ["doc_id", "runs", "starts"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("sig"), kernel.list_array(kernel.as_long(value), per_row), kernel.list_array((starts - np.repeat(words.rows[:-1], per_row)).astype(np.int32), per_row), kernel.list_array(kind, per_row)], ["doc_id", "sig", "runs", "starts", "kinds"])
 
     return work
 
@@ -127,7 +148,7 @@ def _spans(match: int):
                 repeated.append(spans_of(start[order], match))
                 removed.append(spans_of(start[order][~is_first[order]], match))
                 sources.append(np.unique(first[first != doc]).tolist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(repeated, kind), pa.array(removed, kind), pa.array(sources, pa.list_(pa.int64()))], ["doc_id", "repeated", "removed", "first_docs"])
+            yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(repeated, kind), pa.array(removed, kind), pa.array(sources, pa.list_(pa.int64()))], ["sig", "repeated", "removed", "first_docs"])
 
     return work
 
@@ -138,35 +159,43 @@ def repeated_passages(docs: DataFrame, match: int = MATCH, key: int = KEY) -> Da
     doc_id, n_words, n_repeated and n_removed (words), repeated and removed (word spans, end
     excluded), first_docs (the other documents that hold the first place of its repeated runs).
     """
+    return _passages(docs, match, key).drop("sig")
+
+
+def _passages(docs: DataFrame, match: int, key: int) -> DataFrame:
     texts = shared.keyed_texts(docs).where("doc_id is not null")
     listed = shared.written(texts.mapInArrow(_suffixes(match, key), "doc_id long, sig long, n_words int, keys array<long>, places array<int>, key long"), "suffixes")
     frequent = F.broadcast(listed.where("key is not null").groupBy("key").count().orderBy(F.desc("count"), "key").limit(MAX_FREQUENT).select("key", F.lit(True).alias("known")))
     members = listed.where("key is null").select("doc_id", "sig", "n_words").where(F.col("n_words") >= match)
     # The lists of a class of copies are equal, so any one goes with its smallest doc_id.
-    classes = listed.where("key is null").where(F.col("n_words") >= match).groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first("places").alias("places"))
-    suffixes = classes.select("doc_id", F.explode(F.arrays_zip("keys", "places")).alias("s")).select(F.col("s.keys").alias("key"), "doc_id", F.col("s.places").alias("place")).join(frequent, "key", "left")
+    classes = listed.where("key is null").where(F.col("n_words") >= match).groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.first("places").alias("places"))
+    suffixes = classes.select("doc_id", "sig", F.explode(F.arrays_zip("keys", "places")).alias("s")).select(F.col("s.keys").alias("key"), "doc_id", "sig", F.col("s.places").alias("place")).join(frequent, "key", "left")
     by_key = Window.partitionBy("key").orderBy("doc_id", "place")
-    rare = suffixes.where("known is null").select("doc_id", "place", F.lag("place").over(by_key).alias("p"), F.lead("place").over(by_key).alias("q")).where("p is not null or q is not null").select("doc_id", "place")
-    seeds = rare.unionByName(suffixes.where("known").select("doc_id", "place")).groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-
-    runs = texts.join(seeds, "doc_id").mapInArrow(_runs(match, key), "doc_id long, runs array<long>, starts array<int>")
-    each = runs.select("doc_id", F.explode(F.arrays_zip("runs", "starts")).alias("r")).select(F.col("r.runs").alias("run"), "doc_id", F.col("r.starts").alias("start"))
-    by_run = Window.partitionBy("run").orderBy("doc_id", "start")
-    before, after = F.lag("doc_id").over(by_run), F.lead("doc_id").over(by_run)
-    again = each.select("doc_id", "start", before.alias("p"), after.alias("q"), F.first("doc_id").over(by_run).alias("first_doc")).where("p is not null or q is not null")
-    found = again.groupBy("doc_id").agg(F.collect_list(F.struct("start", F.col("p").isNull().alias("is_first"), "first_doc")).alias("found"))
-    spans = found.mapInArrow(_spans(match), f"doc_id long, repeated {SPANS}, removed {SPANS}, first_docs array<long>")
+    rare = suffixes.where("known is null").select("doc_id", "sig", "place", F.lag("place").over(by_key).alias("p"), F.lead("place").over(by_key).alias("q")).where("p is not null or q is not null").select("doc_id", "sig", "place")
+    seeds = rare.unionByName(suffixes.where("known").select("doc_id", "sig", "place")).groupBy("doc_id", "sig").agg(F.collect_list("place").alias("places"))
+
+    runs = texts.join(seeds, "doc_id").mapInArrow(_runs(match, key), "doc_id long, sig long, runs array<long>, starts array<int>, kinds array<int>")
+    each = runs.select("doc_id", "sig", F.explode(F.arrays_zip("runs", "starts", "kinds")).alias("r")).select(F.col("r.runs").alias("run"), "doc_id", "sig", F.col("r.starts").alias("start"), F.col("r.kinds").alias("kind"))
+    # A run repeats if a place of it differs from the first (rows of one place twice are one place).
+    by_run = Window.partitionBy("run").orderBy("doc_id", "sig", "start")
+    place = F.struct("doc_id", "sig", "start")
+    first = F.first(place).over(by_run)
+    last = F.last(place).over(by_run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    again = each.select("doc_id", "sig", "start", "kind", first.alias("first"), last.alias("last")).where("first <> last or kind <> 0")
+    is_first = (F.struct("doc_id", "sig", "start") == F.col("first")) & (F.col("kind") != LATER)
+    found = again.groupBy("sig", "doc_id").agg(F.collect_list(F.struct("start", is_first.alias("is_first"), F.col("first.doc_id").alias("first_doc"))).alias("found"))
+    spans = found.mapInArrow(_spans(match), f"sig long, repeated {SPANS}, removed {SPANS}, first_docs array<long>")
 
     heads = members.groupBy("sig").agg(F.min("doc_id").alias("head"), F.count("*").alias("copies"))
-    placed = members.join(heads, "sig").join(spans.withColumnRenamed("doc_id", "head"), "head", "left")
+    placed = members.join(heads, "sig").join(spans, "sig", "left")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").alias("end"))).cast(SPANS)
     is_head, none = F.col("doc_id") == F.col("head"), F.array().cast(SPANS)
     repeated = F.when(F.col("copies") > 1, whole).otherwise(F.coalesce("repeated", none))
     removed = F.when(~is_head, whole).otherwise(F.coalesce("removed", none))
     sources = F.when(is_head, F.coalesce("first_docs", F.array().cast("array<long>"))).otherwise(F.array("head"))
     words = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
-    out = placed.select("doc_id", F.col("n_words").cast("long").alias("n_words"), repeated.alias("repeated"), removed.alias("removed"), sources.alias("first_docs"))
-    return out.where(F.size("repeated") > 0).select("doc_id", "n_words", words("repeated").alias("n_repeated"), words("removed").alias("n_removed"), "repeated", "removed", "first_docs")
+    out = placed.select("doc_id", "sig", F.col("n_words").cast("long").alias("n_words"), repeated.alias("repeated"), removed.alias("removed"), sources.alias("first_docs"))
+    return out.where(F.size("repeated") > 0).select("doc_id", "sig", "n_words", words("repeated").alias("n_repeated"), words("removed").alias("n_removed"), "repeated", "removed", "first_docs")
 
 
 def without_repeats(docs: DataFrame, match: int = MATCH, key: int = KEY) -> DataFrame:
@@ -174,7 +203,7 @@ def without_repeats(docs: DataFrame, match: int = MATCH, key: int = KEY) -> Data
 
     Rows with a null doc_id stay as they are; so do texts without removable words.
     """
-    spans = repeated_passages(docs, match, key).where("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("removed").alias("_cut")).dropDuplicates(["_id"])
+    spans = _passages(docs, match, key).where("n_removed > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct("sig", "removed")).alias("_cut"))
     joined = docs.join(spans, F.col("doc_id") == F.col("_id"), "left").drop("_id")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,11 +211,12 @@ def without_repeats(docs: DataFrame, match: int = MATCH, key: int = KEY) -> Data
             cuts, text = batch.column("_cut"), batch.column("text")
             kept, new = np.ones(len(batch), bool), []
             for i in range(len(batch)):
-                spans = cuts[i].as_py()
-                if not spans:
+                told = cuts[i].as_py()
+                if not told:
                     new.append(text[i].as_py())
                     continue
-                words = kernel.Words(text.slice(i, 1), kernel.WHITE, lower=False, hashed=False)
+                words = kernel.Words(text.slice(i, 1), kernel.WHITE, lower=False)
+                spans = next((t["removed"] for t in told if t["sig"] == signatures(words)[0]), [])
                 raw, begin = words.data.tobytes(), np.r_[words.starts, len(words.data)]
                 pieces, at = [], 0
                 for s in spans:
