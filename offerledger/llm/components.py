@@ -2,8 +2,9 @@
 
 Each step keeps the components and points nodes at smaller neighbours, so the number of rounds
 grows with the logarithm of the largest component.  A first step contracts the edges of every
-partition to stars with a local union-find, which bounds rows by nodes.  Links are never gathered:
-all state is an edge table, cut with checkpoint() once a round.
+partition to stars with a local union-find, which bounds rows by nodes.  Links are never gathered
+on the driver: all state is an edge table, cut with checkpoint() once a round.  A table that has
+become small (ONE_TASK edges, 4 MB) is finished by one task instead of by rounds of shuffles.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from offerledger.llm import shared
 
 MAX_ROUNDS = 60
+ONE_TASK = 250_000
 
 
 def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -47,7 +49,7 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["u", "v"])
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", one_task: int = ONE_TASK) -> DataFrame:
     """node, component (the smallest node reachable) of every node on an edge.
 
     A pair of equal ends or with a null end adds nothing; repeated edges are harmless; no edges
@@ -60,6 +62,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     stars = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u is not null and v is not null and u <> v").mapInArrow(_contract, "u long, v long").checkpoint()
     was = None
     for _ in range(MAX_ROUNDS):
+        if stars.count() <= one_task:
+            stars = stars.coalesce(1).mapInArrow(_contract, "u long, v long").checkpoint()
+            break
         both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # Large star: every larger neighbour of u now points at the smallest of u and its neighbours.

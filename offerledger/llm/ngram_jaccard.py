@@ -320,12 +320,14 @@ def ngram_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
         sorted_ones = open_ones.repartition("token").sortWithinPartitions("token", "n", "sig")
         return shared.written(sorted_ones.mapInArrow(_apart(percent, nearest), "a long, b long").distinct(), "ngram-pairs")
 
-    for nearest in [True] * MERGE_ROUNDS + [False]:
-        more = candidates(class_of, nearest)
-        found = shared.written(_verified(more, members, texts, levels, k, percent), "ngram-links")
-        if not found.isEmpty():
+    merging = MERGE_ROUNDS
+    while merging >= 0:
+        found = shared.written(_verified(candidates(class_of, nearest=merging > 0), members, texts, levels, k, percent), "ngram-links")
+        new = not found.isEmpty()
+        if new:
             links = links.unionByName(found)
             class_of = components(links)
+        merging = merging - 1 if new or merging == 0 else 0  # nothing near any more: all pairs
 
     named = nodes.select("sig", "doc_id").join(class_of.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))

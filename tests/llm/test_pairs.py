@@ -78,8 +78,9 @@ def test_prefix_tree():
 
 def test_components(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000 + i, 1000) for i in range(1, 50)] + [(5, 5), (None, 3)]
-    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {i: 0 for i in range(201)} | {1000 + i: 1000 for i in range(50)}
+    for one_task in (0, 1000):
+        got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long"), one_task=one_task).collect()}
+        assert got == {i: 0 for i in range(201)} | {1000 + i: 1000 for i in range(50)}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
