@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from offerledger.llm import kernel, shared
+from offerledger.llm import kernel, shared, units
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
@@ -46,52 +46,13 @@ _LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
 _PUNCTUATION = np.array([33 <= b < 127 and not chr(b).isalnum() and b != 39 for b in range(256)])
 
 
-class Memory:
-    """Ids of units by hash: sorted arrays, with a small recent part that joins the rest when it has grown."""
-
-    def __init__(self):
-        self.parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))] * 2
-        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
-
-    def __len__(self) -> int:
-        return sum(len(h) for h, _, _ in self.parts)
-
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Begin (-1: not known) and number of the ids of each hash."""
-        begin, size = np.full(len(hashes), -1), np.zeros(len(hashes), np.int64)
-        for known, at, n in self.parts:
-            if len(known):
-                place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                same = known[place] == hashes
-                begin[same], size[same] = at[place[same]], n[place[same]]
-        return begin, size
-
-    def add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.int32)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        begin = self.used + np.cumsum(sizes) - sizes
-        self.used += len(ids)
-        rest, recent = self.parts
-        recent = self._joined(recent, (hashes, begin, sizes))
-        if len(recent[0]) > 20_000 + len(rest[0]) // 8:
-            rest, recent = self._joined(rest, recent), tuple(x[:0] for x in recent)
-        self.parts = [rest, recent]
-
-    @staticmethod
-    def _joined(a: tuple, b: tuple) -> tuple:
-        both = [np.concatenate(x) for x in zip(a, b, strict=True)]
-        order = np.argsort(both[0], kind="stable")
-        return tuple(x[order] for x in both)
-
-
 class Encoder:
     """The library's tokenizer, asked once for each unit."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
-        self.memory = Memory()
+        self.memory = units.Memory()
 
     def whole_rows(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Rows with white space beyond ASCII, or with the string of a special token."""
@@ -110,6 +71,16 @@ class Encoder:
         places = np.concatenate(at) if at else np.zeros(0, np.int64)
         return np.unique(np.searchsorted(offsets, places, side="right") - 1)
 
+    def ask(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units, one after another, and how many each has."""
+        ids, sizes = [], []
+        for k in range(0, len(strings), AT_ONCE):
+            some = strings[k : k + AT_ONCE]
+            found = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(found.ids, np.int32))
+            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+        return np.concatenate(ids), np.concatenate(sizes)
+
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """Ids of each row."""
         data, offsets = kernel.utf8(column)
@@ -120,28 +91,9 @@ class Encoder:
         cut = np.zeros(len(data) + 1, bool)
         cut[offsets] = True
         cut[1:-1] |= (blank[1:] & ~blank[:-1]) | (letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])
-        starts = np.flatnonzero(cut[:-1])
-        distinct, first, unit = np.unique(kernel.segment_hashes(data, starts), return_index=True, return_inverse=True)
         if len(self.memory) > REMEMBERED:
-            self.memory = Memory()
-        begin, size = self.memory.find(distinct)
-        if len(new := np.flatnonzero(begin < 0)):
-            ends = np.r_[starts[1:], len(data)]
-            strings = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
-            ids, sizes = [], []
-            for k in range(0, len(strings), AT_ONCE):
-                some = strings[k : k + AT_ONCE]
-                found = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
-                ids.append(np.array(found.ids, np.int32))
-                sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
-            self.memory.add(distinct[new], np.concatenate(ids), np.concatenate(sizes))
-            begin, size = self.memory.find(distinct)
-        sizes = size[unit]
-        total = np.cumsum(sizes)
-        at = np.repeat(begin[unit] - (total - sizes), sizes) + np.arange(int(total[-1]))
-        before = np.r_[0, total][np.searchsorted(starts, offsets)]
-        flat = self.memory.flat[at]
-        rows = [flat[a:b] for a, b in zip(before[:-1], before[1:], strict=True)]
+            self.memory = units.Memory()
+        rows = units.rows_of_units(self.memory, data, np.flatnonzero(cut[:-1]), offsets, self.ask)
         for row in self.whole_rows(data, offsets):
             rows[row] = np.array(self.library.encode(data[offsets[row] : offsets[row + 1]].tobytes().decode("utf-8", "replace"), add_special_tokens=False).ids, np.int32)
         return rows

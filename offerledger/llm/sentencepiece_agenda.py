@@ -5,7 +5,7 @@ highest score is merged first (the leftmost of equal scores), its new neighbours
 stale entries are skipped.  Symbols that are in no piece fall back to their UTF-8 bytes.  No piece
 holds a blank sign after another character, and none a line break (both tested when the model is
 loaded), so merges never cross those places and every unit between them is encoded once per worker
-and remembered.  Each Arrow batch's new units are checked against the sentencepiece library, which
+and remembered under a 64-bit hash.  Each Arrow batch's new units are checked against the sentencepiece library, which
 also decodes; a difference raises an error.
 
 Cases: null and empty texts encode to the begin and end ids alone and decode to ''; rows with a null
@@ -26,12 +26,12 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from offerledger.llm import kernel, shared
+from offerledger.llm import kernel, shared, units
 
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 #: units remembered by a worker; the memory is emptied when full
-REMEMBERED = 500_000
+REMEMBERED = 2_000_000
 
 
 class Model:
@@ -49,8 +49,7 @@ class Model:
             raise ValueError("pieces cross word or line ends: this vocabulary can't be encoded by units")
         if sp.encode("a", out_type=str) != [f"{BLANK}a"]:
             raise ValueError("only models that put a blank before the text are supported")
-        self.units = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.memory = units.Memory()
 
     def agenda(self, unit: str) -> tuple[int, ...]:
         """Ids of a unit: merge the best-scored adjacent pair until none is a piece."""
@@ -87,29 +86,42 @@ class Model:
                 out += [found] if found is not None else [self.bytes[b] for b in symbol.encode("utf-8")]
         return tuple(out)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text with begin and end ids; new units are checked against the library."""
-        cut = [self.units.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = {u for units in cut for u in units if u not in known}
-        for u in new:
-            known[u] = self.agenda(u)
-        self.check(sorted(new - {"\n"}))
-        begin, end = [self.begin], [self.end]
-        return [begin + list(chain.from_iterable(map(known.__getitem__, units))) + end for units in cut]
-
-    def check(self, units: list[str]) -> None:
-        """Compare the agenda with the library: units are encoded as lines of one text."""
-        if not units:
-            return
+    def ask(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units by the agenda, checked against the library, which gets them as lines of one text."""
+        found = [self.agenda(u.replace(" ", BLANK)) for u in strings]
         line_end = self.bytes[10]
-        ids = np.array(self.library.encode("\n".join(["x", *units]), num_threads=1), np.int64)
-        ours = np.array(list(chain.from_iterable((line_end, *self.known[u]) for u in units)), np.int64)
-        theirs = ids[np.flatnonzero(ids == line_end)[0] :]
-        if not np.array_equal(ours, theirs):
-            raise ValueError("the agenda and the sentencepiece library differ")
+        lines = [(u, ids) for u, ids in zip(strings, found, strict=True) if u != "\n"]
+        if lines:
+            theirs = np.array(self.library.encode("\n".join(["x", *(u for u, _ in lines)]), num_threads=1), np.int64)
+            ours = np.array(list(chain.from_iterable((line_end, *ids) for _, ids in lines)), np.int64)
+            if not np.array_equal(ours, theirs[np.flatnonzero(theirs == line_end)[0] :]):
+                raise ValueError("the agenda and the sentencepiece library differ")
+        return np.array(list(chain.from_iterable(found)), np.int32), np.array([len(x) for x in found], np.int64)
+
+    def encode(self, column: pa.Array) -> list[np.ndarray]:
+        """Ids of each row, without begin and end ids."""
+        data, offsets = kernel.utf8(column)
+        filled = np.flatnonzero(np.diff(offsets))
+        if not len(filled):
+            return [np.zeros(0, np.int32)] * (len(offsets) - 1)
+        # A blank goes before every text that isn't empty; written blank signs are blanks as well.
+        data = np.insert(data, offsets[filled], 32)
+        offsets = offsets + np.r_[0, np.cumsum(np.diff(offsets) > 0)]
+        if (data == 0xE2).any():
+            sign = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81))
+            if len(sign):
+                data = data.copy()
+                data[sign] = 32
+                gone = np.concatenate([sign + 1, sign + 2])
+                offsets = offsets - np.searchsorted(np.sort(gone), offsets)
+                data = np.delete(data, gone)
+        blank, line = data == 32, data == 10
+        cut = np.zeros(len(data) + 1, bool)
+        cut[offsets] = True
+        cut[1:-1] |= (blank[1:] & ~blank[:-1]) | line[1:] | line[:-1]
+        if len(self.memory) > REMEMBERED:
+            self.memory = units.Memory()
+        return units.rows_of_units(self.memory, data, np.flatnonzero(cut[:-1]), offsets, self.ask)
 
 
 _models: dict[str, Model] = {}
@@ -133,19 +145,19 @@ def piece_codec(docs: DataFrame, model_path: str, with_ids: bool = False) -> Dat
         for whole in batches:
             for batch in kernel.slices(whole):
                 texts = batch.column("text").to_pylist()
-                ids = model.encode(texts)
-                decoded = model.library.decode(ids, num_threads=1)
-                arrays = [np.array(x, np.dtype("<u4")) for x in ids]
+                ends = np.array([model.begin], np.int32), np.array([model.end], np.int32)
+                arrays = [np.concatenate([ends[0], x, ends[1]]).astype("<u4") for x in model.encode(batch.column("text"))]
+                decoded = model.library.decode([x.tolist() for x in arrays], num_threads=1)
                 columns = [
                     batch.column("doc_id"),
-                    pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array([len(x) for x in arrays], pa.int64()),
                     pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in arrays]),
                     pa.array([hashlib.sha256(d.encode("utf-8")).hexdigest() for d in decoded]),
                     pa.array([d == t.replace(BLANK, " ") for d, t in zip(decoded, texts, strict=True)]),
                 ]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"]
                 if with_ids:
-                    columns.append(kernel.list_array(np.concatenate(arrays).astype(np.int32), np.array([len(x) for x in ids])))
+                    columns.append(kernel.list_array(np.concatenate(arrays).astype(np.int32), np.array([len(x) for x in arrays])))
                 yield pa.RecordBatch.from_arrays(columns, names + ["ids"] * with_ids)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean" + ", ids array<int>" * with_ids
