@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sys
 import unicodedata
 from functools import lru_cache, reduce
@@ -47,7 +48,10 @@ def strip_accents(c: Column) -> Column:
     """Compatibility form without combining marks, for Latin and its neighbours."""
     one, to, longer = _accents()
     plain = F.translate(F.regexp_replace(c, r"\p{Mn}", ""), one, to)
-    return F.when(plain.rlike("[" + "".join(longer) + "]"), reduce(lambda x, k: F.replace(x, F.lit(k), F.lit(longer[k])), longer, plain)).otherwise(plain)
+    # Few texts hold a character with a longer form; they are put together character by character.
+    forms = F.from_json(F.lit(json.dumps(longer)), "map<string,string>")
+    spelt = F.array_join(F.transform(F.split(plain, ""), lambda x: F.coalesce(F.try_element_at(forms, x), x)), "")
+    return F.when(~c.rlike(r"[^\x00-\x7F]"), c).when(plain.rlike("[" + "".join(longer) + "]"), spelt).otherwise(plain)
 
 
 def fold(c: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import difflib
-from collections.abc import Iterator
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -70,7 +70,7 @@ def decide(aliases: DataFrame, merchants: DataFrame) -> DataFrame:
 def _replay(rows: pd.DataFrame) -> pd.DataFrame:
     """One component in order: merchants first, then aliases by alias id, each seeing what came before."""
     known = []  # [id, name, domain, platforms]; merchants made here have negative ids: -alias
-    out = []
+    out, ratio = [], cache(lambda a, b: difflib.SequenceMatcher(None, a, b).ratio())
     for r in rows.sort_values(["is_alias", "node_id"]).itertuples(index=False):
         domain = r.domain if isinstance(r.domain, str) else None
         if not r.is_alias:
@@ -83,7 +83,7 @@ def _replay(rows: pd.DataFrame) -> pd.DataFrame:
             merchant, score = None, 0.0
             for m in known:
                 if r.provider_id not in m[3]:
-                    s = difflib.SequenceMatcher(None, r.name, m[1]).ratio()
+                    s = ratio(r.name, m[1])
                     if s > score:
                         merchant, score = m, s
             if score >= LINK:
