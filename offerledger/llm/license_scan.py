@@ -1,16 +1,15 @@
-"""License scan: consecutive base phrases, and a positional rare-token index of licence templates.
+"""License scan: consecutive base phrases, and a positional index of licence templates by idf weight.
 
 Words are runs of letters, digits and non-ASCII characters of the lower-cased (A-Z) text.
 
 Base: every place where the words of a base phrase stand one after another.
 
 The method: templates (short licence notices, below) are indexed by word, with the word's positions.
-The document frequency of every template word is counted over the whole corpus.  For each document the
-RARE template words of the highest inverse document frequency that it holds are looked up, the
-postings are intersected by relative position (place in the document minus place in the template),
-and each alignment that VOTES of the template's rare words agree on is scored by the share of the
-template's idf weight found at it.  A template is a label if that share is ALIGNED or more and all of
-its key phrases stand, word for word, within the aligned stretch.
+The document frequency of every template word is counted over the whole corpus.  Every template word of
+a document is looked up, the postings are intersected by relative position (place in the document minus
+place in the template), and each alignment is scored by the share of the template's idf weight found
+at it.  A template is a label if that share is ALIGNED or more at an alignment and all of its key phrases
+stand, word for word, within the aligned stretch; no other notice of the document changes that.
 
 Cases: null and empty texts have no words, labels '' and score 0; repeated rows each get a row; a null
 doc_id is kept; an empty table gives an empty result; other columns are not looked at.
@@ -49,8 +48,6 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
 )
 
-RARE = 16
-VOTES = 2
 ALIGNED = 0.6
 
 
@@ -83,25 +80,28 @@ class Templates:
         same = self.vocabulary[number] == hashes[at]
         return at[same], number[same]
 
-    def find(self, at: np.ndarray, number: np.ndarray) -> dict[str, float]:
-        """Label: best share, of the templates that align with a document's template words."""
-        held = np.unique(number)
-        rare = held[np.argsort(-self.idf[held], kind="stable")[:RARE]]
-        here = np.isin(number, rare)
-        spots, words = at[here], number[here]
-        sizes = self.at[words + 1] - self.at[words]
-        posting = np.repeat(self.at[words], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        template, shift = self.template[posting], np.repeat(spots, sizes) - self.place[posting]
-        key, votes = np.unique(np.stack([template, shift]), axis=1, return_counts=True)
-        of_place = dict(zip(at.tolist(), number.tolist(), strict=True))
-        found: dict[str, float] = {}
-        for t, begin in key[:, votes >= VOTES].T.tolist():
-            words_of = self.numbers[t]
-            match = np.array([of_place.get(begin + i, -1) == w for i, w in enumerate(words_of)])
+    def find(self, row: np.ndarray, at: np.ndarray, number: np.ndarray) -> dict[int, dict[str, float]]:
+        """Row: {label: best share} of the templates that align with the template words (row, place, number) of a batch."""
+        sizes = self.at[number + 1] - self.at[number]
+        posting = np.repeat(self.at[number], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        longest, width = max(map(len, self.numbers)), int(at.max(initial=0)) + 1
+        shift = np.repeat(at, sizes) - self.place[posting] + longest
+        key = (np.repeat(row, sizes) * len(TEMPLATES) + self.template[posting]) * (width + longest) + shift
+        key, which = np.unique(key, return_inverse=True)
+        weight = np.bincount(which, weights=np.repeat(self.idf[number], sizes), minlength=len(key))
+        owner, begin = np.divmod(key, width + longest)
+        enough = weight >= ALIGNED * self.totals[owner % len(TEMPLATES)] - 1e-9
+        cut, of_place = np.searchsorted(row, np.arange(int(row.max(initial=-1)) + 2)), {}
+        found: dict[int, dict[str, float]] = {}
+        for r, t, begin in zip((owner[enough] // len(TEMPLATES)).tolist(), (owner[enough] % len(TEMPLATES)).tolist(), (begin[enough] - longest).tolist(), strict=True):
+            if r not in of_place:
+                of_place = {r: dict(zip(at[cut[r] : cut[r + 1]].tolist(), number[cut[r] : cut[r + 1]].tolist(), strict=True))}
+            here, words_of = of_place[r], self.numbers[t]
+            match = np.array([here.get(begin + i, -1) == w for i, w in enumerate(words_of)])
             share = float(self.idf[words_of[match]].sum() / self.totals[t])
-            if share >= ALIGNED and all(self._stands(p, of_place, begin, len(words_of)) for p in self.phrases[t]):
-                label = TEMPLATES[t][0]
-                found[label] = max(found.get(label, 0.0), min(share, 1.0))
+            if share >= ALIGNED and all(self._stands(p, here, begin, len(words_of)) for p in self.phrases[t]):
+                best = found.setdefault(r, {})
+                best[TEMPLATES[t][0]] = max(best.get(TEMPLATES[t][0], 0.0), min(share, 1.0))
         return found
 
     @staticmethod
@@ -162,11 +162,11 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
                         last[r] = max(last[r], s)
                         base[r].add(label)
                 at, number = templates.number(h)
-                cut = np.searchsorted(at, rows)
+                row = np.searchsorted(rows, at, side="right") - 1
+                aligned = templates.find(row, at - rows[row], number)
                 labels, scores = [], []
                 for r in range(n):
-                    here = slice(cut[r], cut[r + 1])
-                    found = templates.find(at[here] - rows[r], number[here]) if cut[r + 1] - cut[r] >= VOTES else {}
+                    found = aligned.get(r, {})
                     labels.append(",".join(sorted(base[r] | set(found))))
                     scores.append(max([1.0 if base[r] else 0.0, *found.values()]))
                 where = [pa.array(np.where(n_base == 0, 0, x), pa.int64(), mask=n_base == 0) for x in (first, last)]

@@ -46,6 +46,20 @@ def test_licence_templates_need_their_key_phrases(spark):
     assert license_scan.scan_licenses(cases.empty_documents(spark)).count() == 0
 
 
+def test_every_notice_of_a_document_is_found(spark):
+    """Two notices of words that are rare in the corpus leave the places of a third, whose words are frequent."""
+    notice = {label: text for label, text, _ in license_scan.TEMPLATES}
+    mit = license_scan.TEMPLATES[1][1]
+    docs = [(1, " x ".join([notice["bsd"], mit, notice["gpl-3"], notice["cc-by-sa"]]))]
+    docs += [(10 + i, "this work is licensed under the gnu general public license version 3") for i in range(30)]
+    docs += [(50 + i, f"in the version of this work and the license with no use to any {i}") for i in range(30)]
+    docs.append((100, " y ".join(text for _, text, _ in license_scan.TEMPLATES)))
+    got = {r.doc_id: r.labels for r in license_scan.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string").repartition(1)).collect()}
+    assert got[1] == "bsd,cc-by-sa,gpl-3,mit"
+    assert got[100] == ",".join(sorted({label for label, _, _ in license_scan.TEMPLATES}))
+    assert all(got[i] == ("gpl-3" if i < 50 else "") for i in got if 10 <= i < 100)
+
+
 def counts(text: str) -> tuple:
     words, seen, dup = cases.WHITE.findall(text or ""), set(), 0
     for line in (text or "").split("\n"):
