@@ -200,7 +200,7 @@ def _scan(k: int, percent: int, levels):
                 n = np.array([len(s) for s in sets], np.int64)
                 names = pa.array([signature(s) if len(s) else None for s in sets], pa.int64())
                 prefix = [s[: len(s) + 1 + (-percent * len(s)) // 100] if len(s) else s for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), names, pa.array(n), _lists([parity_bits(s) for s in sets]), _lists([parity_bits(s, COARSE) for s in sets]), _lists(prefix)], ["doc_id", "sig", "n", "bits", "coarse", "prefix"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), names, pa.array(n), _lists([parity_bits(s) for s in sets]), _lists([parity_bits(s, COARSE) for s in sets]), _lists(prefix)], ["doc_id", "key", "sig", "n", "bits", "coarse", "prefix"])
 
     return work
 
@@ -293,11 +293,16 @@ def _check_block(percent: int):
     return work
 
 
+def _fetched_by(texts: DataFrame) -> DataFrame:
+    """texts with the key that whole sets are fetched by: the doc_id, or for a null one a hash of the text."""
+    return texts.withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
+
+
 def ngram_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links), a row per document."""
-    texts = shared.keyed_texts(docs)
+    texts = _fetched_by(shared.keyed_texts(docs))
     levels = docs.sparkSession.sparkContext.broadcast(word_levels(texts))
-    members = shared.written(texts.mapInArrow(_scan(k, percent, levels), "doc_id long, sig long, n long, bits array<long>, coarse array<long>, prefix array<long>"), "ngram-docs")
+    members = shared.written(texts.mapInArrow(_scan(k, percent, levels), "doc_id long, key long, sig long, n long, bits array<long>, coarse array<long>, prefix array<long>"), "ngram-docs")
     nodes = members.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
     prefixes = members.where("sig is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     postings = prefixes.select(F.posexplode("prefix").alias("pos", "token"), "sig", "n")
@@ -351,8 +356,8 @@ def _verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, levels, k:
     n_blocks = max(1, -(-left.count() // PAIRS_PER_BLOCK))
     blocked = left.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(n_blocks)))
     wanted = blocked.select("block", F.explode(F.array("a", "b")).alias("sig")).distinct()
-    holders = members.select("sig", "doc_id").join(wanted.select("sig").distinct(), "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    sets = texts.join(holders, "doc_id", "left_semi").mapInArrow(_whole_sets(k, levels), "sig long, tokens array<long>")
+    holders = members.select("sig", "key").join(wanted.select("sig").distinct(), "sig", "left_semi").groupBy("sig").agg(F.min("key").alias("key")).select("key").distinct()
+    sets = texts.join(holders, "key", "left_semi").mapInArrow(_whole_sets(k, levels), "sig long, tokens array<long>")
     carried = wanted.join(sets.groupBy("sig").agg(F.first("tokens").alias("tokens")), "sig").select("block", F.col("sig").alias("a"), F.lit(None).cast("long").alias("b"), "tokens")
     rows = carried.unionByName(blocked.select("block", "a", "b", F.lit(None).cast("array<long>").alias("tokens")))
     return rows.groupBy("block").applyInArrow(_check_block(percent), "a long, b long")

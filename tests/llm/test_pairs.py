@@ -66,6 +66,18 @@ def test_classes_of_odd_rows(spark):
     assert 2 not in {r.doc_id for r in kept.collect()}
 
 
+def test_a_row_without_id_links_near_copies(spark):
+    """Its set has no other holder, and is fetched all the same."""
+    words = [f"w{i}" for i in range(200)]
+    near = lambda *at: " ".join("other" if i in at else w for i, w in enumerate(words))
+    rows = [(1, near()), (None, near(100)), (None, near(100, 197)), (3, near(100, 102, 104, 106, 108, 110, 197)), (4, "quite another text of its own"), (None, "and one more that is alone here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(x) for x in ngram_jaccard.ngram_classes(df).collect()), key=repr)
+    # Rows 1 and 3 are linked by the rows without an id alone.
+    assert 3 == classes({1: rows[0][1], 3: rows[3][1]})[3][1]
+    assert got == sorted([(1, 197, 1), (None, 197, 1), (None, 197, 1), (3, 197, 1), (4, 3, 4), (None, 4, None)], key=repr)
+
+
 def test_prefix_tree():
     r = np.random.default_rng(5)
     base = np.sort(r.choice(2**40, 300, replace=False).astype(np.uint64))
