@@ -12,6 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from offerledger.llm import decontamination, ngram_jaccard, quality_rules, sentencepiece_agenda, shared, suffix_dedup
 
 
+# Near duplicates of the corpus: sets of 5-word shingles that overlap in at least 80 %.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
+
 def rule_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality_rules.kept_documents(docs, shared.table(spark, sf_dir, "labels"))
@@ -19,7 +24,7 @@ def rule_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each class of near duplicates."""
-    return ngram_jaccard.one_of_each_class(docs)
+    return ngram_jaccard.one_of_each_class(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

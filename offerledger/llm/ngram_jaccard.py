@@ -251,7 +251,7 @@ def _apart(percent: int, nearest: bool):
         held: list[np.ndarray] = []
         for batch in batches:
             cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "sig", "n", "pos", "comp")]
-            cols.append(np.asarray(batch.column("coarse").flatten()).reshape(-1, COARSE // 64))
+            cols.append(np.asarray(batch.column("coarse").flatten()).view(np.uint64).reshape(-1, COARSE // 64))  # unsigned: bits are counted
             if held:
                 cols = [np.concatenate([h, c]) for h, c in zip(held, cols, strict=True)]
             cuts = np.r_[0, np.flatnonzero(np.diff(cols[0])) + 1, len(cols[0])]
@@ -348,7 +348,7 @@ def _verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, levels, k:
     """The pairs (a, b of set names) that link.  Whole sets travel once to each block that needs them."""
     bits = _one_each(members, "n", "bits")
     both = pairs.join(bits.toDF("a", "na", "xa"), "a").join(bits.toDF("b", "nb", "xb"), "b")
-    # Linked sets differ in size by less than two, so their bitmaps by one halving at most.
+    # Linked sets differ in size by less than two (percent is over 50), so their bitmaps by one halving at most.
     halved = "zip_with(slice({0}, 1, size({0}) div 2), slice({0}, size({0}) div 2 + 1, size({0}) div 2), (x, y) -> x ^ y)"
     same = both.withColumn("x", F.expr(f"case when size(xa) > size(xb) then {halved.format('xa')} else xa end")).withColumn("y", F.expr(f"case when size(xb) > size(xa) then {halved.format('xb')} else xb end"))
     far = F.expr("aggregate(zip_with(x, y, (p, q) -> bit_count(p ^ q)), 0, (s, d) -> s + d)")

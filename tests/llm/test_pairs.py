@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from offerledger.llm import components, decontamination, ngram_jaccard, suffix_dedup
 from tests.llm import cases
 
@@ -78,6 +79,29 @@ def test_a_row_without_id_links_near_copies(spark):
     assert got == sorted([(1, 197, 1), (None, 197, 1), (None, 197, 1), (3, 197, 1), (4, 3, 4), (None, 4, None)], key=repr)
 
 
+def test_near_duplicates_of_the_pipeline(spark):
+    """The pipeline's classes: 5 words and 80 %, against all pairs."""
+    r = np.random.default_rng(7)
+    texts = {}
+    for family in range(12):
+        words = [f"w{i}" for i in r.integers(0, 900, 200)]
+        for i in range(6):
+            changed = list(words)
+            for at in r.choice(40, int(r.integers(0, 8)), replace=False):
+                changed[5 * int(at)] = f"n{r.integers(0, 900)}"
+            texts[10 * family + i] = " ".join(changed)
+    sets = {i: shingles(t, 5) for i, t in texts.items()}
+    edges = [(i, j) for i in texts for j in texts if j < i and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    root = {i: i for i in texts}
+    for _ in texts:
+        for i, j in edges:
+            root[i] = root[j] = min(root[i], root[j])
+    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard"]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {x.doc_id for x in stage(spark, docs, cases.SF).collect()} == set(root.values())
+    assert {c for _, c in classes(texts).values()} > set(root.values())
+
+
 def test_prefix_tree():
     r = np.random.default_rng(5)
     base = np.sort(r.choice(2**40, 300, replace=False).astype(np.uint64))
