@@ -9,7 +9,10 @@ A shingle weighs ln(1 + items / items that hold it).
 
 Only windows are hashed whose shingles from the benchmark weigh enough for the lightest item of that
 length to reach SIMILARITY (the bound loses nothing).  The items are broadcast in parts of at most
-MAX_ITEMS items and MAX_CHARS characters; a larger benchmark takes several parts, each over all documents.
+MAX_ITEMS items and MAX_CHARS characters; a larger benchmark takes several parts, each over all documents,
+built, broadcast and released one at a time.  Weights are those of the whole benchmark in every part: a
+shingle that one item holds weighs as much as one that none does, so each part carries, besides its own,
+only the shingles that several items hold.  The rows don't depend on the parts.
 
 Cases: null and empty texts hold nothing; items of under five words, or null, are not looked for;
 repeated items are items of their own; an item is reported once per document row, at its most similar,
@@ -50,7 +53,8 @@ def fingerprint(sums: np.ndarray) -> np.ndarray:
 class Benchmark:
     """Items, the weights of their shingles and the multi-index of their fingerprints."""
 
-    def __init__(self, ids: list[int], texts: list[str], k: int = SHINGLE, radius: int = RADIUS, similarity: float = SIMILARITY):
+    def __init__(self, ids: list[int], texts: list[str], k: int = SHINGLE, radius: int = RADIUS, similarity: float = SIMILARITY, whole: tuple[int, np.ndarray, np.ndarray] | None = None):
+        """whole: items of the whole benchmark, its shingles of two or more items, and by how many they are held."""
         self.k, self.radius, self.similarity = k, radius, similarity
         words = kernel.Words(pa.array(texts, pa.string()), kernel.ALNUM, lower=True)
         grams, _ = words.grams(k)
@@ -60,11 +64,15 @@ class Benchmark:
         self.items = [grams[words.rows[i] : words.rows[i + 1] - k + 1] for i in long_enough]
         holders = Counter(s for item in self.items for s in np.unique(item).tolist())
         self.shingles = np.array(sorted(holders), np.uint64)
-        n = max(len(self.items), 1)
-        self.weights = np.log(1 + n / np.array([holders[s] for s in sorted(holders)], float))
+        n, common, counts = whole or (len(self.items), self.shingles, np.array([holders[s] for s in sorted(holders)], float))
+        n = max(n, 1)
         self.foreign = float(np.log(1 + n))
+        self.known = np.union1d(self.shingles, common)
+        self.own = np.isin(self.known, self.shingles)
+        self.weights = np.full(len(self.known), self.foreign)
+        self.weights[np.searchsorted(self.known, common)] = np.log(1 + n / counts)
         self.filter = np.zeros(1 << 20, bool)
-        self.filter[(self.shingles & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        self.filter[(self.known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         self.totals = np.array([self.weigh(item)[0].sum() for item in self.items])
         self.prints = np.array([fingerprint((signs(item) * self.weigh(item)[0][:, None]).sum(axis=0)) for item in self.items], np.uint64)
         self.lightest = {int(m): float(self.totals[self.lengths == m].min()) for m in np.unique(self.lengths)}
@@ -73,15 +81,15 @@ class Benchmark:
         self.blocks = [self._block(b) for b in range(4)]
 
     def weigh(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Weight of each shingle, and whether an item holds it."""
-        if not len(self.shingles):
+        """Weight of each shingle, and whether an item of this part holds it."""
+        if not len(self.known):
             return np.full(len(shingles), self.foreign), np.zeros(len(shingles), bool)
         maybe = self.filter[(shingles & np.uint64((1 << 20) - 1)).astype(np.int64)]
         weight, held = np.full(len(shingles), self.foreign), np.zeros(len(shingles), bool)
         some = np.flatnonzero(maybe)
-        place = np.minimum(np.searchsorted(self.shingles, shingles[some]), len(self.shingles) - 1)
-        same = self.shingles[place] == shingles[some]
-        held[some[same]] = True
+        place = np.minimum(np.searchsorted(self.known, shingles[some]), len(self.known) - 1)
+        same = self.known[place] == shingles[some]
+        held[some[same]] = self.own[place[same]]
         weight[some[same]] = self.weights[place[same]]
         return weight, held
 
@@ -155,54 +163,120 @@ class Benchmark:
                 yield int(row), found
 
 
-def benchmark_parts(benchmark: DataFrame) -> list[Benchmark]:
-    """The items in broadcastable parts; each part is bounded in items and characters."""
+def _shingles_of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each distinct shingle of each item, and a null for the item itself."""
+    for whole in batches:
+        for batch in kernel.slices(whole):
+            words = kernel.Words(batch.column("text"), kernel.ALNUM, lower=True)
+            grams, _ = words.grams(SHINGLE)
+            items = [np.unique(grams[words.rows[i] : words.rows[i + 1] - SHINGLE + 1]) for i in np.flatnonzero(words.counts >= SHINGLE)]
+            if items:
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(kernel.as_long(np.concatenate(items))), pa.nulls(len(items), pa.int64())])], ["shingle"])
+
+
+def shared_shingles(items: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """How many items there are, the shingles that two or more hold, ascending, and by how many each is held."""
+    counted = items.select("text").mapInArrow(_shingles_of_items, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1 or shingle is null").toArrow()
+    shingle, n = counted.column("shingle").combine_chunks(), np.asarray(counted.column("n")).astype(float)
+    is_item = np.asarray(shingle.is_null())
+    found = np.asarray(shingle.drop_null()).astype(np.int64).view(np.uint64)
+    order = np.argsort(found)
+    return int(n[is_item].sum()), found[order], n[~is_item][order]
+
+
+def benchmark_parts(benchmark: DataFrame) -> tuple[int, Iterator[Benchmark]]:
+    """How many broadcastable parts the items take, and the parts, built one at a time.
+
+    Each part is bounded in items and characters.
+    """
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
     n_parts = max(1, -(-size["n"] // MAX_ITEMS), -(-size["chars"] // MAX_CHARS))
-    parts = []
-    for p in range(n_parts):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_parts)) == p).orderBy("item_id", "text").toArrow() if n_parts > 1 else items.orderBy("item_id", "text").toArrow()
-        parts.append(Benchmark(rows.column("item_id").to_pylist(), rows.column("text").to_pylist()))
-    return parts
+
+    def build() -> Iterator[Benchmark]:
+        whole = shared_shingles(items) if n_parts > 1 else None
+        for p in range(n_parts):
+            part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_parts)) == p) if n_parts > 1 else items
+            rows = part.orderBy("item_id", "text").toArrow()
+            yield Benchmark(rows.column("item_id").to_pylist(), rows.column("text").to_pylist(), whole=whole)
+
+    return n_parts, build()
+
+
+def _found(texts: DataFrame, sent) -> DataFrame:
+    """The findings of a broadcast part."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = sent.value
+        for whole in batches:
+            for batch in kernel.slices(whole):
+                rows = [(row, *f) for row, found in part.leaks(batch.column("text")) for f in found]
+                if rows:
+                    row, item, start, apart, like = zip(*rows, strict=True)
+                    columns = [batch.column("doc_id").take(pa.array(row)), pa.array([part.ids[i] for i in item], pa.int64()), pa.array(start, pa.int64()), pa.array([int(part.lengths[i]) for i in item], pa.int64()), pa.array(apart, pa.int32()), pa.array(like)]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "start_word", "n_words", "bits_apart", "similarity"])
+
+    return texts.mapInArrow(work, "doc_id long, item_id long, start_word long, n_words long, bits_apart int, similarity double")
+
+
+def _clean(docs: DataFrame, sent) -> DataFrame:
+    """docs without the rows that hold an item of a broadcast part."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in kernel.slices(whole):
+                keep = np.ones(len(batch), bool)
+                keep[[row for row, _ in sent.value.leaks(batch.column("text"))]] = False
+                yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(work, docs.schema)
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row per document and item found in it: doc_id, item_id, start_word, n_words, bits_apart, similarity."""
-    spark, texts = docs.sparkSession, shared.keyed_texts(docs)
+    context, texts = docs.sparkSession.sparkContext, shared.keyed_texts(docs)
+    n_parts, parts = benchmark_parts(benchmark)
+    if n_parts == 1:
+        return _found(texts, context.broadcast(next(parts)))
     found = None
-    for part in benchmark_parts(benchmark):
-        sent = spark.sparkContext.broadcast(part)
-
-        def work(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            part = sent.value
-            for whole in batches:
-                for batch in kernel.slices(whole):
-                    rows = [(row, *f) for row, found in part.leaks(batch.column("text")) for f in found]
-                    if rows:
-                        row, item, start, apart, like = zip(*rows, strict=True)
-                        columns = [batch.column("doc_id").take(pa.array(row)), pa.array([part.ids[i] for i in item], pa.int64()), pa.array(start, pa.int64()), pa.array([int(part.lengths[i]) for i in item], pa.int64()), pa.array(apart, pa.int32()), pa.array(like)]
-                        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "start_word", "n_words", "bits_apart", "similarity"])
-
-        one = texts.mapInArrow(work, "doc_id long, item_id long, start_word long, n_words long, bits_apart int, similarity double")
+    for part in parts:
+        sent = context.broadcast(part)
+        one = shared.written(_found(texts, sent), "leaks")
+        sent.destroy()
         found = one if found is None else found.unionByName(one)
     return found
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the rows that hold a benchmark item; all columns stay, nothing is shuffled."""
-    for part in benchmark_parts(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(part)
-
-        def work(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for batch in kernel.slices(whole):
-                    keep = np.ones(len(batch), bool)
-                    keep[[row for row, _ in sent.value.leaks(batch.column("text"))]] = False
-                    yield batch.filter(pa.array(keep))
-
-        docs = docs.mapInArrow(work, docs.schema)
-    return docs
+    """docs without the rows that hold a benchmark item; all columns stay, and with one part nothing is shuffled.
+
+    Several parts leave a table each of the rows to go, by doc_id and text hash.
+    """
+    context = docs.sparkSession.sparkContext
+    n_parts, parts = benchmark_parts(benchmark)
+    if n_parts == 1:
+        return _clean(docs, context.broadcast(next(parts)))
+    keyed = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), F.coalesce("text", F.lit("")).alias("text"))
+    gone = None
+    for part in parts:
+        sent = context.broadcast(part)
+        one = shared.written(_leaking(keyed, sent), "leaks")
+        sent.destroy()
+        gone = one if gone is None else gone.unionByName(one)
+    gone = gone.distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_hash"]), "left_anti")
+
+
+def _leaking(keyed: DataFrame, sent) -> DataFrame:
+    """_id and _hash of the rows that hold an item of a broadcast part."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in kernel.slices(whole):
+                rows = pa.array([row for row, _ in sent.value.leaks(batch.column("text"))], pa.int64())
+                yield batch.select(["_id", "_hash"]).take(rows)
+
+    return keyed.mapInArrow(work, keyed.drop("text").schema)
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -213,6 +213,29 @@ def test_near_leaks_and_clean_texts(spark):
         assert x.start_word == 80 if x.item_id % 2 == 0 else abs(x.start_word - 80) <= 8
 
 
+def test_parts_of_a_benchmark_give_the_rows_of_one(spark, monkeypatch):
+    """Items share boilerplate across parts; weights are those of the whole benchmark in each part."""
+    r = np.random.default_rng(6)
+    word = lambda: f"k{r.integers(0, 10_000)}"
+    same = " ".join(word() for _ in range(40))
+    items = {i: f"{same} {' '.join(word() for _ in range(24))}" for i in range(40)}
+    docs = {100 + i: " ".join(word() for _ in range(80)) for i in range(10)} | {200: same}
+    for i, t in items.items():
+        words = t.split()
+        for at in r.choice(24, i % 4, replace=False):
+            words[40 + int(at)] = "other"
+        docs[i] = " ".join([word() for _ in range(30)] + words)
+    docs = spark.createDataFrame([*docs.items(), (None, items[3]), (None, "nothing in it at all, that is known"), (None, None)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([*items.items(), (90, None), (91, "too short")], "item_id long, text string")
+    rows = lambda: sorted((tuple(x) for x in decontamination.contaminations(docs, benchmark).collect()), key=repr)
+    left = lambda: sorted((tuple(x) for x in decontamination.decontaminated(docs, benchmark).collect()), key=repr)
+    found, kept = rows(), left()
+    assert len(found) >= 10 and len(kept) < docs.count()
+    monkeypatch.setattr(decontamination, "MAX_ITEMS", 9)
+    assert decontamination.benchmark_parts(benchmark)[0] == 5
+    assert rows() == found and left() == kept
+
+
 def test_multi_index_returns_the_whole_radius():
     r = np.random.default_rng(4)
     b = decontamination.Benchmark(list(range(300)), [" ".join(f"v{x}" for x in r.integers(0, 900, 20)) for _ in range(300)])
