@@ -75,6 +75,23 @@ def test_views_teach_each_other():
     assert accuracy(model) >= accuracy(alone) and accuracy(model) > 0.9
 
 
+def test_every_unlabelled_document_may_teach(spark):
+    """Each round hands over the surest of all documents that were not handed over before."""
+    docs, labels = cases.documents(spark, SF), spark.read.parquet(f"{SF}/labels.parquet")
+    rare = spark.createDataFrame([(10_000 + i, f"plain words number {i} of a page", "xx", "rare", 30) for i in range(2_000)], "doc_id long, text string, lang string, source string, n_chars long")
+    rows = co_training.metadata(docs.unionByName(rare))
+    text, meta = co_training.gather(rows, learn.bounded_sample(labels, "quality", 100))
+    some = labels.where("quality is not null").select("doc_id")
+    every, every_meta = co_training.gather(rows, rows.select("doc_id").join(some, "doc_id", "left_anti").distinct().withColumn("label", learn.F.lit(-1)))
+    totals = {0: 500, 1: 500}
+    got = co_training.co_train(text, meta, totals, per_round=40, surest=co_training.surest_documents(rows, labels))
+    want = co_training.co_train(text, meta, totals, per_round=40, surest=co_training.surest_of_rows(every, every_meta))
+    assert len(every) > 2_000
+    for v in (0, 1):
+        assert len(got.taught[v]) > 40 and len(set(got.taught[v].items()) & set(want.taught[v].items())) >= 0.9 * len(want.taught[v])
+        assert not set(got.taught[v]) & {r.doc_id for r in some.collect()}
+
+
 def test_pipeline_against_its_parts(spark):
     """Every stage's decisions take effect, and columns are those of documents."""
     docs = cases.documents(spark)
