@@ -137,6 +137,15 @@ def window_hashes(hashes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndar
     return mix64((sums[end] - sums[:n]) * down[:n] + _U(k)), whole
 
 
+def range_hashes(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit numbers of the word sequences begin..end among word hashes, equal for equal sequences."""
+    n = len(hashes)
+    up, down = _power_tables(n + 1)
+    sums = np.zeros(n + 1, _U)
+    np.cumsum(hashes * up[:n], out=sums[1:])
+    return mix64((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(_U))
+
+
 def segment_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte runs that begin at starts and end at the next start (or the end)."""
     if not len(starts):

@@ -6,17 +6,29 @@ that occurs at an earlier place (smaller doc_id, then position).  So one copy of
 
 The suffix array is sparse: of the suffixes of every document, only those at content-selected
 minimiser positions are kept (the leftmost smallest KEY-word hash of each MATCH-word run), about one
-word in 13.  Any repeated run holds such a position at the same offset in all its places.  Suffixes
-are sorted by their first KEY words and compared with their neighbours; those with an equal
-neighbour are extended: the MATCH-word runs around them that have them as their minimiser are sorted
-and compared with their neighbours in turn, and touching runs are joined to the left and right.
-Copies of whole documents are one suffix source with a count.  Keys that are frequent in one task
-(a bounded list, broadcast) are known to repeat without being shuffled by key.
+word in 13.  Any repeated run holds such a position, its own minimiser, at the same offset in all its places.
+
+1. Suffixes whose first KEY words begin another retained suffix as well are kept.  Each gets its context: up
+   to MATCH words to the right and MATCH - KEY to the left.  Suffixes of equal contexts are one entry with a
+   count and a first place, so a passage that very many documents share is a few entries.
+2. Entries are dealt by their first KEY words and sorted by their words: pieces of the sparse suffix array.  The
+   words that an entry has in common with its neighbour delimit the blocks of suffixes that go on alike for
+   25, 26 ... 50 words; within each block matches are extended to the left word by word.  So any combination
+   of left and right parts is found: a run of MATCH words around its minimiser repeats if another suffix
+   shares the left and the right part of it.  Each entry returns the ranges of its runs that repeat, with the
+   first place of each.
+3. First words with more than BUCKET different contexts aren't sorted in one task: their entries' runs are
+   counted by hash, with map-side combination.  The result is the same.
+4. Ranges go back to all places, and touching ones are joined.
+
+Copies of whole documents are one suffix source with a count.
 
 Cases: null, empty and short texts (under MATCH words) have no repeated words; overlapping repeats
-within one document count; rows that repeat a doc_id with the same text are one document and stay or lose words together;
-rows with a null doc_id are left out; an empty table gives an empty result; other columns are not
-looked at.
+within one document count; rows that repeat a doc_id with the same text are one document and stay or lose words together,
+with another text they are documents of their own; of equal places the smallest doc_id is first; rows with a
+null doc_id are left out of the search and stay as they are; a very long text is searched whole, its
+suffixes are sent on in batches; an empty table gives an empty result; other columns, whatever their names, are not
+looked at and stay.
 """
 
 from __future__ import annotations
@@ -25,18 +37,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerledger.llm import kernel, shared
 
 MATCH = 50
 KEY = 25
-#: keys found this often in one task count as frequent; at most MAX_FREQUENT of them are broadcast
-FREQUENT_IN_TASK = 64
-MAX_FREQUENT = 50_000
-#: kinds of places of a run in its document: the first of several, and one after the first
-MORE, LATER = 1, 2
+#: first words with more different contexts than this are counted by run
+BUCKET = 4000
+#: suffixes sent on at once with their words
+AT_ONCE = 4096
 SPANS = "array<struct<start:int,end:int>>"
 
 
@@ -63,96 +74,197 @@ def minimisers(words: kernel.Words, match: int, key: int) -> tuple[np.ndarray, n
 
 def signatures(words: kernel.Words) -> np.ndarray:
     """A 64-bit number of each row's whole word sequence."""
-    n = len(words.hashes)
-    up, down = kernel._power_tables(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(words.hashes * up[:n], out=sums[1:])
-    begin, end = words.rows[:-1], words.rows[1:]
-    return kernel.as_long(kernel.mix64((sums[end] - sums[begin]) * down[begin] + words.counts.astype(np.uint64)))
+    return kernel.as_long(kernel.range_hashes(words.hashes, words.rows[:-1], words.rows[1:]))
+
+
+def _bounds(words: kernel.Words, at: np.ndarray, match: int, key: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first word and end of the context of the suffixes at words `at`."""
+    row = np.searchsorted(words.rows, at, side="right") - 1
+    return row, np.maximum(at - (match - key), words.rows[row]), np.minimum(at + match, words.rows[row + 1])
 
 
 def _suffixes(match: int, key: int):
-    """A row per document (its signature, and the keys and places of its kept suffixes), and rows of frequent keys."""
+    """A row per document: its signature, and the first-word keys, places and contexts of its kept suffixes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        names = ["doc_id", "sig", "n_words", "keys", "places", "key"]
         for whole in batches:
             for batch in kernel.slices(whole):
                 words = kernel.Words(batch.column("text"), kernel.WHITE, lower=False)
                 value, _, at = minimisers(words, match, key)
                 at = np.unique(at)
                 per_row = np.diff(np.searchsorted(at, words.rows))
-                place = at - np.repeat(words.rows[:-1], per_row)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(signatures(words)), pa.array(words.counts.astype(np.int32)), kernel.list_array(kernel.as_long(value[at]), per_row), kernel.list_array(place.astype(np.int32), per_row), pa.nulls(len(per_row), pa.int64())], names)
-                seen, times = np.unique(value[at], return_counts=True)
-                keys, counts = np.concatenate([keys, seen[times > 1]]), np.concatenate([counts, times[times > 1]])
-        distinct, back = np.unique(keys, return_inverse=True)
-        often = distinct[np.bincount(back, weights=counts, minlength=len(distinct)) >= FREQUENT_IN_TASK]
-        m = len(often)
-        yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.list_(pa.int32())), pa.array(kernel.as_long(often))], names)
+                _, begin, end = _bounds(words, at, match, key)
+                # The place of the suffix in its context is part of the context.
+                context = kernel.mix64(kernel.range_hashes(words.hashes, begin, end) + (at - begin).astype(np.uint64))
+                lists = [kernel.list_array(kernel.as_long(x), per_row) for x in (value[at], context)]
+                place = kernel.list_array((at - np.repeat(words.rows[:-1], per_row)).astype(np.int32), per_row)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(signatures(words)), pa.array(words.counts.astype(np.int32)), *lists, place], ["doc_id", "sig", "n_words", "keys", "contexts", "places"])
 
     return work
 
 
-def _runs(match: int, key: int):
-    """The match-word runs whose minimiser is one of the document's repeated suffixes."""
+ENTRY = "key long, context long, n long, n_contexts long, doc_id long, sig long, place int, runs long, left array<long>, right array<long>"
+_ENTRY = ["key", "context", "n", "n_contexts", "doc_id", "sig", "place", "runs", "left", "right"]
+
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin, begin + 1 ... for each begin, size of them, one after another."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def _entries(match: int, key: int):
+    """The words of the wanted contexts of a document: rows of ENTRY.
+
+    runs: bit o is set if the suffix is the minimiser of the run that begins o words before it.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in kernel.slices(whole):
                 words = kernel.Words(batch.column("text"), kernel.WHITE, lower=False)
                 _, starts, at = minimisers(words, match, key)
+                owned = np.zeros(len(words.starts), np.int64)
+                np.bitwise_or.at(owned, at, np.int64(1) << (at - starts))
                 # Only the rows of the text the places are of (a doc_id may repeat with another text).
-                mine = signatures(words) == batch.column("sig").to_numpy()
-                places = batch.column("places")
-                wanted = np.zeros(len(words.starts), bool)
-                sizes = np.asarray(places.value_lengths())
-                wanted[(np.asarray(places.flatten()) + np.repeat(words.rows[:-1], sizes))[np.repeat(mine, sizes)]] = True
-                starts = starts[wanted[at]]
-                value = words.grams(match)[0][starts]
-                row = np.searchsorted(words.rows, starts, side="right") - 1
-                order = np.lexsort((starts, value, row))
-                v, r = value[order], row[order]
-                same = (v[1:] == v[:-1]) & (r[1:] == r[:-1])
-                kind = np.zeros(len(starts), np.int32)
-                kind[order[np.r_[same, np.zeros(min(len(v), 1), bool)]]] = MORE
-                later = order[1:][same]
-                kind[later] = LATER
-                # A later place of the same document needs no neighbour: it gets a number of its own.
-                value[later] = kernel.mix64(value[later] + kernel.mix64(later.astype(np.uint64) + starts[later].astype(np.uint64) * np.uint64(0x9E3779B1)))
-                per_row = np.diff(np.searchsorted(starts, words.rows))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("sig"), kernel.list_array(kernel.as_long(value), per_row), kernel.list_array((starts - np.repeat(words.rows[:-1], per_row)).astype(np.int32), per_row), kernel.list_array(kind, per_row)], ["doc_id", "sig", "runs", "starts", "kinds"])
+                mine = np.flatnonzero(signatures(words) == batch.column("sig").to_numpy())
+                wanted = batch.column("wanted").take(pa.array(mine))
+                sizes, told = np.asarray(wanted.value_lengths()).astype(np.int64), wanted.flatten()
+                row, place = np.repeat(mine, sizes), told.field("place").to_numpy()
+                doc, sig = (batch.column(c).to_numpy()[row] for c in ("doc_id", "sig"))
+                spot = words.rows[row] + place
+                _, begin, end = _bounds(words, spot, match, key)
+                for k in range(0, len(spot), AT_ONCE):
+                    some = slice(k, k + AT_ONCE)
+                    g, left, right = spot[some], spot[some] - begin[some], end[some] - spot[some]
+                    back = words.hashes[2 * np.repeat(g, left) - 1 - _ranges(g, left)]
+                    lists = [kernel.list_array(kernel.as_long(x), n) for x, n in ((back, left), (words.hashes[_ranges(g, right)], right))]
+                    yield pa.RecordBatch.from_arrays([*(told.field(c).slice(k, AT_ONCE) for c in _ENTRY[:4]), *(pa.array(x[some]) for x in (doc, sig, place)), pa.array(owned[g]), *lists], _ENTRY)
 
     return work
 
 
-def spans_of(starts: np.ndarray, match: int) -> list[dict[str, int]]:
-    """Joined spans of the runs at ascending starts."""
-    if not len(starts):
-        return []
-    cut = np.flatnonzero(np.diff(starts) > match) + 1
-    return [{"start": int(a), "end": int(b) + match} for a, b in zip(starts[np.r_[0, cut]], starts[np.r_[cut - 1, len(starts) - 1]], strict=True)]
+def _matrix(lists: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """A row per list, filled up with zeros, and the lengths."""
+    sizes = np.asarray(lists.value_lengths()).astype(np.int64)
+    out = np.zeros((len(sizes), width), np.uint64)
+    out[np.arange(width) < sizes[:, None]] = np.asarray(lists.flatten()).view(np.uint64)
+    return out, sizes
+
+
+def repeated_runs(rows: pa.RecordBatch, match: int, key: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entry, words before the suffix at which the run begins, entry of its first place) of the runs that repeat.
 
+    rows: entries sorted by key, then by their words to the right.
+    """
+    column = lambda c: rows.column(c).to_numpy(zero_copy_only=False)
+    right, size = _matrix(rows.column("right"), match)
+    left, _ = _matrix(rows.column("left"), match - key)
+    keys, n, runs, order_by = column("key"), column("n"), column("runs"), [column(c) for c in ("place", "sig", "doc_id")]
+    # Words in common with the neighbour before.
+    differ = (right[1:] != right[:-1]) | (np.arange(match) >= np.minimum(size[1:], size[:-1])[:, None])
+    common = np.r_[0, np.where(differ.any(axis=1), differ.argmax(axis=1), match)] if len(keys) else np.zeros(0, np.int64)
+    common[1:][keys[1:] != keys[:-1]] = 0
+    found, to_left = [], np.zeros(len(keys), np.uint64)
+    for o in range(match - key + 1):
+        if o:  # one more word to the left
+            to_left = kernel.mix64(to_left * np.uint64(31) + left[:, o - 1])
+        some = np.flatnonzero((runs >> o) & 1)
+        if not len(some):
+            continue
+        block = np.cumsum(common < match - o)[some]
+        order = np.lexsort((*(x[some] for x in order_by), to_left[some], block))
+        some, block = some[order], block[order]
+        begins = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (to_left[some[1:]] != to_left[some[:-1]])])
+        sizes = np.diff(np.r_[begins, len(some)])
+        again = np.repeat(np.add.reduceat(n[some], begins) > 1, sizes)
+        found.append((some[again], np.full(int(again.sum()), o), np.repeat(some[begins], sizes)[again]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+
+
+FOUND = "array<struct<low:int,high:int,first:struct<doc_id:bigint,sig:bigint,place:int>>>"
+
+
+def _matched(match: int, key: int):
+    """key, context and the ranges of repeated runs, from entries in suffix order; whole keys at a time."""
+
+    def ranges(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        keys, context = (rows.column(c).to_numpy() for c in ("key", "context"))
+        new = np.r_[True, (keys[1:] != keys[:-1]) | (context[1:] != context[:-1])]  # a repeated row of documents repeats its entries
+        rows = rows.filter(pa.array(new))
+        entry, o, first = repeated_runs(rows, match, key)
+        order = np.lexsort((o, entry))
+        entry, o, first = entry[order], o[order], first[order]
+        cut = np.flatnonzero(np.r_[True, (entry[1:] != entry[:-1]) | (first[1:] != first[:-1]) | (o[1:] != o[:-1] + 1)][: len(entry)])
+        if not len(cut):
+            return
+        last = np.r_[cut[1:], len(entry)] - 1
+        owner, per_entry = np.unique(entry[cut], return_counts=True)
+        place = pa.StructArray.from_arrays([rows.column(c).take(pa.array(first[cut])) for c in ("doc_id", "sig", "place")], ["doc_id", "sig", "place"])
+        found = pa.StructArray.from_arrays([pa.array(o[cut].astype(np.int32)), pa.array(o[last].astype(np.int32)), place], ["low", "high", "first"])
+        offsets = pa.array(np.r_[0, np.cumsum(per_entry)].astype(np.int32))
+        yield pa.RecordBatch.from_arrays([rows.column("key").take(pa.array(owner)), rows.column("context").take(pa.array(owner)), pa.ListArray.from_arrays(offsets, found)], ["key", "context", "found"])
 
-def _spans(match: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        held = None
         for batch in batches:
-            repeated, removed, sources = [], [], []
-            for doc, found in zip(batch.column("doc_id").to_pylist(), batch.column("found"), strict=True):
-                values = found.values
-                start, first = np.asarray(values.field("start")), np.asarray(values.field("first_doc"))
-                is_first = values.field("is_first").to_numpy(zero_copy_only=False)
-                order = np.argsort(start, kind="stable")
-                repeated.append(spans_of(start[order], match))
-                removed.append(spans_of(start[order][~is_first[order]], match))
-                sources.append(np.unique(first[first != doc]).tolist())
-            yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(repeated, kind), pa.array(removed, kind), pa.array(sources, pa.list_(pa.int64()))], ["sig", "repeated", "removed", "first_docs"])
+            rows = pa.Table.from_batches([held, batch] if held is not None else [batch]).combine_chunks().to_batches()
+            if not rows:
+                continue
+            keys = rows[0].column("key").to_numpy()
+            whole = int(np.searchsorted(keys, keys[-1]))
+            if whole:
+                yield from ranges(rows[0].slice(0, whole))
+            held = rows[0].slice(whole)
+        if held is not None:
+            yield from ranges(held)
 
     return work
 
 
+def _by_run(match: int, key: int):
+    """The runs of entries by hash: run, key, context, n, before (words of the run before the suffix) and its place."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["run", "key", "context", "n", "before", "doc_id", "sig", "place"]
+        for batch in batches:
+            right, _ = _matrix(batch.column("right"), match)
+            left, _ = _matrix(batch.column("left"), match - key)
+            runs, both = batch.column("runs").to_numpy(), np.concatenate([left[:, ::-1], right], axis=1)
+            for o in range(match - key + 1):
+                some = np.flatnonzero((runs >> o) & 1)
+                if len(some):
+                    words = both[some, match - key - o : 2 * match - key - o].ravel()
+                    run = kernel.range_hashes(words, np.arange(len(some)) * match, np.arange(1, len(some) + 1) * match)
+                    rows = batch.take(pa.array(some))
+                    yield pa.RecordBatch.from_arrays([pa.array(kernel.as_long(run)), *(rows.column(c) for c in names[1:4]), pa.array(np.full(len(some), o, np.int32)), *(rows.column(c) for c in names[5:])], names)
+
+    return work
+
+
+def spans_of(start: np.ndarray, end: np.ndarray) -> list[dict[str, int]]:
+    """Joined spans of the ranges, given in the order of their starts."""
+    if not len(start):
+        return []
+    reach = np.maximum.accumulate(end)
+    cut = np.flatnonzero(start[1:] > reach[:-1]) + 1
+    return [{"start": int(a), "end": int(b)} for a, b in zip(start[np.r_[0, cut]], reach[np.r_[cut - 1, len(start) - 1]], strict=True)]
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    for batch in batches:
+        repeated, removed, sources = [], [], []
+        for doc, found in zip(batch.column("doc_id").to_pylist(), batch.column("found"), strict=True):
+            values = found.values
+            start, end, first = (np.asarray(values.field(c)) for c in ("start", "end", "first_doc"))
+            order = np.argsort(start, kind="stable")
+            later = order[~values.field("is_first").to_numpy(zero_copy_only=False)[order]]
+            repeated.append(spans_of(start[order], end[order]))
+            removed.append(spans_of(start[later], end[later]))
+            sources.append(np.unique(first[first != doc]).tolist())
+        yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(repeated, kind), pa.array(removed, kind), pa.array(sources, pa.list_(pa.int64()))], ["sig", "repeated", "removed", "first_docs"])
+
+
 def repeated_passages(docs: DataFrame, match: int = MATCH, key: int = KEY) -> DataFrame:
     """A row per document with repeated words.
 
@@ -164,33 +276,36 @@ def repeated_passages(docs: DataFrame, match: int = MATCH, key: int = KEY) -> Da
 
 def _passages(docs: DataFrame, match: int, key: int) -> DataFrame:
     texts = shared.keyed_texts(docs).where("doc_id is not null")
-    listed = shared.written(texts.mapInArrow(_suffixes(match, key), "doc_id long, sig long, n_words int, keys array<long>, places array<int>, key long"), "suffixes")
-    frequent = F.broadcast(listed.where("key is not null").groupBy("key").count().orderBy(F.desc("count"), "key").limit(MAX_FREQUENT).select("key", F.lit(True).alias("known")))
-    members = listed.where("key is null").select("doc_id", "sig", "n_words").where(F.col("n_words") >= match)
+    listed = shared.written(texts.mapInArrow(_suffixes(match, key), "doc_id long, sig long, n_words int, keys array<long>, contexts array<long>, places array<int>").where(F.col("n_words") >= match), "suffixes")
+    members = listed.select("doc_id", "sig", "n_words")
     # The lists of a class of copies are equal, so any one goes with its smallest doc_id.
-    classes = listed.where("key is null").where(F.col("n_words") >= match).groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.first("places").alias("places"))
-    suffixes = classes.select("doc_id", "sig", F.explode(F.arrays_zip("keys", "places")).alias("s")).select(F.col("s.keys").alias("key"), "doc_id", "sig", F.col("s.places").alias("place")).join(frequent, "key", "left")
-    by_key = Window.partitionBy("key").orderBy("doc_id", "place")
-    rare = suffixes.where("known is null").select("doc_id", "sig", "place", F.lag("place").over(by_key).alias("p"), F.lead("place").over(by_key).alias("q")).where("p is not null or q is not null").select("doc_id", "sig", "place")
-    seeds = rare.unionByName(suffixes.where("known").select("doc_id", "sig", "place")).groupBy("doc_id", "sig").agg(F.collect_list("place").alias("places"))
-
-    runs = texts.join(seeds, "doc_id").mapInArrow(_runs(match, key), "doc_id long, sig long, runs array<long>, starts array<int>, kinds array<int>")
-    each = runs.select("doc_id", "sig", F.explode(F.arrays_zip("runs", "starts", "kinds")).alias("r")).select(F.col("r.runs").alias("run"), "doc_id", "sig", F.col("r.starts").alias("start"), F.col("r.kinds").alias("kind"))
-    # A run repeats if a place of it differs from the first (rows of one place twice are one place).
-    by_run = Window.partitionBy("run").orderBy("doc_id", "sig", "start")
-    place = F.struct("doc_id", "sig", "start")
-    first = F.first(place).over(by_run)
-    last = F.last(place).over(by_run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    again = each.select("doc_id", "sig", "start", "kind", first.alias("first"), last.alias("last")).where("first <> last or kind <> 0")
-    is_first = (F.struct("doc_id", "sig", "start") == F.col("first")) & (F.col("kind") != LATER)
-    found = again.groupBy("sig", "doc_id").agg(F.collect_list(F.struct("start", is_first.alias("is_first"), F.col("first.doc_id").alias("first_doc"))).alias("found"))
-    spans = found.mapInArrow(_spans(match), f"sig long, repeated {SPANS}, removed {SPANS}, first_docs array<long>")
-
-    heads = members.groupBy("sig").agg(F.min("doc_id").alias("head"), F.count("*").alias("copies"))
+    classes = listed.groupBy("sig").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("keys", "contexts", "places")))
+    suffixes = classes.select("doc_id", "sig", F.explode(F.arrays_zip("keys", "contexts", "places")).alias("s")).select(F.col("s.keys").alias("key"), F.col("s.contexts").alias("context"), "doc_id", "sig", F.col("s.places").alias("place"))
+    again = suffixes.groupBy("key").count().where("count > 1").select("key")
+    places = shared.written(suffixes.join(again, "key", "left_semi"), "suffix-places")
+
+    entries = places.groupBy("key", "context").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "sig", "place")).alias("first"))
+    sizes = entries.groupBy("key").agg(F.count("*").alias("n_contexts"))
+    wanted = entries.join(sizes, "key").groupBy("first.doc_id", "first.sig").agg(F.collect_list(F.struct("key", "context", "n", "n_contexts", "first.place")).alias("wanted"))
+    entries = shared.written(texts.join(wanted, "doc_id").mapInArrow(_entries(match, key), ENTRY), "suffix-entries")
+    in_order = entries.where(F.col("n_contexts") <= BUCKET).repartition("key").sortWithinPartitions("key", "right", "left")
+    found = in_order.mapInArrow(_matched(match, key), f"key long, context long, found {FOUND}")
+    runs = entries.where(F.col("n_contexts") > BUCKET).mapInArrow(_by_run(match, key), "run long, key long, context long, n long, before int, doc_id long, sig long, place int")
+    # More than one place: an entry with several, or different ones (a repeated row of documents repeats its entries).
+    place = F.struct("doc_id", "sig", "place")
+    repeated = runs.groupBy("run").agg(F.max("n").alias("n"), F.min(place).alias("first"), F.max(place).alias("last")).where("n > 1 or first <> last").select("run", "first")
+    counted = runs.select("run", "key", "context", "before").join(repeated, "run").groupBy("key", "context").agg(F.collect_set(F.struct(F.col("before").alias("low"), F.col("before").alias("high"), "first")).alias("found"))
+
+    here = F.struct("doc_id", "sig", "place")
+    ranges = places.join(found.unionByName(counted), ["key", "context"]).select("doc_id", "sig", "place", here.alias("here"), F.explode("found").alias("f"))
+    spans = ranges.select("doc_id", "sig", F.struct((F.col("place") - F.col("f.high")).alias("start"), (F.col("place") - F.col("f.low") + match).alias("end"), (F.col("here") == F.col("f.first")).alias("is_first"), F.col("f.first.doc_id").alias("first_doc")).alias("s"))
+    spans = spans.groupBy("sig", "doc_id").agg(F.collect_list("s").alias("found")).mapInArrow(_spans, f"sig long, repeated {SPANS}, removed {SPANS}, first_docs array<long>")
+
+    heads = members.groupBy("sig").agg(F.min("doc_id").alias("head"), (F.min("doc_id") < F.max("doc_id")).alias("copied"))
     placed = members.join(heads, "sig").join(spans, "sig", "left")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").alias("end"))).cast(SPANS)
     is_head, none = F.col("doc_id") == F.col("head"), F.array().cast(SPANS)
-    repeated = F.when(F.col("copies") > 1, whole).otherwise(F.coalesce("repeated", none))
+    repeated = F.when(F.col("copied"), whole).otherwise(F.coalesce("repeated", none))
     removed = F.when(~is_head, whole).otherwise(F.coalesce("removed", none))
     sources = F.when(is_head, F.coalesce("first_docs", F.array().cast("array<long>"))).otherwise(F.array("head"))
     words = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))

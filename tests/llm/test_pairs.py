@@ -148,6 +148,17 @@ def test_repeated_passages(spark, match, key):
     assert got == repeats(cases.texts(spark), match)
 
 
+@pytest.mark.parametrize("bucket", [1, 3])
+def test_runs_counted_by_hash_are_those_of_sorted_suffixes(spark, monkeypatch, bucket):
+    """First words with more contexts than a task sorts."""
+    monkeypatch.setattr(suffix_dedup, "BUCKET", bucket)
+    texts = cases.texts(spark)
+    texts |= {50_000 + i: f"{'q ' * (i % 3)}{texts[i % 40]}" for i in range(60)}
+    rows = [*texts.items(), *list(texts.items())[::3]]  # and rows that repeat
+    got = {r.doc_id: (r.n_repeated, r.n_removed) for r in suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), 12, 5).collect()}
+    assert got == repeats(texts, 12)
+
+
 def test_repeats_within_a_document(spark):
     texts = {1: "a " * 100, 2: "x " + "a " * 60, 3: "b c " * 40, 4: " ".join(map(str, range(120))) + " z " + " ".join(map(str, range(60, 120)))}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
