@@ -12,13 +12,16 @@ Text: character references decoded, white space inside a block (a line break ele
 space) becomes one space, blocks are trimmed and joined in page order by one \\n.
 
 Cases: null and empty html give ''; repeated rows each get a row; null ids and urls are kept; broken
-markup never fails; an empty table gives an empty result; other columns are not looked at.
+markup never fails, and an element that isn't closed ends with its parent; a very long page is read whole, in
+time linear in its length; an empty table gives an empty result; other columns, whatever their names, are not
+looked at.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,18 +36,22 @@ CONTENT_FROM = 0.5
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^\"'<>]++|\"[^\"]*+\"|'[^']*+')*+)/?>|<(/?)([a-zA-Z][\w:-]*)([^>]*)>", re.S)
 _LABELS = re.compile(r"""(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_BODY = re.compile(r"<body\b", re.I)
 _MARKED = re.compile(r"""data-y\s*=\s*"([01])\"""")
 
 # Kinds of elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea title iframe svg math object select head".split())
+#: what stands in these is no text of the page; an unclosed script or style reaches to the end, as in browsers
+RAW = set("script style template iframe head title textarea".split())
+TO_END = {"script", "style"}
+_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
 KINDS = {
     "root": "html body",
     "nav": "nav menu",
     "header": "header",
     "footer": "footer",
     "aside": "aside",
-    "form": "form fieldset dialog button label legend",
+    "form": "form fieldset dialog button label legend select optgroup option",
     "article": "article main",
     "section": "section div center td th table tbody thead tfoot tr figure details hgroup address",
     "paragraph": "p blockquote pre dd dt summary figcaption",
@@ -70,8 +77,9 @@ CUE_OF: dict[str, list[int]] = {}
 for _i, _words in enumerate(CUES.values()):
     for _w in _words.split():
         CUE_OF.setdefault(_w, []).append(_i)
-#: an opening tag ends an open element of the same row
-CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+#: an opening tag ends an open paragraph, and open elements of the same row; other blocks end lists of choices
+CHOICES = {"select", "optgroup", "option"}
+CLOSES = {"option": {"option"}, "optgroup": {"option", "optgroup"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 N_FEATURES = len(KINDS) + 2 * len(CUES) + 13
 
 
@@ -91,7 +99,9 @@ class Element:
 def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
     """Block elements in page order (the first is the root), and (element, text) of each text block."""
     elements, blocks = [Element("html", -1)], []
-    stack: list[tuple[str, int]] = [("html", 0)]  # open tags; inline ones carry the element they are in
+    # Open block elements: (tag, number, links open in it).  Inline elements need no place: they end with their block.
+    stack: list[list] = [["html", 0, 0]]
+    n_open = Counter(html=1)
     pieces: list[str] = []
     at, size, in_link = 0, len(page), 0
 
@@ -106,11 +116,12 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
                 e.stops += sum(map(text.count, ".!?,;:"))
                 blocks.append((stack[-1][1], text))
 
-    def close(to: int) -> None:
+    def close_top() -> None:
         nonlocal in_link
         flush()
-        in_link -= sum(tag == "a" for tag, _ in stack[to:])
-        del stack[to:]
+        tag, _, links = stack.pop()
+        n_open[tag] -= 1
+        in_link -= links
 
     for m in _TOKEN.finditer(page):
         if m.start() < at:
@@ -125,52 +136,44 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
             continue
         is_end, rest = bool(m[1] or m[4]), m[3] or m[6] or ""
         if is_end:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    if tag in KIND_OF:
-                        close(i)
-                    else:
-                        in_link -= tag == "a"
-                        del stack[i]
-                    break
-                if stack[i][0] in KIND_OF and tag not in KIND_OF:
-                    break
-            continue
-        if tag in RAW and not rest.endswith("/"):
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            if tag == "head" and not end:
-                body = re.compile(r"<body\b", re.I).search(page, at)
+            if tag in KIND_OF and tag != "html" and n_open[tag]:
+                while stack[-1][0] != tag:
+                    close_top()
+                close_top()
+            elif tag == "a" and stack[-1][2]:
+                stack[-1][2] -= 1
+                in_link -= 1
+        elif tag in RAW and not rest.endswith("/"):
+            end = _END[tag].search(page, at)
+            if end:
+                at = end.end()
+            elif tag in TO_END:
+                at = size
+            elif tag == "head":
+                body = _BODY.search(page, at)
                 at = body.start() if body else at
-            else:
-                at = end.end() if end else size
             pieces.append(" ")
-            continue
-        if tag == "br" or tag == "wbr":
+        elif tag == "br" or tag == "wbr":
             pieces.append(" " if tag == "br" else "")
-            continue
-        if tag in VOID:
+        elif tag in VOID:
             if tag == "hr":
                 flush()
-            continue
-        if tag in KIND_OF:
-            if tag in ("html", "body") and not any(t in ("body",) for t, _ in stack) or tag not in ("html", "body"):
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == "p" or stack[i][0] in CLOSES.get(tag, ()):
-                        close(i)
-                        break
-                    if stack[i][0] in KIND_OF and KIND_OF[stack[i][0]] not in (KIND_OF["p"], KIND_OF["h1"]):
-                        break
-                flush()
-                parent = stack[-1][1]
-                if tag == "html":
-                    continue
-                cues = [c for m_ in _LABELS.finditer(rest) for w in _WORD.findall(m_[1] or m_[2] or m_[3] or "") for c in CUE_OF.get(w.lower(), ())]
-                mark = _MARKED.search(rest)
-                elements.append(Element(tag, parent, sorted(set(cues)), int(mark[1]) if mark else elements[parent].label, hidden="hidden" in rest or "display:none" in rest.replace(" ", "")))
-                stack.append((tag, len(elements) - 1))
-        else:
-            in_link += tag == "a"
-            stack.append((tag, stack[-1][1]))
+        elif tag in KIND_OF:
+            if tag == "html" or (tag == "body" and n_open["body"]):
+                continue
+            flush()
+            ends = CLOSES.get(tag, CHOICES)
+            while stack[-1][0] == "p" or stack[-1][0] in ends or (stack[-1][0] in CHOICES and tag not in CHOICES):
+                close_top()
+            parent = stack[-1][1]
+            cues = [c for m_ in _LABELS.finditer(rest) for w in _WORD.findall(m_[1] or m_[2] or m_[3] or "") for c in CUE_OF.get(w.lower(), ())]
+            mark = _MARKED.search(rest)
+            elements.append(Element(tag, parent, sorted(set(cues)), int(mark[1]) if mark else elements[parent].label, hidden="hidden" in rest or "display:none" in rest.replace(" ", "")))
+            stack.append([tag, len(elements) - 1, 0])
+            n_open[tag] += 1
+        elif tag == "a":
+            stack[-1][2] += 1
+            in_link += 1
     if at < size:
         pieces.append(page[at:])
     flush()

@@ -12,7 +12,8 @@ at it.  A template is a label if that share is ALIGNED or more at an alignment a
 stand, word for word, within the aligned stretch; no other notice of the document changes that.
 
 Cases: null and empty texts have no words, labels '' and score 0; repeated rows each get a row; a null
-doc_id is kept; an empty table gives an empty result; other columns are not looked at.
+doc_id is kept; a very long text is scanned whole; an empty table gives an empty result; other columns, whatever
+their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from offerledger.llm import kernel, shared
 
 # Phrases and their labels.
-BASE = {"the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
 # Licence notices by label, each with the phrases that must stand in it.
 TEMPLATES = (
