@@ -9,29 +9,33 @@ How links are found, none lost and no group expanded to all its pairs:
 2. Sets are globally ordered, rare shingles first: the top bits of a shingle's number hold how frequent
    its words are in the corpus (at most MAX_FREQUENT words, counted over all documents, have a level),
    the rest is its hash.  Two linked sets share a shingle among the first n - ceil(0.85 n) + 1 of
-   both, so only these prefixes are shuffled.
-3. Postings of a shingle are ordered by set size.  First only neighbours in a posting become
-   candidates; verified links give components.  Then, for MERGE_ROUNDS rounds, each component's
-   closest pair with another component in a posting does.  All this is linear in the postings.
-   At last every pair of *different* components that share a prefix shingle is a candidate, cut by
-   the size, position and bitmap bounds (each exact: they never drop a link).
-4. Candidates are verified on whole sets.  The partners of a document are stored in a prefix tree of
-   their ordered sets; one traversal shares the overlap of common beginnings and prunes subtrees
-   whose remaining length can't reach the needed overlap.
+   both; a set goes to each of these that another set has too, with the shared ones that come after it
+   (the next REST: more would tighten bounds, not change results).
+3. The sets of a shingle, sorted by what comes after it, are a prefix tree.  Every set is taken through the tree
+   of each of its shingles, all sets of a batch at once and level by level: sets with a common beginning share
+   the overlap counted so far, and a subtree is left as soon as that overlap and the shorter of both remaining
+   lengths can't reach what a link needs, or if all its sets are in the set's own component.
+4. For MERGE_ROUNDS rounds only neighbours in tree order become candidates (work is linear in the postings),
+   and verified links give components.  The last round takes whole trees, between different components.
+   A shingle of more than BLOCK sets is dealt over blocks: sets of its largest component meet only
+   the sets outside it, block by block, so no task holds more than two blocks.
+5. Candidates are verified on whole sets; a set with many partners is dealt over several tasks.
 
 Cases: null, empty and blank texts have no set (0 shingles) and are classes of their own; copies
 share a class; a repeated doc_id gives a row each time; a row with a null doc_id keeps its row and
-links others, but names no class (its own class may then be null); an empty table gives an empty
-result; other columns are not looked at.
+links others, but names no class (its own class may then be null); a very long text has all its shingles; an
+empty table gives an empty result; other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerledger.llm import kernel, shared
@@ -44,12 +48,15 @@ PERCENT = 85
 MAX_FREQUENT = 65_536
 #: an Arrow task reports a word as frequent from this count in its own rows
 FREQUENT_IN_TASK = 64
-#: parity bitmaps have a power of two of bits, at least this and half the set's size
-BITS = 512
-#: bits of the bitmaps that travel with postings
-COARSE = 1024
-PAIRS_PER_BLOCK = 3000
+#: shared shingles that go with a set to each of its shingles
+REST = 32
+#: sets of a shingle that meet in one task
+BLOCK = 512
 MERGE_ROUNDS = 2
+#: shingles of candidates verified together, and of one set's partners
+CHECKED_AT_ONCE = 1_000_000
+#: shingles looked up at once in a tree
+AT_ONCE = 1 << 20
 _LEVEL_AT = np.uint64(57)
 
 
@@ -94,66 +101,130 @@ def signature(found: np.ndarray) -> int:
     return int(kernel.mix64(np.array([kernel.mix64(found ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) + np.uint64(len(found))]))[0].view(np.int64))
 
 
-def parity_bits(found: np.ndarray, least: int = BITS) -> np.ndarray:
-    """Parity bitmap: its Hamming distance to another set's is at most the symmetric difference.
-
-    Halving a bitmap by exclusive or gives the bitmap of half the size.
-    """
-    size = max(least, 1 << max(len(found) // 2 - 1, 0).bit_length()) if least == BITS else least
-    odd = np.bincount((found & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
-
-
 def need(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     """Smallest overlap of sets of n and m that links them."""
     return -((-percent * (n + m)) // (100 + percent))
 
 
-class PrefixTree:
-    """Trie of ordered sets with shared beginnings; edges hold runs of shingles."""
-
-    def __init__(self, sets: list[np.ndarray], names: list[int]):
-        order = sorted(range(len(sets)), key=lambda i: sets[i].tobytes())
-        self.sets, self.names = [sets[i] for i in order], [names[i] for i in order]
-        self.shared = [0] + [self._common(a, b) for a, b in zip(self.sets, self.sets[1:], strict=False)]
-        self.root = self._node(0, len(self.sets), 0)
-
-    @staticmethod
-    def _common(a: np.ndarray, b: np.ndarray) -> int:
-        n = min(len(a), len(b))
-        differ = np.flatnonzero(a[:n] != b[:n])
-        return int(differ[0]) if len(differ) else n
-
-    def _node(self, low: int, high: int, depth: int) -> tuple:
-        """(depth, shortest set, longest set, ends here, [(run of shingles, child)]) of the sets low..high."""
-        sizes = [len(s) for s in self.sets[low:high]]
-        ends, at, edges = [], low, []
-        while at < high and len(self.sets[at]) == depth:
-            ends.append(self.names[at])
-            at += 1
-        while at < high:
-            stop, common = at + 1, len(self.sets[at])
-            while stop < high and self.shared[stop] > depth:
-                common = min(common, self.shared[stop])
-                stop += 1
-            edges.append((self.sets[at][depth:common], self._node(at, stop, common)))
-            at = stop
-        return depth, min(sizes), max(sizes), ends, edges
-
-    def linked(self, query: np.ndarray, percent: int) -> list[int]:
-        """Names of the sets that link with the query (ascending hashes)."""
-        out, stack, n = [], [(self.root, 0)], len(query)
-        while stack:
-            (depth, shortest, longest, ends, edges), overlap = stack.pop()
-            if overlap + min(n - overlap, longest - depth) < need(n, shortest, percent):
-                continue
-            if ends and overlap >= need(n, depth, percent):
-                out += ends
-            for run, child in edges:
-                at = np.minimum(np.searchsorted(query, run), n - 1)
-                stack.append((child, overlap + int((query[at] == run).sum())))
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin, begin + 1 ... for each begin, size of them, one after another."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+class PrefixTrees:
+    """Prefix trees of the sets of several shingles: rows sorted by group (shingle), then by what comes after it.
+
+    Of each row: n and comp (the set's size and component), pos (how many of its shingles come before the group's),
+    tokens and places (the shared shingles after it, in the global order, and how many come before each), done and
+    upto (the shingles up to `upto`, `done` of them, are known: what is shared among them is in tokens), side (rows
+    of equal sides aren't paired, but those of side 0 are).
+
+    A node is a run of rows with the same beginning; those of depth d are told by the rows' common lengths with
+    the row before.
+    """
+
+    def __init__(self, group, side, n, pos, comp, done, upto, tokens: np.ndarray, places: np.ndarray, sizes: np.ndarray, percent: int):
+        self.group, self.side, self.n, self.pos, self.comp, self.done, self.upto = group, side, n, pos, comp, done, upto
+        self.places, self.sizes, self.percent = places, sizes, percent
+        self.begin = np.cumsum(sizes) - sizes
+        known, self.rank = np.unique(tokens, return_inverse=True)
+        self.width = len(known) + 1
+        #: (row, shingle) of every shingle of every row, ascending
+        self.held = np.repeat(np.arange(len(n)), sizes) * self.width + self.rank
+        self.common = self._common()
+        #: how often the component changes up to each row
+        self.changes = np.cumsum(np.r_[0, comp[1:] != comp[:-1]])
+
+    def _common(self) -> np.ndarray:
+        """Length of the beginning that each row has in common with the row before, in the same group."""
+        out = np.zeros(len(self.n), np.int64)
+        both = np.flatnonzero(self.group[1:] == self.group[:-1]) + 1
+        size = np.minimum(self.sizes[both], self.sizes[both - 1])
+        out[both] = size
+        step = _ranges(np.zeros(len(both), np.int64), size)
+        apart = np.flatnonzero(self.rank[np.repeat(self.begin[both], size) + step] != self.rank[np.repeat(self.begin[both - 1], size) + step])
+        np.minimum.at(out, np.repeat(both, size)[apart], step[apart])
         return out
 
+    def _level(self, depth: int) -> tuple[np.ndarray, ...]:
+        """Nodes of a depth: first row, end, shingle, longest remaining length, smallest set, rows that end here."""
+        rows = np.flatnonzero(self.sizes >= depth) if depth else np.arange(len(self.n))
+        first = np.flatnonzero(self.common[rows] < depth if depth else np.r_[True, self.group[1:] != self.group[:-1]])
+        at = self.begin[rows] + depth - 1
+        place = self.places[at] if depth else self.pos
+        lows, counts = rows[first], np.diff(np.r_[first, len(rows)])
+        over = lambda f, x: f.reduceat(x, first) if len(first) else x[:0]
+        return lows, lows + counts, self.rank[at[first]] if depth else first, over(np.maximum, self.n[rows] - place - 1), over(np.minimum, self.n[rows]), over(np.add, (self.sizes[rows] == depth).astype(np.int64))
+
+    def _met(self, row: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether the row holds the shingle, and the place of its last shingle up to there."""
+        key = row * self.width + rank
+        at = np.searchsorted(self.held, key, side="right") - 1
+        some = at >= self.begin[row]
+        at = np.maximum(at, 0)
+        return some & (self.held[at] == key), np.where(some, self.places[at], self.pos[row])
+
+    def neighbours(self) -> tuple[np.ndarray, np.ndarray]:
+        """Rows next to each other in a tree that may link, of different components."""
+        x = np.flatnonzero(self.group[1:] == self.group[:-1]) + 1
+        return self._able(x, x - 1)
+
+    def all_pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of one tree that may link, of different components."""
+        found = []
+        low, high, _, remains, smallest, ended = level = self._level(0)
+        x = np.arange(len(self.n))
+        node = np.repeat(np.arange(len(low)), high - low)
+        overlap, depth = np.ones(len(x), np.int64), 0
+        while True:
+            # Only rows before x: each pair once.
+            last_of = np.minimum(high[node], x)
+            alone = (last_of - low[node] == 1) | (ended[node] == high[node] - low[node])
+            here = np.where(alone, last_of - low[node], np.minimum(ended[node], last_of - low[node]))
+            y = _ranges(low[node], np.maximum(here, 0))
+            found.append(self._able(np.repeat(x, np.maximum(here, 0)), y))
+            x, node, overlap = x[~alone], node[~alone], overlap[~alone]
+            if not len(x):
+                break
+            depth += 1
+            below = self._level(depth)
+            first, end = np.searchsorted(below[0], low[node]), np.searchsorted(below[0], high[node])
+            low, high, token, remains, smallest, ended = level = below
+            count = end - first
+            x, overlap, node = np.repeat(x, count), np.repeat(overlap, count), _ranges(first, count)
+            near = low[node] < x
+            near &= (self.changes[high[node] - 1] != self.changes[low[node]]) | (self.comp[low[node]] != self.comp[x])
+            x, overlap, node = x[near], overlap[near], node[near]
+            met, place = self._met(x, token[node])
+            overlap = overlap + met
+            able = overlap + np.minimum(self.n[x] - place - 1, remains[node]) >= need(self.n[x], smallest[node], self.percent)
+            x, overlap, node = x[able], overlap[able], node[able]
+        return tuple(np.concatenate(z) for z in zip(*found, strict=True))
+
+    def _able(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of different components that may link by all that is known of both."""
+        n, comp, side = self.n, self.comp, self.side
+        keep = (comp[x] != comp[y]) & ((side[x] != side[y]) | (side[x] == 0))
+        keep &= 1 + np.minimum(n[x] - self.pos[x], n[y] - self.pos[y]) - 1 >= need(n[x], n[y], self.percent)
+        x, y = x[keep], y[keep]
+        out, begin, total = [], 0, np.cumsum(self.sizes[y])
+        while begin < len(x):
+            end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + AT_ONCE, side="right")))
+            p, q = x[begin:end], y[begin:end]
+            size, begin = self.sizes[q], end
+            at, owner = _ranges(self.begin[q], size), np.repeat(np.arange(len(p)), size)
+            met, place = self._met(p[owner], self.rank[at])
+            overlap = 1 + np.bincount(owner[met], minlength=len(p))
+            in_p, in_q = self.pos[p].copy(), self.pos[q].copy()  # places of the last shared shingle
+            np.maximum.at(in_p, owner[met], place[met])
+            np.maximum.at(in_q, owner[met], self.places[at[met]])
+            # The set that is known up to the smaller shingle has no other shared one up to there.
+            left = np.where(self.upto[p] <= self.upto[q], n[p] - np.maximum(self.done[p], in_p + 1), n[p] - in_p - 1)
+            right = np.where(self.upto[q] <= self.upto[p], n[q] - np.maximum(self.done[q], in_q + 1), n[q] - in_q - 1)
+            may = overlap + np.minimum(left, right) >= need(n[p], n[q], self.percent)
+            out.append((p[may], q[may]))
+        return tuple(np.concatenate(z) for z in zip(*out, strict=True)) if out else (x, y)
+
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the words that are frequent in the task, and of all its words (word null)."""
@@ -190,175 +261,158 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return kernel.list_array(kernel.as_long(flat), np.array([len(x) for x in arrays], np.int64))
 
 
-def _scan(k: int, percent: int, levels):
-    """Signature, size, bitmaps and ordered prefix of each document's set."""
+def _scan(k: int, levels):
+    """Signature, size and ordered shingles of each document's set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in kernel.slices(whole):
                 sets = shingle_sets(batch.column("text"), k, levels.value)
-                n = np.array([len(s) for s in sets], np.int64)
                 names = pa.array([signature(s) if len(s) else None for s in sets], pa.int64())
-                prefix = [s[: len(s) + 1 + (-percent * len(s)) // 100] if len(s) else s for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), names, pa.array(n), _lists([parity_bits(s) for s in sets]), _lists([parity_bits(s, COARSE) for s in sets]), _lists(prefix)], ["doc_id", "key", "sig", "n", "bits", "coarse", "prefix"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), names, pa.array([len(s) for s in sets], pa.int64()), _lists(sets)], ["doc_id", "sig", "n", "tokens"])
 
     return work
 
 
-def _whole_sets(k: int, levels):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in kernel.slices(whole):
-                sets = [s for s in shingle_sets(batch.column("text"), k, levels.value) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([signature(s) for s in sets], pa.int64()), _lists(sets)], ["sig", "tokens"])
-
-    return work
+_NUMBERS = ("side", "n", "pos", "comp", "done")
 
 
-def _apart(percent: int, nearest: bool):
-    """Candidates of different components out of rows sorted by token and size: pairs that pass every bound.
+def _candidates(percent: int, nearest: bool):
+    """Pairs (a < b, with sizes) out of rows sorted by token, blocks and rest."""
 
-    nearest: of each posting only the closest such pair of each component, by the bitmaps.
-    """
-
-    def of_posting(sig, n, pos, comp, bits) -> tuple[np.ndarray, np.ndarray]:
-        found = []
-        for begin in range(0, len(sig), 256):
-            end = min(begin + 256, len(sig))
-            low = int(np.searchsorted(n, -(-percent * n[begin] // 100)))
-            i, j = np.arange(begin, end)[:, None], np.arange(low, end)[None, :]
-            able = (j < i) & (comp[i] != comp[j]) & (100 * n[j] >= percent * n[i])
-            able &= np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need(n[i], n[j], percent)
-            x, y = np.nonzero(able)
-            x, y = x + begin, y + low
-            for k in range(0, len(x), 100_000):
-                p, q = x[k : k + 100_000], y[k : k + 100_000]
-                far = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64)
-                spare = n[p] + n[q] - 2 * need(n[p], n[q], percent) - far
-                found.append((p[spare >= 0], q[spare >= 0], spare[spare >= 0]))
-        if not found:
-            return sig[:0], sig[:0]
-        x, y, spare = (np.concatenate(c) for c in zip(*found, strict=True))
-        if nearest and len(x):
-            owner, pair = np.concatenate([comp[x], comp[y]]), np.tile(np.arange(len(x)), 2)
-            order = np.lexsort((pair, -spare[pair], owner))
-            first = np.r_[True, owner[order][1:] != owner[order][:-1]]
-            keep = np.unique(pair[order[first]])
-            x, y = x[keep], y[keep]
-        return sig[x], sig[y]
+    def of_groups(rows: pa.RecordBatch, group: np.ndarray) -> Iterator[pa.RecordBatch]:
+        column = lambda c: rows.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+        rest, places = rows.column("rest"), rows.column("places")
+        trees = PrefixTrees(group, *(column(c) for c in _NUMBERS), column("upto").view(np.uint64), np.asarray(rest.flatten()).view(np.uint64), np.asarray(places.flatten()).astype(np.int64), np.asarray(rest.value_lengths()).astype(np.int64), percent)
+        x, y = trees.neighbours() if nearest else trees.all_pairs()
+        sig = column("sig")
+        flip = sig[x] > sig[y]
+        x, y = np.where(flip, y, x), np.where(flip, x, y)
+        _, once = np.unique(np.stack([sig[x], sig[y]]), axis=1, return_index=True)
+        if len(once):
+            yield pa.RecordBatch.from_arrays([pa.array(c[z[once]]) for c in (sig, trees.n) for z in (x, y)], ["a", "b", "na", "nb"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for batch in batches:
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "sig", "n", "pos", "comp")]
-            cols.append(np.asarray(batch.column("coarse").flatten()).view(np.uint64).reshape(-1, COARSE // 64))  # unsigned: bits are counted
-            if held:
-                cols = [np.concatenate([h, c]) for h, c in zip(held, cols, strict=True)]
-            cuts = np.r_[0, np.flatnonzero(np.diff(cols[0])) + 1, len(cols[0])]
-            yield from pairs(cols, cuts[:-1])
-            held = [c[cuts[-2] :] for c in cols]
-        if held:
-            yield from pairs(held, np.array([0, len(held[0])]))
-
-    def pairs(cols: list[np.ndarray], cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        found: set[tuple[int, int]] = set()
-        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-            x, y = of_posting(*(c[low:high] for c in cols[1:]))
-            found.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True))
-        if found:
-            a, b = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        held = None
+        for batch in chain(batches, [None]):
+            parts = [b for b in (held, batch) if b is not None and b.num_rows]
+            if not parts:
+                continue
+            rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+            keys = np.stack([rows.column(c).to_numpy() for c in ("token", "i", "j")])
+            starts = np.r_[0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, rows.num_rows]
+            sizes = np.diff(starts)
+            done = len(sizes) if batch is None else len(sizes) - 1
+            work_of, k = np.cumsum(sizes.astype(np.int64) ** 2), 0
+            while k < done:
+                end = min(done, max(k + 1, int(np.searchsorted(work_of, (work_of[k - 1] if k else 0) + 4 * BLOCK * BLOCK, side="right"))))
+                yield from of_groups(rows.slice(starts[k], starts[end] - starts[k]), np.repeat(np.arange(end - k), sizes[k:end]))
+                k = end
+            held = rows.slice(starts[done])
 
     return work
 
 
 def _check_block(percent: int):
-    """Links among the candidate pairs of a block, by a prefix tree for each document's partners."""
+    """Links among the candidate pairs of a block (rows with b), on the whole sets in it (rows without)."""
 
     def work(block: pa.Table) -> pa.Table:
-        block = block.combine_chunks()
-        is_set = np.asarray(block.column("b").is_null())
-        sets_of = block.filter(pa.array(is_set))
-        lists = sets_of.column("tokens").combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        flat, cut = np.asarray(lists.flatten()).view(np.uint64), np.r_[0, np.cumsum(np.asarray(lists.value_lengths()))]
-        known = {s: flat[cut[i] : cut[i + 1]] for i, s in enumerate(sets_of.column("a").to_pylist())}
-        pairs = block.filter(pa.array(~is_set))
-        partners: dict[int, list[int]] = {}
+        is_set = block.column("b").is_null()
+        sets_of, pairs = block.filter(is_set).combine_chunks(), block.filter(pc.invert(is_set))
+        known: dict[int, np.ndarray] = {}
+        for name, tokens in zip(sets_of.column("a").to_pylist(), sets_of.column("tokens"), strict=True):
+            known[name] = np.asarray(tokens.values).view(np.uint64)
+        links = []
         for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
-            partners.setdefault(a, []).append(b)
-        links = [(a, b) for a, bs in partners.items() for b in PrefixTree([known[b] for b in bs], bs).linked(known[a], percent)]
+            x, y = known[a], known[b]
+            at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+            if int((x[at] == y).sum()) >= need(len(x), len(y), percent):
+                links.append((a, b))
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return work
 
 
-def _fetched_by(texts: DataFrame) -> DataFrame:
-    """texts with the key that whole sets are fetched by: the doc_id, or for a null one a hash of the text."""
-    return texts.withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
-
-
 def ngram_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links), a row per document."""
-    texts = _fetched_by(shared.keyed_texts(docs))
+    texts = shared.keyed_texts(docs)
     levels = docs.sparkSession.sparkContext.broadcast(word_levels(texts))
-    members = shared.written(texts.mapInArrow(_scan(k, percent, levels), "doc_id long, key long, sig long, n long, bits array<long>, coarse array<long>, prefix array<long>"), "ngram-docs")
-    nodes = members.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
-    prefixes = members.where("sig is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    postings = prefixes.select(F.posexplode("prefix").alias("pos", "token"), "sig", "n")
-    posting = Window.partitionBy("token").orderBy("n", "sig")
-    before = F.lag(F.struct("sig", "n", "pos")).over(posting)
-    shared_ones = shared.written(postings.select("token", "sig", "n", "pos", before.alias("prev"), F.lead("sig").over(posting).alias("next")).where("prev is not null or next is not null").drop("next"), "ngram-postings")
-
-    need_sql = f"-floor(-{percent} * (n + prev.n) / {100 + percent}.0d)"
-    near = shared_ones.where(f"prev is not null and 100 * prev.n >= {percent} * n and least(n - pos, prev.n - prev.pos) >= {need_sql}")
-    pairs = near.select(F.least("sig", "prev.sig").alias("a"), F.greatest("sig", "prev.sig").alias("b")).distinct()
-    links = shared.written(_verified(pairs, members, texts, levels, k, percent), "ngram-links")
-    class_of = components(links)
-
-    coarse = _one_each(members, "coarse")
-
-    def candidates(class_of: DataFrame, nearest: bool) -> DataFrame:
-        placed = shared_ones.join(class_of.select(F.col("node").alias("sig"), "component"), "sig", "left").select("token", "sig", "n", "pos", F.coalesce("component", "sig").alias("comp"))
-        mixed = placed.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
-        open_ones = placed.join(mixed, "token", "left_semi").join(coarse, "sig")
-        sorted_ones = open_ones.repartition("token").sortWithinPartitions("token", "n", "sig")
-        return shared.written(sorted_ones.mapInArrow(_apart(percent, nearest), "a long, b long").distinct(), "ngram-pairs")
-
-    merging = MERGE_ROUNDS
-    while merging >= 0:
-        found = shared.written(_verified(candidates(class_of, nearest=merging > 0), members, texts, levels, k, percent), "ngram-links")
-        new = not found.isEmpty()
-        if new:
-            links = links.unionByName(found)
+    scanned = shared.written(texts.mapInArrow(_scan(k, levels), "doc_id long, sig long, n long, tokens array<long>"), "ngram-scan")
+    members = shared.written(scanned.select("doc_id", "sig", "n"), "ngram-docs")
+    sets = shared.written(scanned.where("sig is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "ngram-sets")
+    shared.dropped(scanned)
+    prefix = F.col("n") + F.floor(F.lit(-percent) * F.col("n") / 100).cast("long") + 1
+    postings = sets.withColumn("size", prefix.cast("int")).select("sig", "n", "size", F.posexplode(F.slice("tokens", F.lit(1), F.col("size"))).alias("pos", "token"), F.element_at("tokens", F.col("size")).alias("last"))
+    # Shingles that begin two sets or more; of each set those alone go on, with their places.
+    again = postings.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1")
+    held = F.struct("pos", "token", "holders")
+    heads = postings.join(again, "token").groupBy("sig", "n", "size", "last").agg(F.sort_array(F.collect_list(held)).alias("held"))
+    heads = shared.written(heads, "ngram-heads")
+
+    links, class_of = None, None
+    for turn in range(MERGE_ROUNDS + 1):
+        nearest = turn < MERGE_ROUNDS
+        pairs = shared.written(_paired(heads, class_of, percent, nearest), "ngram-pairs")
+        found = shared.written(_verified(pairs, sets, percent), "ngram-links")
+        shared.dropped(pairs)
+        if class_of is None or not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
             class_of = components(links)
-        merging = merging - 1 if new or merging == 0 else 0  # nothing near any more: all pairs
 
-    named = nodes.select("sig", "doc_id").join(class_of.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    nodes = members.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
+    named = nodes.join(class_of.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_sig = named.join(least, "component").select("sig", "component_id")
-    return members.select("doc_id", "sig", "n").join(of_sig, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-
-
-def _one_each(members: DataFrame, *columns: str) -> DataFrame:
-    return members.where("sig is not null").groupBy("sig").agg(*(F.first(c).alias(c) for c in columns))
-
-
-def _verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, levels, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b of set names) that link.  Whole sets travel once to each block that needs them."""
-    bits = _one_each(members, "n", "bits")
-    both = pairs.join(bits.toDF("a", "na", "xa"), "a").join(bits.toDF("b", "nb", "xb"), "b")
-    # Linked sets differ in size by less than two (percent is over 50), so their bitmaps by one halving at most.
-    halved = "zip_with(slice({0}, 1, size({0}) div 2), slice({0}, size({0}) div 2 + 1, size({0}) div 2), (x, y) -> x ^ y)"
-    same = both.withColumn("x", F.expr(f"case when size(xa) > size(xb) then {halved.format('xa')} else xa end")).withColumn("y", F.expr(f"case when size(xb) > size(xa) then {halved.format('xb')} else xb end"))
-    far = F.expr("aggregate(zip_with(x, y, (p, q) -> bit_count(p ^ q)), 0, (s, d) -> s + d)")
-    left = shared.written(same.where(far <= F.expr(f"na + nb + 2 * floor(-{percent} * (na + nb) / {100 + percent}.0d)")).select("a", "b"), "ngram-candidates")
-    n_blocks = max(1, -(-left.count() // PAIRS_PER_BLOCK))
-    blocked = left.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(n_blocks)))
+    return members.join(of_sig, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _paired(heads: DataFrame, class_of: DataFrame | None, percent: int, nearest: bool) -> DataFrame:
+    """Distinct candidates (a, b, na, nb) between different components, from the prefix trees of shared shingles."""
+    comp = F.col("sig") if class_of is None else F.coalesce("component", "sig")
+    if class_of is not None:
+        heads = heads.join(class_of.withColumnRenamed("node", "sig"), "sig", "left")
+    heads = heads.withColumn("comp", comp)
+    rest = F.slice("held", F.col("at") + 2, F.lit(REST))
+    whole = F.size("held") <= F.col("at") + 1 + REST
+    of_each = heads.select("sig", "n", "size", "last", "comp", "held", F.posexplode("held").alias("at", "h")).select("sig", "n", "comp", F.col("h.pos").alias("pos"), F.col("h.token").alias("token"), F.col("h.holders").alias("holders"), rest.alias("r"), whole.alias("whole"), "size", "last")
+    end = F.try_element_at("r", F.lit(-1))
+    rows = of_each.select("token", "holders", "sig", "n", "pos", "comp", F.col("r.token").alias("rest"), F.col("r.pos").alias("places"), F.when(F.col("whole"), F.col("size")).otherwise(end["pos"] + 1).cast("long").alias("done"), F.when(F.col("whole"), F.col("last")).otherwise(end["token"]).alias("upto"))
+    if class_of is not None:
+        mixed = heads.select("comp", F.explode("held.token").alias("token")).groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
+        rows = rows.join(mixed, "token", "left_semi")
+    few = rows.where(F.col("holders") <= BLOCK).withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(0)})
+    many = rows.where(F.col("holders") > BLOCK)
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    block_of = lambda n: F.pmod(F.xxhash64("sig"), n).cast("int")
+    if nearest:
+        many = many.withColumn("i", block_of(blocks("holders"))).withColumns({"j": F.col("i"), "side": F.lit(0)})
+    else:
+        sizes = many.groupBy("token", "comp").agg(F.count("*").alias("size"))
+        main = sizes.groupBy("token").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"), F.max("size").alias("n_main"), F.sum("size").alias("n_all"))
+        many = many.join(main, "token").withColumn("out", F.col("comp") != F.col("main"))
+        # Blocks of the sets outside the main component: 0 ... n_out - 1; of those in it: n_out ...
+        n_out = F.greatest(F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK), F.lit(1)).cast("int")
+        many = many.withColumn("n_out", n_out).withColumn("own", F.when(F.col("out"), block_of(F.col("n_out"))).otherwise(F.col("n_out") + block_of(blocks("n_main"))))
+        others = F.when(F.col("out"), F.sequence(F.lit(0), F.col("n_out") + blocks("n_main") - 1)).otherwise(F.sequence(F.lit(0), F.col("n_out") - 1))
+        many = many.withColumn("other", F.explode(others)).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+        many = many.withColumn("side", F.when(F.col("i") == F.col("j"), 0).when(F.col("own") == F.col("i"), 1).otherwise(2))
+    columns = ["token", "i", "j", "side", "sig", "n", "pos", "comp", "done", "upto", "rest", "places"]
+    dealt = few.select(columns).unionByName(many.select(columns)).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "rest")
+    return dealt.mapInArrow(_candidates(percent, nearest), "a long, b long, na long, nb long").distinct()
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b of set names) that link.  Whole sets travel once to each block that needs them.
+
+    The partners of a set are dealt over as many parts as their shingles need, parts over blocks of bounded size.
+    """
+    total = pairs.agg(F.coalesce(F.sum(F.col("na") + F.col("nb")), F.lit(0)).alias("n")).first()["n"]
+    n_blocks = max(1, -(-total // CHECKED_AT_ONCE))
+    partners = pairs.groupBy("a").agg(F.sum("nb").alias("partners"))
+    part = F.pmod(F.xxhash64("b"), F.ceil(F.col("partners") * 4 / CHECKED_AT_ONCE))
+    blocked = pairs.join(partners, "a").withColumn("block", F.pmod(F.xxhash64("a", part), F.lit(n_blocks))).select("block", "a", "b")
     wanted = blocked.select("block", F.explode(F.array("a", "b")).alias("sig")).distinct()
-    holders = members.select("sig", "key").join(wanted.select("sig").distinct(), "sig", "left_semi").groupBy("sig").agg(F.min("key").alias("key")).select("key").distinct()
-    sets = texts.join(holders, "key", "left_semi").mapInArrow(_whole_sets(k, levels), "sig long, tokens array<long>")
-    carried = wanted.join(sets.groupBy("sig").agg(F.first("tokens").alias("tokens")), "sig").select("block", F.col("sig").alias("a"), F.lit(None).cast("long").alias("b"), "tokens")
+    carried = wanted.join(sets.select("sig", "tokens"), "sig").select("block", F.col("sig").alias("a"), F.lit(None).cast("long").alias("b"), "tokens")
     rows = carried.unionByName(blocked.select("block", "a", "b", F.lit(None).cast("array<long>").alias("tokens")))
     return rows.groupBy("block").applyInArrow(_check_block(percent), "a long, b long")
 

@@ -35,6 +35,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete a table that written() made.  Only once all that was made of it is in tables of its own: a lost
+    executor would ask for it again."""
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just the id (long) and the text (null: empty), whatever else the table carries."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

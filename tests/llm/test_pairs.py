@@ -102,14 +102,62 @@ def test_near_duplicates_of_the_pipeline(spark):
     assert {c for _, c in classes(texts).values()} > set(root.values())
 
 
-def test_prefix_tree():
+def test_prefix_trees():
+    """What the trees leave out can't link, whole trees miss no pair, and sets of one component are left out."""
     r = np.random.default_rng(5)
-    base = np.sort(r.choice(2**40, 300, replace=False).astype(np.uint64))
-    sets = [np.unique(np.concatenate([base[: 300 - 5 * i], r.choice(2**40, 3 * i).astype(np.uint64)])) for i in range(20)]
-    tree = ngram_jaccard.PrefixTree(sets, list(range(20)))
-    for i in range(20):
-        want = {j for j in range(20) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))}
-        assert set(tree.linked(sets[i], 85)) == want
+    sets = []
+    for _ in range(12):
+        base = np.sort(r.choice(2**40, 200, replace=False).astype(np.uint64))
+        sets += [np.unique(np.concatenate([np.delete(base, r.choice(200, 3 * i, replace=False)), r.choice(2**40, 2 * i).astype(np.uint64)])) for i in range(8)]
+    sets = sets + [s[:160] for s in sets[::8]]
+    comp = np.arange(len(sets)) // 3
+    holders = Counter(t for s in sets for t in s[: len(s) - -(-85 * len(s) // 100) + 1].tolist())
+    rows = []
+    for i, s in enumerate(sets):
+        size = len(s) - -(-85 * len(s) // 100) + 1
+        held = [(p, t) for p, t in enumerate(s[:size].tolist()) if holders[t] > 1]
+        for k, (p, t) in enumerate(held):
+            rest = held[k + 1 : k + 6]
+            whole = len(held) <= k + 6
+            rows.append((t, [x for _, x in rest], i, p, [q for q, _ in rest], size if whole else rest[-1][0] + 1, int(s[size - 1]) if whole else rest[-1][1]))
+    rows.sort(key=lambda x: x[:2])
+    column = lambda k: np.array([x[k] for x in rows], np.int64)
+    flat = lambda k: np.array([y for x in rows for y in x[k]], np.int64)
+    who = column(2)
+    n = np.array([len(s) for s in sets])[who]
+    trees = ngram_jaccard.PrefixTrees(column(0), 0 * who, n, column(3), comp[who], column(5), column(6).view(np.uint64), flat(1).view(np.uint64), flat(4), np.array([len(x[1]) for x in rows]), 85)
+    found = {tuple(sorted((int(who[x]), int(who[y])))) for x, y in zip(*trees.all_pairs(), strict=True)}
+    overlap = lambda i, j: len(np.intersect1d(sets[i], sets[j]))
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if comp[i] != comp[j] and 100 * overlap(i, j) >= 85 * len(np.union1d(sets[i], sets[j]))}
+    assert len(want) > 50 and want <= found and len(found) < 4 * len(want)
+    near = {tuple(sorted((int(who[x]), int(who[y])))) for x, y in zip(*trees.neighbours(), strict=True)}
+    assert near <= found and len(near & want) > 20
+
+
+def test_nested_sets(spark):
+    """Each document is the one before and a word more, so every set holds the smaller ones."""
+    words = [f"w{i}" for i in range(1100)]
+    texts = {i: " ".join(words[: 600 + i]) for i in range(0, 500, 4)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_jaccard.ngram_classes(df).collect()} == classes(texts)
+
+
+@pytest.mark.parametrize("block", [3, 20])
+def test_blocks_of_a_frequent_shingle(spark, monkeypatch, block):
+    """Shingles of more sets than a block: the same classes."""
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", block)
+    monkeypatch.setattr(ngram_jaccard, "REST", 4)
+    monkeypatch.setattr(ngram_jaccard, "CHECKED_AT_ONCE", 2000)
+    r = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(80)]
+    texts = {}
+    for i in range(120):
+        words = list(base)
+        for at in r.choice(80, int(r.integers(0, 7)), replace=False):
+            words[at] = f"n{r.integers(0, 9)}"
+        texts[i] = " ".join(words)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_jaccard.ngram_classes(df).collect()} == classes(texts)
 
 
 def test_components(spark):
