@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
-import sys
+import re
 import unicodedata
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,38 +20,38 @@ MARKETPLACE_EXCLUDED = ("hors marketplace", "marketplace exclue", "hors place de
 # Tokens that don't tell merchants apart, and second-level domains of no company.
 NOISE = ("fr", "france", "com", "www", "shop", "store", "boutique", "officiel", "official", "en", "ligne", "online", "site")
 SECOND_LEVEL = ("co", "com", "org", "net", "gouv")
-
-#: an amount: 1-4 digits, up to two decimals, then % or euros; a no-break space counts as a blank
+# Fixed value: an amount is 1-4 digits, up to two decimals, then % or euros; a no-break space counts as a blank.
 AMOUNT = r"(?iU)(?<![0-9.,])([0-9]{1,4}(?:[.,][0-9]{1,2})?)\s*(%|€|euros?\b)"
+
 MONEY = "decimal(10,3)"
 
 
 @lru_cache
 def _accents() -> tuple[str, str, dict[str, str]]:
     """Characters of the Basic Multilingual Plane whose compatibility form, without marks, is one other
-    character (and that character), and those whose form is longer."""
-    one, to, longer = [], [], {}
-    for point in range(0xA0, 0x10000 if sys.maxunicode > 0xFFFF else sys.maxunicode):
-        c = chr(point)
-        if 0xAC00 <= point <= 0xD7A3 or unicodedata.combining(c):
+    character (and that character), and those of Latin, letterlike and number forms whose form is longer."""
+    one, longer = {}, {}
+    for c in map(chr, (*range(0xA0, 0xAC00), *range(0xF900, 0xFFF0))):
+        form = unicodedata.normalize("NFKD", c)
+        plain = re.sub(r"[\u0300-\uFE2F]", lambda m: "" if unicodedata.combining(m[0]) else m[0], form)
+        if plain == c or unicodedata.combining(c):
             continue
-        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
-        if plain != c and len(plain) == 1 and point < 0x2500:
-            one.append(c)
-            to.append(plain)
-        elif plain != c and len(plain) > 1 and (point < 0x250 or c in "™…ﬀﬁﬂﬃﬄ№℡"):
+        if len(plain) == 1:
+            one[c] = plain
+        elif plain and (c < "\u0250" or "\u2000" <= c < "\u2190" or "\uFB00" <= c < "\uFB07"):
             longer[c] = plain
-    return "".join(one), "".join(to), longer
+    return "".join(one), "".join(one.values()), longer
 
 
 def strip_accents(c: Column) -> Column:
-    """Compatibility form without combining marks, for Latin and its neighbours."""
+    """Compatibility form without combining marks."""
     one, to, longer = _accents()
     plain = F.translate(F.regexp_replace(c, r"\p{Mn}", ""), one, to)
     # Few texts hold a character with a longer form; they are put together character by character.
     forms = F.from_json(F.lit(json.dumps(longer)), "map<string,string>")
-    spelt = F.array_join(F.transform(F.split(plain, ""), lambda x: F.coalesce(F.try_element_at(forms, x), x)), "")
-    return F.when(~c.rlike(r"[^\x00-\x7F]"), c).when(plain.rlike("[" + "".join(longer) + "]"), spelt).otherwise(plain)
+    spelt = lambda p: F.array_join(F.transform(F.split(p, ""), lambda x: F.coalesce(F.try_element_at(forms, x), x)), "")
+    whole = F.transform(F.array(plain), lambda p: F.when(p.rlike("[" + "".join(longer) + "]"), spelt(p)).otherwise(p))[0]
+    return F.when(~c.rlike(r"[^\x00-\x7F]"), c).otherwise(whole)
 
 
 def fold(c: Column) -> Column:
@@ -60,7 +60,8 @@ def fold(c: Column) -> Column:
 
 
 def has_any(folded: Column, words: tuple[str, ...]) -> Column:
-    return reduce(lambda x, y: x | y, (folded.contains(w) for w in words))
+    """Whether one of the words (no signs that mean something in a pattern) stands in the text."""
+    return folded.rlike("|".join(words))
 
 
 def true_or_null(condition: Column) -> Column:

@@ -4,18 +4,30 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_own: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; a temporary one only in local mode where it is unset."""
+    told = spark.conf.get("spark.checkpoint.dir", None)
+    if told:
+        return told.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if "path" not in _own:
+        _own["path"] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return _own["path"]
+
+
 def checkpoint_dir_set(df: DataFrame) -> None:
-    """Use spark.checkpoint.dir; a temporary folder only in local mode where it is unset."""
+    """Checkpoints go to the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        told = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not told and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(told or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        context.setCheckpointDir(shared_dir(df.sparkSession))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
-import difflib
-from functools import cache
-
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerledger.functions import text as T
 from offerledger.functions.similarity import scored_pairs
-from offerledger.operators.graph import components
+from offerledger.operators.graph import checkpoint_dir_set, components
 
 LINK, REVIEW = 0.92, 0.75
 PRIORITIES = ("P1", "P2", "P3")
+# What a reviewer reads beside a decision; the places are filled with domains and names.
+REASONS = {
+    "domain": "domaine {0}",
+    "domain_taken": "domaine {0} déjà rattaché pour cette plateforme",
+    "near": "nom proche de « {0} »",
+    "near_apart": "nom proche de « {0} » mais domaines différents ({1} / {2})",
+    "alike": "nom ressemblant à « {0} »",
+    "none": "aucun marchand correspondant",
+}
 
 
 def known_merchants(merchants: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -57,71 +63,105 @@ def route(score, own_domain, merchant_domain):
     return F.when((score >= LINK) & ~apart, "link").when(score >= REVIEW, "review").otherwise("create")
 
 
+def _reason(which: str, *parts):
+    """The reason's text with its places filled by columns."""
+    out = F.lit(REASONS[which])
+    for i, part in enumerate(parts):
+        out = F.replace(out, F.lit(f"{{{i}}}"), F.coalesce(part, F.lit("")))
+    return out
+
+
 def decide(aliases: DataFrame, merchants: DataFrame) -> DataFrame:
-    """alias, action, merchant_id, confidence of each alias against the merchants as they are."""
+    """alias, action, merchant_id, confidence, reason of each alias against the merchants as they are."""
     domain = match_by_domain(aliases, merchants).select("alias", F.col("merchant_id").alias("_dm"), F.col("action").alias("_da"))
-    name = best_name_match(aliases, merchants).join(merchants.select("merchant_id", "canonical_domain"), "merchant_id").select("alias", F.col("merchant_id").alias("_nm"), "score", F.col("canonical_domain").alias("_md"))
-    joined = aliases.join(domain, "alias", "left").join(name, "alias", "left")
-    by_name = route(F.coalesce("score", F.lit(0.0)), T.domain_key(F.col("raw_domain")), F.col("_md"))
-    action = F.coalesce("_da", by_name)
-    return joined.select("alias", action.alias("action"), F.when(F.col("_da").isNotNull(), F.col("_dm")).when(by_name != "create", F.col("_nm")).alias("merchant_id"), F.when(F.col("_da").isNotNull(), F.lit(1.0)).when(by_name != "create", F.round("score", 3)).alias("confidence"))
+    name = best_name_match(aliases, merchants).join(merchants.select("merchant_id", "canonical_domain", F.col("name").alias("_mn")), "merchant_id").select("alias", F.col("merchant_id").alias("_nm"), "score", F.col("canonical_domain").alias("_md"), "_mn")
+    joined = aliases.join(domain, "alias", "left").join(name, "alias", "left").withColumn("_key", T.domain_key(F.col("raw_domain")))
+    joined = joined.withColumn("_na", route(F.coalesce("score", F.lit(0.0)), F.col("_key"), F.col("_md")))
+    by_domain, known, key = F.col("_da").isNotNull(), F.col("_na") != "create", F.col("_key")
+    reason = F.when(F.col("_da") == "review", _reason("domain_taken", key)).when(F.col("_da") == "link", _reason("domain", key)).when(~known, _reason("none")).when(F.col("score") < LINK, _reason("alike", F.col("_mn"))).when(F.col("_na") == "review", _reason("near_apart", F.col("_mn"), key, F.col("_md"))).otherwise(_reason("near", F.col("_mn")))
+    return joined.select("alias", F.coalesce("_da", "_na").alias("action"), F.when(by_domain, F.col("_dm")).when(known, F.col("_nm")).alias("merchant_id"), F.when(by_domain, F.lit(1.0)).when(known, F.round("score", 3)).alias("confidence"), reason.alias("reason"))
+
+
+class _Known:
+    """Merchants of a component in the order in which they became known, by domain and by normal name."""
+
+    def __init__(self):
+        self.by_domain, self.by_name, self.n = {}, {}, 0
+
+    def add(self, merchant: int, name: str, shown: str, domain: str | None, platforms: set) -> tuple:
+        known = (self.n, merchant, shown, domain, platforms)
+        self.n += 1
+        self.by_name.setdefault(name, []).append(known)
+        if domain:
+            self.by_domain.setdefault(domain, known)
+        return known
+
+    def nearest(self, near: list, platform: int) -> tuple[tuple | None, float]:
+        """The best-scored merchant not linked to the platform; the one known first of equals."""
+        best, found = (0.0, 0), None
+        for pair in near:
+            first = next((m for m in self.by_name.get(pair["name"], ()) if platform not in m[4]), None)
+            if first and (pair["score"], -first[0]) > best:
+                best, found = (pair["score"], -first[0]), first
+        return found, best[0]
 
 
 def _replay(rows: pd.DataFrame) -> pd.DataFrame:
     """One component in order: merchants first, then aliases by alias id, each seeing what came before."""
-    known = []  # [id, name, domain, platforms]; merchants made here have negative ids: -alias
-    out, ratio = [], cache(lambda a, b: difflib.SequenceMatcher(None, a, b).ratio())
+    known, out = _Known(), []
     for r in rows.sort_values(["is_alias", "node_id"]).itertuples(index=False):
         domain = r.domain if isinstance(r.domain, str) else None
         if not r.is_alias:
-            known.append([r.node_id, r.name, domain, set(r.provider_ids)])
+            known.add(r.node_id, r.name, r.shown, domain, set(r.provider_ids))
             continue
-        hit = next((m for m in known if domain and m[2] == domain), None)
+        hit = known.by_domain.get(domain) if domain else None
         if hit:
-            action, merchant, score = ("review" if r.provider_id in hit[3] else "link"), hit, 1.0
+            taken = r.provider_id in hit[4]
+            action, score, reason = ("review", 1.0, "domain_taken") if taken else ("link", 1.0, "domain")
+            parts = (domain,)
         else:
-            merchant, score = None, 0.0
-            for m in known:
-                if r.provider_id not in m[3]:
-                    s = ratio(r.name, m[1])
-                    if s > score:
-                        merchant, score = m, s
+            hit, score = known.nearest(r.near if r.near is not None else (), r.provider_id)
+            apart = hit is not None and domain and hit[3] and hit[3] != domain
+            parts = (hit[2], domain, hit[3]) if hit else ()
             if score >= LINK:
-                action = "review" if domain and merchant[2] and merchant[2] != domain else "link"
+                action, reason = ("review", "near_apart") if apart else ("link", "near")
             else:
-                action = "review" if score >= REVIEW else "create"
+                action, reason = ("review", "alike") if hit else ("create", "none")
         if action == "create":
-            merchant, score = [-r.node_id, r.name, domain, set()], None
-            known.append(merchant)
-        if action in ("create", "link"):
-            merchant[3].add(r.provider_id)
-        out.append((r.node_id, action, merchant[0], round(score, 3) if score is not None else None))
-    return pd.DataFrame(out, columns=["alias", "action", "merchant_id", "confidence"]).astype({"confidence": "float64"})
+            hit, score = known.add(-r.node_id, r.name, r.shown, domain, set()), None
+        if action != "review":
+            hit[4].add(r.provider_id)
+        out.append((r.node_id, action, hit[1], round(score, 3) if score is not None else None, REASONS[reason].format(*parts)))
+    return pd.DataFrame(out, columns=["alias", "action", "merchant_id", "confidence", "reason"]).astype({"confidence": "float64"})
 
 
 def resolve_aliases(aliases: DataFrame, merchants: DataFrame) -> DataFrame:
     """Decisions of a batch in alias order: merchants created and platforms linked count for later aliases.
 
     An alias's outcome depends only on merchants and earlier aliases joined to it by an equal domain or
-    a similarity of REVIEW or more, so each component of that graph is replayed by itself, exactly.  A
+    a similarity of REVIEW or more, so each component of that graph is replayed by itself, exactly.  Names are
+    compared once, by Spark; an alias carries its similar names with their scores into the replay.  A
     created merchant has the id -alias; ids of aliases are positive.  Components are as large as chains
     of similar names make them; the graph itself is never gathered.
     """
-    a = aliases.select("alias", "provider_id", T.normalize_name(F.col("raw_name")).alias("name"), T.domain_key(F.col("raw_domain")).alias("domain"))
-    m = merchants.select("merchant_id", "provider_ids", T.normalize_name(F.col("name")).alias("name"), F.col("canonical_domain").alias("domain"))
-    nodes = a.select((2 * F.col("alias") + 1).alias("node"), F.col("alias").alias("node_id"), F.lit(True).alias("is_alias"), "provider_id", F.array().cast("array<int>").alias("provider_ids"), "name", "domain").unionByName(
-        m.select((2 * F.col("merchant_id")).alias("node"), F.col("merchant_id").alias("node_id"), F.lit(False).alias("is_alias"), F.lit(None).cast("int").alias("provider_id"), "provider_ids", "name", "domain")
+    a = aliases.select("alias", "provider_id", F.col("raw_name").alias("shown"), T.normalize_name(F.col("raw_name")).alias("name"), T.domain_key(F.col("raw_domain")).alias("domain"))
+    m = merchants.select("merchant_id", "provider_ids", F.col("name").alias("shown"), T.normalize_name(F.col("name")).alias("name"), F.col("canonical_domain").alias("domain"))
+    nodes = a.select((2 * F.col("alias") + 1).alias("node"), F.col("alias").alias("node_id"), F.lit(True).alias("is_alias"), "provider_id", F.array().cast("array<int>").alias("provider_ids"), "shown", "name", "domain").unionByName(
+        m.select((2 * F.col("merchant_id")).alias("node"), F.col("merchant_id").alias("node_id"), F.lit(False).alias("is_alias"), F.lit(None).cast("int").alias("provider_id"), "provider_ids", "shown", "name", "domain")
     )
     # Stars: all nodes of a name, or of a domain, hang on its smallest one.
     by_name = nodes.groupBy("name").agg(F.min("node").alias("head"))
     by_domain = nodes.where("domain is not null").groupBy("domain").agg(F.min("node").alias("head"))
-    pairs = scored_pairs(a, nodes, REVIEW)
+    checkpoint_dir_set(aliases)
+    pairs = scored_pairs(a, nodes, REVIEW).checkpoint()
     heads = by_name.toDF("l", "a").join(pairs, "l").join(by_name.toDF("r", "b"), "r").select("a", "b")
     edges = heads.unionByName(nodes.join(by_name, "name").select(F.col("node").alias("a"), F.col("head").alias("b"))).unionByName(nodes.join(by_domain, "domain").select(F.col("node").alias("a"), F.col("head").alias("b")))
     class_of = components(edges)
+    near = pairs.groupBy(F.col("l").alias("name")).agg(F.collect_list(F.struct(F.col("r").alias("name"), "score")).alias("near"))
     grouped = nodes.join(class_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    live = grouped.join(grouped.where("is_alias").select("component").distinct(), "component", "left_semi")
-    return live.select("component", "node_id", "is_alias", "provider_id", "provider_ids", "name", "domain").groupBy("component").applyInPandas(lambda rows: _replay(rows), "alias long, action string, merchant_id long, confidence double")
+    live = grouped.join(grouped.where("is_alias").select("component").distinct(), "component", "left_semi").join(near, "name", "left")
+    live = live.withColumn("near", F.when(F.col("is_alias"), F.col("near")))
+    return live.select("component", "node_id", "is_alias", "provider_id", "provider_ids", "shown", "name", "domain", "near").groupBy("component").applyInPandas(lambda rows: _replay(rows), "alias long, action string, merchant_id long, confidence double, reason string")
 
 
 def allocate_slugs(new: DataFrame, taken: DataFrame, order: str = "alias", rounds: int = 5) -> DataFrame:
@@ -174,10 +214,28 @@ def review_items(df: DataFrame, kind: str, *columns: str) -> DataFrame:
 
 
 def queue_once(new: DataFrame, queue: DataFrame) -> DataFrame:
-    """New items without an open one of the same kind for the same alias."""
+    """New items without an open one of the same kind for the same alias; of several in the batch, the first payload.
+
+    Items without an alias are never held back.
+    """
     alias = lambda c: F.get_json_object(c, "$.alias_id")
-    waiting = queue.where("status = 'open'").select(F.col("kind").alias("_k"), alias("payload").alias("_a")).distinct()
-    return new.join(waiting, (F.col("kind") == F.col("_k")) & (alias("payload") == F.col("_a")), "left_anti")
+    keyed = new.withColumn("_a", alias("payload"))
+    first = keyed.where("_a is not null").groupBy("kind", "_a").agg(F.min(F.struct("payload", "status")).alias("item"))
+    waiting = queue.where("status = 'open'").select("kind", alias("payload").alias("_a")).where("_a is not null").distinct()
+    fresh = first.join(waiting, ["kind", "_a"], "left_anti").select("kind", "item.payload", "item.status")
+    return fresh.unionByName(keyed.where("_a is null").select("kind", "payload", "status"))
+
+
+def match_reviews(aliases: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Review items of the decisions that ask for one."""
+    told = decisions.where("action = 'review'").select("alias", F.col("merchant_id").alias("candidate_merchant_id"), F.col("confidence").alias("score"), "reason")
+    return review_items(aliases.join(told, "alias").withColumnRenamed("alias", "alias_id"), "merchant_match", "alias_id", "raw_slug", "raw_name", "raw_domain", "candidate_merchant_id", "score", "reason")
+
+
+def match_counts(aliases: DataFrame, decisions: DataFrame, queue: DataFrame) -> DataFrame:
+    """action, n: links and creations, and the reviews that are really queued."""
+    queued = queue_once(match_reviews(aliases, decisions), queue).select(F.lit("review").alias("action"))
+    return decisions.where("action <> 'review'").select("action").unionByName(queued).groupBy("action").agg(F.count("*").alias("n"))
 
 
 def best_match(names: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -215,29 +273,65 @@ def wanted(listing: DataFrame, wanted_merchants: DataFrame) -> DataFrame:
     return exact.unionByName(rest.join(near, rest["raw_name"] == near["name"]).select("ordinal", F.col("slug").alias("target")))
 
 
-def cut_listing(listing: DataFrame, linked: DataFrame, wanted_rows: DataFrame, limit: int | None = None) -> DataFrame:
-    """The listing's rows that are linked to a target or wanted, in listing order."""
+def cut_listing(listing: DataFrame, linked: DataFrame, wanted_rows: DataFrame, limit: int | None = None, targets: DataFrame | None = None) -> DataFrame:
+    """The listing's rows that are linked to a target or wanted, in listing order.
+
+    With targets given, an empty list of them fails the run: it means that no seed has been read yet.
+    """
+    if targets is not None and targets.isEmpty():
+        raise ValueError("no merchant has a priority: read a seed list first")
     by_alias = listing.join(linked, ["provider_id", "raw_slug"], "left_semi").select("ordinal")
     kept = listing.join(by_alias.unionByName(wanted_rows.select("ordinal")).distinct(), "ordinal", "left_semi")
     return kept.orderBy("ordinal").limit(limit) if limit else kept
 
 
+SEEDED = "merchant_id long, slug string, name string, canonical_domain string, category string, priority string, search_volume int, is_published boolean, change string"
+
+
+def _seed_in_order(rows: pd.DataFrame) -> pd.DataFrame:
+    """One component: its merchants, then its seed rows in file order, each seeing what came before."""
+    fields = ("merchant_id", "slug", "name", "canonical_domain", "category", "priority", "search_volume", "is_published")
+    rows = rows.astype(object).where(rows.notna(), None).sort_values(["is_seed", "ordinal"], na_position="first")
+    done, by_domain, by_slug = [], {}, {}
+
+    def placed(merchant: dict) -> dict:
+        if merchant["canonical_domain"]:
+            by_domain.setdefault(merchant["canonical_domain"], merchant)
+        by_slug.setdefault(merchant["slug"], merchant)
+        return merchant
+
+    for r in rows.to_dict("records"):
+        if not r["is_seed"]:
+            done.append(placed({f: r[f] for f in fields} | {"change": "kept"}))
+            continue
+        hit = (by_domain.get(r["canonical_domain"]) if r["canonical_domain"] else None) or by_slug.get(r["slug"])
+        if hit is None:
+            done.append(placed({f: r[f] for f in fields} | {"merchant_id": None, "is_published": False, "change": "created"}))
+            continue
+        hit |= {f: r[f] for f in ("name", "category", "priority")}
+        hit["search_volume"] = hit["search_volume"] if r["search_volume"] is None else r["search_volume"]
+        hit["canonical_domain"] = hit["canonical_domain"] or r["canonical_domain"]
+        hit["change"] = "updated" if hit["change"] == "kept" else hit["change"]
+        placed(hit)
+    return pd.DataFrame(done, columns=[*fields, "change"])
+
+
 def seed_merchants(merchants: DataFrame, seed: DataFrame) -> DataFrame:
-    """Merchants after a seed: found by domain, else by slug; else inserted unpublished.
+    """Merchants after a seed: each row, in file order, updates the merchant of its domain, else of its slug; else
+    it makes an unpublished one, which later rows find.
 
-    Seed rows of one merchant (same domain, or same slug without one) are folded in file order: last name,
-    category and priority, last known volume, first known domain and slug.  Name, category and priority
-    are overwritten (even by null), volume only by a known one, the domain kept if there is one.
+    Name, category and priority are overwritten (even by null), volume only by a known one, the domain
+    kept if there is one.  Rows that can meet share a domain or a slug, so they are replayed by connected
+    component: those of one merchant, as both tell merchants apart.
     """
-    key = F.coalesce("domain", F.concat(F.lit("slug:"), "slug"))
-    last = lambda c: F.max_by(F.struct(c), "ordinal")[c]
-    folded = seed.groupBy(key.alias("_key")).agg(F.min_by("slug", "ordinal").alias("_slug"), F.min("domain").alias("_domain"), last("name").alias("_name"), last("category").alias("_category"), last("priority").alias("_priority"), F.max_by("search_volume", F.when(F.col("search_volume").isNotNull(), F.col("ordinal"))).alias("_volume"))
-    by_domain = merchants.where("canonical_domain is not null").select(F.col("merchant_id").alias("_d"), F.col("canonical_domain").alias("_domain"))
-    by_slug = merchants.select(F.col("merchant_id").alias("_s"), F.col("slug").alias("_slug"))
-    found = folded.join(by_domain, "_domain", "left").join(by_slug, "_slug", "left").withColumn("merchant_id", F.coalesce("_d", "_s"))
-    hits = found.where("merchant_id is not null").drop("_d", "_s", "_key", "_slug")
-    kept = merchants.join(hits.withColumn("_hit", F.lit(True)), "merchant_id", "left")
-    pick = lambda new, old: F.when(F.col("_hit"), F.col(new)).otherwise(F.col(old)).alias(old)
-    updated = kept.select("merchant_id", "slug", pick("_name", "name"), F.coalesce("canonical_domain", "_domain").alias("canonical_domain"), pick("_category", "category"), pick("_priority", "priority"), F.coalesce("_volume", "search_volume").alias("search_volume"), "is_published", F.when(F.col("_hit"), "updated").otherwise("kept").alias("change"))
-    fresh = found.where("merchant_id is null").select(F.lit(None).cast("long").alias("merchant_id"), F.col("_slug").alias("slug"), F.col("_name").alias("name"), F.col("_domain").alias("canonical_domain"), F.col("_category").alias("category"), F.col("_priority").alias("priority"), F.col("_volume").alias("search_volume"), F.lit(False).alias("is_published"), F.lit("created").alias("change"))
-    return updated.unionByName(fresh)
+    keys = lambda slug, domain: (F.concat(F.lit("s:"), slug), F.concat(F.lit("d:"), domain))
+    known = merchants.select(F.lit(False).alias("is_seed"), F.lit(None).cast("long").alias("ordinal"), F.col("merchant_id").cast("long").alias("merchant_id"), "slug", "name", "canonical_domain", "category", "priority", F.col("search_volume").cast("int").alias("search_volume"), "is_published")
+    rows = seed.select(F.lit(True).alias("is_seed"), F.col("ordinal").cast("long").alias("ordinal"), F.lit(None).cast("long").alias("merchant_id"), "slug", "name", F.col("domain").alias("canonical_domain"), "category", "priority", F.col("search_volume").cast("int").alias("search_volume"), F.lit(None).cast("boolean").alias("is_published"))
+    both = known.unionByName(rows)
+    slug, domain = keys(F.col("slug"), F.col("canonical_domain"))
+    class_of = components(both.select(slug.alias("a"), domain.alias("b")))
+    placed = both.withColumn("node", slug).join(class_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    touched = placed.where("is_seed").select("component").distinct()
+    quiet = placed.where("not is_seed").join(touched, "component", "left_anti").withColumn("change", F.lit("kept"))
+    replayed = placed.join(touched, "component", "left_semi").drop("node").groupBy("component").applyInPandas(_seed_in_order, SEEDED)
+    return quiet.select(*replayed.columns).unionByName(replayed)

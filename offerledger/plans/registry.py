@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,12 +12,14 @@ from offerledger.functions import offers as O
 from offerledger.functions import text as T
 from offerledger.functions.similarity import scored_pairs
 from offerledger.operators import current as C
+from offerledger.operators import graph as G
 from offerledger.operators import history as H
 from offerledger.operators import matching as M
 from offerledger.operators import pages as P
 from offerledger.operators import runs as R
 from offerledger.plans import derive as D
 from offerledger.sources import listing as L
+from offerledger.sources import tables as TB
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -256,11 +259,22 @@ def unmatched_aliases(s: SparkSession, d: str) -> DataFrame:
     return M.unmatched_aliases(aliases, D.table(s, d, "orders").select(F.col("o_custkey").alias("alias"))).select("alias")
 
 
-@registered("select distinct o_custkey as alias_id from orders where o_custkey not in (select c_custkey from customer where c_custkey % 4 = 0)")
+@registered("""select o_custkey as alias_id, min('{"alias_id":' || o_custkey || ',"reason":"' || o_orderstatus || '"}') as payload from orders where o_custkey not in (select c_custkey from customer where c_custkey % 4 = 0) group by 1""")
 def review_once(s: SparkSession, d: str) -> DataFrame:
-    new = M.review_items(D.table(s, d, "orders").select(F.col("o_custkey").alias("alias_id"), F.lit(None).cast("string").alias("reason")).distinct(), "match", "alias_id", "reason")
+    """Every order asks for a review of its customer; one per customer is queued, none where one is open."""
+    new = M.review_items(D.table(s, d, "orders").select(F.col("o_custkey").alias("alias_id"), F.col("o_orderstatus").alias("reason")), "match", "alias_id", "reason")
     queue = M.review_items(D.table(s, d, "customer").where("c_custkey % 4 = 0").select(F.col("c_custkey").alias("alias_id")), "match", "alias_id")
-    return M.queue_once(new, queue).select(F.get_json_object("payload", "$.alias_id").cast("long").alias("alias_id"))
+    return M.queue_once(new, queue).select(F.get_json_object("payload", "$.alias_id").cast("long").alias("alias_id"), "payload")
+
+
+@registered("""select c_custkey as alias, case when c_custkey % 4 in (0, 1) then c_custkey + 7 else case when c_custkey % 3 = 0 then c_custkey end end as merchant_id,
+ case when c_custkey % 4 = 0 then 0.95 when c_custkey % 4 = 1 then 1.0 when c_custkey % 3 = 0 then 0.5 end as confidence from customer""")
+def link_alias(s: SparkSession, d: str) -> DataFrame:
+    """Link and create decisions set the merchant; reviews and aliases without a decision stay as they are."""
+    key = F.col("c_custkey")
+    aliases = D.table(s, d, "customer").select(key.alias("alias"), F.when(key % 3 == 0, key).alias("merchant_id"), F.when(key % 3 == 0, 0.5).alias("confidence"))
+    decisions = D.table(s, d, "customer").where("c_custkey % 4 < 3").select(key.alias("alias"), F.when(key % 4 == 0, "link").when(key % 4 == 1, "create").otherwise("review").alias("action"), (key + 7).alias("merchant_id"), F.when(key % 4 == 0, 0.95).otherwise(1.0).alias("confidence"))
+    return M.link_aliases(aliases, decisions).select("alias", "merchant_id", "confidence")
 
 
 def _shop_aliases(s: SparkSession, d: str) -> DataFrame:
@@ -311,7 +325,11 @@ def resolve_aliases(s: SparkSession, d: str) -> DataFrame:
 
 @registered()
 def match_counts(s: SparkSession, d: str) -> DataFrame:
-    return R.counts_by(M.decide(_part_aliases(s, d), _part_merchants(s, d)), "action")
+    """Decisions by action; of the reviews only those that are queued (some aliases wait already)."""
+    aliases = _part_aliases(s, d).withColumn("raw_slug", F.concat(F.lit("pp-"), "alias"))
+    decisions = M.decide(aliases, _part_merchants(s, d))
+    queue = M.review_items(aliases.where("alias % 5 = 0").select(F.col("alias").alias("alias_id")), "merchant_match", "alias_id")
+    return M.match_counts(aliases, decisions, queue)
 
 
 @registered("""with w as (select p_partkey, regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g') as base, row_number() over (partition by p_name order by p_partkey) as turn from part),
@@ -348,7 +366,27 @@ def wanted_exact(s: SparkSession, d: str) -> DataFrame:
 def cut_listing(s: SparkSession, d: str) -> DataFrame:
     listing, wanted = _part_listing(s, d)
     linked = listing.where("ordinal % 10 = 0").select("provider_id", "raw_slug")
-    return M.cut_listing(listing, linked, M.wanted_exact(listing, wanted)).select("ordinal", "raw_slug")
+    return M.cut_listing(listing, linked, M.wanted_exact(listing, wanted), targets=wanted).select("ordinal", "raw_slug")
+
+
+@registered()
+def wanted(s: SparkSession, d: str) -> DataFrame:
+    """Listed rows that are a target's by name or slug, or by a similar name."""
+    return M.wanted(*_spelt_listing(s, d))
+
+
+@registered()
+def cut_listing_wanted(s: SparkSession, d: str) -> DataFrame:
+    """The listing cut to linked and wanted rows, similar names among them."""
+    listing, targets = _spelt_listing(s, d)
+    linked = listing.where("ordinal % 10 = 0").select("provider_id", "raw_slug")
+    return M.cut_listing(listing, linked, M.wanted(listing, targets), targets=targets).select("ordinal", "raw_slug")
+
+
+def _spelt_listing(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Part names as a platform may write them, some with a letter more; and targets."""
+    listing, targets = _part_listing(s, d)
+    return listing.withColumn("raw_name", F.when(F.col("ordinal") % 3 == 0, F.concat("raw_name", F.lit("s"))).otherwise(F.col("raw_name"))), targets
 
 
 @registered("select p_partkey as ordinal, 'pp-' || p_partkey as raw_slug, (select count(*) from part) as n_listed from part order by p_partkey limit 20")
@@ -358,12 +396,16 @@ def listing_preview(s: SparkSession, d: str) -> DataFrame:
 
 
 def _seed(s: SparkSession, d: str) -> DataFrame:
-    """Rows as they stand in a seed file: customers 0-149 of each table meet the suppliers' slugs and domains."""
-    key = F.col("c_custkey")
-    return L.seed_rows(D.table(s, d, "customer").select(key.alias("ordinal"), F.when(key % 13 != 0, F.concat(F.lit(" M "), key)).alias("Slug"), F.col("c_name").alias("Marchand"), F.when(key % 2 == 0, F.concat(F.lit("https://www.shop"), key, F.lit(".fr/x"))).alias("Domaine"), F.col("c_mktsegment").alias("Categorie"), F.concat(F.lit("p"), (key % 5).cast("int")).alias("Prio"), F.concat(F.lit("1 "), F.lpad((key % 1000).cast("string"), 3, "0")).alias("Volume")))
+    """Rows as they stand in a seed file: customers meet the suppliers' slugs and domains, and later rows meet both."""
+    key, customers = F.col("c_custkey"), D.table(s, d, "customer")
+    first = customers.select(key.alias("ordinal"), F.when(key % 13 != 0, F.concat(F.lit(" M "), key)).alias("Slug"), F.col("c_name").alias("Marchand"), F.when(key % 2 == 0, F.concat(F.lit("https://www.shop"), key, F.lit(".fr/x"))).alias("Domaine"), F.col("c_mktsegment").alias("Categorie"), F.concat(F.lit("p"), (key % 5).cast("int")).alias("Prio"), F.concat(F.lit("1 "), F.lpad((key % 1000).cast("string"), 3, "0")).alias("Volume"))
+    again = customers.where("c_custkey % 10 in (0, 3, 4, 5)").select((key + 1_000_000_000).alias("ordinal"), F.concat(F.lit("x "), key).alias("Slug"), F.lit("Again").alias("Marchand"), F.concat(F.lit("shop"), key, F.lit(".fr")).alias("Domaine"), F.lit(None).cast("string").alias("Categorie"), F.lit("P1").alias("Prio"), F.lit("n/a").alias("Volume"))
+    return L.seed_rows(first.unionByName(again))
 
 
-_SEED_SQL = """seed as (select c_custkey as ordinal, 'm-' || c_custkey as slug, c_name as name, case when c_custkey % 2 = 0 then 'shop' || c_custkey || '.fr' end as domain, c_mktsegment as category, case when c_custkey % 5 between 1 and 3 then 'P' || (c_custkey % 5) end as priority, 1000 + c_custkey % 1000 as search_volume from customer where c_custkey % 13 <> 0)"""
+_SEED_SQL = """one as (select c_custkey as k, c_custkey as ordinal, 'm-' || c_custkey as slug, c_name as name, case when c_custkey % 2 = 0 then 'shop' || c_custkey || '.fr' end as domain, c_mktsegment as category, case when c_custkey % 5 between 1 and 3 then 'P' || (c_custkey % 5) end as priority, 1000 + c_custkey % 1000 as search_volume from customer where c_custkey % 13 <> 0),
+two as (select c_custkey as k, c_custkey + 1000000000 as ordinal, 'x-' || c_custkey as slug, 'Again' as name, 'shop' || c_custkey || '.fr' as domain, cast(null as varchar) as category, 'P1' as priority, cast(null as bigint) as search_volume from customer where c_custkey % 10 in (0, 3, 4, 5)),
+seed as (select * from one union all select * from two)"""
 
 
 @registered(f"with {_SEED_SQL} select ordinal, slug, name, domain, category, priority, search_volume from seed")
@@ -371,9 +413,11 @@ def seed_rows(s: SparkSession, d: str) -> DataFrame:
     return _seed(s, d).select("ordinal", "slug", "name", "domain", "category", "priority", F.col("search_volume").cast("long").alias("search_volume"))
 
 
-@registered(f"""with {_SEED_SQL}, {D.MERCHANTS_SQL}, f as (select s.*, coalesce(d.merchant_id, t.merchant_id) as mid from seed s left join mer d on d.canonical_domain = s.domain left join mer t on t.slug = s.slug)
-select m.slug, case when f.mid is not null then f.name else m.name end as name, coalesce(m.canonical_domain, f.domain) as canonical_domain, case when f.mid is not null then f.category else m.category end as category, case when f.mid is not null then f.priority else m.priority end as priority, coalesce(f.search_volume, m.search_volume) as search_volume, m.is_published, case when f.mid is not null then 'updated' else 'kept' end as change from mer m left join f on f.mid = m.merchant_id
-union all select slug, name, domain, category, priority, search_volume, false, 'created' from f where mid is null""")
+@registered(f"""with {_SEED_SQL}, {D.MERCHANTS_SQL}, m as (select merchant_id - 1 as k, * from mer),
+met as (select k, m.merchant_id is not null as stored, one.ordinal is not null as listed, coalesce(m.slug, one.slug) as slug, m.name as m_name, one.name as one_name, m.canonical_domain, one.domain, m.category as m_category, one.category as one_category, m.priority as m_priority, one.priority as one_priority, m.search_volume as m_volume, one.search_volume as one_volume, m.is_published from m full join one using (k)),
+seeded as (select met.*, two.ordinal is not null as again, two.domain as two_domain from met left join two on two.k = met.k and ((stored and canonical_domain is not null) or met.domain is not null))
+select slug, case when again then 'Again' when listed then one_name else m_name end as name, coalesce(canonical_domain, domain, two_domain) as canonical_domain, case when again then null when listed then one_category else m_category end as category, case when again then 'P1' when listed then one_priority else m_priority end as priority, coalesce(one_volume, m_volume) as search_volume, coalesce(is_published, false) as is_published, case when not stored then 'created' when listed or again then 'updated' else 'kept' end as change from seeded
+union all select slug, name, domain, category, priority, search_volume, false, 'created' from two where k not in (select k from seeded where again)""")
 def seed_upsert(s: SparkSession, d: str) -> DataFrame:
     return M.seed_merchants(D.merchants(s, d), _seed(s, d)).select("slug", "name", "canonical_domain", "category", "priority", F.col("search_volume").cast("long").alias("search_volume"), "is_published", "change")
 
@@ -384,32 +428,52 @@ def seed_counts(s: SparkSession, d: str) -> DataFrame:
 
 
 def _maps(s: SparkSession, d: str) -> DataFrame:
-    """Sitemaps written from parts: a document of 100 entries or so each."""
+    """Sitemaps written from parts: a document of 100 parts each, whatever the table's size."""
     slug = F.replace("p_name", F.lit(" "), F.lit("-"))
     a = F.concat(F.lit("<url><loc> https://a.example/code-promo/"), slug, F.lit("-"), F.col("p_partkey"), F.lit(" </loc><lastmod>2024-01-01</lastmod></url><url><loc>https://a.example/other/x</loc></url>"))
     b = F.concat(F.lit("<url><loc>https://b.example/reduction-"), slug, F.lit("-"), F.col("p_partkey"), F.lit("</loc></url>"))
-    docs = D.parts(s, d).groupBy((F.col("p_partkey") % 20).alias("k")).agg(F.concat_ws("", F.collect_list(a)).alias("a"), F.concat_ws("", F.collect_list(b)).alias("b"))
+    docs = D.parts(s, d).groupBy(F.floor(F.col("p_partkey") / 100).alias("k")).agg(F.concat_ws("", F.collect_list(a)).alias("a"), F.concat_ws("", F.collect_list(b)).alias("b"))
     return docs.select(F.concat(F.lit("<urlset>"), "a", "b", F.lit("</urlset>")).alias("xml"))
 
 
-@registered("""select 'a' as provider, replace(p_name, ' ', '-') || '-' || p_partkey as raw_slug, 'https://a.example/code-promo/' || replace(p_name, ' ', '-') || '-' || p_partkey as raw_url, '2024-01-01' as lastmod from part
-union all select 'b', replace(p_name, ' ', '-') || '-' || p_partkey, 'https://b.example/reduction-' || replace(p_name, ' ', '-') || '-' || p_partkey, null from part""")
+_TITLE_SQL = "array_to_string(list_transform(string_split(p_name, ' '), lambda x: upper(x[1]) || lower(x[2:])), ' ')"
+
+
+@registered(f"""select 'a' as provider, replace(p_name, ' ', '-') || '-' || p_partkey as raw_slug, {_TITLE_SQL} || ' ' || p_partkey as raw_name, 'https://a.example/code-promo/' || replace(p_name, ' ', '-') || '-' || p_partkey as raw_url, '2024-01-01' as lastmod from part
+union all select 'b', replace(p_name, ' ', '-') || '-' || p_partkey, {_TITLE_SQL}, 'https://b.example/reduction-' || replace(p_name, ' ', '-') || '-' || p_partkey, null from part""")
 def sitemap(s: SparkSession, d: str) -> DataFrame:
     entries = L.sitemap_entries(_maps(s, d))
-    return L.listing_a(entries).unionByName(L.listing_b(entries)).select("provider", "raw_slug", "raw_url", "lastmod")
+    return L.listing_a(entries).unionByName(L.listing_b(entries)).select("provider", "raw_slug", "raw_name", "raw_url", "lastmod")
+
+
+@registered("select page_id, url, length(html) as n_chars from pages")
+def stored_pages(s: SparkSession, d: str) -> DataFrame:
+    return TB.read_pages(s, f"{d}/pages.parquet").select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
+
+
+@registered(f"with {D.HISTORY_SQL} select alias, kind, coalesce(label, '') as label, cast(value as double) as value, strftime(ts, '%Y-%m-%d') as collected_date from obs")
+def append_history(s: SparkSession, d: str) -> DataFrame:
+    """The history appended by two passes to the shared folder, and read back by its days."""
+    path, h = f"{G.shared_dir(s)}/offer-history-{uuid.uuid4().hex}", D.history(s, d)
+    TB.append_history(h.where("observed_at < '2024-01-15'"), path)
+    TB.append_history(h.where("observed_at >= '2024-01-15'"), path)
+    return s.read.parquet(path).select("alias", "kind", F.coalesce("category_label", F.lit("")).alias("label"), _d("value").alias("value"), F.date_format("collected_date", "yyyy-MM-dd").alias("collected_date"))
 
 
 def _pages(s: SparkSession, d: str) -> DataFrame:
-    """Merchant pages of both layouts written from parts: rate = size mod 9 + 1 %, every 5th boosted."""
+    """Merchant pages of both layouts written from parts: rate = size mod 9 + 1 (% or, for every 8th, euros), every 5th boosted."""
     p, key = D.parts(s, d), F.col("p_partkey")
-    rate = (F.col("p_size") % 9 + 1).cast("int")
-    body = F.to_json(F.struct(F.lit("t").alias("metaTitle"), F.lit("r").alias("routeName"), F.col("p_name").alias("name"), F.concat(F.lit("http://www.m"), key, F.lit(".fr/x")).alias("url"), (key % 6 != 0).alias("isCashback"), (key % 4 == 0).alias("isVoucher"), (key % 5 == 0).alias("cashbackIsIncrease"), rate.alias("cashbackRate"), F.lit(1).alias("cashbackType"), F.concat(rate, F.lit("%")).alias("cashbackValue"), F.lit("0,5%").alias("cashbackBeforeIncreaseValue"), F.lit(3).alias("voucherCashbackRate"), F.struct(F.array(F.struct(F.concat(rate, F.lit("%")).alias("value"), F.array(F.lit("Nouveaux clients"), F.col("p_type")).alias("descriptions")), F.struct(F.lit("12 €").alias("value"), F.array(F.lit("Marketplace")).alias("descriptions"))).alias("dynamic")).alias("cashbackDescription")))
+    rate, fixed = (F.col("p_size") % 9 + 1).cast("int"), key % 8 == 0
+    shown, before = F.concat(rate, F.when(fixed, " €").otherwise("%")), F.when(fixed, "0,5 €").otherwise("0,5%")
+    conditions = F.struct(F.array(F.struct(F.when(key % 9 == 0, "Hors Marketplace").alias("value"))).alias("conditionList"))
+    described = F.struct(F.array(F.struct(shown.alias("value"), F.array(F.lit("Nouveaux clients"), F.col("p_type")).alias("descriptions")), F.struct(F.lit("12 €").alias("value"), F.array(F.lit("Marketplace")).alias("descriptions"))).alias("dynamic"), F.array(F.struct(F.when(key % 3 == 0, "Hors soldes.").alias("description"))).alias("static"))
+    body = F.to_json(F.struct(F.lit("t").alias("metaTitle"), F.lit("r").alias("routeName"), F.col("p_name").alias("name"), F.concat(F.lit("http://www.m"), key, F.lit(".fr/x")).alias("url"), (key % 6 != 0).alias("isCashback"), (key % 4 == 0).alias("isVoucher"), (key % 5 == 0).alias("cashbackIsIncrease"), rate.alias("cashbackRate"), F.when(fixed, 2).otherwise(1).alias("cashbackType"), shown.alias("cashbackValue"), before.alias("cashbackBeforeIncreaseValue"), F.lit(3).alias("voucherCashbackRate"), described.alias("cashbackDescription"), conditions.alias("cashbackConditions")))
     state = F.to_json(F.map_from_arrays(F.array(F.lit("__nghData__"), F.concat(F.lit("k"), key)), F.array(F.struct(F.lit("x").alias("b")), F.struct(body.alias("b")))))
     html_a = F.when(key % 10 == 3, F.lit("<html>gone</html>")).otherwise(F.concat(F.lit('<script id="ng-state" type="application/json">'), state, F.lit("</script>")))
-    number = key + 1
-    shop = F.to_json(F.struct(number.alias("id"), F.col("p_name").alias("name"), (key % 7 != 0).alias("active"), F.struct(F.struct(rate.alias("amount"), F.lit("%").alias("currency"), (key % 5 == 0).alias("instead"), F.lit("0,5%").alias("insteadAmount")).alias("online"), F.struct(F.lit(2).alias("amount"), F.lit("%").alias("currency")).alias("ebon")).alias("channel")))
-    phrases = F.to_json(F.array(F.concat(rate, F.lit("% remboursés sur tout.")), F.lit("12€ remboursés au lieu de 8€ pour un nouveau client")))
-    payload = F.concat(F.lit('{"id":0,"channel":{"online":{}}},{"id":'), number + 1000000, F.lit(',"channel":{}},'), shop, F.lit(',"discounts":'), phrases)
+    number, sign = key + 1, F.when(fixed, "€").otherwise("%")
+    shop = F.to_json(F.struct(number.alias("id"), F.col("p_name").alias("name"), (key % 7 != 0).alias("active"), F.struct(F.struct(rate.alias("amount"), sign.alias("currency"), (key % 5 == 0).alias("instead"), F.lit("0,5%").alias("insteadAmount")).alias("online"), F.struct(F.lit(2).alias("amount"), F.lit("%").alias("currency")).alias("ebon")).alias("channel")))
+    phrases = F.to_json(F.array(F.concat(rate, sign, F.lit(" remboursés sur tout.")), F.lit("12€ remboursés au lieu de 8€ pour un nouveau client, hors marketplace")))
+    payload = F.concat(F.lit('{"id":0,"channel":{"online":{}}},{"id":'), number + 1000000, F.lit(',"channel":{}},'), shop, F.lit(',"discounts":'), phrases, F.lit(',"more":[1]}'))
     quoted = lambda c: F.regexp_extract(F.to_json(F.struct(c.alias("x"))), r"(?s)^\{\"x\":(.*)\}$", 1)
     half = (F.length(payload) / 2).cast("int")
     chunk = lambda c: F.concat(F.lit("self.__next_f.push([1,"), quoted(c), F.lit("])"))
@@ -420,33 +484,40 @@ def _pages(s: SparkSession, d: str) -> DataFrame:
 
 def _offers_of(s: SparkSession, d: str, provider: str, parse: Callable) -> DataFrame:
     rows = P.observations(parse(_pages(s, d).where(F.col("provider") == provider)))
-    return rows.select("page", "ordinal", _d("value").alias("value"), _d("value_base").alias("value_base"), "unit", "kind", F.coalesce("category_label", F.lit("")).alias("label"), "is_upto", "is_new_customer_only", _d("effective_value").alias("effective_value"))
+    return rows.select("page", "ordinal", _d("value").alias("value"), _d("value_base").alias("value_base"), "unit", "kind", F.coalesce("category_label", F.lit("")).alias("label"), "raw_text", "conditions_text", "is_upto", "is_new_customer_only", "is_sale_excluded", "is_marketplace_excluded", _d("effective_value").alias("effective_value"))
 
 
-_RATE_SQL = "pt as (select p_partkey as page, p_size % 9 + 1 as rate, p_type from part)"
+_RATE_SQL = "pt as (select p_partkey as page, p_size % 9 + 1 as rate, p_type, p_partkey % 8 = 0 as fixed, case when p_partkey % 8 = 0 then 'fixed_eur' else 'percent' end as unit from part)"
 
 
-@registered(f"""with {_RATE_SQL}, ok as (select * from pt where page % 10 <> 3)
-select page, cast(0 as bigint) as ordinal, cast(rate as double) as value, case when page % 5 = 0 then cast(0.5 as double) end as value_base, 'percent' as unit, 'purchase' as kind, '' as label, true as is_upto, true as is_new_customer_only, cast(null as double) as effective_value from ok where page % 6 <> 0
-union all select page, 1, rate, null, 'percent', 'category', 'Nouveaux clients — ' || p_type, false, true, null from ok where page % 6 <> 0
-union all select page, 2, 12, null, 'fixed_eur', 'category', 'Marketplace', false, false, null from ok where page % 6 <> 0
-union all select page, case when page % 6 <> 0 then 3 else 0 end, 3, null, 'percent', 'giftcard', '', false, false, null from ok where page % 4 = 0""")
+@registered(f"""with {_RATE_SQL}, ok as (select *, rate || case when fixed then ' €' else '%' end as shown, nullif(concat_ws(chr(10), case when page % 3 = 0 then 'Hors soldes.' end, case when page % 9 = 0 then 'Hors Marketplace' end), '') as told from pt where page % 10 <> 3)
+select page, cast(0 as bigint) as ordinal, cast(rate as double) as value, case when page % 5 = 0 then cast(0.5 as double) end as value_base, unit, 'purchase' as kind, '' as label,
+ '{{"cashbackValue":"' || shown || '","cashbackBeforeIncreaseValue":"' || case when fixed then '0,5 €' else '0,5%' end || '","label":"Nouveaux clients — ' || p_type || '"}}' as raw_text, told as conditions_text,
+ true as is_upto, true as is_new_customer_only, case when page % 3 = 0 then true end as is_sale_excluded, case when page % 9 = 0 then true end as is_marketplace_excluded, cast(null as double) as effective_value from ok where page % 6 <> 0
+union all select page, 1, rate, null, unit, 'category', 'Nouveaux clients — ' || p_type, shown || ' Nouveaux clients — ' || p_type, null, false, true, null, null, null from ok where page % 6 <> 0
+union all select page, 2, 12, null, 'fixed_eur', 'category', 'Marketplace', '12 € Marketplace', null, false, false, null, null, null from ok where page % 6 <> 0
+union all select page, case when page % 6 <> 0 then 3 else 0 end, 3, null, 'percent', 'giftcard', '', '3', null, false, false, null, null, null from ok where page % 4 = 0""")
 def parse_page_a(s: SparkSession, d: str) -> DataFrame:
     return _offers_of(s, d, "a", P.parse_a)
 
 
 @registered(f"""with {_RATE_SQL}, ok as (select * from pt where page % 7 <> 0)
-select page, cast(0 as bigint) as ordinal, cast(rate as double) as value, case when page % 5 = 0 then cast(0.5 as double) end as value_base, 'percent' as unit, 'purchase' as kind, '' as label, true as is_upto, false as is_new_customer_only, cast(rate as double) as effective_value from ok
-union all select page, 1, rate, null, 'percent', 'category', 'sur tout', false, false, null from ok
-union all select page, 2, 12, null, 'fixed_eur', 'category', 'pour un nouveau client', false, true, null from ok
-union all select page, 3, 2, null, 'percent', 'giftcard', '', false, false, null from ok""")
+select page, cast(0 as bigint) as ordinal, cast(rate as double) as value, case when page % 5 = 0 and not fixed then cast(0.5 as double) end as value_base, unit, 'purchase' as kind, '' as label,
+ '{{"discount":null,"insteadAmount":"0,5%","label":"sur tout"}}' as raw_text, cast(null as varchar) as conditions_text, true as is_upto, false as is_new_customer_only, cast(null as boolean) as is_sale_excluded, true as is_marketplace_excluded, cast(rate as double) as effective_value from ok
+union all select page, 1, rate, null, unit, 'category', 'sur tout', rate || case when fixed then '€' else '%' end || ' remboursés sur tout.', null, false, false, null, null, null from ok
+union all select page, 2, 12, null, 'fixed_eur', 'category', 'pour un nouveau client, hors marketplace', '12€ remboursés au lieu de 8€ pour un nouveau client, hors marketplace', null, false, true, null, null, null from ok
+union all select page, 3, 2, null, 'percent', 'giftcard', '', '2', null, false, false, null, null, null from ok""")
 def parse_page_b(s: SparkSession, d: str) -> DataFrame:
     return _offers_of(s, d, "b", P.parse_b)
 
 
-@registered("""select 'parse_error' as kind, 'https://a.example/code-promo/x-' || p_partkey as url from part where p_partkey % 10 = 3""")
+@registered("""select 'fetch_error' as kind, url, 'TimeoutError: page ' || page as error from (select 'https://a.example/code-promo/x-' || p_partkey as url, p_partkey as page from part union all select 'https://b.example/reduction-x-' || (p_partkey + 1), p_partkey from part) where page % 10 = 7
+union all select 'parse_error', 'https://a.example/code-promo/x-' || p_partkey, 'no state on the page' from part where p_partkey % 10 = 3""")
 def page_failures(s: SparkSession, d: str) -> DataFrame:
-    return P.page_failures(P.parse_pages(_pages(s, d))).select("kind", F.get_json_object("payload", "$.url").alias("url"))
+    """Pages that weren't fetched (every 10th), and pages without a state."""
+    pages = _pages(s, d).withColumn("fetch_error", F.when(F.col("page") % 10 == 7, F.concat(F.lit("TimeoutError: page "), "page")))
+    told = lambda c: F.get_json_object("payload", f"$.{c}").alias(c)
+    return P.page_failures(P.parse_pages(pages)).select("kind", told("url"), told("error"))
 
 
 @registered("""select 'a' as provider, p_partkey as page, case when p_partkey % 10 <> 3 then p_name end as page_name, case when p_partkey % 10 <> 3 then 'm' || p_partkey || '.fr' end as domain from part union all select 'b', p_partkey, p_name, null from part""")

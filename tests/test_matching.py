@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 
 import numpy as np
+import pytest
 
 from offerledger.functions import text as T
 from offerledger.operators import graph
@@ -53,6 +54,28 @@ def test_resolution_equals_a_loop(spark):
         assert {x.alias: (x.action, x.merchant_id) for x in M.resolve_aliases(a, m).collect()} == resolved(merchants, aliases)
 
 
+def test_decisions_tell_their_reason(spark):
+    merchants = spark.createDataFrame([(1, "fnac", "Fnac", "fnac.com", [3]), (2, "darty", "Darty Services", "darty.fr", []), (3, "nature", "Nature Decouvertes", None, [])], "merchant_id long, slug string, name string, canonical_domain string, provider_ids array<int>")
+    rows = [(1, 3, "Fnac Spectacles", "www.fnac.com/x"), (2, 4, "Fnac", "fnac.com"), (3, 4, "Darty Service", None), (4, 4, "Darty Service", "autre.fr"), (5, 4, "Nature et Decouverte", None), (6, 4, "Zebra", None)]
+    aliases = spark.createDataFrame(rows, "alias long, provider_id int, raw_name string, raw_domain string")
+    want = {
+        1: ("review", 1, 1.0, "domaine fnac.com déjà rattaché pour cette plateforme"),
+        2: ("link", 1, 1.0, "domaine fnac.com"),
+        3: ("link", 2, 0.963, "nom proche de « Darty Services »"),
+        4: ("review", 2, 0.963, "nom proche de « Darty Services » mais domaines différents (autre.fr / darty.fr)"),
+        5: ("review", 3, 0.895, "nom ressemblant à « Nature Decouvertes »"),
+        6: ("create", None, None, "aucun marchand correspondant"),
+    }
+    assert {r.alias: (r.action, r.merchant_id, r.confidence, r.reason) for r in M.decide(aliases, merchants).collect()} == want
+    # One by one, in batches of their own, the replay says the same.
+    for i in want:
+        (r,) = M.resolve_aliases(aliases.where(f"alias = {i}"), merchants).collect()
+        assert (r.action, r.confidence, r.reason) == (want[i][0], *want[i][2:]) and r.merchant_id == (want[i][1] or -i)
+    queue = M.review_items(aliases.where("alias = 5").select(M.F.col("alias").alias("alias_id")), "merchant_match", "alias_id")
+    counts = M.match_counts(aliases.withColumn("raw_slug", M.F.lit("s")), M.decide(aliases, merchants), queue)
+    assert {r.action: r.n for r in counts.collect()} == {"link": 2, "create": 1, "review": 2}
+
+
 def test_slugs_never_collide(spark):
     new = spark.createDataFrame([(1, "Nike"), (2, "Nike FR"), (3, "Nike 2"), (4, "nike"), (5, "!!"), (6, "Shop"), (7, "Nike")], "alias long, name string")
     taken = spark.createDataFrame([("nike",), ("nike-3",), ("marchand",)], "slug string")
@@ -80,8 +103,42 @@ def test_seed_and_targets(spark):
     assert {r.ordinal: r.target for r in M.wanted(listing, goals).collect()} == {0: "old-fnac", 2: "old-fnac", 3: "1001-pneus"}
 
 
+def test_seed_rows_that_meet(spark):
+    """Rows meet in one merchant by domain and by slug, in file order; a later row finds what an earlier one made."""
+    fields = "slug string, name string, domain string, category string, priority string, search_volume int"
+    merchants = spark.createDataFrame([(1, "a", "A", "a.fr", "c", "P3", 7, True), (2, "b", "B", None, None, None, None, True), (3, "z", "Z", "z.fr", None, None, 1, False)], "merchant_id long, slug string, name string, canonical_domain string, category string, priority string, search_volume int, is_published boolean")
+    rows = [("x", "X", "a.fr", "k", "P1", None), ("a", "A2", None, None, "P2", 9), ("n", "N", "n.fr", None, None, 3), ("n", "N2", None, "l", None, None), ("b", "B2", "b.fr", None, "P1", None), ("y", "Y", "b.fr", None, "P2", 4)]
+    seed = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"ordinal long, {fields}")
+    got = sorted((tuple(r) for r in M.seed_merchants(merchants, seed).collect()), key=repr)
+    want = [(1, "a", "A2", "a.fr", None, "P2", 9, True, "updated"), (2, "b", "Y", "b.fr", None, "P2", 4, True, "updated"), (3, "z", "Z", "z.fr", None, None, 1, False, "kept"), (None, "n", "N2", "n.fr", "l", None, 3, False, "created")]
+    assert got == sorted(want, key=repr)
+
+
+def test_wanted_by_similar_names_and_empty_targets(spark):
+    """Against all pairs; and a run without targets fails."""
+    r = np.random.default_rng(2)
+    words = ["alpha", "beta", "gamma", "delta", "omega"]
+    name = lambda: " ".join(r.choice(words, 3))
+    goals = [(f"t{i}", name(), f"P{i % 3 + 1}") for i in range(12)]
+    listed = [(i, 0, f"l-{i}", f"{name()}{r.choice(['', 's', 'x y'])}") for i in range(60)]
+    listing = spark.createDataFrame(listed, "ordinal long, provider_id int, raw_slug string, raw_name string")
+    targets = spark.createDataFrame(goals, "slug string, name string, priority string")
+    got = {x.ordinal for x in M.wanted(listing, targets).collect()}
+    close = lambda a, b: difflib.SequenceMatcher(None, normal(a), normal(b)).ratio() >= 0.92
+    want = {i for i, _, s, n in listed if any(n.replace(" ", "") == g.replace(" ", "") or close(n, g) for _, g, _ in goals)}
+    assert got == want and len(want) >= 5
+    linked = listing.where("ordinal in (1, 2)").select("provider_id", "raw_slug")
+    assert {x.ordinal for x in M.cut_listing(listing, linked, M.wanted(listing, targets), targets=targets).collect()} == want | {1, 2}
+    with pytest.raises(ValueError, match="seed"):
+        M.cut_listing(listing, linked, M.wanted(listing, targets), targets=targets.where("false"))
+
+
 def test_reviews_are_queued_once(spark):
     new = M.review_items(spark.createDataFrame([(1, None), (2, "é"), (3, None)], "alias_id long, note string"), "match", "alias_id", "note")
     assert {r.payload for r in new.collect()} == {'{"alias_id":1,"note":null}', '{"alias_id":2,"note":"é"}', '{"alias_id":3,"note":null}'}
     queue = new.where("payload like '%:2,%'").unionByName(new.where("payload like '%:3,%'").withColumn("status", M.F.lit("done")))
     assert {r.payload[:13] for r in M.queue_once(new, queue).collect()} == {'{"alias_id":1', '{"alias_id":3'}
+    twice = new.unionByName(M.review_items(spark.createDataFrame([(1, "a"), (7, "z"), (7, "b")], "alias_id long, note string"), "match", "alias_id", "note"))
+    none = M.review_items(spark.createDataFrame([("u",), ("u",)], "url string"), "parse_error", "url")
+    got = sorted(r.payload for r in M.queue_once(twice.unionByName(none), queue).collect())
+    assert got == sorted(['{"alias_id":1,"note":"a"}', '{"alias_id":3,"note":null}', '{"alias_id":7,"note":"b"}', '{"url":"u"}', '{"url":"u"}'])

@@ -108,3 +108,35 @@ def test_stream_of_passes(spark, tmp_path):
     tables.append_history(spark.read.parquet(history), str(tmp_path / "by_day"))
     assert spark.read.parquet(str(tmp_path / "by_day")).count() == 3
     assert H.latest(spark.read.parquet(history)).first().value is None
+
+
+def test_pages_that_were_not_fetched(spark):
+    """They aren't parsed, and their review tells the fetch error."""
+    rows = [("a", "x", "u1", page_a(), None), ("a", "y", "u2", None, "TimeoutError: slow"), ("b", "z", "u3", "<html>", None), ("c", "w", "u4", "", "HTTPError: 500")]
+    parsed = P.parse_pages(spark.createDataFrame(rows, SCHEMA + ", fetch_error string"))
+    assert [(r.raw_slug, len(r.offers)) for r in parsed.where("error is null").collect()] == [("x", 1)]
+    got = {(r.kind, tuple(json.loads(r.payload).values()), r.status) for r in P.page_failures(parsed).collect()}
+    assert got == {("fetch_error", ("u2", "TimeoutError: slow"), "open"), ("parse_error", ("u3", "no payload on the page"), "open"), ("fetch_error", ("u4", "HTTPError: 500"), "open")}
+    assert {r.raw_slug for r in P.observations(parsed).collect()} == {"x"}
+
+
+def test_stored_files_and_tables(spark, tmp_path):
+    (tmp_path / "p1.html").write_text("<p>é\n</p>", encoding="utf-8")
+    (r,) = tables.read_page_files(spark, str(tmp_path / "p1.html")).collect()
+    assert r.html == "<p>é\n</p>" and r.file.endswith("p1.html")
+    items = spark.createDataFrame([("parse_error", "{}", "open")], "kind string, payload string, status string")
+    for _ in range(2):
+        tables.append_reviews(items, str(tmp_path / "reviews"))
+    assert spark.read.parquet(str(tmp_path / "reviews")).count() == 2
+    tables.write_table(items, str(tmp_path), "queue")
+    assert tables.read_table(spark, str(tmp_path), "queue").collect() == items.collect()
+    stored = spark.createDataFrame([("a", 1), ("b", 2)], "provider string, n int")
+    stored.write.parquet(str(tmp_path / "pages"))
+    assert [r.n for r in tables.read_pages(spark, str(tmp_path / "pages"), "b").collect()] == [2]
+
+
+def test_plans_of_the_parsers_stay_small(spark):
+    pages = spark.createDataFrame([("a", "x", "u", page_a()), ("b", "x", "https://b.example/reduction-x-7", page_b(7, ["4% remboursés sur tout."], online={"amount": 4, "currency": "%"}))], SCHEMA)
+    for parse in (P.parse_a, P.parse_b):
+        plan = P.observations(parse(pages))._jdf.queryExecution().executedPlan().toString()
+        assert len(plan) < 60_000
