@@ -38,7 +38,7 @@ def _accents() -> tuple[str, str, dict[str, str]]:
             continue
         if len(plain) == 1:
             one[c] = plain
-        elif plain and (c < "\u0250" or "\u2000" <= c < "\u2190" or "\uFB00" <= c < "\uFB07"):
+        elif plain and (c < "\u0250" or "\u1E00" <= c < "\u2190" or "\uFB00" <= c < "\uFB07"):
             longer[c] = plain
     return "".join(one), "".join(one.values()), longer
 

@@ -324,11 +324,12 @@ def seed_merchants(merchants: DataFrame, seed: DataFrame) -> DataFrame:
     kept if there is one.  Rows that can meet share a domain or a slug, so they are replayed by connected
     component: those of one merchant, as both tell merchants apart.
     """
-    keys = lambda slug, domain: (F.concat(F.lit("s:"), slug), F.concat(F.lit("d:"), domain))
+    # Nodes are hashes; two that are equal by chance only put two components together.
+    number = lambda kind, c: F.when(F.col(c).isNotNull(), F.xxhash64(F.concat(F.lit(kind), c)))
     known = merchants.select(F.lit(False).alias("is_seed"), F.lit(None).cast("long").alias("ordinal"), F.col("merchant_id").cast("long").alias("merchant_id"), "slug", "name", "canonical_domain", "category", "priority", F.col("search_volume").cast("int").alias("search_volume"), "is_published")
     rows = seed.select(F.lit(True).alias("is_seed"), F.col("ordinal").cast("long").alias("ordinal"), F.lit(None).cast("long").alias("merchant_id"), "slug", "name", F.col("domain").alias("canonical_domain"), "category", "priority", F.col("search_volume").cast("int").alias("search_volume"), F.lit(None).cast("boolean").alias("is_published"))
     both = known.unionByName(rows)
-    slug, domain = keys(F.col("slug"), F.col("canonical_domain"))
+    slug, domain = number("s:", "slug"), number("d:", "canonical_domain")
     class_of = components(both.select(slug.alias("a"), domain.alias("b")))
     placed = both.withColumn("node", slug).join(class_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
     touched = placed.where("is_seed").select("component").distinct()
