@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import difflib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,3 +52,51 @@ def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float) -> Data
 def scored_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """l, r, score of every pair of names whose similarity(l, r) is at least threshold."""
     return candidate_pairs(left, right, threshold).withColumn("score", similarity("l", "r")).where(F.col("score") >= threshold)
+
+
+#: names and candidates that meet in one task
+NAMES_IN_BLOCK = 4000
+
+
+def _best_of_block(names: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
+    """The best candidate of each name; those that can't beat the best so far by their letters aren't compared."""
+    if not len(names) or not len(candidates):
+        return pd.DataFrame({c: pd.Series([], dtype=kind) for c, kind in (("l", object), ("r", object), ("score", "float64"))})
+    left, right = names["name"].tolist(), sorted(candidates["name"])
+    number = {c: i for i, c in enumerate(sorted(set("".join(right))))}
+    letters = np.zeros((len(right), len(number) + 1), np.int16)
+    for i, name in enumerate(right):
+        np.add.at(letters[i], np.array([number[c] for c in name], np.int64), 1)
+    sizes, out = np.array([len(x) for x in right]), []
+    for name in left:
+        own = np.bincount(np.array([number.get(c, len(number)) for c in name], np.int64), minlength=len(number) + 1)
+        own[-1] = 0
+        most = 2 * np.minimum(letters, own).sum(axis=1) / np.maximum(sizes + len(name), 1)
+        best, found = 0.0, None
+        for i in np.argsort(-most, kind="stable").tolist():
+            if most[i] < best or most[i] == 0:
+                break
+            score = difflib.SequenceMatcher(None, name, right[i]).ratio()
+            if score > best or (score == best and found is not None and right[i] < found):
+                best, found = score, right[i]
+        out.append((name, found, best))
+    return pd.DataFrame(out, columns=["l", "r", "score"])
+
+
+def best_scores(names: DataFrame, candidates: DataFrame) -> DataFrame:
+    """l, r, score: of each distinct name the most similar candidate name (the first of equals), whatever the score.
+
+    Names are a query set that meets all distinct candidates, block by block of NAMES_IN_BLOCK; names and blocks are dealt by
+    hash, so no task holds more than a block of either.  r is null where no letter is shared.
+    """
+    distinct = lambda df: df.select("name").where("name is not null").distinct()
+    left, right = distinct(names), distinct(candidates)
+    blocks = lambda df: max(1, -(-df.count() // NAMES_IN_BLOCK))
+    n_left, n_right = blocks(left), blocks(right)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    own = lambda n: F.pmod(F.xxhash64("name"), F.lit(n)).cast("int")
+    a = left.select("name", own(n_left).alias("i"), every(n_right).alias("j"))
+    b = right.select("name", every(n_left).alias("i"), own(n_right).alias("j"))
+    best = a.groupBy("i", "j").cogroup(b.groupBy("i", "j")).applyInPandas(_best_of_block, "l string, r string, score double")
+    top = best.groupBy("l").agg(F.min_by(F.struct("r", "score"), F.struct(-F.col("score"), F.col("r"))).alias("b"))
+    return top.select("l", "b.r", "b.score")

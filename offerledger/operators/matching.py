@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerledger.functions import text as T
-from offerledger.functions.similarity import scored_pairs
+from offerledger.functions.similarity import best_scores, scored_pairs
 from offerledger.operators.graph import checkpoint_dir_set, components
 
 LINK, REVIEW = 0.92, 0.75
@@ -239,12 +239,21 @@ def match_counts(aliases: DataFrame, decisions: DataFrame, queue: DataFrame) ->
 
 
 def best_match(names: DataFrame, candidates: DataFrame) -> DataFrame:
-    """name, slug, score: the best candidate of each name; slug only from LINK on, score from REVIEW on."""
+    """name, slug, score: the best candidate's score of each name, and its slug from LINK on; the first slug of equals.
+
+    Pairs of REVIEW or more come from shared grams; the names that have none are compared with all candidates, in
+    blocks, as their best may be anything.  The score is 0 where nothing is alike or there is no candidate.
+    """
+    checkpoint_dir_set(names)
     n = names.select(F.col("name").alias("raw_name"), T.normalize_name(F.col("name")).alias("name")).distinct()
     c = candidates.select("slug", T.normalize_name(F.col("name")).alias("name"))
-    rows = n.select("raw_name", F.col("name").alias("l")).join(scored_pairs(n, c, REVIEW), "l").join(c.select("slug", F.col("name").alias("r")), "r")
-    best = rows.groupBy("raw_name").agg(F.min_by(F.struct("slug", "score"), F.struct(-F.col("score"), F.col("slug"))).alias("b"))
-    return n.join(best, "raw_name", "left").select(F.col("raw_name").alias("name"), F.when(F.col("b.score") >= LINK, F.col("b.slug")).alias("slug"), F.col("b.score").alias("score"))
+    near = scored_pairs(n, c, REVIEW).groupBy("l").agg(F.max("score").alias("score"), F.collect_list(F.struct("score", "r")).alias("pairs")).checkpoint()
+    tops = near.select("l", "score", F.explode(F.transform(F.filter("pairs", lambda p: p["score"] == F.col("score")), lambda p: p["r"])).alias("r"))
+    slugs = tops.where(F.col("score") >= LINK).join(c.select("slug", F.col("name").alias("r")), "r").groupBy("l").agg(F.min("slug").alias("slug"))
+    far = best_scores(n.join(near.select(F.col("l").alias("name")), "name", "left_anti"), c)
+    scores = near.select("l", "score").unionByName(far.select("l", "score"))
+    out = n.withColumnRenamed("name", "l").join(scores, "l", "left").join(slugs, "l", "left")
+    return out.select(F.col("raw_name").alias("name"), "slug", F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
 def targets(merchants: DataFrame, max_priority: int) -> DataFrame:
@@ -265,11 +274,19 @@ def wanted_exact(listing: DataFrame, wanted_merchants: DataFrame) -> DataFrame:
     return left.join(right, "key").groupBy("ordinal").agg(F.min(F.struct("priority", "slug")).alias("t")).select("ordinal", F.col("t.slug").alias("target"))
 
 
+def linked_names(names: DataFrame, candidates: DataFrame) -> DataFrame:
+    """name, slug of the names with a candidate of LINK or more: the most similar, the first slug of equals."""
+    n = names.select(F.col("name").alias("raw_name"), T.normalize_name(F.col("name")).alias("name")).distinct()
+    c = candidates.select("slug", T.normalize_name(F.col("name")).alias("name"))
+    rows = n.select("raw_name", F.col("name").alias("l")).join(scored_pairs(n, c, LINK), "l").join(c.select("slug", F.col("name").alias("r")), "r")
+    return rows.groupBy(F.col("raw_name").alias("name")).agg(F.min_by("slug", F.struct(-F.col("score"), F.col("slug"))).alias("slug"))
+
+
 def wanted(listing: DataFrame, wanted_merchants: DataFrame) -> DataFrame:
     """wanted_exact, and for the rest the most similar target name from LINK on."""
     exact = wanted_exact(listing, wanted_merchants)
     rest = listing.join(exact, "ordinal", "left_anti")
-    near = best_match(rest.select(F.col("raw_name").alias("name")), wanted_merchants).where("slug is not null")
+    near = linked_names(rest.select(F.col("raw_name").alias("name")), wanted_merchants)
     return exact.unionByName(rest.join(near, rest["raw_name"] == near["name"]).select("ordinal", F.col("slug").alias("target")))
 
 

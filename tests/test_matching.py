@@ -7,6 +7,7 @@ import difflib
 import numpy as np
 import pytest
 
+from offerledger.functions import similarity
 from offerledger.functions import text as T
 from offerledger.operators import graph
 from offerledger.operators import matching as M
@@ -103,6 +104,24 @@ def test_seed_and_targets(spark):
     assert {r.ordinal: r.target for r in M.wanted(listing, goals).collect()} == {0: "old-fnac", 2: "old-fnac", 3: "1001-pneus"}
 
 
+def test_best_match_tells_every_score(spark, monkeypatch):
+    """The best of all candidates, below the threshold too; in one block and in several."""
+    r = np.random.default_rng(8)
+    name = lambda: " ".join(r.choice(["alpha", "beta", "zeta", "tide", "diet", "x", "omega"], int(r.integers(1, 4))))
+    names, goals = sorted({name() + str(r.choice(["", "s", "qq"])) for _ in range(50)}) + ["0"], [(f"t{i:02}", name()) for i in range(25)]
+    want = {}
+    for n in names:
+        score = {s: difflib.SequenceMatcher(None, normal(n), normal(g)).ratio() for s, g in goals}
+        best = max(score.values())
+        want[n] = (min(s for s in score if score[s] == best) if best >= 0.92 else None, best)
+    a, c = spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame(goals, "slug string, name string")
+    for size in (4000, 7):
+        monkeypatch.setattr(similarity, "NAMES_IN_BLOCK", size)
+        assert {x.name: (x.slug, x.score) for x in M.best_match(a, c).collect()} == want
+    assert {x.score for x in M.best_match(a, c.where("false")).collect()} == {0.0}
+    assert min(s for _, s in want.values()) < 0.5 and any(slug for slug, _ in want.values())
+
+
 def test_seed_rows_that_meet(spark):
     """Rows meet in one merchant by domain and by slug, in file order; a later row finds what an earlier one made."""
     fields = "slug string, name string, domain string, category string, priority string, search_volume int"
