@@ -2,8 +2,9 @@
 
 The bag of a text is the set of its hashed n-grams: character n-grams over code points and, on
 request, word unigrams and bigrams.  Bags of the training sample are computed by Spark tasks and
-gathered (at most `max_rows` of them, a documented parameter of each operator); the fitted weight
-vector has 2**bits entries whatever the corpus is, and texts are scored where they lie.
+gathered; the sample is bounded in rows of each class (a documented parameter of each operator) and in
+characters (SAMPLE_CHARS), so driver memory is bounded: a place is four bytes, values are made in blocks.
+The fitted weight vector has 2**bits entries whatever the corpus is, and texts are scored where they lie.
 """
 
 from __future__ import annotations
@@ -13,11 +14,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerledger.llm import kernel
+from offerledger.llm import kernel, shared
 
+#: a training sample holds at most this many bytes of text
+SAMPLE_CHARS = 8_000_000
+#: places of training rows worked on at once
+AT_ONCE = 1 << 20
 _M = np.uint32(0x9E3779B1)
 
 
@@ -69,7 +74,7 @@ def bounded_sample(labelled: DataFrame, label: str, per_class: int) -> DataFrame
 
 @dataclass
 class Rows:
-    """Sparse training rows."""
+    """Sparse training rows; a place is four bytes."""
 
     indptr: np.ndarray
     indices: np.ndarray
@@ -84,10 +89,49 @@ class Rows:
         pick = [self.indices[self.indptr[i] : self.indptr[i + 1]] for i in keep]
         return Rows(np.r_[0, np.cumsum(sizes)], np.concatenate(pick) if len(pick) else self.indices[:0], self.label[keep], self.ids[keep])
 
+    def blocks(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row of each place, place), at most AT_ONCE places or one row at a time."""
+        begin = 0
+        while begin < len(self):
+            end = max(begin + 1, int(np.searchsorted(self.indptr, self.indptr[begin] + AT_ONCE, side="right")) - 1)
+            yield np.repeat(np.arange(begin, end), np.diff(self.indptr[begin : end + 1])), self.indices[self.indptr[begin] : self.indptr[end]]
+            begin = end
 
-def gather_bags(docs: DataFrame, sample: DataFrame, bag: Bag) -> Rows:
-    """Bags of the sampled documents; the sample is bounded, so it is broadcast and its bags fit the driver."""
-    picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+
+def rows_of_lists(table: pa.Table, column: str) -> Rows:
+    """Training rows of a gathered table (doc_id, label and a list column), in the order of doc_id."""
+    ids, label = np.asarray(table.column("doc_id")).astype(np.int64), np.asarray(table.column("label")).astype(float)
+    order, bags = np.argsort(ids, kind="stable"), []
+    for chunk in table.column(column).chunks:
+        flat, cut = np.asarray(chunk.flatten()), np.r_[0, np.cumsum(np.asarray(chunk.value_lengths()).astype(np.int64))]
+        bags += [flat[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    sizes = np.array([len(b) for b in bags], np.int64)[order]
+    return Rows(np.r_[0, np.cumsum(sizes)], np.concatenate([bags[i] for i in order]).astype(np.int32, copy=False) if bags else np.zeros(0, np.int32), label[order], ids[order])
+
+
+def sampled_texts(docs: DataFrame, sample: DataFrame, max_chars: int = SAMPLE_CHARS) -> DataFrame:
+    """The rows of docs whose doc_id is sampled, with the sample's label: one per doc_id, max_chars bytes of text in all.
+
+    Of rows that repeat a doc_id the one of the smallest text teaches.  Texts are taken in the order of the id's
+    hash while they fit, class by class in turn, so the bound takes from both classes alike.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    one = F.min(F.struct("text", *others)).alias("one")
+    picked = shared.written(docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(one).select("doc_id", "label", "one.*"), "sampled-texts")
+    turn = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    sizes = picked.select("doc_id", F.row_number().over(turn).alias("turn"), F.octet_length("text").alias("size")).orderBy("turn", "doc_id").collect()
+    fitting, total = [], 0
+    for r in sizes:
+        if total + r["size"] <= max_chars:
+            fitting.append(r["doc_id"])
+            total += r["size"]
+    if len(fitting) == len(sizes):
+        return picked
+    return picked.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in fitting], "doc_id long")), "doc_id", "left_semi")
+
+
+def gather_bags(docs: DataFrame, sample: DataFrame, bag: Bag, max_chars: int = SAMPLE_CHARS) -> Rows:
+    """Bags of the sampled documents on the driver; bounded by the sample's rows and by max_chars."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -96,13 +140,8 @@ def gather_bags(docs: DataFrame, sample: DataFrame, bag: Bag) -> Rows:
                 flat = np.concatenate(sets).astype(np.int32) if sets else np.zeros(0, np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), kernel.list_array(flat, np.array([len(s) for s in sets], np.int64))], ["doc_id", "label", "bag"])
 
-    got = picked.mapInArrow(work, "doc_id long, label int, bag array<int>").toArrow().combine_chunks().sort_by("doc_id")
-    bags = got.column("bag").combine_chunks()
-    bags = bags.chunk(0) if isinstance(bags, pa.ChunkedArray) and bags.num_chunks else bags
-    if not len(got):
-        return Rows(np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
-    sizes = np.array(bags.value_lengths())
-    return Rows(np.r_[0, np.cumsum(sizes)], np.asarray(bags.flatten()).astype(np.int64), np.asarray(got.column("label")).astype(float), np.asarray(got.column("doc_id")))
+    picked = sampled_texts(docs.select("doc_id", "text"), sample, max_chars)
+    return rows_of_lists(picked.select("doc_id", "label", "text").mapInArrow(work, "doc_id long, label int, bag array<int>").toArrow(), "bag")
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -144,41 +183,56 @@ def minimise(f: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray,
     return x
 
 
-def scaled(rows: Rows, scale: np.ndarray | None) -> np.ndarray:
-    """Value of every stored place: its scale, divided by the square root of the bag's size."""
-    sizes = np.diff(rows.indptr)
-    value = np.repeat(1 / np.sqrt(np.maximum(sizes, 1)), sizes)
-    return value * scale[rows.indices] if scale is not None else value
+def place_counts(rows: Rows, dims: int, weight: np.ndarray | None = None) -> np.ndarray:
+    """By place: how many rows hold it, or the sum of their weights."""
+    out = np.zeros(dims)
+    for owner, place in rows.blocks():
+        out += np.bincount(place, weights=weight[owner] if weight is not None else None, minlength=dims)
+    return out
+
+
+def _of_common_places(rows: Rows, common: np.ndarray) -> Rows:
+    """The rows with the common places alone, renumbered."""
+    number, sizes, kept = np.cumsum(common, dtype=np.int32) - 1, np.zeros(len(rows), np.int64), []
+    for owner, place in rows.blocks():
+        stays = common[place]
+        sizes += np.bincount(owner[stays], minlength=len(rows))
+        kept.append(number[place[stays]].astype(np.int32))
+    return Rows(np.r_[0, np.cumsum(sizes)], np.concatenate(kept) if kept else rows.indices[:0], rows.label, rows.ids)
 
 
 def fit_logistic(rows: Rows, weight: np.ndarray, dims: int, penalty: float, scale: np.ndarray | None = None, min_rows: int = 1) -> np.ndarray:
     """Weights (dims) and a bias (last) of an L2 logistic regression; weight: of each row.
 
-    Places found in fewer than min_rows rows get no weight.
+    The value of a stored place is its scale, divided by the square root of the bag's size.  Places found in
+    fewer than min_rows rows get no weight.  Only the places are held; values are made block by block.
     """
-    value, owner = scaled(rows, scale), np.repeat(np.arange(len(rows)), np.diff(rows.indptr))
-    common = np.bincount(rows.indices, minlength=dims) >= min_rows
-    kept, used = common[rows.indices], np.flatnonzero(common)
-    value, owner, column = value[kept], owner[kept], (np.cumsum(common) - 1)[rows.indices[kept]]
+    short = 1 / np.sqrt(np.maximum(np.diff(rows.indptr), 1))
+    common = place_counts(rows, dims) >= min_rows
+    used, own = np.flatnonzero(common), _of_common_places(rows, common)
+    size = scale[used] if scale is not None else np.ones(len(used))
     weight = weight / max(weight.sum(), 1e-12)
 
     def loss(p: np.ndarray) -> tuple[float, np.ndarray]:
-        w, b = p[:-1], p[-1]
-        z = np.bincount(owner, weights=w[column] * value, minlength=len(rows)) + b
+        w, z = p[:-1] * size, np.zeros(len(rows))
+        for owner, place in own.blocks():
+            z += np.bincount(owner, weights=w[place], minlength=len(rows))
+        z = z * short + p[-1]
         err = weight * (sigmoid(z) - rows.label)
-        cost = float((weight * (np.logaddexp(0, z) - rows.label * z)).sum() + penalty / 2 * (w @ w))
-        return cost, np.r_[np.bincount(column, weights=err[owner] * value, minlength=len(used)) + penalty * w, err.sum()]
+        cost = float((weight * (np.logaddexp(0, z) - rows.label * z)).sum() + penalty / 2 * (p[:-1] @ p[:-1]))
+        return cost, np.r_[place_counts(own, len(used), err * short) * size + penalty * p[:-1], err.sum()]
 
     p = minimise(loss, np.zeros(len(used) + 1))
     full = np.zeros(dims + 1)
-    full[used], full[-1] = p[:-1] * (scale[used] if scale is not None else 1), p[-1]
+    full[used], full[-1] = p[:-1] * size, p[-1]
     return full
 
 
 def margins(rows: Rows, w: np.ndarray) -> np.ndarray:
-    sizes = np.diff(rows.indptr)
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    return np.bincount(owner, weights=w[rows.indices], minlength=len(rows)) / np.sqrt(np.maximum(sizes, 1)) + w[-1]
+    z = np.zeros(len(rows))
+    for owner, place in rows.blocks():
+        z += np.bincount(owner, weights=w[place], minlength=len(rows))
+    return z / np.sqrt(np.maximum(np.diff(rows.indptr), 1)) + w[-1]
 
 
 def margin(found: np.ndarray, w: np.ndarray) -> float:

@@ -6,8 +6,10 @@ logistic regression over hashed word and character n-grams, fitted on labelled q
 calibrated on a held-out fold of the sample and scored in Arrow batches against KEEP_FROM.
 
 Cases: a null or empty text has no words, zero counts, and fails the base rule; repeated rows
-each get their row; a null id is passed through; without labels of both classes the verdict is
-the base rule's alone (probability 1); other columns are not looked at.
+each get their row; a null id is passed through and teaches nothing; of rows that repeat a doc_id the one of the
+smallest text teaches; without labels of both classes the verdict is the base rule's alone (probability 1); a very
+long text is counted and scored whole, and teaches if the sample's bytes (learn.SAMPLE_CHARS) allow it; an empty
+table gives an empty result; other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations

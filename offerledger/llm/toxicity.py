@@ -6,8 +6,10 @@ bags whose places are scaled by these ratios.  Only rows whose crc32(doc_id as t
 are learnt from; those with 2 are the held-out fold.
 
 Cases: a null or empty text scores the bias of the model; a null id counts as not held out and is
-not learnt from; repeated rows each get their row; a doc_id labelled twice takes its largest label;
-with one class only, every score is that class's share (0 without labels).
+not learnt from; repeated rows each get their row; a doc_id labelled twice takes its largest label, and of rows
+that repeat a doc_id the one of the smallest text teaches; with one class only, every score is that class's share
+(0 without labels); a very long text is scored whole, and teaches if the sample's bytes (learn.SAMPLE_CHARS) allow
+it; an empty table gives an empty result; other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -37,9 +39,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def log_count_ratios(rows: learn.Rows, dims: int, smoothing: float = SMOOTHING) -> np.ndarray:
-    owner = np.repeat(rows.label, np.diff(rows.indptr))
-    up = np.bincount(rows.indices, weights=owner, minlength=dims)
-    down = np.bincount(rows.indices, weights=1 - owner, minlength=dims)
+    up, down = learn.place_counts(rows, dims, rows.label), learn.place_counts(rows, dims, 1 - rows.label)
     n1, n0 = max(rows.label.sum(), 1), max((1 - rows.label).sum(), 1)
     return np.log((up + smoothing) / (n1 + 2 * smoothing)) - np.log((down + smoothing) / (n0 + 2 * smoothing))
 
