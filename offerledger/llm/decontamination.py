@@ -14,9 +14,14 @@ built, broadcast and released one at a time.  Weights are those of the whole ben
 shingle that one item holds weighs as much as one that none does, so each part carries, besides its own,
 only the shingles that several items hold.  The rows don't depend on the parts.
 
-Cases: null and empty texts hold nothing; items of under five words, or null, are not looked for;
+An item of under five words is one shingle, its whole word sequence: windows of its length either equal it
+(similarity 1) or have nothing in common with it, so it is looked for by the hash of that sequence.
+
+Cases: null and empty texts hold nothing; null items and items without words are not looked for;
 repeated items are items of their own; an item is reported once per document row, at its most similar,
-then first, window; rows with a null doc_id keep it; other columns are not looked at.
+then first, window; rows with a null doc_id keep it; repeated rows are searched each; a very long text is searched
+whole; without documents or without items nothing is found and all rows stay; other columns, whatever their names,
+are not looked at and stay.
 """
 
 from __future__ import annotations
@@ -59,8 +64,17 @@ class Benchmark:
         words = kernel.Words(pa.array(texts, pa.string()), kernel.ALNUM, lower=True)
         grams, _ = words.grams(k)
         long_enough = np.flatnonzero(words.counts >= k)
-        self.ids = [ids[i] for i in long_enough]
-        self.lengths = words.counts[long_enough]
+        short = np.flatnonzero((words.counts > 0) & (words.counts < k))
+        self.ids = [ids[i] for i in (*long_enough, *short)]
+        self.lengths = words.counts[np.r_[long_enough, short]]
+        long_lengths = words.counts[long_enough]
+        #: by length: hashes of the short items, ascending, and their numbers
+        self.short = {}
+        for m in np.unique(words.counts[short]).tolist():
+            at = np.flatnonzero(words.counts[short] == m)
+            value = words.grams(m)[0][words.rows[short[at]]]
+            order = np.argsort(value, kind="stable")
+            self.short[m] = (value[order], len(long_enough) + at[order])
         self.items = [grams[words.rows[i] : words.rows[i + 1] - k + 1] for i in long_enough]
         holders = Counter(s for item in self.items for s in np.unique(item).tolist())
         self.shingles = np.array(sorted(holders), np.uint64)
@@ -75,7 +89,7 @@ class Benchmark:
         self.filter[(self.known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         self.totals = np.array([self.weigh(item)[0].sum() for item in self.items])
         self.prints = np.array([fingerprint((signs(item) * self.weigh(item)[0][:, None]).sum(axis=0)) for item in self.items], np.uint64)
-        self.lightest = {int(m): float(self.totals[self.lengths == m].min()) for m in np.unique(self.lengths)}
+        self.lightest = {int(m): float(self.totals[long_lengths == m].min()) for m in np.unique(long_lengths)}
         at, owner = self.postings()
         self.lengths_at, self.at = at, owner
         self.blocks = [self._block(b) for b in range(4)]
@@ -95,7 +109,7 @@ class Benchmark:
 
     def postings(self) -> tuple[np.ndarray, np.ndarray]:
         """For each known shingle the distinct lengths of the items that hold it, as offsets and lengths."""
-        pairs = sorted({(s, int(m)) for item, m in zip(self.items, self.lengths, strict=True) for s in item.tolist()})
+        pairs = sorted({(s, int(m)) for item, m in zip(self.items, self.lengths) for s in item.tolist()})
         owner = np.array([m for _, m in pairs], np.int64)
         at = np.searchsorted(np.array([s for s, _ in pairs], np.uint64), self.shingles) if pairs else np.zeros(0, np.int64)
         return np.r_[at, len(pairs)], owner
@@ -157,10 +171,24 @@ class Benchmark:
         grams, whole = words.grams(self.k)
         weight, held = self.weigh(grams)
         held &= whole
-        for row in np.unique(words.of_row()[held]):
-            at = slice(words.rows[row], words.rows[row + 1] - self.k + 1)
-            if found := self.search(grams[at], weight[at], held[at]):
-                yield int(row), found
+        brief = self.short_ones(words)
+        for row in np.union1d(np.unique(words.of_row()[held]), np.array(sorted(brief), np.int64)).tolist():
+            at = slice(words.rows[row], max(words.rows[row], words.rows[row + 1] - self.k + 1))
+            found = self.search(grams[at], weight[at], held[at]) if held[at].any() else []
+            if found := found + brief.get(row, []):
+                yield row, found
+
+    def short_ones(self, words: kernel.Words) -> dict[int, list[tuple[int, int, int, float]]]:
+        """Row: findings of the items that are shorter than a shingle, at their first place."""
+        found: dict[int, dict[int, int]] = {}
+        for m, (value, item) in self.short.items():
+            grams, whole = words.grams(m)
+            low, high = np.searchsorted(value, grams, side="left"), np.searchsorted(value, grams, side="right")
+            for at in np.flatnonzero(whole & (low < high)).tolist():
+                row = int(np.searchsorted(words.rows, at, side="right")) - 1
+                for i in item[low[at] : high[at]].tolist():
+                    found.setdefault(row, {}).setdefault(i, at - int(words.rows[row]))
+        return {row: [(i, start, 0, 1.0) for i, start in sorted(items.items())] for row, items in found.items()}
 
 
 def _shingles_of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

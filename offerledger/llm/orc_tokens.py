@@ -12,8 +12,8 @@ per worker by the library and remembered under a 64-bit hash.  Texts with other
 special token's string go to the library whole.
 
 Cases: null and empty texts are END_ID alone; documents that repeat a doc_id follow each other in an
-order given by their text; rows with a null doc_id come first; an empty table gives no files' rows and
-an empty result; other columns are not looked at.
+order given by their text; rows with a null doc_id come first; a very long text is one row of one stripe; an empty
+table gives no files' rows and an empty result; other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations

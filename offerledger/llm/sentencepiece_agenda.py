@@ -9,7 +9,8 @@ and remembered under a 64-bit hash.  Each Arrow batch's new units are checked ag
 also decodes; a difference raises an error.
 
 Cases: null and empty texts encode to the begin and end ids alone and decode to ''; rows with a null
-doc_id keep it; repeated rows each get a row; other columns are not looked at.
+doc_id keep it; repeated rows each get a row; a very long text is encoded whole; an empty table gives an empty
+result; other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations

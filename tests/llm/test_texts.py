@@ -121,6 +121,35 @@ def test_orc_files_skip_and_hold_odd_rows(spark, tmp_path):
     assert orc_tokens.token_index(spark, folder + "e").count() == 0
 
 
+def test_orc_files_have_indexes_and_are_skipped(spark, tmp_path):
+    """Row indexes and Bloom filters of doc_id stand in the stripes, integers are run-length encoded, and a look-up reads one row group."""
+    folder = str(tmp_path / "many")
+    docs = spark.range(25_000).selectExpr("2 * id as doc_id", "concat('text ', id % 7) as text")
+    orc_tokens.write_tokens(docs.coalesce(1), folder, public_tokenizers.path(orc_tokens.VOCABULARY))
+    orc, conf = spark._jvm.org.apache.orc, spark._jsc.hadoopConfiguration()
+    rows = 0
+    for part in (tmp_path / "many").glob("part-*.orc"):
+        reader = orc.OrcFile.createReader(spark._jvm.org.apache.hadoop.fs.Path(str(part)), orc.OrcFile.readerOptions(conf))
+        rows += reader.getNumberOfRows()
+        footer = reader.rows().readStripeFooter(reader.getStripes().get(0))
+        kinds = {(s.getColumn(), str(s.getKind())) for s in footer.getStreamsList()}
+        assert (1, "ROW_INDEX") in kinds and (1, "BLOOM_FILTER_UTF8") in kinds and (2, "BLOOM_FILTER_UTF8") not in kinds
+        assert str(footer.getColumns(1).getKind()) == "DIRECT_V2"
+    assert rows == 25_000
+
+    def read(where: str) -> tuple[int, int]:
+        """Rows returned, and rows that came out of the scan."""
+        df = orc_tokens.read_tokens(spark, folder).where(where).select("doc_id", "n_tokens")
+        n, plan = len(df.collect()), df._jdf.queryExecution().executedPlan()
+        plan = plan.executedPlan() if hasattr(plan, "executedPlan") and "Adaptive" in plan.nodeName() else plan
+        return n, plan.collectLeaves().head().metrics().get("numOutputRows").get().value()
+
+    assert read("doc_id >= 0") == (25_000, 25_000)
+    n, scanned = read("doc_id = 30000")
+    assert n == 1 and scanned <= 10_000
+    assert read("doc_id = 30001") == (0, 0)  # between known ids: the Bloom filter tells
+
+
 def test_units_equal_the_library():
     encoder = orc_tokens.Encoder(public_tokenizers.path(orc_tokens.VOCABULARY))
     r = np.random.default_rng(1)
