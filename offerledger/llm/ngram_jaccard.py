@@ -10,7 +10,7 @@ How links are found, none lost and no group expanded to all its pairs:
    its words are in the corpus (at most MAX_FREQUENT words, counted over all documents, have a level),
    the rest is its hash.  Two linked sets share a shingle among the first n - ceil(0.85 n) + 1 of
    both; a set goes to each of these that another set has too, with the shared ones that come after it
-   (the next REST: more would tighten bounds, not change results).
+   (the next REST, by their upper halves: more would tighten bounds, not change results).
 3. The sets of a shingle, sorted by what comes after it, are a prefix tree.  Every set is taken through the tree
    of each of its shingles, all sets of a batch at once and level by level: sets with a common beginning share
    the overlap counted so far, and a subtree is left as soon as that overlap and the shorter of both remaining
@@ -19,7 +19,8 @@ How links are found, none lost and no group expanded to all its pairs:
    and verified links give components.  The last round takes whole trees, between different components.
    A shingle of more than BLOCK sets is dealt over blocks: sets of its largest component meet only
    the sets outside it, block by block, so no task holds more than two blocks.
-5. Candidates are verified on whole sets; a set with many partners is dealt over several tasks.
+5. Parity bitmaps bound the overlap of what is left, in whole trees and of the candidates (no link is lost), and
+   whole sets are compared; a set with many partners is dealt over several tasks.
 
 Cases: null, empty and blank texts have no set (0 shingles) and are classes of their own; copies
 share a class; a repeated doc_id gives a row each time; a row with a null doc_id keeps its row and
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerledger.llm import kernel, shared
-from offerledger.llm.components import components
+from offerledger.operators.graph import components
 
 SHINGLE = 4
 #: a link needs 100 * intersection >= PERCENT * union
@@ -48,13 +49,21 @@ PERCENT = 85
 MAX_FREQUENT = 65_536
 #: an Arrow task reports a word as frequent from this count in its own rows
 FREQUENT_IN_TASK = 64
+#: parity bitmaps of candidates have a power of two of bits, at least this and half the set's size
+BITS = 512
+#: words of 64 bits of the bitmaps that go with sets into whole trees
+COARSE = 16
 #: shared shingles that go with a set to each of its shingles
 REST = 32
+#: shingles of one set that may be equal in their upper halves
+TIES = 2
 #: sets of a shingle that meet in one task
 BLOCK = 512
 MERGE_ROUNDS = 2
 #: shingles of candidates verified together, and of one set's partners
 CHECKED_AT_ONCE = 1_000_000
+#: texts of candidates are found by a broadcast of their keys up to so many (8 MB), beyond by a join
+MAX_BROADCAST = 1_000_000
 #: shingles looked up at once in a tree
 AT_ONCE = 1 << 20
 _LEVEL_AT = np.uint64(57)
@@ -101,6 +110,16 @@ def signature(found: np.ndarray) -> int:
     return int(kernel.mix64(np.array([kernel.mix64(found ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) + np.uint64(len(found))]))[0].view(np.int64))
 
 
+def parity_bits(found: np.ndarray, size: int | None = None) -> np.ndarray:
+    """Parity bitmap: its Hamming distance to another set's is at most the symmetric difference.
+
+    Halving a bitmap by exclusive or gives the bitmap of half the size.
+    """
+    size = size or max(BITS, 1 << max(len(found) // 2 - 1, 0).bit_length())
+    odd = np.bincount((found & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def need(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     """Smallest overlap of sets of n and m that links them."""
     return -((-percent * (n + m)) // (100 + percent))
@@ -115,17 +134,18 @@ class PrefixTrees:
     """Prefix trees of the sets of several shingles: rows sorted by group (shingle), then by what comes after it.
 
     Of each row: n and comp (the set's size and component), pos (how many of its shingles come before the group's),
-    tokens and places (the shared shingles after it, in the global order, and how many come before each), done and
-    upto (the shingles up to `upto`, `done` of them, are known: what is shared among them is in tokens), side (rows
-    of equal sides aren't paired, but those of side 0 are).
+    tokens and places (the upper halves of the shared shingles after it, in the global order, and how many shingles
+    come before each), done and upto (the shingles before `upto`, `done` of them, are known: what is shared among
+    them is in tokens), side (rows of equal sides aren't paired, but those of side 0 are).  Shingles that are equal in
+    their upper halves alone count as shared, which only leaves more pairs for the check.
 
     A node is a run of rows with the same beginning; those of depth d are told by the rows' common lengths with
     the row before.
     """
 
-    def __init__(self, group, side, n, pos, comp, done, upto, tokens: np.ndarray, places: np.ndarray, sizes: np.ndarray, percent: int):
+    def __init__(self, group, side, n, pos, comp, done, upto, tokens: np.ndarray, places: np.ndarray, sizes: np.ndarray, percent: int, bits: np.ndarray | None = None):
         self.group, self.side, self.n, self.pos, self.comp, self.done, self.upto = group, side, n, pos, comp, done, upto
-        self.places, self.sizes, self.percent = places, sizes, percent
+        self.places, self.sizes, self.percent, self.bits = places, sizes, percent, bits
         self.begin = np.cumsum(sizes) - sizes
         known, self.rank = np.unique(tokens, return_inverse=True)
         self.width = len(known) + 1
@@ -157,12 +177,13 @@ class PrefixTrees:
         return lows, lows + counts, self.rank[at[first]] if depth else first, over(np.maximum, self.n[rows] - place - 1), over(np.minimum, self.n[rows]), over(np.add, (self.sizes[rows] == depth).astype(np.int64))
 
     def _met(self, row: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether the row holds the shingle, and the place of its last shingle up to there."""
+        """Whether the row holds the shingle, and a place not behind its last shingle up to there."""
         key = row * self.width + rank
-        at = np.searchsorted(self.held, key, side="right") - 1
+        at = np.searchsorted(self.held, key)
+        met = self.held[np.minimum(at, len(self.held) - 1)] == key if len(self.held) else np.zeros(len(key), bool)
+        at = np.where(met, at, at - 1)
         some = at >= self.begin[row]
-        at = np.maximum(at, 0)
-        return some & (self.held[at] == key), np.where(some, self.places[at], self.pos[row])
+        return met, np.where(some, self.places[np.maximum(at, 0)], self.pos[row]) if len(self.held) else self.pos[row]
 
     def neighbours(self) -> tuple[np.ndarray, np.ndarray]:
         """Rows next to each other in a tree that may link, of different components."""
@@ -222,7 +243,12 @@ class PrefixTrees:
             left = np.where(self.upto[p] <= self.upto[q], n[p] - np.maximum(self.done[p], in_p + 1), n[p] - in_p - 1)
             right = np.where(self.upto[q] <= self.upto[p], n[q] - np.maximum(self.done[q], in_q + 1), n[q] - in_q - 1)
             may = overlap + np.minimum(left, right) >= need(n[p], n[q], self.percent)
-            out.append((p[may], q[may]))
+            p, q = p[may], q[may]
+            if self.bits is not None:
+                far = np.bitwise_count(self.bits[p] ^ self.bits[q]).sum(axis=1, dtype=np.int64)
+                may = far <= n[p] + n[q] - 2 * need(n[p], n[q], self.percent)
+                p, q = p[may], q[may]
+            out.append((p, q))
         return tuple(np.concatenate(z) for z in zip(*out, strict=True)) if out else (x, y)
 
 
@@ -261,15 +287,30 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return kernel.list_array(kernel.as_long(flat), np.array([len(x) for x in arrays], np.int64))
 
 
-def _scan(k: int, levels):
-    """Signature, size and ordered shingles of each document's set."""
+def _scan(k: int, percent: int, levels):
+    """Signature, size, bitmap and ordered prefix of each document's set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in kernel.slices(whole):
                 sets = shingle_sets(batch.column("text"), k, levels.value)
                 names = pa.array([signature(s) if len(s) else None for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), names, pa.array([len(s) for s in sets], pa.int64()), _lists(sets)], ["doc_id", "sig", "n", "tokens"])
+                prefix = [s[: len(s) + 1 + (-percent * len(s)) // 100] if len(s) else s for s in sets]
+                # How far the prefix tells the set: the upper half of its last shingle, and the shingles before that.
+                upper = [p >> np.uint64(32) for p in prefix]
+                last = [int(u[-1]) if len(u) else 0 for u in upper]
+                before = [int(np.searchsorted(u, u[-1])) if len(u) else 0 for u in upper]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), names, *(pa.array(x, pa.int64()) for x in ([len(s) for s in sets], last, before)), _lists([parity_bits(s) for s in sets]), _lists([parity_bits(s, 64 * COARSE) for s in sets]), _lists(prefix)], ["doc_id", "key", "sig", "n", "last", "before_last", "bits", "coarse", "prefix"])
+
+    return work
+
+
+def _whole_sets(k: int, levels):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in kernel.slices(whole):
+                sets = [s for s in shingle_sets(batch.column("text"), k, levels.value) if len(s)]
+                yield pa.RecordBatch.from_arrays([pa.array([signature(s) for s in sets], pa.int64()), _lists(sets)], ["sig", "tokens"])
 
     return work
 
@@ -282,15 +323,15 @@ def _candidates(percent: int, nearest: bool):
 
     def of_groups(rows: pa.RecordBatch, group: np.ndarray) -> Iterator[pa.RecordBatch]:
         column = lambda c: rows.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
-        rest, places = rows.column("rest"), rows.column("places")
-        trees = PrefixTrees(group, *(column(c) for c in _NUMBERS), column("upto").view(np.uint64), np.asarray(rest.flatten()).view(np.uint64), np.asarray(places.flatten()).astype(np.int64), np.asarray(rest.value_lengths()).astype(np.int64), percent)
+        flat = lambda c, kind: np.asarray(rows.column(c).flatten()).view(kind)
+        trees = PrefixTrees(group, *(column(c) for c in _NUMBERS), column("upto").astype(np.uint32), flat("rest", np.uint32), flat("places", np.int32).astype(np.int64), np.asarray(rows.column("rest").value_lengths()).astype(np.int64), percent, None if nearest else flat("coarse", np.uint64).reshape(-1, COARSE))
         x, y = trees.neighbours() if nearest else trees.all_pairs()
         sig = column("sig")
         flip = sig[x] > sig[y]
         x, y = np.where(flip, y, x), np.where(flip, x, y)
         _, once = np.unique(np.stack([sig[x], sig[y]]), axis=1, return_index=True)
         if len(once):
-            yield pa.RecordBatch.from_arrays([pa.array(c[z[once]]) for c in (sig, trees.n) for z in (x, y)], ["a", "b", "na", "nb"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[z[once]]) for c in (sig, trees.n) for z in (x, y)), pa.array(column("token")[x[once]])], ["a", "b", "na", "nb", "token"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -335,30 +376,34 @@ def _check_block(percent: int):
 
 def ngram_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links), a row per document."""
-    texts = shared.keyed_texts(docs)
+    # Whole sets are fetched by key: the doc_id, or for a null one a hash of the text.
+    texts = shared.keyed_texts(docs).withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
     levels = docs.sparkSession.sparkContext.broadcast(word_levels(texts))
-    scanned = shared.written(texts.mapInArrow(_scan(k, levels), "doc_id long, sig long, n long, tokens array<long>"), "ngram-scan")
-    members = shared.written(scanned.select("doc_id", "sig", "n"), "ngram-docs")
-    sets = shared.written(scanned.where("sig is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "ngram-sets")
-    shared.dropped(scanned)
-    prefix = F.col("n") + F.floor(F.lit(-percent) * F.col("n") / 100).cast("long") + 1
-    postings = sets.withColumn("size", prefix.cast("int")).select("sig", "n", "size", F.posexplode(F.slice("tokens", F.lit(1), F.col("size"))).alias("pos", "token"), F.element_at("tokens", F.col("size")).alias("last"))
+    members = shared.written(texts.mapInArrow(_scan(k, percent, levels), "doc_id long, key long, sig long, n long, last long, before_last long, bits array<long>, coarse array<long>, prefix array<long>"), "ngram-docs")
+    filled = members.where("sig is not null").groupBy("sig")
+    postings = filled.agg(F.first("prefix").alias("prefix")).select("sig", F.posexplode("prefix").alias("pos", "token"))
     # Shingles that begin two sets or more; of each set those alone go on, with their places.
-    again = postings.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1")
-    held = F.struct("pos", "token", "holders")
-    heads = postings.join(again, "token").groupBy("sig", "n", "size", "last").agg(F.sort_array(F.collect_list(held)).alias("held"))
-    heads = shared.written(heads, "ngram-heads")
-
-    links, class_of = None, None
-    for turn in range(MERGE_ROUNDS + 1):
-        nearest = turn < MERGE_ROUNDS
-        pairs = shared.written(_paired(heads, class_of, percent, nearest), "ngram-pairs")
-        found = shared.written(_verified(pairs, sets, percent), "ngram-links")
+    again = postings.groupBy("token").agg(F.count("*").cast("int").alias("holders")).where("holders > 1")
+    held = postings.join(again, "token").groupBy("sig").agg(F.sort_array(F.collect_list(F.struct("pos", "token", "holders"))).alias("held"))
+    known = filled.agg(*(F.first(c).alias(c) for c in ("n", "last", "before_last", "coarse")))
+    parts = [F.col(f"held.{c}").alias(name) for c, name in (("token", "tokens"), ("pos", "places"), ("holders", "holders"))]
+    upper = F.transform("held.token", lambda x: F.shiftright(x, 32).cast("int"))
+    heads = shared.written(held.join(known, "sig").select("sig", "n", "last", "before_last", "coarse", *parts, upper.alias("uppers")), "ngram-heads")
+
+    links, class_of, turn = None, None, 0
+    while turn <= MERGE_ROUNDS:
+        pairs = shared.written(_paired(heads, class_of, percent, nearest=turn < MERGE_ROUNDS), "ngram-pairs")
+        found = shared.written(_verified(pairs, members, texts, levels, k, percent), "ngram-links")
         shared.dropped(pairs)
-        if class_of is None or not found.isEmpty():
+        shared.released(pairs.sparkSession)
+        some = not found.isEmpty()
+        if class_of is None or some:
             links = found if links is None else links.unionByName(found)
             class_of = components(links)
+        # Whole trees once neighbours give nothing new.
+        turn = turn + 1 if some or turn == MERGE_ROUNDS else MERGE_ROUNDS
 
+    members = members.select("doc_id", "sig", "n")
     nodes = members.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
     named = nodes.join(class_of.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -367,19 +412,25 @@ def ngram_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
 
 
 def _paired(heads: DataFrame, class_of: DataFrame | None, percent: int, nearest: bool) -> DataFrame:
-    """Distinct candidates (a, b, na, nb) between different components, from the prefix trees of shared shingles."""
-    comp = F.col("sig") if class_of is None else F.coalesce("component", "sig")
-    if class_of is not None:
-        heads = heads.join(class_of.withColumnRenamed("node", "sig"), "sig", "left")
-    heads = heads.withColumn("comp", comp)
-    rest = F.slice("held", F.col("at") + 2, F.lit(REST))
-    whole = F.size("held") <= F.col("at") + 1 + REST
-    of_each = heads.select("sig", "n", "size", "last", "comp", "held", F.posexplode("held").alias("at", "h")).select("sig", "n", "comp", F.col("h.pos").alias("pos"), F.col("h.token").alias("token"), F.col("h.holders").alias("holders"), rest.alias("r"), whole.alias("whole"), "size", "last")
-    end = F.try_element_at("r", F.lit(-1))
-    rows = of_each.select("token", "holders", "sig", "n", "pos", "comp", F.col("r.token").alias("rest"), F.col("r.pos").alias("places"), F.when(F.col("whole"), F.col("size")).otherwise(end["pos"] + 1).cast("long").alias("done"), F.when(F.col("whole"), F.col("last")).otherwise(end["token"]).alias("upto"))
-    if class_of is not None:
-        mixed = heads.select("comp", F.explode("held.token").alias("token")).groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
-        rows = rows.join(mixed, "token", "left_semi")
+    """Candidates (a, b, na, nb, and a shingle they share) between different components, from the prefix trees."""
+    heads = heads.withColumn("own", F.sequence(F.lit(0), F.size("tokens") - 1))
+    if class_of is None:
+        heads = heads.withColumn("comp", F.col("sig"))
+    else:
+        heads = heads.join(class_of.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("component", "sig"))
+        # Only trees of two components or more: light rows are joined, and each set keeps the numbers of those shingles.
+        light = heads.select("sig", "comp", F.posexplode("tokens").alias("at", "token"))
+        mixed = light.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
+        some = light.join(mixed, "token", "left_semi").groupBy("sig").agg(F.collect_list("at").alias("own"))
+        heads = heads.drop("own").join(some, "sig")
+    each = heads.withColumn("at", F.explode("own"))
+    after = lambda c: F.slice(c, F.col("at") + 2, F.lit(REST))
+    here = lambda c, k=1: F.element_at(c, F.col("at") + k)
+    whole = F.size("tokens") <= F.col("at") + 1 + REST
+    end = F.least(F.col("at") + 1 + REST, F.size("tokens"))
+    done = F.when(whole, F.col("before_last")).otherwise(F.element_at("places", end) - TIES)
+    upto = F.when(whole, F.col("last")).otherwise(F.shiftrightunsigned(F.element_at("tokens", end), 32))
+    rows = each.select(here("tokens").alias("token"), here("holders").alias("holders"), "sig", "n", here("places").alias("pos"), "comp", after("uppers").alias("rest"), after("places").alias("places"), done.alias("done"), upto.alias("upto"), (F.array().cast("array<long>") if nearest else F.col("coarse")).alias("coarse"))
     few = rows.where(F.col("holders") <= BLOCK).withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(0)})
     many = rows.where(F.col("holders") > BLOCK)
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
@@ -392,27 +443,45 @@ def _paired(heads: DataFrame, class_of: DataFrame | None, percent: int, nearest:
         many = many.join(main, "token").withColumn("out", F.col("comp") != F.col("main"))
         # Blocks of the sets outside the main component: 0 ... n_out - 1; of those in it: n_out ...
         n_out = F.greatest(F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK), F.lit(1)).cast("int")
-        many = many.withColumn("n_out", n_out).withColumn("own", F.when(F.col("out"), block_of(F.col("n_out"))).otherwise(F.col("n_out") + block_of(blocks("n_main"))))
+        many = many.withColumn("n_out", n_out).withColumn("mine", F.when(F.col("out"), block_of(F.col("n_out"))).otherwise(F.col("n_out") + block_of(blocks("n_main"))))
         others = F.when(F.col("out"), F.sequence(F.lit(0), F.col("n_out") + blocks("n_main") - 1)).otherwise(F.sequence(F.lit(0), F.col("n_out") - 1))
-        many = many.withColumn("other", F.explode(others)).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-        many = many.withColumn("side", F.when(F.col("i") == F.col("j"), 0).when(F.col("own") == F.col("i"), 1).otherwise(2))
-    columns = ["token", "i", "j", "side", "sig", "n", "pos", "comp", "done", "upto", "rest", "places"]
+        many = many.withColumn("other", F.explode(others)).withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
+        many = many.withColumn("side", F.when(F.col("i") == F.col("j"), 0).when(F.col("mine") == F.col("i"), 1).otherwise(2))
+    columns = ["token", "i", "j", "side", "sig", "n", "pos", "comp", "done", "upto", "rest", "places", "coarse"]
     dealt = few.select(columns).unionByName(many.select(columns)).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "rest")
-    return dealt.mapInArrow(_candidates(percent, nearest), "a long, b long, na long, nb long").distinct()
+    found = dealt.mapInArrow(_candidates(percent, nearest), "a long, b long, na long, nb long, token long")
+    return found.groupBy("a", "b", "na", "nb").agg(F.min("token").alias("token"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b of set names) that link.  Whole sets travel once to each block that needs them.
+def _verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, levels, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b of set names) that link.  Parity bitmaps tell most of the others apart.  Whole sets are made again
+    of one text each, for the candidates that are left, and travel once to each block that needs them.
 
-    The partners of a set are dealt over as many parts as their shingles need, parts over blocks of bounded size.
+    Pairs are checked where others of the same shingle are, as these have sets in common; the pairs of a shingle and
+    the partners of a set are dealt over as many parts as their sizes need.
     """
-    total = pairs.agg(F.coalesce(F.sum(F.col("na") + F.col("nb")), F.lit(0)).alias("n")).first()["n"]
+    bits = members.where("sig is not null").groupBy("sig").agg(F.first("bits").alias("bits"))
+    both = pairs.join(bits.toDF("a", "x"), "a").join(bits.toDF("b", "y"), "b")
+    # Linked sets differ in size by less than two (percent is over 50), so their bitmaps by one halving at most.
+    halved = "zip_with(slice({0}, 1, size({0}) div 2), slice({0}, size({0}) div 2 + 1, size({0}) div 2), (p, q) -> p ^ q)"
+    even = both.withColumn("u", F.expr(f"case when size(x) > size(y) then {halved.format('x')} else x end")).withColumn("v", F.expr(f"case when size(y) > size(x) then {halved.format('y')} else y end"))
+    apart = F.expr("aggregate(zip_with(u, v, (p, q) -> bit_count(p ^ q)), 0, (s, d) -> s + d)")
+    near = apart <= F.expr(f"na + nb + 2 * floor(-{percent} * (na + nb) / {100 + percent}.0d)")
+    pairs = shared.written(even.where(near).select("a", "b", "na", "nb", "token"), "ngram-near")
+    weight = F.col("na") + F.col("nb")
+    total = pairs.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("n")).first()["n"]
     n_blocks = max(1, -(-total // CHECKED_AT_ONCE))
-    partners = pairs.groupBy("a").agg(F.sum("nb").alias("partners"))
-    part = F.pmod(F.xxhash64("b"), F.ceil(F.col("partners") * 4 / CHECKED_AT_ONCE))
-    blocked = pairs.join(partners, "a").withColumn("block", F.pmod(F.xxhash64("a", part), F.lit(n_blocks))).select("block", "a", "b")
+    of_token = pairs.groupBy("token").agg(F.sum(weight).alias("of_token"))
+    of_set = pairs.groupBy("a").agg(F.sum("nb").alias("of_set"))
+    parts = lambda c: F.ceil(F.col(c) * 4 / CHECKED_AT_ONCE)
+    part = F.pmod(F.xxhash64("a", F.pmod(F.xxhash64("b"), parts("of_set"))), parts("of_token"))
+    blocked = pairs.join(of_token, "token").join(of_set, "a").withColumn("block", F.pmod(F.xxhash64("token", part), F.lit(n_blocks))).select("block", "a", "b")
     wanted = blocked.select("block", F.explode(F.array("a", "b")).alias("sig")).distinct()
-    carried = wanted.join(sets.select("sig", "tokens"), "sig").select("block", F.col("sig").alias("a"), F.lit(None).cast("long").alias("b"), "tokens")
+    keys = members.select("sig", "key").join(wanted.select("sig").distinct(), "sig", "left_semi").groupBy("sig").agg(F.min("key").alias("key")).select("key").distinct()
+    keys = shared.written(keys, "ngram-keys")
+    holders = F.broadcast(keys) if keys.count() <= MAX_BROADCAST else keys
+    sets = texts.join(holders, "key", "left_semi").mapInArrow(_whole_sets(k, levels), "sig long, tokens array<long>")
+    carried = wanted.join(sets.groupBy("sig").agg(F.first("tokens").alias("tokens")), "sig").select("block", F.col("sig").alias("a"), F.lit(None).cast("long").alias("b"), "tokens")
     rows = carried.unionByName(blocked.select("block", "a", "b", F.lit(None).cast("array<long>").alias("tokens")))
     return rows.groupBy("block").applyInArrow(_check_block(percent), "a long, b long")
 

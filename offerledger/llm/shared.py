@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own: dict[str, str] = {}
+from offerledger.operators.graph import shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only in local mode where it is unset."""
-    told = spark.conf.get("spark.checkpoint.dir", None)
-    if told:
-        return told.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if "path" not in _own:
-        _own["path"] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return _own["path"]
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: df as a Parquet table in the shared folder, read again."""
     spark = df.sparkSession
@@ -43,6 +30,11 @@ def dropped(df: DataFrame) -> None:
         where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of queries that are over: it does so when the driver collects its garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just the id (long) and the text (null: empty), whatever else the table carries."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

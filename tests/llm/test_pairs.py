@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from offerledger.llm import components, decontamination, ngram_jaccard, suffix_dedup
+from offerledger.llm import decontamination, ngram_jaccard, suffix_dedup
+from offerledger.operators import graph
 from tests.llm import cases
 
 
@@ -107,8 +108,8 @@ def test_prefix_trees():
     r = np.random.default_rng(5)
     sets = []
     for _ in range(12):
-        base = np.sort(r.choice(2**40, 200, replace=False).astype(np.uint64))
-        sets += [np.unique(np.concatenate([np.delete(base, r.choice(200, 3 * i, replace=False)), r.choice(2**40, 2 * i).astype(np.uint64)])) for i in range(8)]
+        base = np.sort(r.choice(2**30, 200, replace=False).astype(np.uint32))
+        sets += [np.unique(np.concatenate([np.delete(base, r.choice(200, 3 * i, replace=False)), r.choice(2**30, 2 * i).astype(np.uint32)])) for i in range(8)]
     sets = sets + [s[:160] for s in sets[::8]]
     comp = np.arange(len(sets)) // 3
     holders = Counter(t for s in sets for t in s[: len(s) - -(-85 * len(s) // 100) + 1].tolist())
@@ -119,13 +120,13 @@ def test_prefix_trees():
         for k, (p, t) in enumerate(held):
             rest = held[k + 1 : k + 6]
             whole = len(held) <= k + 6
-            rows.append((t, [x for _, x in rest], i, p, [q for q, _ in rest], size if whole else rest[-1][0] + 1, int(s[size - 1]) if whole else rest[-1][1]))
+            rows.append((t, [x for _, x in rest], i, p, [q for q, _ in rest], size - 1 if whole else rest[-1][0], int(s[size - 1]) if whole else rest[-1][1]))
     rows.sort(key=lambda x: x[:2])
     column = lambda k: np.array([x[k] for x in rows], np.int64)
     flat = lambda k: np.array([y for x in rows for y in x[k]], np.int64)
     who = column(2)
     n = np.array([len(s) for s in sets])[who]
-    trees = ngram_jaccard.PrefixTrees(column(0), 0 * who, n, column(3), comp[who], column(5), column(6).view(np.uint64), flat(1).view(np.uint64), flat(4), np.array([len(x[1]) for x in rows]), 85)
+    trees = ngram_jaccard.PrefixTrees(column(0), 0 * who, n, column(3), comp[who], column(5), column(6).astype(np.uint32), flat(1).astype(np.uint32), flat(4), np.array([len(x[1]) for x in rows]), 85)
     found = {tuple(sorted((int(who[x]), int(who[y])))) for x, y in zip(*trees.all_pairs(), strict=True)}
     overlap = lambda i, j: len(np.intersect1d(sets[i], sets[j]))
     want = {(i, j) for j in range(len(sets)) for i in range(j) if comp[i] != comp[j] and 100 * overlap(i, j) >= 85 * len(np.union1d(sets[i], sets[j]))}
@@ -163,9 +164,9 @@ def test_blocks_of_a_frequent_shingle(spark, monkeypatch, block):
 def test_components(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000 + i, 1000) for i in range(1, 50)] + [(5, 5), (None, 3)]
     for one_task in (0, 1000):
-        got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long"), one_task=one_task).collect()}
+        got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long"), one_task=one_task).collect()}
         assert got == {i: 0 for i in range(201)} | {1000 + i: 1000 for i in range(50)}
-    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def repeats(texts: dict[int, str], match: int = 50) -> dict[int, tuple[int, int]]:
@@ -251,6 +252,48 @@ def test_leaks(spark):
     assert all(s >= 0.8 for s in got.values())
 
 
+def windows(item: list[str], words: list[str], weight: dict, k: int = 5) -> float:
+    """The best weighted Jaccard similarity of an item's shingles and those of the windows of its length."""
+    grams = lambda w: Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    best, mine = 0.0, grams(item)
+    for i in range(len(words) - len(item) + 1):
+        other = grams(words[i : i + len(item)])
+        both = sum(min(n, other[g]) * weight[g] for g, n in mine.items())
+        every = sum(max(mine[g], other[g]) * weight[g] for g in mine | other)
+        best = max(best, both / every)
+    return best
+
+
+def test_similarities_against_all_windows(spark):
+    """Every pair found has the similarity of its best window within the radius; of all pairs of 0.8 or more 0.95 are found."""
+    r = np.random.default_rng(12)
+    word = lambda: f"k{r.integers(0, 60)}"
+    items = {i: [word() for _ in range(int(n))] for i, n in enumerate(r.integers(20, 80, 30))}
+    docs = {}
+    for d in range(120):
+        words = list(items[d % 30])
+        for at in r.choice(len(words), int(r.integers(0, 3)), replace=False):
+            words[int(at)] = word()
+        docs[d] = [word() for _ in range(int(r.integers(0, 20)))] + words[int(r.integers(0, 3)) :] + [word() for _ in range(10)]
+    holders = Counter(g for w in items.values() for g in {tuple(w[i : i + 5]) for i in range(len(w) - 4)})
+    every = {tuple(w[i : i + 5]) for w in (*items.values(), *docs.values()) for i in range(len(w) - 4)}
+    weight = {g: float(np.log(1 + len(items) / holders.get(g, 1))) for g in every}
+    want = {(d, i): s for d, w in docs.items() for i, item in items.items() if (s := windows(item, w, weight)) >= 0.8}
+    frame = lambda x, c: spark.createDataFrame([(i, " ".join(w)) for i, w in x.items()], f"{c} long, text string")
+    got = {(x.doc_id, x.item_id): x.similarity for x in decontamination.contaminations(frame(docs, "doc_id"), frame(items, "item_id")).collect()}
+    assert set(got) <= set(want) and len(want) > 50
+    assert len(got) >= 0.95 * len(want)
+    assert np.mean([abs(got[p] - want[p]) < 1e-9 for p in got]) > 0.95 and all(got[p] <= want[p] + 1e-9 for p in got)
+
+
+def test_short_items_are_found_word_for_word(spark):
+    items = spark.createDataFrame([(1, "To be, or not"), (2, "answer 42"), (3, "yes"), (4, "answer 42"), (5, "one two three four five six")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x to be or NOT to be"), (2, "to be and not or"), (3, "yes, the answer (42) yes"), (4, "x one two three four five six"), (5, None)], "doc_id long, text string")
+    got = {(x.doc_id, x.item_id): (x.start_word, x.similarity) for x in decontamination.contaminations(docs, items).collect()}
+    assert got == {(1, 1): (1, 1.0), (3, 2): (2, 1.0), (3, 4): (2, 1.0), (3, 3): (0, 1.0), (4, 5): (1, 1.0)}
+    assert {r.doc_id for r in decontamination.decontaminated(docs, items).collect()} == {2, 5}
+
+
 def test_near_leaks_and_clean_texts(spark):
     r = np.random.default_rng(2)
     word = lambda: f"k{r.integers(0, 10_000)}"
@@ -285,7 +328,7 @@ def test_parts_of_a_benchmark_give_the_rows_of_one(spark, monkeypatch):
             words[40 + int(at)] = "other"
         docs[i] = " ".join([word() for _ in range(30)] + words)
     docs = spark.createDataFrame([*docs.items(), (None, items[3]), (None, "nothing in it at all, that is known"), (None, None)], "doc_id long, text string")
-    benchmark = spark.createDataFrame([*items.items(), (90, None), (91, "too short")], "item_id long, text string")
+    benchmark = spark.createDataFrame([*items.items(), (90, None), (91, "never here")], "item_id long, text string")
     rows = lambda: sorted((tuple(x) for x in decontamination.contaminations(docs, benchmark).collect()), key=repr)
     left = lambda: sorted((tuple(x) for x in decontamination.decontaminated(docs, benchmark).collect()), key=repr)
     found, kept = rows(), left()
@@ -306,7 +349,7 @@ def test_multi_index_returns_the_whole_radius():
 
 
 def test_decontaminated_odd_rows(spark):
-    items = spark.createDataFrame([(1, "wort0 ünd0 wort1 ünd1 wort2 ünd2"), (2, None), (3, "too short"), (4, "")], "item_id long, text string")
+    items = spark.createDataFrame([(1, "wort0 ünd0 wort1 ünd1 wort2 ünd2"), (2, None), (3, "never here"), (4, "")], "item_id long, text string")
     docs = cases.odd_documents(spark)
     left = decontamination.decontaminated(docs, items)
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {3, 4, 5, 6, 7, 8, 9}
