@@ -1,7 +1,15 @@
 """The corpus pipeline: quality rules, near duplicates, repeated passages, decontamination, encoding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
-of documents.  The stages' results are written and read again by whoever runs them.
+of documents.  The stages' results are written and read again by whoever runs them; run() deletes each as soon as
+the next one is written.
+
+Cases, by stage (the operators' docstrings say more): null, empty and short texts (under 20 words) go with the quality
+rules, and pass the other stages as they are; rows that repeat a doc_id with the same text stay or go together in every
+stage, and rows with a null doc_id stay in the second and third (they name no class and no first place) and are judged
+by their text in the first and fourth; of equal texts the smallest doc_id stays; a very long text is worked on whole;
+an empty table gives an empty table of the same columns; further columns, whatever their names, are kept by all stages
+but the last.
 """
 
 from __future__ import annotations
@@ -57,6 +65,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over the documents of sf_dir."""
     docs = shared.table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = shared.written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            shared.dropped(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
