@@ -15,8 +15,8 @@ How links are found, none lost and no group expanded to all its pairs:
    of each of its shingles, all sets of a batch at once and level by level: sets with a common beginning share
    the overlap counted so far, and a subtree is left as soon as that overlap and the shorter of both remaining
    lengths can't reach what a link needs, or if all its sets are in the set's own component.
-4. For MERGE_ROUNDS rounds only neighbours in tree order become candidates (work is linear in the postings),
-   and verified links give components.  The last round takes whole trees, between different components.
+4. For MERGE_ROUNDS rounds only neighbours in tree order become candidates (work is linear in the postings; in the
+   first round in the trees of each set's FIRST rarest shared shingles), and verified links give components.  The last round takes whole trees, between different components.
    A shingle of more than BLOCK sets is dealt over blocks: sets of its largest component meet only
    the sets outside it, block by block, so no task holds more than two blocks.
 5. Parity bitmaps bound the overlap of what is left, in whole trees and of the candidates (no link is lost), and
@@ -60,6 +60,8 @@ TIES = 2
 #: sets of a shingle that meet in one task
 BLOCK = 512
 MERGE_ROUNDS = 2
+#: a set's first shared shingles, in whose trees it has neighbours in the first round
+FIRST = 4
 #: shingles of candidates verified together, and of one set's partners
 CHECKED_AT_ONCE = 1_000_000
 #: texts of candidates are found by a broadcast of their keys up to so many (8 MB), beyond by a join
@@ -413,16 +415,16 @@ def ngram_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
 
 def _paired(heads: DataFrame, class_of: DataFrame | None, percent: int, nearest: bool) -> DataFrame:
     """Candidates (a, b, na, nb, and a shingle they share) between different components, from the prefix trees."""
-    heads = heads.withColumn("own", F.sequence(F.lit(0), F.size("tokens") - 1))
     if class_of is None:
-        heads = heads.withColumn("comp", F.col("sig"))
+        first = F.sequence(F.lit(0), F.least(F.size("tokens"), F.lit(FIRST)) - 1)
+        heads = heads.withColumn("comp", F.col("sig")).withColumn("own", first)
     else:
         heads = heads.join(class_of.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("component", "sig"))
         # Only trees of two components or more: light rows are joined, and each set keeps the numbers of those shingles.
         light = heads.select("sig", "comp", F.posexplode("tokens").alias("at", "token"))
         mixed = light.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
         some = light.join(mixed, "token", "left_semi").groupBy("sig").agg(F.collect_list("at").alias("own"))
-        heads = heads.drop("own").join(some, "sig")
+        heads = heads.join(some, "sig")
     each = heads.withColumn("at", F.explode("own"))
     after = lambda c: F.slice(c, F.col("at") + 2, F.lit(REST))
     here = lambda c, k=1: F.element_at(c, F.col("at") + k)
