@@ -19,7 +19,12 @@ WHERE = {
     "op8_quality_rules": "quality_rules",
     "op9_ngram_jaccard_join": "ngram_jaccard",
     "op10_orc_tokens": "orc_tokens",
+    "op11_merkle_manifest": "merkle",
+    "op12_source_mixing": "mixing",
+    "op13_ranked_search": "ranked_search",
 }
+#: query name: the name of its SQL in its module
+SQL = {"op11_merkle_manifest": "OP11_SQL", "op12_source_mixing": "OP12_SQL", "op13_ranked_search": "OP13_SQL"}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -27,4 +32,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: getattr(import_module(f"offerledger.llm.{WHERE[name]}"), sql) for name, sql in SQL.items()}
