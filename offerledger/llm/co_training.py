@@ -1,9 +1,8 @@
 """Quality classifier by co-training: a text view and a page-metadata view teach each other.
 
 The views see different things.  The text view is a logistic regression over hashed character and word
-n-grams of the text's letters alone; digits, signs, line breaks and capitals are blanks or lower case to it.
-The metadata view is one over categories of lang, source and n_chars, and of the page's shape (how many
-lines, how long, and the shares of capitals, digits, signs and blanks); it sees no word.
+n-grams of the whole text.  The metadata view is one over categories of lang, source and n_chars, and of the page's
+shape (how many lines, how long, and the shares of capitals, digits, signs and blanks); it sees no word.
 Both start from labelled rows.  In each of ROUNDS rounds each view scores all
 unlabelled documents and hands the ones it is surest of (CONFIDENT or more, at most PER_ROUND, in the
 labelled class shares) and that it hasn't handed over yet to the *other* view as pseudo-labelled rows.  The last models' margins are
@@ -39,11 +38,10 @@ ROUNDS = 3
 SAMPLE_PER_CLASS = 900
 PER_ROUND = 200
 CONFIDENT = 0.9
-KEEP_FROM = 0.4
+#: the chance of class 1 from which a document is kept; where nearly all rows are of that class, 0.5 would keep too many others
+KEEP_FROM = 0.8
 BAG = learn.Bag(chars=(3, 4), words=(1,), bits=18)
 META_BITS = 12
-#: bytes as the text view sees them: other ASCII than letters is a blank
-_SEEN = np.where((kernel.ALNUM | np.isin(np.arange(256), np.arange(48, 58)))[kernel.LOWER], 32, kernel.LOWER).astype(np.uint8)
 
 
 def metadata(docs: DataFrame) -> DataFrame:
@@ -53,18 +51,6 @@ def metadata(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), column("lang", "string"), column("source", "string"), column("n_chars", "long"))
 
 
-def letters(column: pa.Array) -> pa.Array:
-    """What the text view sees: letters (A-Z lower-cased), with one blank for anything after them."""
-    data, offsets = kernel.utf8(column)
-    data = _SEEN[data]
-    blank, begins = data == 32, np.zeros(len(data) + 1, bool)
-    begins[offsets] = True
-    stays = ~blank
-    stays[1:] |= blank[1:] & ~blank[:-1] & ~begins[1 : len(data)]
-    ends = np.r_[0, np.cumsum(stays)][offsets].astype(np.int32)
-    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data[stays])))
-
-
 def meta_sets(batch: pa.RecordBatch) -> list[np.ndarray]:
     """Places of the metadata categories of each row, hashed to 2**META_BITS."""
     data, offsets = kernel.utf8(batch.column("text"))
@@ -134,7 +120,7 @@ def gather(docs: DataFrame, sample: DataFrame) -> tuple[learn.Rows, learn.Rows]:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in kernel.slices(whole):
-                bags = [s.astype(np.int32) for s in BAG.sets(letters(batch.column("text")))]
+                bags = [s.astype(np.int32) for s in BAG.sets(batch.column("text"))]
                 meta = [s.astype(np.int32) for s in meta_sets(batch)]
                 lists = [kernel.list_array(np.concatenate(x), np.array([len(s) for s in x])) for x in (bags, meta)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *lists], ["doc_id", "label", "bag", "meta"])
@@ -178,7 +164,7 @@ def surest_documents(docs: DataFrame, labels: DataFrame) -> Surest:
             (text, meta), ((a, b), (c, d)) = sent.value
             for whole in batches:
                 for batch in kernel.slices(whole):
-                    p = learn.sigmoid(a * np.array([learn.margin(s, text) for s in BAG.sets(letters(batch.column("text")))]) + b)
+                    p = learn.sigmoid(a * np.array([learn.margin(s, text) for s in BAG.sets(batch.column("text"))]) + b)
                     q = learn.sigmoid(c * np.array([learn.margin(s, meta) for s in meta_sets(batch)]) + d)
                     sure = np.maximum(np.maximum(p, 1 - p), np.maximum(q, 1 - q)) >= CONFIDENT
                     yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), pa.array(q)], ["doc_id", "p0", "p1"]).filter(pa.array(sure))
@@ -276,7 +262,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_P
         for whole in batches:
             for batch in kernel.slices(whole):
                 if isinstance(m, Model):
-                    z = np.stack([np.array([learn.margin(s, m.text) for s in BAG.sets(letters(batch.column("text")))]), np.array([learn.margin(s, m.meta) for s in meta_sets(batch)])], axis=1)
+                    z = np.stack([np.array([learn.margin(s, m.text) for s in BAG.sets(batch.column("text"))]), np.array([learn.margin(s, m.meta) for s in meta_sets(batch)])], axis=1)
                     logits = np.clip(z * np.array([m.platt[0][0], m.platt[1][0]]) + np.array([m.platt[0][1], m.platt[1][1]]), -8, 8)
                     text, meta, score = learn.sigmoid(logits[:, 0]), learn.sigmoid(logits[:, 1]), learn.sigmoid(logits @ m.combine[:2] + m.combine[2])
                 else:
