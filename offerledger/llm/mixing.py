@@ -36,6 +36,8 @@ ROUNDS = 24
 SEED = "mix"
 #: documents of a bucket, and shards of one
 BUCKET = 4096
+#: slots that one task makes and permutes
+SLOTS_PER_TASK = 1 << 17
 WORD = r"[^\x20\x09-\x0D]+"
 _DIGITS = 15
 
@@ -134,9 +136,13 @@ def settled(draws: DataFrame, plan: DataFrame) -> DataFrame:
     return told.select("shard", "key", "kept").unionByName(dealt).groupBy("shard", "key").agg(F.sum("kept").alias("count")).where("count > 0")
 
 
-def slots(counts: DataFrame, plan: DataFrame) -> DataFrame:
-    """The mix: a row per slot with its shard, its source's key, the epoch and the block it takes."""
+def slots(counts: DataFrame, plan: DataFrame, n_slots: int) -> DataFrame:
+    """The mix: a row per slot with its shard, its source's key, the epoch and the block it takes.
+
+    A count makes up to SHARD slots, so counts are dealt by the slots that there will be and not by their own size.
+    """
     rows = before(counts.withColumn("bucket", F.floor(F.col("shard") / BUCKET)), ["key"], "bucket", ["shard"], "count", "first")
+    rows = rows.repartition(-(-n_slots // SLOTS_PER_TASK) or 1, "shard", "key")
     rows = rows.select("shard", "key", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("slot"))
     rows = rows.join(plan.select("key", "blocks", "round_keys"), "key").withColumn("epoch", F.floor(F.col("slot") / F.col("blocks")))
     place = permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), F.element_at("round_keys", (F.col("epoch") + 1).cast("int")), F.col("key"), F.col("epoch"))
@@ -165,7 +171,7 @@ def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     plan = shared.written(planned(sources), "mix-plan")
     total = plan.agg(F.coalesce(F.sum("quota"), F.lit(0)).alias("slots"), F.count("*").alias("sources")).first()
     counts = shared.written(settled(drawn(plan, total["slots"], total["sources"]), plan), "mix-counts")
-    return rows, plan, slots(counts, plan), pieces(rows, plan)
+    return rows, plan, slots(counts, plan, total["slots"]), pieces(rows, plan)
 
 
 def taken_words(docs: DataFrame) -> DataFrame:
