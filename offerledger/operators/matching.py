@@ -208,19 +208,21 @@ def link_aliases(aliases: DataFrame, decisions: DataFrame) -> DataFrame:
     return joined.withColumn("merchant_id", F.coalesce("_m", "merchant_id")).withColumn("confidence", F.coalesce("_c", "confidence")).drop("_m", "_c")
 
 
-def review_items(df: DataFrame, kind: str, *columns: str) -> DataFrame:
-    """Open review items; the payload is JSON with nulls kept."""
-    return df.select(F.lit(kind).alias("kind"), F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("payload"), F.lit("open").alias("status"))
+def review_items(df: DataFrame, kind: str, *columns: str, order: str | None = None) -> DataFrame:
+    """Open review items; the payload is JSON with nulls kept.  order: a column that tells which comes first, kept as `turn`."""
+    kept = [F.col(order).alias("turn")] if order else []
+    return df.select(F.lit(kind).alias("kind"), F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("payload"), F.lit("open").alias("status"), *kept)
 
 
-def queue_once(new: DataFrame, queue: DataFrame) -> DataFrame:
-    """New items without an open one of the same kind for the same alias; of several in the batch, the first payload.
+def queue_once(new: DataFrame, queue: DataFrame, order: str | None = None) -> DataFrame:
+    """New items without an open one of the same kind for the same alias; of several in the batch, the first by `order`.
 
-    Items without an alias are never held back.
+    Without an order column an alias has one item of a kind at most, or any of them will do.  Items without an alias
+    are never held back.
     """
     alias = lambda c: F.get_json_object(c, "$.alias_id")
-    keyed = new.withColumn("_a", alias("payload"))
-    first = keyed.where("_a is not null").groupBy("kind", "_a").agg(F.min(F.struct("payload", "status")).alias("item"))
+    keyed = new.withColumn("_a", alias("payload")).withColumn("_turn", F.col(order) if order else F.lit(0))
+    first = keyed.where("_a is not null").groupBy("kind", "_a").agg(F.min(F.struct("_turn", "payload", "status")).alias("item"))
     waiting = queue.where("status = 'open'").select("kind", alias("payload").alias("_a")).where("_a is not null").distinct()
     fresh = first.join(waiting, ["kind", "_a"], "left_anti").select("kind", "item.payload", "item.status")
     return fresh.unionByName(keyed.where("_a is null").select("kind", "payload", "status"))

@@ -259,12 +259,12 @@ def unmatched_aliases(s: SparkSession, d: str) -> DataFrame:
     return M.unmatched_aliases(aliases, D.table(s, d, "orders").select(F.col("o_custkey").alias("alias"))).select("alias")
 
 
-@registered("""select o_custkey as alias_id, min('{"alias_id":' || o_custkey || ',"reason":"' || o_orderstatus || '"}') as payload from orders where o_custkey not in (select c_custkey from customer where c_custkey % 4 = 0) group by 1""")
+@registered("""select o_custkey as alias_id, min_by('{"alias_id":' || o_custkey || ',"reason":"' || o_orderstatus || '"}', o_orderkey) as payload from orders where o_custkey not in (select c_custkey from customer where c_custkey % 4 = 0) group by 1""")
 def review_once(s: SparkSession, d: str) -> DataFrame:
-    """Every order asks for a review of its customer; one per customer is queued, none where one is open."""
-    new = M.review_items(D.table(s, d, "orders").select(F.col("o_custkey").alias("alias_id"), F.col("o_orderstatus").alias("reason")), "match", "alias_id", "reason")
+    """Every order asks for a review of its customer; the first per customer is queued, none where one is open."""
+    new = M.review_items(D.table(s, d, "orders").select("o_orderkey", F.col("o_custkey").alias("alias_id"), F.col("o_orderstatus").alias("reason")), "match", "alias_id", "reason", order="o_orderkey")
     queue = M.review_items(D.table(s, d, "customer").where("c_custkey % 4 = 0").select(F.col("c_custkey").alias("alias_id")), "match", "alias_id")
-    return M.queue_once(new, queue).select(F.get_json_object("payload", "$.alias_id").cast("long").alias("alias_id"), "payload")
+    return M.queue_once(new, queue, "turn").select(F.get_json_object("payload", "$.alias_id").cast("long").alias("alias_id"), "payload")
 
 
 @registered("""select c_custkey as alias, case when c_custkey % 4 in (0, 1) then c_custkey + 7 else case when c_custkey % 3 = 0 then c_custkey end end as merchant_id,
