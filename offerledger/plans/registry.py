@@ -453,11 +453,13 @@ def stored_pages(s: SparkSession, d: str) -> DataFrame:
 
 @registered(f"with {D.HISTORY_SQL} select alias, kind, coalesce(label, '') as label, cast(value as double) as value, strftime(ts, '%Y-%m-%d') as collected_date from obs")
 def append_history(s: SparkSession, d: str) -> DataFrame:
-    """The history appended by two passes to the shared folder, and read back by its days."""
-    path, h = f"{G.shared_dir(s)}/offer-history-{uuid.uuid4().hex}", D.history(s, d)
-    TB.append_history(h.where("observed_at < '2024-01-15'"), path)
-    TB.append_history(h.where("observed_at >= '2024-01-15'"), path)
-    return s.read.parquet(path).select("alias", "kind", F.coalesce("category_label", F.lit("")).alias("label"), _d("value").alias("value"), F.date_format("collected_date", "yyyy-MM-dd").alias("collected_date"))
+    """The history appended by two batches to the shared folder, one of them twice, and read back."""
+    h = D.history(s, d)
+    table = TB.history_table(f"{G.shared_dir(s)}/offer-history-{uuid.uuid4().hex}", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in h.schema))
+    TB.append_history(h.where("observed_at < '2024-01-15'"), table, 1)
+    for _ in range(2):  # as after a failure: the second time adds nothing
+        TB.append_history(h.where("observed_at >= '2024-01-15'"), table, 2)
+    return table.read(s).select("alias", "kind", F.coalesce("category_label", F.lit("")).alias("label"), _d("value").alias("value"), F.date_format("observed_at", "yyyy-MM-dd").alias("collected_date"))
 
 
 def _pages(s: SparkSession, d: str) -> DataFrame:

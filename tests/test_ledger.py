@@ -184,3 +184,26 @@ def test_numbers_go_on(spark):
     assert sorted(r.number for r in G.numbered(df, 7, "k").collect()) == list(range(8, 1008))
     with pytest.raises(Exception):
         G.numbered(df, 7, "missing").collect()
+
+
+def test_pages_as_a_stream(spark, tmp_path):
+    """Two files of pages are two passes; the query goes on where it stopped, and one without news adds nothing."""
+    ledger, kind = G.Ledger(f"{tmp_path}/ledger", buckets=4), "alias long, provider_id int, provider string, url string, html string, observed_at timestamp"
+    from offerledger.streaming.passes import append_passes
+
+    def run():
+        pages = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/pages")
+        append_passes(pages, ledger, f"{tmp_path}/checkpoint").awaitTermination(120)
+
+    def arrive(day, **html):
+        rows = [(int(a[1:]), 1, "a", "u", h, DAY + timedelta(days=day)) for a, h in html.items()]
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(f"{tmp_path}/pages")
+
+    arrive(0, p1=state_page("Nike", 5), p2=state_page("Zara", 2))
+    run()
+    arrive(1, p1=state_page("Nike", 5), p2=state_page("Zara", None), p3="<html>gone</html>")
+    run()
+    run()
+    rows = [(r.alias, r.kind, None if r.value is None else float(r.value), r.run_id) for r in ledger.history.read(spark).collect()]
+    assert sorted(rows, key=repr) == sorted([(1, "purchase", 5.0, 1), (2, "purchase", 2.0, 1), (2, "purchase", None, 2)], key=repr)
+    assert [r.kind for r in ledger.reviews.read(spark).collect()] == ["parse_error"]
