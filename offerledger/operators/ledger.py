@@ -21,6 +21,7 @@ from offerledger.operators import matching as M
 from offerledger.operators import pages as P
 from offerledger.operators import runs as R
 from offerledger.operators.graph import checkpoint_dir_set
+from offerledger.operators.slugs import allocate_slugs
 from offerledger.sources.parts import PartTable, bucket, touched
 
 HISTORY = "alias long, provider_id int, run_id long, kind string, category_label string, value decimal(10,3), value_base decimal(10,3), unit string, conditions_text string, is_upto boolean, is_new_customer_only boolean, is_sale_excluded boolean, is_marketplace_excluded boolean, effective_value decimal(10,3), raw_text string, observed_at timestamp, ordinal long"
@@ -206,7 +207,7 @@ def match_and_publish(ledger: Ledger, spark: SparkSession, batch: int) -> None:
     decisions = M.resolve_aliases(open_ones, M.known_merchants(merchants, aliases)).checkpoint()
     created = decisions.where("action = 'create'").join(open_ones, "alias")
     after = merchants.agg(F.coalesce(F.max("merchant_id"), F.lit(0))).first()[0]
-    named = numbered(M.allocate_slugs(created.select("alias", F.col("raw_name").alias("name"), T.domain_key(F.col("raw_domain")).alias("canonical_domain")), merchants), after, "alias").withColumnRenamed("number", "merchant_id").checkpoint()
+    named = numbered(allocate_slugs(created.select("alias", F.col("raw_name").alias("name"), T.domain_key(F.col("raw_domain")).alias("canonical_domain")), merchants), after, "alias").withColumnRenamed("number", "merchant_id").checkpoint()
     # A merchant made in this batch is known to the decisions by its alias.
     real = decisions.join(named.select((-F.col("alias")).alias("merchant_id"), F.col("merchant_id").alias("_made")), "merchant_id", "left").withColumn("merchant_id", F.coalesce("_made", "merchant_id")).withColumn("confidence", F.when(F.col("action") == "create", 1.0).otherwise(F.col("confidence")))
     linked = M.link_aliases(open_ones, real).select(*aliases.columns).checkpoint()

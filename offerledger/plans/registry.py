@@ -338,7 +338,7 @@ select p_partkey, case when turn + (t.base is not null)::int = 1 then w.base els
 def unique_slug(s: SparkSession, d: str) -> DataFrame:
     parts = D.parts(s, d)
     taken = parts.where("p_partkey % 2 = 0").select(T.slugify(F.col("p_name")).alias("slug"))
-    return M.allocate_slugs(parts.select("p_partkey", F.col("p_name").alias("name")), taken, "p_partkey").select("p_partkey", "slug")
+    return allocate_slugs(parts.select("p_partkey", F.col("p_name").alias("name")), taken, "p_partkey").select("p_partkey", "slug")
 
 
 @registered(f"with {D.MERCHANTS_SQL} select slug, name, priority from mer where priority in ('P1', 'P2')")

@@ -11,6 +11,7 @@ from offerledger.functions import similarity
 from offerledger.functions import text as T
 from offerledger.operators import graph
 from offerledger.operators import matching as M
+from offerledger.operators import slugs
 from offerledger.sources import listing as L
 
 NAMES = ["alpha shop", "alpha", "alphas", "beta", "betas", "beta rings", "gamma", "gama", "gamma plus", "delta one", "delta two", "tide", "diet", "boutique", "shop"]
@@ -80,7 +81,7 @@ def test_decisions_tell_their_reason(spark):
 def test_slugs_never_collide(spark):
     new = spark.createDataFrame([(1, "Nike"), (2, "Nike FR"), (3, "Nike 2"), (4, "nike"), (5, "!!"), (6, "Shop"), (7, "Nike")], "alias long, name string")
     taken = spark.createDataFrame([("nike",), ("nike-3",), ("marchand",)], "slug string")
-    got = {r.alias: r.slug for r in M.allocate_slugs(new, taken).collect()}
+    got = {r.alias: r.slug for r in slugs.allocate_slugs(new, taken).collect()}
     assert len(set(got.values()) | {"nike", "nike-3", "marchand"}) == 10 and got[5] == "marchand-2" and got[6] == "shop"
 
 
@@ -161,3 +162,35 @@ def test_reviews_are_queued_once(spark):
     none = M.review_items(spark.createDataFrame([("u",), ("u",)], "url string"), "parse_error", "url")
     got = sorted(r.payload for r in M.queue_once(twice.unionByName(none), queue).collect())
     assert got == sorted(['{"alias_id":1,"note":"a"}', '{"alias_id":3,"note":null}', '{"alias_id":7,"note":"b"}', '{"url":"u"}', '{"url":"u"}'])
+
+
+def in_turn(rows, taken):
+    """Slugs handed out one by one: the first free one of base, base-2, base-3 ..."""
+    taken, out = set(taken), {}
+    for alias, base in sorted(rows):
+        slug, n = base, 2
+        while slug in taken:
+            slug, n = f"{base}-{n}", n + 1
+        taken.add(slug)
+        out[alias] = slug
+    return out
+
+
+def test_slugs_equal_a_loop_where_bases_meet(spark):
+    """Names with numbers at their ends reach each other's slugs, over several lengths, in any order."""
+    r = np.random.default_rng(2)
+    names = [f"{x}{y}{z}" for x in ("nike", "a") for y in ("", " 2", " 3", " 5") for z in ("", " 2", " 3")]
+    for trial in range(3):
+        rows = [(i, names[int(k)]) for i, k in enumerate(r.integers(0, len(names), 150 if trial else 40))] + [(900, "nike"), (901, "nike 02"), (902, "nike 99999999999999999999")]
+        taken = [] if not trial else [n.replace(" ", "-") for n in names if r.random() < 0.3] + ["nike-7", "a-4", "nike-99999999999999999999"]
+        new = spark.createDataFrame(rows, "alias long, name string")
+        got = {x.alias: x.slug for x in slugs.allocate_slugs(new, spark.createDataFrame([(t,) for t in taken], "slug string")).collect()}
+        assert got == in_turn([(i, n.replace(" ", "-")) for i, n in rows], taken)
+
+
+def test_slugs_of_one_name(spark):
+    """As many rows of one base as there may be, and as many taken slugs of it."""
+    new = spark.range(3000).select(M.F.col("id").alias("alias"), M.F.lit("Nike").alias("name"))
+    taken = spark.range(2, 2000, 2).select(M.F.concat(M.F.lit("nike-"), "id").alias("slug"))
+    got = {x.alias: x.slug for x in slugs.allocate_slugs(new, taken).collect()}
+    assert got == in_turn([(i, "nike") for i in range(3000)], [f"nike-{i}" for i in range(2, 2000, 2)])
