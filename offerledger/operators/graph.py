@@ -10,12 +10,13 @@ become small (ONE_TASK edges, 4 MB) is finished by one task instead of by rounds
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 MAX_ROUNDS = 60
 ONE_TASK = 250_000
@@ -95,3 +96,32 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", one_task: int = ONE
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     return stars.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node").unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def replayed(rows: DataFrame, order: list[str], replay: Callable, schema: str) -> DataFrame:
+    """Each component's rows in order through an object of its own, many components in a task's stream.
+
+    replay() makes the object: see(row) gives the outcomes (tuples of schema) of a row, a dictionary, and done() those
+    that stand at the component's end.  A task holds a batch of rows and what one object remembers.
+    """
+    dealt = rows.repartition("component").sortWithinPartitions("component", *order)
+    empty = rows.sparkSession.createDataFrame([], schema)
+    names = empty.columns
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, current, out = None, None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if known is None or row["component"] != current:
+                    out += known.done() if known is not None else []
+                    known, current = replay(), row["component"]
+                out += known.see(row)
+            yield told(out)
+            out = []
+        yield told(known.done() if known is not None else [])
+
+    def told(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names)
+
+    types = to_arrow_schema(empty.schema).types
+    return dealt.mapInArrow(work, schema)

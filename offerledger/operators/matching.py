@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerledger.functions import text as T
 from offerledger.functions.similarity import best_scores, scored_pairs
-from offerledger.operators.graph import checkpoint_dir_set, components
+from offerledger.operators.graph import checkpoint_dir_set, components, replayed
 
 LINK, REVIEW = 0.92, 0.75
 PRIORITIES = ("P1", "P2", "P3")
@@ -44,15 +43,15 @@ def match_by_domain(aliases: DataFrame, merchants: DataFrame) -> DataFrame:
     return keyed.join(by, "canonical_domain").select("alias", F.col("m.merchant_id").alias("merchant_id"), F.when(F.array_contains("m.provider_ids", F.col("provider_id")), "review").otherwise("link").alias("action"))
 
 
-def best_name_match(aliases: DataFrame, merchants: DataFrame, threshold: float = REVIEW) -> DataFrame:
+def best_name_match(aliases: DataFrame, merchants: DataFrame, threshold: float = REVIEW, pairs: DataFrame | None = None) -> DataFrame:
     """alias, merchant_id, score of the most similar merchant not linked to the alias's platform.
 
     Scores below threshold are left out; the smallest merchant id wins ties.  Distinct names are
-    paired and scored, never rows.
+    paired and scored, never rows; pairs: scored_pairs' result where it is there already.
     """
     a = aliases.withColumn("name", T.normalize_name(F.col("raw_name")))
     m = merchants.withColumn("name", T.normalize_name(F.col("name")))
-    pairs = scored_pairs(a, m, threshold)
+    pairs = scored_pairs(a, m, threshold) if pairs is None else pairs
     rows = a.select("alias", "provider_id", F.col("name").alias("l")).join(pairs, "l").join(m.select("merchant_id", "provider_ids", F.col("name").alias("r")), "r").where(~F.array_contains("provider_ids", F.col("provider_id")))
     return rows.groupBy("alias").agg(F.max_by(F.struct("merchant_id", "score"), F.struct("score", -F.col("merchant_id"))).alias("b")).select("alias", "b.merchant_id", "b.score")
 
@@ -71,10 +70,13 @@ def _reason(which: str, *parts):
     return out
 
 
-def decide(aliases: DataFrame, merchants: DataFrame) -> DataFrame:
-    """alias, action, merchant_id, confidence, reason of each alias against the merchants as they are."""
+def decide(aliases: DataFrame, merchants: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """alias, action, merchant_id, confidence, reason of each alias against the merchants as they are.
+
+    pairs: similar names (l, r, score) of REVIEW or more, where they have been scored already.
+    """
     domain = match_by_domain(aliases, merchants).select("alias", F.col("merchant_id").alias("_dm"), F.col("action").alias("_da"))
-    name = best_name_match(aliases, merchants).join(merchants.select("merchant_id", "canonical_domain", F.col("name").alias("_mn")), "merchant_id").select("alias", F.col("merchant_id").alias("_nm"), "score", F.col("canonical_domain").alias("_md"), "_mn")
+    name = best_name_match(aliases, merchants, pairs=pairs).join(merchants.select("merchant_id", "canonical_domain", F.col("name").alias("_mn")), "merchant_id").select("alias", F.col("merchant_id").alias("_nm"), "score", F.col("canonical_domain").alias("_md"), "_mn")
     joined = aliases.join(domain, "alias", "left").join(name, "alias", "left").withColumn("_key", T.domain_key(F.col("raw_domain")))
     joined = joined.withColumn("_na", route(F.coalesce("score", F.lit(0.0)), F.col("_key"), F.col("_md")))
     by_domain, known, key = F.col("_da").isNotNull(), F.col("_na") != "create", F.col("_key")
@@ -82,13 +84,13 @@ def decide(aliases: DataFrame, merchants: DataFrame) -> DataFrame:
     return joined.select("alias", F.coalesce("_da", "_na").alias("action"), F.when(by_domain, F.col("_dm")).when(known, F.col("_nm")).alias("merchant_id"), F.when(by_domain, F.lit(1.0)).when(known, F.round("score", 3)).alias("confidence"), reason.alias("reason"))
 
 
-class _Known:
-    """Merchants of a component in the order in which they became known, by domain and by normal name."""
+class _Replay:
+    """A component in order: its names' similar names, its merchants by id, then its aliases by id, each seeing what came before."""
 
     def __init__(self):
-        self.by_domain, self.by_name, self.n = {}, {}, 0
+        self.near, self.by_domain, self.by_name, self.n = {}, {}, {}, 0
 
-    def add(self, merchant: int, name: str, shown: str, domain: str | None, platforms: set) -> tuple:
+    def _add(self, merchant: int, name: str, shown: str, domain: str | None, platforms: set) -> tuple:
         known = (self.n, merchant, shown, domain, platforms)
         self.n += 1
         self.by_name.setdefault(name, []).append(known)
@@ -96,31 +98,30 @@ class _Known:
             self.by_domain.setdefault(domain, known)
         return known
 
-    def nearest(self, near: list, platform: int) -> tuple[tuple | None, float]:
+    def _nearest(self, name: str, platform: int) -> tuple[tuple | None, float]:
         """The best-scored merchant not linked to the platform; the one known first of equals."""
         best, found = (0.0, 0), None
-        for pair in near:
-            first = next((m for m in self.by_name.get(pair["name"], ()) if platform not in m[4]), None)
-            if first and (pair["score"], -first[0]) > best:
-                best, found = (pair["score"], -first[0]), first
+        for other, score in self.near.get(name, ()):
+            first = next((m for m in self.by_name.get(other, ()) if platform not in m[4]), None)
+            if first and (score, -first[0]) > best:
+                best, found = (score, -first[0]), first
         return found, best[0]
 
-
-def _replay(rows: pd.DataFrame) -> pd.DataFrame:
-    """One component in order: merchants first, then aliases by alias id, each seeing what came before."""
-    known, out = _Known(), []
-    for r in rows.sort_values(["is_alias", "node_id"]).itertuples(index=False):
-        domain = r.domain if isinstance(r.domain, str) else None
-        if not r.is_alias:
-            known.add(r.node_id, r.name, r.shown, domain, set(r.provider_ids))
-            continue
-        hit = known.by_domain.get(domain) if domain else None
+    def see(self, r: dict) -> list[tuple]:
+        if r["kind"] == "a near":
+            self.near[r["name"]] = [(p["name"], p["score"]) for p in r["near"]]
+            return []
+        domain = r["domain"]
+        if r["kind"] == "b merchant":
+            self._add(r["node_id"], r["name"], r["shown"], domain, set(r["provider_ids"] or ()))
+            return []
+        hit = self.by_domain.get(domain) if domain else None
         if hit:
-            taken = r.provider_id in hit[4]
+            taken = r["provider_id"] in hit[4]
             action, score, reason = ("review", 1.0, "domain_taken") if taken else ("link", 1.0, "domain")
             parts = (domain,)
         else:
-            hit, score = known.nearest(r.near if r.near is not None else (), r.provider_id)
+            hit, score = self._nearest(r["name"], r["provider_id"])
             apart = hit is not None and domain and hit[3] and hit[3] != domain
             parts = (hit[2], domain, hit[3]) if hit else ()
             if score >= LINK:
@@ -128,40 +129,52 @@ def _replay(rows: pd.DataFrame) -> pd.DataFrame:
             else:
                 action, reason = ("review", "alike") if hit else ("create", "none")
         if action == "create":
-            hit, score = known.add(-r.node_id, r.name, r.shown, domain, set()), None
+            hit, score = self._add(-r["node_id"], r["name"], r["shown"], domain, set()), None
         if action != "review":
-            hit[4].add(r.provider_id)
-        out.append((r.node_id, action, hit[1], round(score, 3) if score is not None else None, REASONS[reason].format(*parts)))
-    return pd.DataFrame(out, columns=["alias", "action", "merchant_id", "confidence", "reason"]).astype({"confidence": "float64"})
+            hit[4].add(r["provider_id"])
+        return [(r["node_id"], action, hit[1], None if score is None else round(score, 3), REASONS[reason].format(*parts))]
+
+    def done(self) -> list[tuple]:
+        return []
+
+
+DECISIONS = "alias long, action string, merchant_id long, confidence double, reason string"
 
 
 def resolve_aliases(aliases: DataFrame, merchants: DataFrame) -> DataFrame:
     """Decisions of a batch in alias order: merchants created and platforms linked count for later aliases.
 
     An alias's outcome depends only on merchants and earlier aliases joined to it by an equal domain or
-    a similarity of REVIEW or more, so each component of that graph is replayed by itself, exactly.  Names are
-    compared once, by Spark; an alias carries its similar names with their scores into the replay.  A
+    a similarity of REVIEW or more, so each component of that graph is a sequence of its own.  An alias that is alone
+    with merchants is decided by joins; the others are replayed, exactly, in a stream of rows sorted by component.  Names
+    are compared once, by Spark; a name carries its similar names with their scores into the replay.  A
     created merchant has the id -alias; ids of aliases are positive.  Components are as large as chains
     of similar names make them; the graph itself is never gathered.
     """
+    checkpoint_dir_set(aliases)
     a = aliases.select("alias", "provider_id", F.col("raw_name").alias("shown"), T.normalize_name(F.col("raw_name")).alias("name"), T.domain_key(F.col("raw_domain")).alias("domain"))
     m = merchants.select("merchant_id", "provider_ids", F.col("name").alias("shown"), T.normalize_name(F.col("name")).alias("name"), F.col("canonical_domain").alias("domain"))
-    nodes = a.select((2 * F.col("alias") + 1).alias("node"), F.col("alias").alias("node_id"), F.lit(True).alias("is_alias"), "provider_id", F.array().cast("array<int>").alias("provider_ids"), "shown", "name", "domain").unionByName(
-        m.select((2 * F.col("merchant_id")).alias("node"), F.col("merchant_id").alias("node_id"), F.lit(False).alias("is_alias"), F.lit(None).cast("int").alias("provider_id"), "provider_ids", "shown", "name", "domain")
-    )
+    nodes = a.select((2 * F.col("alias") + 1).alias("node"), F.col("alias").alias("node_id"), F.lit("c alias").alias("kind"), "provider_id", F.lit(None).cast("array<int>").alias("provider_ids"), "shown", "name", "domain").unionByName(
+        m.select((2 * F.col("merchant_id")).alias("node"), F.col("merchant_id").alias("node_id"), F.lit("b merchant").alias("kind"), F.lit(None).cast("int").alias("provider_id"), "provider_ids", "shown", "name", "domain")
+    ).checkpoint()
+    a = nodes.where("kind = 'c alias'")
     # Stars: all nodes of a name, or of a domain, hang on its smallest one.
     by_name = nodes.groupBy("name").agg(F.min("node").alias("head"))
     by_domain = nodes.where("domain is not null").groupBy("domain").agg(F.min("node").alias("head"))
-    checkpoint_dir_set(aliases)
     pairs = scored_pairs(a, nodes, REVIEW).checkpoint()
     heads = by_name.toDF("l", "a").join(pairs, "l").join(by_name.toDF("r", "b"), "r").select("a", "b")
     edges = heads.unionByName(nodes.join(by_name, "name").select(F.col("node").alias("a"), F.col("head").alias("b"))).unionByName(nodes.join(by_domain, "domain").select(F.col("node").alias("a"), F.col("head").alias("b")))
-    class_of = components(edges)
+    grouped = nodes.join(components(edges), "node", "left").withColumn("component", F.coalesce("component", "node")).checkpoint()
+    sizes = grouped.where("kind = 'c alias'").groupBy("component").agg(F.count("*").alias("n"))
+    alone = grouped.join(sizes.where("n = 1").select("component"), "component", "left_semi").where("kind = 'c alias'").select(F.col("node_id").alias("alias"))
+    single = decide(aliases.join(alone, "alias", "left_semi"), merchants, pairs)
+    single = single.select("alias", "action", F.when(F.col("action") == "create", -F.col("alias")).otherwise(F.col("merchant_id")).alias("merchant_id"), "confidence", "reason")
+    several = grouped.join(sizes.where("n > 1").select("component"), "component", "left_semi")
     near = pairs.groupBy(F.col("l").alias("name")).agg(F.collect_list(F.struct(F.col("r").alias("name"), "score")).alias("near"))
-    grouped = nodes.join(class_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    live = grouped.join(grouped.where("is_alias").select("component").distinct(), "component", "left_semi").join(near, "name", "left")
-    live = live.withColumn("near", F.when(F.col("is_alias"), F.col("near")))
-    return live.select("component", "node_id", "is_alias", "provider_id", "provider_ids", "shown", "name", "domain", "near").groupBy("component").applyInPandas(lambda rows: _replay(rows), "alias long, action string, merchant_id long, confidence double, reason string")
+    # A name's nodes are in one component; its similar names come first.
+    first = several.where("kind = 'c alias'").select("component", "name").distinct().join(near, "name").select("component", F.lit("a near").alias("kind"), "name", "near")
+    live = several.drop("node").unionByName(first, allowMissingColumns=True)
+    return single.unionByName(replayed(live, ["kind", "node_id"], _Replay, DECISIONS))
 
 
 def link_aliases(aliases: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -206,8 +219,8 @@ def match_counts(aliases: DataFrame, decisions: DataFrame, queue: DataFrame) ->
 def best_match(names: DataFrame, candidates: DataFrame) -> DataFrame:
     """name, slug, score: the best candidate's score of each name, and its slug from LINK on; the first slug of equals.
 
-    Pairs of REVIEW or more come from shared grams; the names that have none are compared with all candidates, in
-    blocks, as their best may be anything.  The score is 0 where nothing is alike or there is no candidate.
+    Pairs of REVIEW or more come first; the names that have none go on with lower and lower thresholds, as their best may
+    be anything.  The score is 0 where nothing is alike or there is no candidate.
     """
     checkpoint_dir_set(names)
     n = names.select(F.col("name").alias("raw_name"), T.normalize_name(F.col("name")).alias("name")).distinct()
@@ -215,7 +228,7 @@ def best_match(names: DataFrame, candidates: DataFrame) -> DataFrame:
     near = scored_pairs(n, c, REVIEW).groupBy("l").agg(F.max("score").alias("score"), F.collect_list(F.struct("score", "r")).alias("pairs")).checkpoint()
     tops = near.select("l", "score", F.explode(F.transform(F.filter("pairs", lambda p: p["score"] == F.col("score")), lambda p: p["r"])).alias("r"))
     slugs = tops.where(F.col("score") >= LINK).join(c.select("slug", F.col("name").alias("r")), "r").groupBy("l").agg(F.min("slug").alias("slug"))
-    far = best_scores(n.join(near.select(F.col("l").alias("name")), "name", "left_anti"), c)
+    far = best_scores(n.join(near.select(F.col("l").alias("name")), "name", "left_anti"), c, below=REVIEW)
     scores = near.select("l", "score").unionByName(far.select("l", "score"))
     out = n.withColumnRenamed("name", "l").join(scores, "l", "left").join(slugs, "l", "left")
     return out.select(F.col("raw_name").alias("name"), "slug", F.coalesce("score", F.lit(0.0)).alias("score"))
@@ -268,34 +281,41 @@ def cut_listing(listing: DataFrame, linked: DataFrame, wanted_rows: DataFrame, l
 
 
 SEEDED = "merchant_id long, slug string, name string, canonical_domain string, category string, priority string, search_volume int, is_published boolean, change string"
+_FIELDS = tuple(c.split()[0] for c in SEEDED.split(", "))[:-1]
+
 
+class _Seeding:
+    """A component in order: its merchants, then its seed rows as they stand in the file, each seeing what came before."""
 
-def _seed_in_order(rows: pd.DataFrame) -> pd.DataFrame:
-    """One component: its merchants, then its seed rows in file order, each seeing what came before."""
-    fields = ("merchant_id", "slug", "name", "canonical_domain", "category", "priority", "search_volume", "is_published")
-    rows = rows.astype(object).where(rows.notna(), None).sort_values(["is_seed", "ordinal"], na_position="first")
-    done, by_domain, by_slug = [], {}, {}
+    def __init__(self):
+        self.merchants, self.by_domain, self.by_slug = [], {}, {}
 
-    def placed(merchant: dict) -> dict:
+    def _placed(self, merchant: dict) -> None:
         if merchant["canonical_domain"]:
-            by_domain.setdefault(merchant["canonical_domain"], merchant)
-        by_slug.setdefault(merchant["slug"], merchant)
-        return merchant
+            self.by_domain.setdefault(merchant["canonical_domain"], merchant)
+        self.by_slug.setdefault(merchant["slug"], merchant)
+
+    def _new(self, r: dict, **more) -> None:
+        self.merchants.append({f: r[f] for f in _FIELDS} | more)
+        self._placed(self.merchants[-1])
 
-    for r in rows.to_dict("records"):
+    def see(self, r: dict) -> list[tuple]:
         if not r["is_seed"]:
-            done.append(placed({f: r[f] for f in fields} | {"change": "kept"}))
-            continue
-        hit = (by_domain.get(r["canonical_domain"]) if r["canonical_domain"] else None) or by_slug.get(r["slug"])
+            self._new(r, change="kept")
+            return []
+        hit = (self.by_domain.get(r["canonical_domain"]) if r["canonical_domain"] else None) or self.by_slug.get(r["slug"])
         if hit is None:
-            done.append(placed({f: r[f] for f in fields} | {"merchant_id": None, "is_published": False, "change": "created"}))
-            continue
+            self._new(r, merchant_id=None, is_published=False, change="created")
+            return []
         hit |= {f: r[f] for f in ("name", "category", "priority")}
         hit["search_volume"] = hit["search_volume"] if r["search_volume"] is None else r["search_volume"]
         hit["canonical_domain"] = hit["canonical_domain"] or r["canonical_domain"]
         hit["change"] = "updated" if hit["change"] == "kept" else hit["change"]
-        placed(hit)
-    return pd.DataFrame(done, columns=[*fields, "change"])
+        self._placed(hit)
+        return []
+
+    def done(self) -> list[tuple]:
+        return [tuple(m[f] for f in (*_FIELDS, "change")) for m in self.merchants]
 
 
 def seed_merchants(merchants: DataFrame, seed: DataFrame) -> DataFrame:
@@ -303,18 +323,23 @@ def seed_merchants(merchants: DataFrame, seed: DataFrame) -> DataFrame:
     it makes an unpublished one, which later rows find.
 
     Name, category and priority are overwritten (even by null), volume only by a known one, the domain
-    kept if there is one.  Rows that can meet share a domain or a slug, so they are replayed by connected
-    component: those of one merchant, as both tell merchants apart.
+    kept if there is one.  Rows that can meet share a domain or a slug, so they are taken by connected component.  One
+    merchant, one seed row, or one of both (they share a slug or a domain, or they wouldn't be together) are settled by an
+    aggregation; larger components are replayed in a stream of rows sorted by component.
     """
     # Nodes are hashes; two that are equal by chance only put two components together.
     number = lambda kind, c: F.when(F.col(c).isNotNull(), F.xxhash64(F.concat(F.lit(kind), c)))
     known = merchants.select(F.lit(False).alias("is_seed"), F.lit(None).cast("long").alias("ordinal"), F.col("merchant_id").cast("long").alias("merchant_id"), "slug", "name", "canonical_domain", "category", "priority", F.col("search_volume").cast("int").alias("search_volume"), "is_published")
     rows = seed.select(F.lit(True).alias("is_seed"), F.col("ordinal").cast("long").alias("ordinal"), F.lit(None).cast("long").alias("merchant_id"), "slug", "name", F.col("domain").alias("canonical_domain"), "category", "priority", F.col("search_volume").cast("int").alias("search_volume"), F.lit(None).cast("boolean").alias("is_published"))
-    both = known.unionByName(rows)
-    slug, domain = number("s:", "slug"), number("d:", "canonical_domain")
-    class_of = components(both.select(slug.alias("a"), domain.alias("b")))
-    placed = both.withColumn("node", slug).join(class_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    touched = placed.where("is_seed").select("component").distinct()
-    quiet = placed.where("not is_seed").join(touched, "component", "left_anti").withColumn("change", F.lit("kept"))
-    replayed = placed.join(touched, "component", "left_semi").drop("node").groupBy("component").applyInPandas(_seed_in_order, SEEDED)
-    return quiet.select(*replayed.columns).unionByName(replayed)
+    checkpoint_dir_set(merchants)
+    both = known.unionByName(rows).withColumn("node", number("s:", "slug")).checkpoint()
+    class_of = components(both.select(F.col("node").alias("a"), number("d:", "canonical_domain").alias("b")))
+    placed = both.join(class_of, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("node").checkpoint()
+    one = F.struct("merchant_id", "slug", "name", "canonical_domain", "category", "priority", "search_volume", "is_published")
+    sizes = placed.groupBy("component").agg(F.count_if("is_seed").alias("seeds"), F.count_if(~F.col("is_seed")).alias("stored"), F.first(F.when(F.col("is_seed"), one), ignorenulls=True).alias("s"), F.first(F.when(~F.col("is_seed"), one), ignorenulls=True).alias("m"))
+    small = (F.col("seeds") <= 1) & (F.col("stored") <= 1)
+    met, stored = F.col("s").isNotNull() & F.col("m").isNotNull(), F.col("m").isNotNull()
+    newer = lambda c: F.when(F.col("s").isNotNull(), F.col(f"s.{c}")).otherwise(F.col(f"m.{c}")).alias(c)
+    settled = sizes.where(small).select("m.merchant_id", F.coalesce("m.slug", "s.slug").alias("slug"), newer("name"), F.coalesce(F.nullif("m.canonical_domain", F.lit("")), "s.canonical_domain").alias("canonical_domain"), newer("category"), newer("priority"), F.coalesce("s.search_volume", "m.search_volume").alias("search_volume"), F.when(stored, F.col("m.is_published")).otherwise(F.lit(False)).alias("is_published"), F.when(met, "updated").when(stored, "kept").otherwise("created").alias("change"))
+    live = placed.join(sizes.where(~small).select("component"), "component", "left_semi")
+    return settled.unionByName(replayed(live, ["is_seed", "ordinal"], _Seeding, SEEDED))

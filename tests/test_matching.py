@@ -116,8 +116,8 @@ def test_best_match_tells_every_score(spark, monkeypatch):
         best = max(score.values())
         want[n] = (min(s for s in score if score[s] == best) if best >= 0.92 else None, best)
     a, c = spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame(goals, "slug string, name string")
-    for size in (4000, 7):
-        monkeypatch.setattr(similarity, "NAMES_IN_BLOCK", size)
+    for size in (2000, 3):
+        monkeypatch.setattr(similarity, "BLOCK", size)
         assert {x.name: (x.slug, x.score) for x in M.best_match(a, c).collect()} == want
     assert {x.score for x in M.best_match(a, c.where("false")).collect()} == {0.0}
     assert min(s for _, s in want.values()) < 0.5 and any(slug for slug, _ in want.values())
