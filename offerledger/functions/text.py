@@ -21,7 +21,7 @@ MARKETPLACE_EXCLUDED = ("hors marketplace", "marketplace exclue", "hors place de
 NOISE = ("fr", "france", "com", "www", "shop", "store", "boutique", "officiel", "official", "en", "ligne", "online", "site")
 SECOND_LEVEL = ("co", "com", "org", "net", "gouv")
 # Fixed value: an amount is 1-4 digits, up to two decimals, then % or euros; a no-break space counts as a blank.
-AMOUNT = r"(?iU)(?<![0-9.,])([0-9]{1,4}(?:[.,][0-9]{1,2})?)\s*(%|€|euros?\b)"
+AMOUNT = r"(?<![0-9.,])([0-9]{1,4}(?:[.,][0-9]{1,2})?)(?U:\s*)(%|€|(?iU:euros?\b))"
 
 MONEY = "decimal(10,3)"
 
@@ -43,15 +43,27 @@ def _accents() -> tuple[str, str, dict[str, str]]:
     return "".join(one), "".join(one.values()), longer
 
 
+@lru_cache
+def _marks() -> str:
+    """All nonspacing marks."""
+    return "".join(c for c in map(chr, range(0x300, 0x1F000)) if unicodedata.category(c) == "Mn") + "".join(c for c in map(chr, range(0xE0100, 0xE01F0)) if unicodedata.category(c) == "Mn")
+
+
+def once(c: Column, use) -> Column:
+    """use(c), where c is evaluated once however often it is used."""
+    return F.transform(F.array(c), use)[0]
+
+
 def strip_accents(c: Column) -> Column:
     """Compatibility form without combining marks."""
     one, to, longer = _accents()
-    plain = F.translate(F.regexp_replace(c, r"\p{Mn}", ""), one, to)
+    # Marks stand behind the characters that become another one, so they have none to become: they go.
+    plain = F.translate(c, one + _marks(), to)
     # Few texts hold a character with a longer form; they are put together character by character.
     forms = F.from_json(F.lit(json.dumps(longer)), "map<string,string>")
     spelt = lambda p: F.array_join(F.transform(F.split(p, ""), lambda x: F.coalesce(F.try_element_at(forms, x), x)), "")
-    whole = F.transform(F.array(plain), lambda p: F.when(p.rlike("[" + "".join(longer) + "]"), spelt(p)).otherwise(p))[0]
-    return F.when(~c.rlike(r"[^\x00-\x7F]"), c).otherwise(whole)
+    whole = once(plain, lambda p: F.when(F.length(p) == F.octet_length(p), p).when(F.translate(p, "".join(longer), "") != p, spelt(p)).otherwise(p))
+    return F.when(F.length(c) == F.octet_length(c), c).otherwise(whole)
 
 
 def fold(c: Column) -> Column:
@@ -59,6 +71,17 @@ def fold(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(strip_accents(c)), r"(?U)\s+", " "))
 
 
+def hits(folded: Column, *lists: tuple[str, ...]) -> Column:
+    """The words of the lists that stand in the text, overlapping ones too."""
+    words = F.array(*(F.lit(w) for words in lists for w in words))
+    return once(folded, lambda t: F.filter(words, lambda w: F.contains(t, w)))
+
+
+def any_of(found: Column, words: tuple[str, ...]) -> Column:
+    """Whether one of the words is among the hits."""
+    return F.arrays_overlap(found, F.array(*map(F.lit, words)))
+
+
 def has_any(folded: Column, words: tuple[str, ...]) -> Column:
     """Whether one of the words (no signs that mean something in a pattern) stands in the text."""
     return folded.rlike("|".join(words))
@@ -84,10 +107,14 @@ def unit_of(token: Column) -> Column:
     return F.when(token == "%", "percent").otherwise("fixed_eur")
 
 
+# What may stand in an amount besides its number, blanks of all scripts among it.
+NO_NUMBER = "%€eurosEUROS\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def extract_amounts(c: Column) -> Column:
     """All amounts in order: array of struct(value, unit)."""
-    zipped = F.arrays_zip(F.regexp_extract_all(c, F.lit(AMOUNT), F.lit(1)).alias("v"), F.regexp_extract_all(c, F.lit(AMOUNT), F.lit(2)).alias("u"))
-    return F.transform(zipped, lambda x: F.struct(to_decimal(x["v"]).alias("value"), unit_of(x["u"]).alias("unit")))
+    found = F.regexp_extract_all(c, F.lit(AMOUNT), F.lit(0))
+    return F.transform(found, lambda x: F.struct(to_decimal(F.translate(x, NO_NUMBER, "")).alias("value"), unit_of(F.right(x, F.lit(1))).alias("unit")))
 
 
 def slugify(c: Column) -> Column:

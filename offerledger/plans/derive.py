@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt to all cores, if the scan has fewer splits than there are cores: a table of one small file is one
+    task's work otherwise, however much is done with a row.  A large table is left as it lies."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as history: alias = user, kind = event type, label = k mod 3 (0: none), every 7th id closes."""
     label = F.nullif((F.get_json_object("props", "$.k").cast("long") % 3).cast("string"), F.lit("0"))

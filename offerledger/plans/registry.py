@@ -180,7 +180,7 @@ def _rate_texts(s: SparkSession, d: str) -> DataFrame:
     percent = F.round(F.col("l_discount") * 100).cast("int")
     euros = F.concat((F.col("l_quantity").cast("int")).cast("string"), F.lit(",5"))
     text = F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit("Jusqu'à "), percent, F.lit("% de remise, hors soldes"))).when(F.col("l_linenumber") % 3 == 1, F.concat(euros, F.lit(" € pour un nouveau client"))).otherwise(F.concat(percent, F.lit("%"), percent + 2, F.lit("% en bon d'achat")))
-    return D.table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", text.alias("text"))
+    return D.spread(D.table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_discount", "l_quantity")).select("l_orderkey", "l_linenumber", "l_partkey", text.alias("text"))
 
 
 _TEXT_SQL = """txt as (select l_orderkey, l_linenumber, l_partkey, cast(round(l_discount * 100) as int) as p, cast(l_quantity as int) as e, l_linenumber % 3 as m from lineitem)"""
@@ -463,8 +463,15 @@ def append_history(s: SparkSession, d: str) -> DataFrame:
 
 
 def _pages(s: SparkSession, d: str) -> DataFrame:
-    """Merchant pages of both layouts written from parts: rate = size mod 9 + 1 (% or, for every 8th, euros), every 5th boosted."""
-    p, key = D.parts(s, d), F.col("p_partkey")
+    """Merchant pages as they are stored: written to the shared folder and read again."""
+    path = f"{G.shared_dir(s)}/stored-pages-{uuid.uuid4().hex}"
+    _made_pages(s, d).write.parquet(path)
+    return TB.read_pages(s, path)
+
+
+def _made_pages(s: SparkSession, d: str) -> DataFrame:
+    """Merchant pages of both layouts made of parts: rate = size mod 9 + 1 (% or, for every 8th, euros), every 5th boosted."""
+    p, key = D.spread(D.parts(s, d)), F.col("p_partkey")
     rate, fixed = (F.col("p_size") % 9 + 1).cast("int"), key % 8 == 0
     shown, before = F.concat(rate, F.when(fixed, " €").otherwise("%")), F.when(fixed, "0,5 €").otherwise("0,5%")
     conditions = F.struct(F.array(F.struct(F.when(key % 9 == 0, "Hors Marketplace").alias("value"))).alias("conditionList"))

@@ -1,4 +1,4 @@
-"""Pages of both layouts, sitemaps, appends and the stream of passes, from pages written here."""
+"""Pages of both layouts, sitemaps and appends, from pages written here."""
 
 from __future__ import annotations
 
@@ -7,11 +7,9 @@ from datetime import datetime
 
 import pytest
 
-from offerledger.operators import history as H
 from offerledger.operators import pages as P
 from offerledger.sources import listing as L
 from offerledger.sources import tables
-from offerledger.streaming import passes
 
 SCHEMA = "provider string, raw_slug string, url string, html string"
 
@@ -93,21 +91,15 @@ def test_names_fall_back_to_the_listing(spark):
     assert [json.loads(r.payload)["url"] for r in P.page_failures(P.parse_pages(pages)).collect()] == ["u"]
 
 
-def test_stream_of_passes(spark, tmp_path):
-    schema = "alias long, kind string, category_label string, value decimal(10,3), value_base decimal(10,3), effective_value decimal(10,3), unit string, conditions_text string, is_upto boolean, is_new_customer_only boolean, is_sale_excluded boolean, is_marketplace_excluded boolean, raw_text string, observed_at timestamp, ordinal long"
-    history, landing = str(tmp_path / "history"), tmp_path / "pages"
-    spark.createDataFrame([], schema).write.parquet(history)
-    page_schema = SCHEMA + ", alias long, observed_at timestamp"
-    for day, rate in ((1, 4), (2, 4), (3, 5), (4, None)):
-        html = page_a(isCashback=False) if rate is None else page_a(cashbackRate=rate)
-        spark.createDataFrame([("a", "x", "u", html, 1, datetime(2024, 1, day))], page_schema).coalesce(1).write.mode("append").parquet(str(landing))
-        stream = spark.readStream.schema(page_schema).parquet(str(landing))
-        passes.append_passes(stream, history, str(tmp_path / "checkpoint"), schema).awaitTermination()
-    rows = spark.read.parquet(history).orderBy("observed_at").collect()
-    assert [(None if r.value is None else float(r.value), r.observed_at.day) for r in rows] == [(4.0, 1), (5.0, 3), (None, 4)]
-    tables.append_history(spark.read.parquet(history), str(tmp_path / "by_day"))
-    assert spark.read.parquet(str(tmp_path / "by_day")).count() == 3
-    assert H.latest(spark.read.parquet(history)).first().value is None
+def test_history_in_parts_by_day(spark, tmp_path):
+    """A history is added to and read by its days; a batch that is appended again adds nothing."""
+    schema = "alias long, value int, observed_at timestamp"
+    table = tables.history_table(str(tmp_path / "h"), schema)
+    rows = lambda *days: spark.createDataFrame([(1, d, datetime(2024, 1, d)) for d in days], schema)
+    for batch, days in ((1, (1, 2)), (2, (2, 3)), (2, (2, 3))):
+        tables.append_history(rows(*days), table, batch)
+    assert sorted(r.value for r in table.read(spark).collect()) == [1, 2, 2, 3]
+    assert [r.value for r in table.read(spark, {"2024-01-03"}).collect()] == [3]
 
 
 def test_pages_that_were_not_fetched(spark):
