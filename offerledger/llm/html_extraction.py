@@ -12,8 +12,9 @@ Text: character references decoded, white space inside a block (a line break ele
 space) becomes one space, blocks are trimmed and joined in page order by one \\n.
 
 Cases: null and empty html give ''; repeated rows each get a row; null ids and urls are kept; broken
-markup never fails, and an element that isn't closed ends with its parent; a very long page is read whole, in
-time linear in its length; an empty table gives an empty result; other columns, whatever their names, are not
+markup never fails, and an element that isn't closed ends with its parent; a comment without an end reaches to the end
+of the page, and what looks like a tag without one is text; a very long page is read whole, in time linear in its
+length; a page of one bare paragraph, where nothing tells content from notices, gives ''; an empty table gives an empty result; other columns, whatever their names, are not
 looked at.
 """
 
@@ -104,6 +105,15 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
     n_open = Counter(html=1)
     pieces: list[str] = []
     at, size, in_link = 0, len(page), 0
+    # Behind the last > there is no tag, so no search for the end of one goes there; what isn't found once never will be.
+    last = page.rfind(">") + 1
+    missing: set[str] = set()
+
+    def found(name: str, pattern: re.Pattern, end: int) -> re.Match | None:
+        m = None if name in missing else pattern.search(page, at, end)
+        if m is None:
+            missing.add(name)
+        return m
 
     def flush() -> None:
         if pieces:
@@ -123,9 +133,13 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
         n_open[tag] -= 1
         in_link -= links
 
-    for m in _TOKEN.finditer(page):
+    for m in _TOKEN.finditer(page, 0, last):
         if m.start() < at:
             continue
+        if m[0].startswith("<!--") and not m[0].endswith("-->", 4):
+            pieces.append(page[at : m.start()])
+            at = size  # a comment without an end
+            break
         if m.start() > at:
             pieces.append(page[at : m.start()])
             if in_link > 0:
@@ -144,13 +158,13 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
                 stack[-1][2] -= 1
                 in_link -= 1
         elif tag in RAW and not rest.endswith("/"):
-            end = _END[tag].search(page, at)
+            end = found(f"/{tag}", _END[tag], last)
             if end:
                 at = end.end()
             elif tag in TO_END:
                 at = size
             elif tag == "head":
-                body = _BODY.search(page, at)
+                body = found("body", _BODY, last)
                 at = body.start() if body else at
             pieces.append(" ")
         elif tag == "br" or tag == "wbr":
@@ -175,7 +189,8 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
             stack[-1][2] += 1
             in_link += 1
     if at < size:
-        pieces.append(page[at:])
+        comment = page.find("<!--", max(at, last))
+        pieces.append(page[at : comment if comment >= 0 else size])
     flush()
     return elements, blocks
 

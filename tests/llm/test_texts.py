@@ -7,8 +7,9 @@ import time
 import zlib
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
+import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
@@ -230,6 +231,21 @@ def test_html_is_read_in_linear_time():
         assert time.process_time() - began < 3
 
 
+@pytest.mark.parametrize("unit", ["<a b ", '<a b=" ', "<title>", "<!x ", "<iframe>", "</title ", "<head>", "<!-- x ", "<title></title ", '<b>"<', '<a "><b "<', "<a b='\" "])
+def test_a_megabyte_of_broken_markup(unit):
+    """No search starts again at each bracket, with a last bracket and without one."""
+    for tail in ("", ">"):
+        began = time.process_time()
+        html_extraction.parse(unit * (1_000_000 // len(unit)) + tail)
+        assert time.process_time() - began < 4
+
+
+def test_comments_without_an_end():
+    shown = lambda page: [t for _, t in html_extraction.parse(page)[1]]
+    assert shown("<p>a<!-- b <p>c") == ["a"] and shown("<p>a<!-- b --><p>c<!-- d") == ["a", "c"]
+    assert shown("<p>x < y and <b") == ["x < y and <b"] and shown("a<!--") == ["a"] and shown("a<!-->b") == ["a"]
+
+
 def test_html_with_other_columns(spark):
     rows = spark.createDataFrame([(1, "u", "<article><p>One text of a page.</p></article>", "x", 5, 6)], "page_id long, url string, html string, text string, n_chars int, label int")
     got = html_extraction.main_texts(rows).collect()
