@@ -42,6 +42,8 @@ SIMILARITY = 0.8
 RADIUS = 15
 MAX_ITEMS = 4000
 MAX_CHARS = 8_000_000
+#: starts of windows of a text that are hashed at once
+SLICE = 1 << 14
 _BITS = np.arange(64, dtype=np.uint64)
 
 
@@ -147,22 +149,28 @@ class Benchmark:
         known = np.searchsorted(self.shingles, grams[hits])
         lengths = {int(m) for p in known for m in self.at[self.lengths_at[p] : self.lengths_at[p + 1]]}
         from_items = np.r_[0, np.cumsum(np.where(held, weight, 0))]
-        sums, best = None, {}
-        for m in lengths:
+        windows, best = [], {}
+        for m in sorted(lengths):
             size = m - k + 1
-            if size > n:
+            if size <= n:
+                starts = np.flatnonzero(from_items[size:] - from_items[: n - size + 1] >= self.similarity * self.lightest[m] - 1e-9)
+                if len(starts):
+                    windows.append((m, size, starts))
+        # Sums of signs take 64 numbers a shingle, so a long text is hashed slice by slice.
+        for begin in range(0, n, SLICE):
+            here = [(m, size, starts[slice(*np.searchsorted(starts, [begin, begin + SLICE]))]) for m, size, starts in windows]
+            here = [x for x in here if len(x[2])]
+            if not here:
                 continue
-            starts = np.flatnonzero(from_items[size:] - from_items[: n - size + 1] >= self.similarity * self.lightest[m] - 1e-9)
-            if not len(starts):
-                continue
-            if sums is None:
-                sums = np.zeros((n + 1, 64))
-                np.cumsum(signs(grams) * weight[:, None], axis=0, out=sums[1:])
-            prints = fingerprint(sums[starts + size] - sums[starts])
-            for s, p in zip(starts.tolist(), prints.tolist(), strict=True):
-                for item in self.within(p):
-                    if self.lengths[item] == m and (like := self.likeness(grams[s : s + size], item)) >= self.similarity and like > best.get(int(item), (0, 0, 0.0))[2]:
-                        best[int(item)] = (s, int(self.prints[item] ^ np.uint64(p)).bit_count(), like)
+            low, high = min(int(x[2][0]) for x in here), max(int(x[2][-1]) + x[1] for x in here)
+            sums = np.zeros((high - low + 1, 64))
+            np.cumsum(signs(grams[low:high]) * weight[low:high, None], axis=0, out=sums[1:])
+            for m, size, starts in here:
+                prints = fingerprint(sums[starts + size - low] - sums[starts - low])
+                for s, p in zip(starts.tolist(), prints.tolist(), strict=True):
+                    for item in self.within(p):
+                        if self.lengths[item] == m and (like := self.likeness(grams[s : s + size], item)) >= self.similarity and like > best.get(int(item), (0, 0, 0.0))[2]:
+                            best[int(item)] = (s, int(self.prints[item] ^ np.uint64(p)).bit_count(), like)
         return [(item, *found) for item, found in sorted(best.items())]
 
     def leaks(self, column: pa.Array) -> Iterator[tuple[int, list[tuple[int, int, int, float]]]]:

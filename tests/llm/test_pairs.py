@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -355,3 +356,19 @@ def test_decontaminated_odd_rows(spark):
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {3, 4, 5, 6, 7, 8, 9}
     assert decontamination.contaminations(docs, items.where("item_id > 4")).count() == 0
     assert decontamination.contaminations(cases.empty_documents(spark), items).count() == 0
+
+
+def test_a_long_text_in_slices(monkeypatch):
+    """Slices of window starts find what the whole text finds, across their bounds too."""
+    r = np.random.default_rng(6)
+    items = [" ".join(f"w{i}" for i in r.integers(0, 300, n)) for n in (12, 20, 33, 47)]
+    words = [f"w{i}" for i in r.integers(0, 300, 3000)]
+    for at in range(40, 2900, 97):
+        item = items[at % 4].split()
+        words[at : at + len(item)] = item
+    part, column = decontamination.Benchmark([1, 2, 3, 4], items), pa.array([" ".join(words), None, items[2]])
+    whole = list(part.leaks(column))
+    for size in (7, 64, 1000):
+        monkeypatch.setattr(decontamination, "SLICE", size)
+        got = list(part.leaks(column))
+        assert [(row, [f[:3] for f in found]) for row, found in got] == [(row, [f[:3] for f in found]) for row, found in whole] and len(whole) == 2
