@@ -17,6 +17,7 @@ from offerledger.operators import history as H
 from offerledger.operators import matching as M
 from offerledger.operators import pages as P
 from offerledger.operators import runs as R
+from offerledger.operators.slugs import allocate_slugs
 from offerledger.plans import derive as D
 from offerledger.sources import listing as L
 from offerledger.sources import tables as TB
@@ -288,6 +289,33 @@ def match_domain(s: SparkSession, d: str) -> DataFrame:
     return M.match_by_domain(_shop_aliases(s, d), M.known_merchants(D.merchants(s, d), D.aliases(s, d)))
 
 
+def _name_sql(c: str) -> str:
+    """A normal name: slug tokens without noise words."""
+    noise = ", ".join(f"'{w}'" for w in T.NOISE)
+    tokens = f"string_split(regexp_replace(regexp_replace(lower({c}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), '-')"
+    return f"array_to_string(list_filter({tokens}, lambda x: x <> '' and x not in ({noise})), ' ')"
+
+
+# The ratio of all pairs (l, r) of `pr`: the longest common block of two texts, the first in l and then in r, counts;
+# then those of what stands before it and behind it in both.
+_RATIO_SQL = """seg as (select l, r, l as a, r as b, cast(0 as bigint) as k from pr union all
+  select l, r, unnest([substr(a, 1, i - 1), substr(a, i + k)]), unnest([substr(b, 1, j - 1), substr(b, j + k)]), unnest([k, 0]) from (
+    select l, r, a, b, cast(best.k as bigint) as k, cast(-best.i as bigint) as i, cast(-best.j as bigint) as j from (
+      select *, list_max(flatten(list_transform(range(1, length(a) + 1), lambda i: list_transform(range(1, length(b) + 1), lambda j:
+        struct_pack(k := len(list_filter(range(1, least(length(a) - i, length(b) - j) + 2), lambda n: substr(a, i, n) = substr(b, j, n))), i := -i, j := -j))))) as best
+      from seg where a <> '' and b <> '') where best.k > 0)),
+ratio as (select l, r, case when length(l) + length(r) = 0 then 1.0 else 2.0 * sum(k) / (length(l) + length(r)) end::double as score from seg group by l, r)"""
+_PART_NAMES_SQL = f"""mc as (select p_name as name, min(p_partkey) as merchant_id, replace(p_name, ' ', '-') as slug, {_name_sql("p_name")} as r from part group by p_name),
+pa as (select p_partkey + 1 as alias, p_partkey % 3 as provider_id, case p_partkey % 4 when 0 then p_name || ' FR' when 1 then p_name || 's' when 2 then 'le ' || p_name else p_name || ' ' || p_type end as raw_name from part),
+an as (select distinct raw_name, {_name_sql("raw_name")} as l from pa)"""
+_LIKELY = "2.0 * least(length(l), length(r)) >= {} * (length(l) + length(r))"
+_DECIDED_SQL = f"""with recursive {_PART_NAMES_SQL}, pr as (select distinct an.l, mc.r from an, mc where {_LIKELY.format(M.REVIEW)}), {_RATIO_SQL},
+hit as (select pa.alias, max(struct_pack(score := score, m := -merchant_id)) as b from pa join an using (raw_name) join ratio using (l) join mc using (r) where score >= {M.REVIEW} and provider_id <> 0 group by pa.alias),
+told as (select pa.alias, b.score as score, -b.m as merchant_id, name from pa left join hit using (alias) left join mc on merchant_id = -b.m),
+dec as (select alias, case when score >= {M.LINK} then 'link' when score >= {M.REVIEW} then 'review' else 'create' end as action, merchant_id, round(score, 3) as confidence,
+  case when score >= {M.LINK} then replace('{M.REASONS["near"]}', '{{0}}', name) when score >= {M.REVIEW} then replace('{M.REASONS["alike"]}', '{{0}}', name) else '{M.REASONS["none"]}' end as reason from told)"""
+
+
 def _part_merchants(s: SparkSession, d: str) -> DataFrame:
     """One merchant per distinct part name."""
     return D.parts(s, d).groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("merchant_id")).select("merchant_id", "name", T.slugify(F.col("name")).alias("slug"), F.lit(None).cast("string").alias("canonical_domain"), F.array(F.lit(0)).alias("provider_ids"))
@@ -300,7 +328,7 @@ def _part_aliases(s: SparkSession, d: str) -> DataFrame:
     return D.parts(s, d).select((key + 1).alias("alias"), (key % 3).cast("int").alias("provider_id"), name.alias("raw_name"), F.when(key % 9 == 0, F.concat(F.lit("www.s"), key % 45, F.lit(".fr"))).alias("raw_domain"))
 
 
-@registered()
+@registered(f"with recursive {_PART_NAMES_SQL}, pr as (select distinct an.l, mc.r from an, mc where {_LIKELY.format(M.REVIEW)}), {_RATIO_SQL} select l, r, round(score, 9) as score from ratio where score >= {M.REVIEW}")
 def name_similarity(s: SparkSession, d: str) -> DataFrame:
     """Every pair of a written and a known name with a ratio of 0.75 or more."""
     left = _part_aliases(s, d).select(T.normalize_name(F.col("raw_name")).alias("name"))
@@ -308,12 +336,14 @@ def name_similarity(s: SparkSession, d: str) -> DataFrame:
     return scored_pairs(left, right, M.REVIEW).select("l", "r", F.round("score", 9).alias("score"))
 
 
-@registered()
+@registered(f"""with recursive {_PART_NAMES_SQL}, pr as (select distinct an.l, mc.r from an, mc), {_RATIO_SQL}, top as (select l, max(score) as score from ratio group by l),
+first as (select l, min(slug) as slug from ratio join top using (l, score) join mc using (r) where score >= {M.LINK} group by l)
+select raw_name as name, slug, score from an join top using (l) left join first using (l)""")
 def best_match(s: SparkSession, d: str) -> DataFrame:
     return M.best_match(_part_aliases(s, d).select(F.col("raw_name").alias("name")), _part_merchants(s, d))
 
 
-@registered()
+@registered(f"{_DECIDED_SQL} select * from dec")
 def match_decisions(s: SparkSession, d: str) -> DataFrame:
     return M.decide(_part_aliases(s, d), _part_merchants(s, d))
 
@@ -323,7 +353,7 @@ def resolve_aliases(s: SparkSession, d: str) -> DataFrame:
     return M.resolve_aliases(_part_aliases(s, d), _part_merchants(s, d))
 
 
-@registered()
+@registered(f"{_DECIDED_SQL} select action, count(*) as n from dec where action <> 'review' or alias % 5 <> 0 group by action")
 def match_counts(s: SparkSession, d: str) -> DataFrame:
     """Decisions by action; of the reviews only those that are queued (some aliases wait already)."""
     aliases = _part_aliases(s, d).withColumn("raw_slug", F.concat(F.lit("pp-"), "alias"))
@@ -369,13 +399,22 @@ def cut_listing(s: SparkSession, d: str) -> DataFrame:
     return M.cut_listing(listing, linked, M.wanted_exact(listing, wanted), targets=wanted).select("ordinal", "raw_slug")
 
 
-@registered()
+_WANTED_SQL = f"""with recursive li as (select p_partkey as ordinal, upper(p_name) || ' Shop' || case when p_partkey % 3 = 0 then 's' else '' end as raw_name, 'pp-' || p_partkey as raw_slug from part),
+tg as (select distinct p_name as name, replace(p_name, ' ', '-') as slug, {_name_sql("p_name")} as r from part where p_size < 10),
+ln as (select *, {_name_sql("raw_name")} as l, {_name_sql("raw_slug")} as s from li),
+ex as (select ordinal, min(slug) as target from ln join tg on replace(r, ' ', '') in (replace(l, ' ', ''), replace(s, ' ', '')) group by ordinal),
+pr as (select distinct l, r from (select l from ln where ordinal not in (select ordinal from ex)), tg where {_LIKELY.format(M.LINK)}), {_RATIO_SQL},
+nr as (select l, min_by(slug, struct_pack(a := -score, b := slug)) as target from ratio join tg using (r) where score >= {M.LINK} group by l),
+wa as (select ordinal, target from ex union all select ordinal, target from ln join nr using (l) where ordinal not in (select ordinal from ex))"""
+
+
+@registered(f"{_WANTED_SQL} select ordinal, target from wa")
 def wanted(s: SparkSession, d: str) -> DataFrame:
     """Listed rows that are a target's by name or slug, or by a similar name."""
     return M.wanted(*_spelt_listing(s, d))
 
 
-@registered()
+@registered(f"{_WANTED_SQL} select ordinal, 'pp-' || ordinal as raw_slug from (select ordinal from wa union select p_partkey from part where p_partkey % 10 = 0)")
 def cut_listing_wanted(s: SparkSession, d: str) -> DataFrame:
     """The listing cut to linked and wanted rows, similar names among them."""
     listing, targets = _spelt_listing(s, d)

@@ -194,3 +194,23 @@ def test_slugs_of_one_name(spark):
     taken = spark.range(2, 2000, 2).select(M.F.concat(M.F.lit("nike-"), "id").alias("slug"))
     got = {x.alias: x.slug for x in slugs.allocate_slugs(new, taken).collect()}
     assert got == in_turn([(i, "nike") for i in range(3000)], [f"nike-{i}" for i in range(2, 2000, 2)])
+
+
+def test_few_names_are_compared(spark, monkeypatch):
+    """Candidates are a small multiple of the pairs found, made once each; all scores take under a tenth of all pairs."""
+    r = np.random.default_rng(12)
+    word = lambda: "".join(r.choice(list("abcdefghilmnoprstuv"), int(r.integers(4, 9))))
+    known = sorted({f"{word()} {word()}" for _ in range(400)})
+    written = sorted({k + str(r.choice(["s", " fr", "x", " bis"])) for k in known} | {k[1:] for k in known[:100]} | {word() for _ in range(20)})
+    a, b = (spark.createDataFrame([(n,) for n in x], "name string") for x in (written, known))
+    for threshold in (0.92, 0.75):
+        pairs = [tuple(x) for x in similarity.candidate_pairs(a, b, threshold).collect()]
+        found = similarity.scored_pairs(a, b, threshold).count()
+        assert len(pairs) == len(set(pairs)) and 0 < found <= len(pairs) <= 5 * found
+    compared = []
+    scored = similarity.scored_pairs
+    monkeypatch.setattr(similarity, "scored_pairs", lambda x, y, t: (compared.append(similarity.candidate_pairs(x, y, t).count()), scored(x, y, t))[1])
+    best = {x.l: x.score for x in similarity.best_scores(a, b).collect()}
+    assert len(best) == len(written) and sum(compared) < len(written) * len(known) / 10
+    some = written[::40]
+    assert {n: best[n] for n in some} == {n: max(difflib.SequenceMatcher(None, n, k).ratio() for k in known) for n in some}
