@@ -14,6 +14,7 @@ from offerledger.functions.similarity import scored_pairs
 from offerledger.operators import current as C
 from offerledger.operators import graph as G
 from offerledger.operators import history as H
+from offerledger.operators import ledger as K
 from offerledger.operators import matching as M
 from offerledger.operators import pages as P
 from offerledger.operators import runs as R
@@ -150,6 +151,49 @@ def backfill_closures(s: SparkSession, d: str) -> DataFrame:
     return rows.where("value is null").select("alias", "kind", F.coalesce("category_label", F.lit("")).alias("label"), "unit", F.date_format("pass_at", "yyyy-MM-dd").alias("closed_on"))
 
 
+_BATCH_DAYS = ("2024-01-10", "2024-01-20")
+_BATCH_SQL = f"""bt as (select alias, kind, label, coalesce(value, 1) as value, unit, ts, ordinal, case when ts < timestamp '{_BATCH_DAYS[0]}' then 1 when ts < timestamp '{_BATCH_DAYS[1]}' then 2 else 3 end as batch from obs),
+seen as (select alias, max(batch) as batch, max(ts) as seen_at from bt group by alias),
+last_row as (select * from bt qualify row_number() over (partition by alias, kind, coalesce(label, '') order by ts desc, ordinal desc) = 1),
+st as (select l.alias, kind, label, case when l.batch = s.batch then value end as value, unit, ts from last_row l join seen s using (alias))"""
+
+
+def _after_batches(s: SparkSession, d: str) -> K.Ledger:
+    """Three batches of events as passes over kept tables; coverage is brought up to date with each."""
+    h = D.history(s, d)
+    value = F.coalesce("value", F.lit(1).cast(T.MONEY))
+    filled = h.withColumn("value", value).withColumn("effective_value", F.when((F.col("kind") == "purchase") & F.col("category_label").isNull(), value)).withColumn("provider_id", (F.col("alias") % 5).cast("int"))
+    merchant = F.when(F.col("alias") % 11 != 0, F.col("alias") % 40 + 1).cast("long")
+    ledger = K.Ledger(f"{G.shared_dir(s)}/ledger-{uuid.uuid4().hex}", buckets=16)
+    bounds = (None, *_BATCH_DAYS, None)
+    for batch in (1, 2, 3):
+        low, high = bounds[batch - 1], bounds[batch]
+        rows = filled.where((F.col("observed_at") >= low if low else F.lit(True)) & (F.col("observed_at") < high if high else F.lit(True))).withColumn("run_id", F.lit(batch).cast("long"))
+        read = rows.groupBy("alias", "provider_id").agg(F.max("observed_at").alias("observed_at"))
+        missing = [F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in K.HISTORY.split(", ") if c.split()[0] not in rows.columns]
+        K.record_observations(ledger, rows.select("*", *missing).select(*[c.split()[0] for c in K.HISTORY.split(", ")]), read.select("alias", "observed_at"), batch)
+        K.coverage_merged(ledger, read.select("alias", merchant.alias("merchant_id"), "provider_id", F.col("observed_at").alias("last_checked_at")), batch)
+    return ledger
+
+
+@registered(f"with {D.HISTORY_SQL}, {_BATCH_SQL} select alias, kind, coalesce(label, '') as label, cast(value as double) as value, unit from st")
+def incremental_latest(s: SparkSession, d: str) -> DataFrame:
+    """The latest state that batches leave: offers that their alias's last pass didn't show are closed."""
+    rows = _after_batches(s, d).state.read(s)
+    return rows.select("alias", "kind", F.coalesce("category_label", F.lit("")).alias("label"), _d("value").alias("value"), "unit")
+
+
+@registered(f"""with {D.HISTORY_SQL}, {D.MERCHANTS_SQL}, {_BATCH_SQL},
+op as (select st.*, alias % 40 + 1 as merchant_id, alias % 5 as provider_id, (kind = 'purchase' and label is null) as is_main, seen_at from st join seen using (alias) where value is not null and alias % 11 <> 0),
+cov as (select merchant_id, count(distinct provider_id) filter (is_main) as n_platforms, max(value) filter (is_main) as best_value, max(value) filter (is_main and unit = 'percent') as best_percent,
+  max(value) filter (is_main and unit = 'fixed_eur') as best_fixed_eur, min(seen_at) filter (is_main) as oldest_checked_at, count(*) as n_offers from op group by merchant_id)
+select m.merchant_id, coalesce(n_platforms, 0) as n_platforms, cast(best_value as double) as best_value, cast(best_percent as double) as best_percent, cast(best_fixed_eur as double) as best_fixed_eur, oldest_checked_at, coalesce(n_offers, 0) as n_offers from mer m left join cov using (merchant_id)""")
+def incremental_coverage(s: SparkSession, d: str) -> DataFrame:
+    """Coverage out of the partials of changed aliases, batch by batch."""
+    rows = K.coverage(_after_batches(s, d), D.merchants(s, d).select("merchant_id"))
+    return rows.select("merchant_id", "n_platforms", _d("best_value").alias("best_value"), _d("best_percent").alias("best_percent"), _d("best_fixed_eur").alias("best_fixed_eur"), "oldest_checked_at", "n_offers")
+
+
 @registered(f"with {D.ALIASES_SQL}, pr as (select user_id as alias, max(ts) as seen_at from events where event_type = 'view' group by user_id) select alias, greatest(timestamp '2024-01-25', coalesce(seen_at, timestamp '2024-01-25')) as last_checked_at from al left join pr using (alias)")
 def touch_alias(s: SparkSession, d: str) -> DataFrame:
     stored = D.aliases(s, d).withColumn("last_checked_at", F.lit("2024-01-25").cast("timestamp"))

@@ -1,13 +1,14 @@
 """Tables kept in parts, changed batch by batch: a batch writes the parts it touches, then one small commit.
 
-Under `path`, rows/batch=<id>/part=<part>/ holds what a batch wrote of a part, and commits/batch=<id>/ the folders that
+Under `path`, rows/batch=<id>/part=<part>/ holds what a batch wrote of a part, and commits/<id>.json the folders that
 make up the table after that batch.  A batch goes by the newest commit before its own id, so one that is run again sees
 what it saw before and overwrites its own files: it adds nothing twice.  Files of a batch without a commit are never
-read.  A commit has a row per folder, so it grows with the parts and never with the rows.
+read.  A commit names folders, so it grows with the parts and never with the rows; it is written aside and renamed.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,8 +35,7 @@ class PartTable:
 
     def commits(self, spark: SparkSession, before: int | None = None) -> list[int]:
         """Ids of the batches committed (before one), ascending."""
-        found = [n for n in self._names(spark, f"{self.path}/commits") if n.startswith("batch=")]
-        ids = [int(n[6:]) for n in found if "_SUCCESS" in self._names(spark, f"{self.path}/commits/{n}")]
+        ids = [int(n[:-5]) for n in self._names(spark, f"{self.path}/commits") if n.endswith(".json")]
         return sorted(i for i in ids if before is None or i < before)
 
     def folders(self, spark: SparkSession, before: int | None = None) -> list[tuple[str, str]]:
@@ -43,8 +43,23 @@ class PartTable:
         ids = self.commits(spark, before)
         if not ids:
             return []
-        rows = spark.read.schema("part string, folder string").parquet(f"{self.path}/commits/batch={ids[-1]}").collect()
-        return sorted((r["part"], r["folder"]) for r in rows)
+        system, where = self._files(spark, f"{self.path}/commits/{ids[-1]}.json")
+        stream = system.open(where)
+        try:
+            told = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return sorted(map(tuple, json.loads(told)))
+
+    def _commit(self, spark: SparkSession, batch: int, folders: list[tuple[str, str]]) -> None:
+        system, aside = self._files(spark, f"{self.path}/commits/{batch}.json.new")
+        stream = system.create(aside, True)
+        stream.write(bytearray(json.dumps(folders).encode()))
+        stream.close()
+        _, where = self._files(spark, f"{self.path}/commits/{batch}.json")
+        system.delete(where, False)
+        if not system.rename(aside, where):
+            raise OSError(f"{self.path}: batch {batch} wasn't committed")
 
     def read(self, spark: SparkSession, parts: set[str] | None = None, before: int | None = None) -> DataFrame:
         """The table's rows, of all parts or of some: no file of another part is listed or read."""
@@ -59,7 +74,7 @@ class PartTable:
         # Rows of a part lie together; adaptive execution splits a large part by its size and joins small ones.
         rows.hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(folder)
         new = [(n[5:], f"batch={batch}/{n}") for n in self._names(spark, folder) if n.startswith("part=")]
-        spark.createDataFrame(keep + new, "part string, folder string").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/batch={batch}")
+        self._commit(spark, batch, keep + new)
 
     def written(self, spark: SparkSession, batch: int) -> DataFrame:
         """What a committed batch wrote."""
@@ -88,7 +103,7 @@ class PartTable:
         needed = {f for i in ids[-keep:] for _, f in self.folders(spark, i + 1)}
         written = {n for n in self._names(spark, f"{self.path}/rows") if n.startswith("batch=") and int(n[6:]) <= (ids or [-1])[-1]}
         gone = [f"rows/{b}/{p}" for b in written for p in self._names(spark, f"{self.path}/rows/{b}") if f"{b}/{p}" not in needed]
-        for name in gone + [f"commits/batch={i}" for i in ids[:-keep]]:
+        for name in gone + [f"commits/{i}.json" for i in ids[:-keep]]:
             system, where = self._files(spark, f"{self.path}/{name}")
             system.delete(where, True)
 
