@@ -104,7 +104,7 @@ def upserted_aliases(ledger: Ledger, parsed: DataFrame, listing: DataFrame, batc
     seen = P.with_listing(parsed.where("error is null"), listing).select(*key, "raw_name", F.col("url").alias("raw_url"), "raw_domain", "observed_at", F.col("page").alias("ordinal"), (F.size("offers") > 0).alias("has_offers"))
     parts = touched(seen, ledger.by_slug())
     stored = ledger.aliases.read(spark, parts, batch)
-    # Ids are unique over all buckets; Parquet's own statistics make this a look at the footers.
+    # Ids are unique over all buckets: one column of the whole table is read for the largest.
     after = ledger.aliases.read(spark, None, batch).agg(F.coalesce(F.max("alias"), F.lit(0))).first()[0]
     merged = H.upsert_aliases(stored, seen.where("has_offers"))
     fresh = numbered(merged.where("alias is null").drop("alias"), after, *key).withColumnRenamed("number", "alias")
