@@ -15,10 +15,12 @@ How links are found, none lost and no group expanded to all its pairs:
    of each of its shingles, all sets of a batch at once and level by level: sets with a common beginning share
    the overlap counted so far, and a subtree is left as soon as that overlap and the shorter of both remaining
    lengths can't reach what a link needs, or if all its sets are in the set's own component.
-4. For MERGE_ROUNDS rounds only neighbours in tree order become candidates (work is linear in the postings; in the
-   first round in the trees of each set's FIRST rarest shared shingles), and verified links give components.  The last round takes whole trees, between different components.
-   A shingle of more than BLOCK sets is dealt over blocks: sets of its largest component meet only
-   the sets outside it, block by block, so no task holds more than two blocks.
+4. Rounds give components out of verified links, so that few pairs are left for the last one.  In the first only
+   neighbours in tree order become candidates, in the second each set's CLOSEST partners of other components, by their
+   bitmaps; both look into the trees of a set's FIRST rarest shared shingles (work is linear in the sets).  The last
+   round takes whole trees and all their pairs, between different components.
+   A shingle of more than BLOCK sets is dealt over blocks, in the last round so that all of them meet: sets of its
+   largest component meet only the sets outside it, block by block, so no task holds more than two blocks.
 5. Parity bitmaps bound the overlap of what is left, in whole trees and of the candidates (no link is lost), and
    whole sets are compared; a set with many partners is dealt over several tasks.
 
@@ -36,7 +38,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offerledger.llm import kernel, shared
@@ -59,9 +61,12 @@ REST = 32
 TIES = 2
 #: sets of a shingle that meet in one task
 BLOCK = 512
-MERGE_ROUNDS = 2
-#: a set's first shared shingles, in whose trees it has neighbours in the first round
-FIRST = 4
+#: which pairs of a tree become candidates, by round: those of neighbours, of each set's closest partners, all
+ROUNDS = ("neighbours", "closest", "all")
+#: a set's first shared shingles, in whose trees it meets others in all rounds but the last
+FIRST = {"neighbours": 4, "closest": 8}
+#: partners of a set in the second round
+CLOSEST = 3
 #: shingles of candidates verified together, and of one set's partners
 CHECKED_AT_ONCE = 1_000_000
 #: texts of candidates are found by a broadcast of their keys up to so many (8 MB), beyond by a join
@@ -247,12 +252,24 @@ class PrefixTrees:
             may = overlap + np.minimum(left, right) >= need(n[p], n[q], self.percent)
             p, q = p[may], q[may]
             if self.bits is not None:
-                far = np.bitwise_count(self.bits[p] ^ self.bits[q]).sum(axis=1, dtype=np.int64)
-                may = far <= n[p] + n[q] - 2 * need(n[p], n[q], self.percent)
+                may = self.apart(p, q) <= n[p] + n[q] - 2 * need(n[p], n[q], self.percent)
                 p, q = p[may], q[may]
             out.append((p, q))
         return tuple(np.concatenate(z) for z in zip(*out, strict=True)) if out else (x, y)
 
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Bits in which the bitmaps of the pairs differ."""
+        return np.bitwise_count(self.bits[x] ^ self.bits[y]).sum(axis=1, dtype=np.int64)
+
+    def closest(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of a tree that may link and of which one row has the other among its k closest."""
+        x, y = self.all_pairs()
+        row, far = np.concatenate([x, y]), np.tile(self.apart(x, y), 2)
+        order = np.lexsort((np.concatenate([y, x]), far, row))
+        first = np.searchsorted(row[order], row[order])
+        kept = np.unique(order[np.arange(len(order)) - first < k] % max(len(x), 1))
+        return x[kept], y[kept]
+
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the words that are frequent in the task, and of all its words (word null)."""
@@ -320,20 +337,22 @@ def _whole_sets(k: int, levels):
 _NUMBERS = ("side", "n", "pos", "comp", "done")
 
 
-def _candidates(percent: int, nearest: bool):
-    """Pairs (a < b, with sizes) out of rows sorted by token, blocks and rest."""
+def _candidates(percent: int, which: str):
+    """Pairs (a < b, with sizes and the bits apart, if known) out of rows sorted by token, blocks and rest."""
 
     def of_groups(rows: pa.RecordBatch, group: np.ndarray) -> Iterator[pa.RecordBatch]:
         column = lambda c: rows.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
         flat = lambda c, kind: np.asarray(rows.column(c).flatten()).view(kind)
-        trees = PrefixTrees(group, *(column(c) for c in _NUMBERS), column("upto").astype(np.uint32), flat("rest", np.uint32), flat("places", np.int32).astype(np.int64), np.asarray(rows.column("rest").value_lengths()).astype(np.int64), percent, None if nearest else flat("coarse", np.uint64).reshape(-1, COARSE))
-        x, y = trees.neighbours() if nearest else trees.all_pairs()
+        trees = PrefixTrees(group, *(column(c) for c in _NUMBERS), column("upto").astype(np.uint32), flat("rest", np.uint32), flat("places", np.int32).astype(np.int64), np.asarray(rows.column("rest").value_lengths()).astype(np.int64), percent, None if which == "neighbours" else flat("coarse", np.uint64).reshape(-1, COARSE))
+        x, y = trees.neighbours() if which == "neighbours" else trees.closest(CLOSEST) if which == "closest" else trees.all_pairs()
         sig = column("sig")
         flip = sig[x] > sig[y]
         x, y = np.where(flip, y, x), np.where(flip, x, y)
         _, once = np.unique(np.stack([sig[x], sig[y]]), axis=1, return_index=True)
+        x, y = x[once], y[once]
         if len(once):
-            yield pa.RecordBatch.from_arrays([*(pa.array(c[z[once]]) for c in (sig, trees.n) for z in (x, y)), pa.array(column("token")[x[once]])], ["a", "b", "na", "nb", "token"])
+            apart = pa.nulls(len(x), pa.int64()) if trees.bits is None else pa.array(trees.apart(x, y))
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[z]) for c in (sig, trees.n) for z in (x, y)), pa.array(column("token")[x]), apart], ["a", "b", "na", "nb", "token", "apart"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -392,18 +411,15 @@ def ngram_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     upper = F.transform("held.token", lambda x: F.shiftright(x, 32).cast("int"))
     heads = shared.written(held.join(known, "sig").select("sig", "n", "last", "before_last", "coarse", *parts, upper.alias("uppers")), "ngram-heads")
 
-    links, class_of, turn = None, None, 0
-    while turn <= MERGE_ROUNDS:
-        pairs = shared.written(_paired(heads, class_of, percent, nearest=turn < MERGE_ROUNDS), "ngram-pairs")
+    links, class_of = None, None
+    for which in ROUNDS:
+        pairs = shared.written(_paired(heads, class_of, percent, which), "ngram-pairs")
         found = shared.written(_verified(pairs, members, texts, levels, k, percent), "ngram-links")
         shared.dropped(pairs)
         shared.released(pairs.sparkSession)
-        some = not found.isEmpty()
-        if class_of is None or some:
+        if class_of is None or not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             class_of = components(links)
-        # Whole trees once neighbours give nothing new.
-        turn = turn + 1 if some or turn == MERGE_ROUNDS else MERGE_ROUNDS
 
     members = members.select("doc_id", "sig", "n")
     nodes = members.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
@@ -413,11 +429,10 @@ def ngram_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     return members.join(of_sig, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _paired(heads: DataFrame, class_of: DataFrame | None, percent: int, nearest: bool) -> DataFrame:
+def _paired(heads: DataFrame, class_of: DataFrame | None, percent: int, which: str) -> DataFrame:
     """Candidates (a, b, na, nb, and a shingle they share) between different components, from the prefix trees."""
     if class_of is None:
-        first = F.sequence(F.lit(0), F.least(F.size("tokens"), F.lit(FIRST)) - 1)
-        heads = heads.withColumn("comp", F.col("sig")).withColumn("own", first)
+        heads = heads.withColumn("comp", F.col("sig")).withColumn("own", F.sequence(F.lit(0), F.size("tokens") - 1))
     else:
         heads = heads.join(class_of.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("component", "sig"))
         # Only trees of two components or more: light rows are joined, and each set keeps the numbers of those shingles.
@@ -425,6 +440,8 @@ def _paired(heads: DataFrame, class_of: DataFrame | None, percent: int, nearest:
         mixed = light.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
         some = light.join(mixed, "token", "left_semi").groupBy("sig").agg(F.collect_list("at").alias("own"))
         heads = heads.join(some, "sig")
+    if which != "all":
+        heads = heads.withColumn("own", F.slice(F.array_sort("own"), 1, FIRST[which]))
     each = heads.withColumn("at", F.explode("own"))
     after = lambda c: F.slice(c, F.col("at") + 2, F.lit(REST))
     here = lambda c, k=1: F.element_at(c, F.col("at") + k)
@@ -432,12 +449,12 @@ def _paired(heads: DataFrame, class_of: DataFrame | None, percent: int, nearest:
     end = F.least(F.col("at") + 1 + REST, F.size("tokens"))
     done = F.when(whole, F.col("before_last")).otherwise(F.element_at("places", end) - TIES)
     upto = F.when(whole, F.col("last")).otherwise(F.shiftrightunsigned(F.element_at("tokens", end), 32))
-    rows = each.select(here("tokens").alias("token"), here("holders").alias("holders"), "sig", "n", here("places").alias("pos"), "comp", after("uppers").alias("rest"), after("places").alias("places"), done.alias("done"), upto.alias("upto"), (F.array().cast("array<long>") if nearest else F.col("coarse")).alias("coarse"))
+    rows = each.select(here("tokens").alias("token"), here("holders").alias("holders"), "sig", "n", here("places").alias("pos"), "comp", after("uppers").alias("rest"), after("places").alias("places"), done.alias("done"), upto.alias("upto"), (F.array().cast("array<long>") if which == "neighbours" else F.col("coarse")).alias("coarse"))
     few = rows.where(F.col("holders") <= BLOCK).withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(0)})
     many = rows.where(F.col("holders") > BLOCK)
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    block_of = lambda n: F.pmod(F.xxhash64("sig"), n).cast("int")
-    if nearest:
+    block_of = lambda n: F.pmod(F.xxhash64("sig", "token"), n).cast("int")
+    if which != "all":
         many = many.withColumn("i", block_of(blocks("holders"))).withColumns({"j": F.col("i"), "side": F.lit(0)})
     else:
         sizes = many.groupBy("token", "comp").agg(F.count("*").alias("size"))
@@ -451,8 +468,14 @@ def _paired(heads: DataFrame, class_of: DataFrame | None, percent: int, nearest:
         many = many.withColumn("side", F.when(F.col("i") == F.col("j"), 0).when(F.col("mine") == F.col("i"), 1).otherwise(2))
     columns = ["token", "i", "j", "side", "sig", "n", "pos", "comp", "done", "upto", "rest", "places", "coarse"]
     dealt = few.select(columns).unionByName(many.select(columns)).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "rest")
-    found = dealt.mapInArrow(_candidates(percent, nearest), "a long, b long, na long, nb long, token long")
-    return found.groupBy("a", "b", "na", "nb").agg(F.min("token").alias("token"))
+    found = dealt.mapInArrow(_candidates(percent, which), "a long, b long, na long, nb long, token long, apart long")
+    found = found.groupBy("a", "b", "na", "nb").agg(F.min("token").alias("token"), F.min("apart").alias("apart"))
+    if which == "closest":
+        # Those that one of both sets has among its closest over all its trees.
+        of_set = found.withColumn("set", F.explode(F.array("a", "b")))
+        near = of_set.withColumn("nth", F.row_number().over(Window.partitionBy("set").orderBy("apart", "a", "b"))).where(F.col("nth") <= CLOSEST)
+        found = near.groupBy("a", "b", "na", "nb").agg(F.min("token").alias("token"))
+    return found.select("a", "b", "na", "nb", "token")
 
 
 def _verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, levels, k: int, percent: int) -> DataFrame:

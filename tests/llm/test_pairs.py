@@ -135,6 +135,40 @@ def test_prefix_trees():
     near = {tuple(sorted((int(who[x]), int(who[y])))) for x, y in zip(*trees.neighbours(), strict=True)}
     assert near <= found and len(near & want) > 20
 
+    trees.bits = np.stack([ngram_jaccard.parity_bits(sets[i].astype(np.uint64), 1024) for i in who])
+    x, y = trees.all_pairs()
+    every = list(zip(x.tolist(), y.tolist(), trees.apart(x, y).tolist(), strict=True))
+    closest = set(zip(*(z.tolist() for z in trees.closest(2)), strict=True))
+    assert closest < {(p, q) for p, q, _ in every}
+    for row in {z for p, q, _ in every for z in (p, q)}:
+        of_row = sorted((far, q if p == row else p) for p, q, far in every if row in (p, q))
+        assert {tuple(sorted((row, other), reverse=True)) for _, other in of_row[:2]} <= {tuple(sorted(z, reverse=True)) for z in closest}
+
+
+def test_few_pairs_are_left_for_whole_trees(spark, monkeypatch):
+    """A large family with few links to each: the rounds before have joined it."""
+    r = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(300)]
+    texts = {}
+    for i in range(300):
+        words = list(base)
+        for at in r.choice(60, 6, replace=False):
+            words[5 * int(at)] = f"n{r.integers(0, 3)}"
+        texts[i] = " ".join(words)
+    made, written = [], ngram_jaccard.shared.written
+
+    def counted(df, name):
+        out = written(df, name)
+        if name == "ngram-pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_jaccard.shared, "written", counted)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_jaccard.ngram_classes(df).collect()}
+    assert got == classes(texts)
+    assert len(made) == 3 and max(made) <= 4 * len(texts) and made[-1] < len(texts)
+
 
 def test_nested_sets(spark):
     """Each document is the one before and a word more, so every set holds the smaller ones."""
