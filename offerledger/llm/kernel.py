@@ -7,16 +7,18 @@ Python string is made per word.  A null text counts as an empty one.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers = {"n": 0, "up": np.zeros(0, _U), "down": np.zeros(0, _U)}
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -77,8 +79,19 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def release() -> None:
+    """Give free memory back to the system.  Spark keeps a worker for later tasks, and Arrow's and C's allocators
+    would keep what the batches before have freed."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows of about `most` bytes of text; a longer text is a run of its own."""
+    """Cut a batch into runs of rows of about `most` bytes of text; a longer text is a run of its own.
+
+    After the last one free memory is released.
+    """
     text = batch.column(column)
     sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     total, begin = np.cumsum(sizes), 0
@@ -87,6 +100,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES)
         end = max(begin + 1, int(np.searchsorted(total, before + most, side="right")))
         yield batch.slice(begin, end - begin)
         begin = end
+    release()
 
 
 class Words:

@@ -371,6 +371,7 @@ def _candidates(percent: int, which: str):
                 yield from of_groups(rows.slice(starts[k], starts[end] - starts[k]), np.repeat(np.arange(end - k), sizes[k:end]))
                 k = end
             held = rows.slice(starts[done])
+        kernel.release()
 
     return work
 

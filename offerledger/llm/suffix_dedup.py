@@ -34,6 +34,7 @@ looked at and stay.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -217,6 +218,7 @@ def _matched(match: int, key: int):
             held = rows[0].slice(whole)
         if held is not None:
             yield from ranges(held)
+        kernel.release()
 
     return work
 
@@ -237,6 +239,7 @@ def _by_run(match: int, key: int):
                     run = kernel.range_hashes(words, np.arange(len(some)) * match, np.arange(1, len(some) + 1) * match)
                     rows = batch.take(pa.array(some))
                     yield pa.RecordBatch.from_arrays([pa.array(kernel.as_long(run)), *(rows.column(c) for c in names[1:4]), pa.array(np.full(len(some), o, np.int32)), *(rows.column(c) for c in names[5:])], names)
+        kernel.release()
 
     return work
 
@@ -263,6 +266,7 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             removed.append(spans_of(start[later], end[later]))
             sources.append(np.unique(first[first != doc]).tolist())
         yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(repeated, kind), pa.array(removed, kind), pa.array(sources, pa.list_(pa.int64()))], ["sig", "repeated", "removed", "first_docs"])
+    kernel.release()
 
 
 def repeated_passages(docs: DataFrame, match: int = MATCH, key: int = KEY) -> DataFrame:
@@ -322,7 +326,7 @@ def without_repeats(docs: DataFrame, match: int = MATCH, key: int = KEY) -> Data
     joined = docs.join(spans, F.col("doc_id") == F.col("_id"), "left").drop("_id")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(kernel.slices, batches)):
             cuts, text = batch.column("_cut"), batch.column("text")
             kept, new = np.ones(len(batch), bool), []
             for i in range(len(batch)):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -195,3 +198,38 @@ def test_pipeline_stages_on_odd_rows(spark):
 def test_model_is_loaded_once_per_worker():
     path = sentencepiece_agenda.public_tokenizers.path(sentencepiece_agenda.MODEL)
     assert sentencepiece_agenda.model_of(path) is sentencepiece_agenda.model_of(path)
+
+
+WORKER = """
+import re
+import numpy as np
+import pyarrow as pa
+from offerledger.llm import kernel, quality_rules, suffix_dedup
+
+
+def held():
+    return sum(map(int, re.findall(r"\\nPss_(?:Anon|Shmem):\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+
+def texts():
+    words = [f"w{i}" for i in range(3000)]
+    for seed in range(3):
+        draws = np.random.default_rng(seed).integers(0, 3000, (10_000, 350))
+        yield pa.RecordBatch.from_arrays([pa.array(range(10_000)), pa.array([" ".join([words[i] for i in row]) for row in draws.tolist()])], ["doc_id", "text"])
+
+
+model = np.zeros((1 << quality_rules.BAG.bits) + 1, np.float32), 1.0, 0.0
+for _ in suffix_dedup._suffixes(50, 25)(texts()):
+    pass
+for whole in texts():
+    for batch in kernel.slices(whole):
+        quality_rules._judge(batch.column("text"), model, 0.4)
+del whole, batch
+print(held())
+"""
+
+
+def test_a_worker_gives_back_what_its_batches_took():
+    """Workers stay for the pipeline's next stages; what they keep adds up beside the executor's heap."""
+    out = subprocess.run([sys.executable, "-c", WORKER], cwd=Path(__file__).parents[2], capture_output=True, text=True, check=True, timeout=300)
+    assert float(out.stdout) < 140
