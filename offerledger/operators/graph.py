@@ -98,10 +98,24 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", one_task: int = ONE
     return stars.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node").unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def replayed(rows: DataFrame, order: list[str], replay: Callable, schema: str) -> DataFrame:
+def _listed(column: pa.Array) -> list:
+    """The column's values; an object is made once for equal ones, as their number is what costs."""
+    if column.null_count == len(column):
+        return [None] * len(column)
+    if pa.types.is_nested(column.type):
+        return column.to_pylist()
+    if pa.types.is_integer(column.type) and not column.null_count:
+        return column.to_numpy().tolist()
+    known = column.dictionary_encode()
+    values = [*known.dictionary.to_pylist(), None]
+    return [values[i] for i in known.indices.fill_null(-1).to_numpy().tolist()]
+
+
+def replayed(rows: DataFrame, order: list[str], replay: Callable, schema: str, cells: list[str] | None = None) -> DataFrame:
     """Each component's rows in order through an object of its own, many components in a task's stream.
 
-    replay() makes the object: see(row) gives the outcomes (tuples of schema) of a row, a dictionary, and done() those
+    replay() makes the object: see(row) gives the outcomes (tuples of schema) of a row, a dictionary or, where cells
+    names its columns, a tuple of them, and done() those
     that stand at the component's end.  A task holds a batch of rows and what one object remembers.
     """
     dealt = rows.repartition("component").sortWithinPartitions("component", *order)
@@ -111,10 +125,11 @@ def replayed(rows: DataFrame, order: list[str], replay: Callable, schema: str) -
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, current, out = None, None, []
         for batch in batches:
-            for row in batch.to_pylist():
-                if known is None or row["component"] != current:
+            each = zip(*(_listed(batch.column(c)) for c in cells), strict=True) if cells else batch.to_pylist()
+            for component, row in zip(_listed(batch.column("component")), each, strict=True):
+                if known is None or component != current:
                     out += known.done() if known is not None else []
-                    known, current = replay(), row["component"]
+                    known, current = replay(), component
                 out += known.see(row)
             yield told(out)
             out = []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import time
 
 import numpy as np
 import pytest
@@ -214,3 +215,37 @@ def test_few_names_are_compared(spark, monkeypatch):
     assert len(best) == len(written) and sum(compared) < len(written) * len(known) / 10
     some = written[::40]
     assert {n: best[n] for n in some} == {n: max(difflib.SequenceMatcher(None, n, k).ratio() for k in known) for n in some}
+
+
+def test_resolution_of_many_aliases_of_one_name(spark):
+    """Each third alias makes a merchant that the next two join; it isn't looked for among all merchants of the name (213 s before)."""
+    n = 120_000
+    aliases = spark.range(1, n + 1).select(M.F.col("id").alias("alias"), (M.F.col("id") % 3).cast("int").alias("provider_id"), M.F.lit("Fnac").alias("raw_name"), M.F.lit(None).cast("string").alias("raw_domain"))
+    merchants = spark.createDataFrame([], "merchant_id long, name string, canonical_domain string, provider_ids array<int>")
+    began = time.monotonic()
+    got = {x.alias: (x.action, x.merchant_id) for x in M.resolve_aliases(aliases, merchants).collect()}
+    assert got == {i: ("create" if i % 3 == 1 else "link", -(i - (i - 1) % 3)) for i in range(1, n + 1)}
+    assert time.monotonic() - began < 60
+
+
+def test_longer_resolution_equals_a_loop(spark):
+    """Many merchants a name, platforms that come late, domains that lead into the midst of a name's merchants, and rows without names."""
+    r = np.random.default_rng(5)
+    names = [*NAMES[:9], "alpha xxl", "alphb"]
+    for _ in range(2):
+        merchants = [(i + 1, str(r.choice(names)), f"d{i}.fr" if r.random() < 0.3 else None, [int(x) for x in np.unique(r.integers(0, 4, int(r.integers(0, 3))))]) for i in range(12)]
+        aliases = [(i + 1, int(r.integers(0, 2 + i // 150)), str(r.choice(names)), f"d{r.integers(0, 60)}.fr" if r.random() < 0.25 else None) for i in range(600)]
+        m = spark.createDataFrame(merchants, "merchant_id long, name string, canonical_domain string, provider_ids array<int>")
+        a = spark.createDataFrame([*aliases, (900, 0, None, None), (901, 0, None, "d900.fr"), (902, 1, None, "d900.fr")], "alias long, provider_id int, raw_name string, raw_domain string")
+        want = resolved(merchants, aliases) | {900: ("create", -900), 901: ("create", -901), 902: ("link", -901)}
+        assert {x.alias: (x.action, x.merchant_id) for x in M.resolve_aliases(a, m).collect()} == want
+        assert {x[0] for x in want.values()} == {"link", "create", "review"}
+
+
+def test_resolution_rounds_and_tells_as_the_loop_does(spark):
+    """Half a thousandth goes to the even one, for an alias that is alone too; braces of a name stay as they are."""
+    merchants = spark.createDataFrame([(1, "Abcdefghijklmnop", None, []), (2, "Zz{1}tt{2}uu", "a.fr", [])], "merchant_id long, name string, canonical_domain string, provider_ids array<int>")
+    aliases = spark.createDataFrame([(1, 0, "abcdefghijklmxyz", None), (2, 0, "zz 1 tt 2 uu", "b.fr")], "alias long, provider_id int, raw_name string, raw_domain string")
+    apart = "nom proche de « Zz{1}tt{2}uu » mais domaines différents (b.fr / a.fr)"
+    assert {tuple(x) for x in M.resolve_aliases(aliases, merchants).collect()} == {(1, "review", 1, round(13 / 16, 3), "nom ressemblant à « Abcdefghijklmnop »"), (2, "review", 2, 1.0, apart)}
+    assert {x.reason for x in M.decide(aliases, merchants).where("alias = 2").collect()} == {apart}
